@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigloom.llm import media, mixing, packing, tokens
+from sigloom.llm import langid, media, mixing, packing, quality, tokens
+from sigloom.llm.common import fold
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +24,20 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.col("payload").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "source")
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    remainder = fold(F.col("doc_id"), 5)
+    model = langid.train(docs.where(remainder != 0))
+    return langid.predict(docs, model, [F.col("doc_id"), (remainder == 0).alias("held_out")])
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    net = quality.train(docs, labels, fold(F.col("key"), 3) != 1)
+    scored = quality.score(docs, net, [F.col("doc_id"), (fold(F.col("doc_id"), 3) == 1).alias("held_out")])
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.describe_media(media.media_table(table(spark, sf_dir, "documents")))
 
@@ -34,6 +49,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_ids": op1_token_ids,
     "op2_packing": op2_packing,
+    "op3_language": op3_language,
+    "op5_quality": op5_quality,
     "op9_media": op9_media,
     "op10_mixing": op10_mixing,
 }
