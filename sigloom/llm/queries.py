@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigloom.llm import langid, media, mixing, packing, quality, tokens
+from sigloom.llm import langid, media, mixing, neardup, packing, quality, tokens
 from sigloom.llm.common import fold
 
 
@@ -31,6 +31,10 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model, [F.col("doc_id"), (remainder == 0).alias("held_out")])
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     net = quality.train(docs, labels, fold(F.col("key"), 3) != 1)
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_ids": op1_token_ids,
     "op2_packing": op2_packing,
     "op3_language": op3_language,
+    "op4_near_duplicates": op4_near_duplicates,
     "op5_quality": op5_quality,
     "op9_media": op9_media,
     "op10_mixing": op10_mixing,
