@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigloom.llm import langid, media, mixing, neardup, packing, quality, tokens
+from sigloom.llm import langid, linededup, media, mixing, neardup, packing, quality, tokens, vectors
 from sigloom.llm.common import fold
 
 
@@ -42,6 +42,14 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.dedup_lines(table(spark, sf_dir, "documents"))
+
+
+def op8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.vector_links(table(spark, sf_dir, "embeddings"))
+
+
 def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.describe_media(media.media_table(table(spark, sf_dir, "documents")))
 
@@ -56,6 +64,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language": op3_language,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_quality": op5_quality,
+    "op6_line_dedup": op6_line_dedup,
+    "op8_vectors": op8_vectors,
     "op9_media": op9_media,
     "op10_mixing": op10_mixing,
 }
