@@ -15,6 +15,8 @@ repeated chunk keep their text to the byte.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,31 +26,32 @@ WINDOW, DIVISOR, SOLO_WORDS = 3, 4, 50
 
 
 def is_wide(text: Column, solo_words: int) -> Column:
-    return F.length(text) - F.length(F.translate(text, " ", "")) + 1 >= solo_words
+    spaces = F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
+    return F.when(F.length(text) < 2 * solo_words - 1, False).otherwise(spaces + 1 >= solo_words)
+
+
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with the value computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
 
 
 def line_chunks(text: Column, window: int = WINDOW, divisor: int = DIVISOR, solo_words: int = SOLO_WORDS) -> Column:
     """array<string>: the text's chunks, which joined by line feeds give it back.
 
-    Each lambda sees only its own line and the hashes of those before, zipped to it. Chunks are
-    parted by text: lines are joined again with a mark that says whether a chunk starts, and no
-    line holds the line feed that the mark begins with."""
-    lines = F.split(text, "\n", -1)
-    hashes = F.transform(lines, lambda x: F.xxhash64(x))
-    solo = F.transform(lines, lambda x: is_wide(x, solo_words))
-
-    def before(values: Column, by: int) -> Column:
-        n = F.size(values)
-        return F.concat(F.array_repeat(F.lit(None), F.least(F.lit(by), n)), F.slice(values, F.lit(1), F.greatest(F.lit(0), n - by)))
+    Chunks are parted by text: lines are joined again with a mark that says whether a chunk
+    starts, and no line holds the line feed that the mark begins with."""
+    described = F.transform(F.split(text, "\n", -1), lambda x: F.struct(x.alias("line"), F.xxhash64(x).alias("h"), is_wide(x, solo_words).alias("solo")))
 
-    zipped = F.arrays_zip(lines.alias("line"), solo.alias("solo"), before(solo, 1).alias("solo1"), *[before(hashes, k + 1).alias(f"h{k}") for k in range(window)])
+    def joined(lines: Column) -> Column:
+        def marked(x: Column, i: Column) -> Column:
+            rolling = F.xxhash64(*[F.when(i > k, F.get(lines, F.greatest(i - k - 1, F.lit(0)))["h"]) for k in range(window)])
+            starts = (i == 0) | x["solo"] | F.get(lines, F.greatest(i - 1, F.lit(0)))["solo"] | (F.pmod(rolling, F.lit(divisor)) == 0)
+            return F.concat(F.when(starts, "\nB").otherwise("\nC"), x["line"])
 
-    def marked(x: Column) -> Column:
-        starts = x["solo"] | F.coalesce(x["solo1"], F.lit(True)) | (F.pmod(F.xxhash64(*[x[f"h{k}"] for k in range(window)]), F.lit(divisor)) == 0)
-        return F.concat(F.when(starts, "\nB").otherwise("\nC"), x["line"])
+        return F.array_join(F.transform(lines, marked), "")
 
-    parts = F.split(F.array_join(F.transform(zipped, marked), ""), "\nB", -1)
-    return F.transform(F.slice(parts, F.lit(2), F.size(parts)), lambda x: F.replace(x, F.lit("\nC"), F.lit("\n")))
+    parts = F.split(bound(described, joined), "\nB", -1)
+    return bound(parts, lambda p: F.transform(F.slice(p, F.lit(2), F.size(p)), lambda x: F.replace(x, F.lit("\nC"), F.lit("\n"))))
 
 
 def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window: int = WINDOW, divisor: int = DIVISOR, solo_words: int = SOLO_WORDS) -> DataFrame:
