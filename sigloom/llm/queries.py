@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sigloom.llm import langid, linededup, media, mixing, neardup, packing, quality, tokens, vectors
+from sigloom.llm import langid, linededup, media, mixing, neardup, packing, pii, quality, tokens, vectors
 from sigloom.llm.common import fold
 
 
@@ -46,6 +46,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(table(spark, sf_dir, "documents"))
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.find_spans(table(spark, sf_dir, "documents")))
+
+
 def op8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.vector_links(table(spark, sf_dir, "embeddings"))
 
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_near_duplicates": op4_near_duplicates,
     "op5_quality": op5_quality,
     "op6_line_dedup": op6_line_dedup,
+    "op7_personal_data": op7_personal_data,
     "op8_vectors": op8_vectors,
     "op9_media": op9_media,
     "op10_mixing": op10_mixing,
