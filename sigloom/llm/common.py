@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: The white space that parts words: space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -102,7 +103,7 @@ def slices(weights: list[int], limit: int) -> Iterator[tuple[int, int]]:
         yield start, len(weights)
 
 
-def arrow_map(df: DataFrame, rows: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def arrow_map(df: DataFrame, rows: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """mapInArrow for a function of one batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -198,3 +198,20 @@ def score(docs: DataFrame, net: Network | None, keep: list[Column], text: str =
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     source = docs.select(F.struct(*keep).alias("row"), F.col(text).cast("string").alias("text"))
     return arrow_map(source, rows, f"{fields}, score double")
+
+
+def accept(docs: DataFrame, net: Network | None, text: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows whose text scores at least ``threshold``; all of them where nothing was learned."""
+    shared = docs.sparkSession.sparkContext.broadcast(net)
+    schema = docs.schema
+    columns = schema.names
+
+    def rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        net, texts = shared.value, byte_list(batch.column(1))
+        good = np.ones(len(texts), bool)
+        if net is not None:
+            for a, b in slices([len(t) for t in texts], CHUNK_BYTES):
+                good[a:b] = net.score(features(texts[a:b])) >= threshold
+        yield pa.RecordBatch.from_arrays([c.filter(pa.array(good)) for c in batch.column(0).flatten()], names=columns)
+
+    return arrow_map(docs.select(F.struct(*columns).alias("row"), F.col(text).cast("string").alias("text")), rows, schema)
