@@ -1,10 +1,578 @@
-"""All queries over the reference tables, with their SQL."""
+"""All queries over the reference tables, each with its SQL for DuckDB where SQL can say it.
+
+Floats are rounded to six places on both sides, counts are long."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from sigloom.functions import signal as S
+from sigloom.operators import duplicates, eda, features, models, preprocessing, quarantine, splitting, validation
+from sigloom.sources.signals import DIRTY_SQL, LENGTH, SIGNAL_SQL, dirty_view, signal_view
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
+
+
+def query(sql: str | None = None, view: str = "") -> Callable[[Query], Query]:
+    """Registers a query; ``view`` is the head of a WITH clause put before its SQL."""
+
+    def register(function: Query) -> Query:
+        QUERIES[function.__name__] = function
+        if sql is not None:
+            ORACLE[function.__name__] = f"WITH {view.strip()}{',' if sql.lstrip().startswith('WITH ') else ''} {sql.strip().removeprefix('WITH ')}" if view else sql.strip()
+        return function
+
+    return register
+
+
+def r6(c: Column | str) -> Column:
+    return F.round(c, 6) + F.lit(0.0)
+
+
+CLASSES = tuple(f"class-{k}" for k in range(10))
+POLICY = validation.ValidationPolicy(LENGTH, CLASSES, 1.0, 1e-8, 8.0, -20.0, 18.0)
+DUPLICATES = duplicates.DuplicatePolicy()
+EDGES = (-10.0, 0.0, 10.0)
+FRACTIONS = {"train": 0.6, "validation": 0.2, "test": 0.2}
+
+PAIRS = "pairs AS (SELECT row_index, sample_id, label, CAST(unnest(i) AS DOUBLE) AS x, CAST(unnest(q) AS DOUBLE) AS y, unnest(range(len(i))) AS k FROM {0})"
+POWER = "powers AS (SELECT row_index, sample_id, label, avg(x*x + y*y) AS p FROM pairs GROUP BY ALL)"
+
+
+def over(table: str, *more: str) -> str:
+    """WITH head: the views, exploded pairs of ``table``, and more."""
+    return ",\n".join([(DIRTY_SQL if table == "dirty" else SIGNAL_SQL).strip(), PAIRS.format(table), *more])
+
+
+# Exploration
+
+
+@query("SELECT channel, round(min(v),6)+0.0 AS minimum, round(max(v),6)+0.0 AS maximum, round(avg(v),6)+0.0 AS mean, round(stddev_pop(v),6)+0.0 AS std FROM (SELECT 'i' AS channel, x AS v FROM pairs UNION ALL SELECT 'q', y FROM pairs UNION ALL SELECT 'power', p FROM powers) GROUP BY channel", over("sig", POWER))
+def eda_numeric_summary(spark: SparkSession, d: str) -> DataFrame:
+    return eda.numeric_summary(signal_view(spark, d)).select("channel", *[r6(c).alias(c) for c in ("minimum", "maximum", "mean", "std")])
+
+
+@query("SELECT label, count(*) AS n FROM dirty GROUP BY label", DIRTY_SQL)
+def eda_class_distribution(spark: SparkSession, d: str) -> DataFrame:
+    return eda.class_distribution(dirty_view(spark, d))
+
+
+@query("SELECT CASE WHEN isfinite(snr_db) THEN snr_db END AS snr_db, count(*) AS n FROM dirty GROUP BY 1", DIRTY_SQL)
+def eda_snr_distribution(spark: SparkSession, d: str) -> DataFrame:
+    return eda.snr_distribution(dirty_view(spark, d))
+
+
+@query("SELECT CAST(len(i) AS INTEGER) AS signal_length, count(*) AS n FROM sig GROUP BY 1", SIGNAL_SQL)
+def eda_length_distribution(spark: SparkSession, d: str) -> DataFrame:
+    return eda.length_distribution(signal_view(spark, d))
+
+
+@query("SELECT sample_id, round(p,6)+0.0 AS power FROM powers", over("sig", POWER))
+def eda_power_per_sample(spark: SparkSession, d: str) -> DataFrame:
+    return signal_view(spark, d).select("sample_id", r6(S.mean_power(F.col("i"), F.col("q"))).alias("power"))
+
+
+@query("SELECT sample_id, label FROM sig ORDER BY sample_id LIMIT 8", SIGNAL_SQL)
+def eda_first_samples(spark: SparkSession, d: str) -> DataFrame:
+    """The report's feature: the first eight samples by id."""
+    return signal_view(spark, d).select("sample_id", "label").orderBy("sample_id").limit(8)
+
+
+DFT = """dft AS (SELECT sample_id, f.k, sum(x*cos(2*pi()*((f.k+16)%32)*pairs.k/32) + y*sin(2*pi()*((f.k+16)%32)*pairs.k/32)) AS re,
+ sum(y*cos(2*pi()*((f.k+16)%32)*pairs.k/32) - x*sin(2*pi()*((f.k+16)%32)*pairs.k/32)) AS im FROM pairs, (SELECT unnest(range(32)) AS k) f GROUP BY ALL)"""
+
+
+@query("SELECT sample_id, CAST(k AS INTEGER) AS k, round((re*re+im*im)/32, 6)+0.0 AS power FROM dft WHERE sample_id IN (SELECT sample_id FROM sig ORDER BY sample_id LIMIT 3)", over("sig", DFT))
+def eda_spectrum(spark: SparkSession, d: str) -> DataFrame:
+    """The report's feature: spectra of the first three samples by id."""
+    return features.eda_spectra(signal_view(spark, d), 3).select("sample_id", "k", r6("power").alias("power"))
+
+
+@query("SELECT sample_id, count(*) AS n, count(*) FILTER (WHERE isfinite(x)) AS finite, round(min(x) FILTER (WHERE isfinite(x)),6)+0.0 AS minimum, round(max(x) FILTER (WHERE isfinite(x)),6)+0.0 AS maximum, round(avg(x) FILTER (WHERE isfinite(x)),6)+0.0 AS mean, round(stddev_pop(x) FILTER (WHERE isfinite(x)),6)+0.0 AS std FROM pairs GROUP BY sample_id", over("dirty"))
+def inspect_statistics(spark: SparkSession, d: str) -> DataFrame:
+    out = eda.finite_statistics(dirty_view(spark, d), F.col("i"))
+    return out.select("sample_id", "n", "finite", *[r6(c).alias(c) for c in ("minimum", "maximum", "mean", "std")])
+
+
+@query("SELECT label AS block, n, CAST(coalesce(sum(n) OVER (ORDER BY label ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),0) AS BIGINT) AS first, CAST(sum(n) OVER (ORDER BY label) - 1 AS BIGINT) AS last FROM (SELECT label, count(*) AS n FROM sig GROUP BY label)", SIGNAL_SQL)
+def block_offsets(spark: SparkSession, d: str) -> DataFrame:
+    blocks = signal_view(spark, d).groupBy(F.col("label").alias("block")).agg(F.count(F.lit(1)).alias("n"))
+    return eda.block_offsets(blocks)
+
+
+# Validation
+
+ISSUES = """stats AS (SELECT row_index, sample_id, bool_or(NOT isfinite(x) OR NOT isfinite(y)) AS odd, max(CAST(sqrt(x*x+y*y) AS FLOAT)) AS amp,
+  sum(CAST(CAST(sqrt(x*x+y*y) AS FLOAT) AS DOUBLE)*CAST(CAST(sqrt(x*x+y*y) AS FLOAT) AS DOUBLE))/count(*) AS pw, max(x)-min(x) AS sx, max(y)-min(y) AS sy FROM pairs GROUP BY row_index, sample_id),
+base AS (SELECT d.row_index, d.sample_id, d.label, d.snr_db, s.odd, s.amp, s.pw, s.sx, s.sy FROM dirty d JOIN stats s USING (row_index)),
+issues AS (
+ SELECT row_index, sample_id, 'signal.non_finite' AS error_code FROM base WHERE odd
+ UNION ALL SELECT row_index, sample_id, 'signal.constant' FROM base WHERE NOT odd AND sx = 0 AND sy = 0
+ UNION ALL SELECT row_index, sample_id, 'signal.amplitude_out_of_range' FROM base WHERE NOT odd AND amp > 1.0
+ UNION ALL SELECT row_index, sample_id, 'signal.power_out_of_range' FROM base WHERE NOT odd AND (pw < 1e-8 OR pw > 8.0)
+ UNION ALL SELECT row_index, sample_id, 'label.not_allowed' FROM base WHERE NOT regexp_full_match(label, 'class-[0-9]')
+ UNION ALL SELECT row_index, sample_id, 'snr.non_finite' FROM base WHERE snr_db IS NOT NULL AND NOT isfinite(snr_db)
+ UNION ALL SELECT row_index, sample_id, 'snr.out_of_range' FROM base WHERE snr_db IS NOT NULL AND isfinite(snr_db) AND NOT (snr_db BETWEEN -20 AND 18))"""
+VALIDATED = over("dirty", ISSUES)
+
+
+def dirty_issues(spark: SparkSession, d: str) -> DataFrame:
+    return validation.issues(dirty_view(spark, d), POLICY)
+
+
+@query("SELECT row_index, sample_id, error_code, split_part(error_code, '.', 1) AS field FROM issues", VALIDATED)
+def validate_issues(spark: SparkSession, d: str) -> DataFrame:
+    return dirty_issues(spark, d).drop("place")
+
+
+@query("SELECT error_code, count(*) AS n FROM issues GROUP BY error_code", VALIDATED)
+def validate_error_counts(spark: SparkSession, d: str) -> DataFrame:
+    return validation.error_counts(dirty_issues(spark, d))
+
+
+@query("SELECT sample_id FROM dirty WHERE sample_id NOT IN (SELECT sample_id FROM issues)", VALIDATED)
+def validate_valid_ids(spark: SparkSession, d: str) -> DataFrame:
+    return validation.valid_rows(dirty_view(spark, d), POLICY).select("sample_id")
+
+
+@query("SELECT error_code, n, CAST(rank AS INTEGER) AS rank, sample_id FROM (SELECT error_code, sample_id, count(*) OVER (PARTITION BY error_code) AS n, row_number() OVER (PARTITION BY error_code ORDER BY sample_id) AS rank FROM issues) WHERE rank <= 5", VALIDATED)
+def validate_error_summary(spark: SparkSession, d: str) -> DataFrame:
+    """The summary's feature: each code's first five ids."""
+    return validation.error_summary(dirty_issues(spark, d), 5)
+
+
+@query("SELECT count(*) AS total, count(*) FILTER (WHERE i.sample_id IS NULL) AS valid, count(i.sample_id) AS invalid FROM dirty LEFT JOIN (SELECT DISTINCT sample_id FROM issues) i USING (sample_id)", VALIDATED)
+def validate_report(spark: SparkSession, d: str) -> DataFrame:
+    bad = F.lit(False)
+    for condition in validation.rules(POLICY).values():
+        bad = bad | F.coalesce(condition, F.lit(False))
+    return dirty_view(spark, d).agg(F.count(F.lit(1)).alias("total"), F.count_if(~bad).alias("valid"), F.count_if(bad).alias("invalid"))
+
+
+@query("SELECT count(*) FILTER (WHERE odd) AS non_finite, count(*) FILTER (WHERE a > 1.0) AS amplitude, count(*) FILTER (WHERE p <= 1e-12) AS zero_power FROM (SELECT bool_or(NOT isfinite(x) OR NOT isfinite(y)) AS odd, max(sqrt(x*x+y*y)) FILTER (WHERE isfinite(x)) AS a, avg(x*x+y*y) AS p FROM pairs WHERE row_index % 17 <> 0 GROUP BY row_index)", over("dirty"))
+def safety_gate(spark: SparkSession, d: str) -> DataFrame:
+    """Over the rows without planted NaN."""
+    rows = dirty_view(spark, d).where("row_index % 17 <> 0")
+    return spark.createDataFrame([validation.safety_problems(rows, 1.0, 1e-12)], "non_finite long, amplitude long, zero_power long")
+
+
+@query("SELECT pos, idx, CASE WHEN idx < 0 OR idx >= 400 THEN 'out_of_range' ELSE 'not_ascending' END AS problem FROM (SELECT pos, idx, lag(idx) OVER (ORDER BY pos) AS before FROM (SELECT vec_id AS pos, CASE WHEN vec_id % 50 = 7 THEN vec_id - 3 ELSE vec_id END AS idx FROM embeddings)) WHERE idx < 0 OR idx >= 400 OR before >= idx")
+def index_order_check(spark: SparkSession, d: str) -> DataFrame:
+    v = F.col("vec_id")
+    indices = spark.read.parquet(f"{d}/embeddings.parquet").select(v.alias("pos"), F.when(v % 50 == 7, v - 3).otherwise(v).alias("idx"))
+    return validation.index_problems(indices, 400)
+
+
+# Duplicates and leakage
+
+KEYS = "keyed AS (SELECT sample_id, label, group_id, array_to_string(i, ',') || '|' || array_to_string(q, ',') AS key FROM dirty)"
+CLUSTERS = "clusters AS (SELECT key, count(*) AS members, min(sample_id) AS canonical, min(label) <> max(label) AS conflict FROM keyed GROUP BY key HAVING count(*) > 1), members AS (SELECT sample_id, label, key, members, conflict, canonical FROM keyed JOIN clusters USING (key))"
+CLUSTERED = ",\n".join([DIRTY_SQL.strip(), KEYS, CLUSTERS])
+
+
+@query("SELECT sample_id, members, conflict, canonical FROM members", CLUSTERED)
+def exact_duplicate_members(spark: SparkSession, d: str) -> DataFrame:
+    return duplicates.exact_members(dirty_view(spark, d)).select("sample_id", "members", "conflict", "canonical")
+
+
+@query("SELECT canonical, members, count(DISTINCT label) AS labels FROM members WHERE conflict GROUP BY key, canonical, members", CLUSTERED)
+def label_conflicts(spark: SparkSession, d: str) -> DataFrame:
+    found = duplicates.exact_members(dirty_view(spark, d)).where("conflict")
+    return found.groupBy("key", "canonical", "members").agg(F.countDistinct("label").alias("labels")).drop("key")
+
+
+@query("SELECT d.doc_id, c.members, c.canonical FROM documents d JOIN (SELECT text, count(*) AS members, min(doc_id) AS canonical FROM documents GROUP BY text HAVING count(*) > 1) c ON d.text = c.text")
+def document_duplicates(spark: SparkSession, d: str) -> DataFrame:
+    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", F.sha2("text", 256).alias("key"))
+    facts = docs.where("key is not null").groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("doc_id").alias("canonical")).where("members > 1")
+    return docs.join(facts, "key").select("doc_id", "members", "canonical")
+
+
+@query("SELECT min(doc_id) AS canonical, count(*) AS members FROM documents JOIN labels USING (doc_id) GROUP BY text HAVING count(DISTINCT quality) > 1")
+def document_label_conflicts(spark: SparkSession, d: str) -> DataFrame:
+    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", F.sha2("text", 256).alias("key"))
+    both = docs.join(spark.read.parquet(f"{d}/labels.parquet").select("doc_id", "quality"), "doc_id")
+    return both.groupBy("key").agg(F.min("doc_id").alias("canonical"), F.count(F.lit(1)).alias("members"), F.min("quality").alias("a"), F.max("quality").alias("b")).where("a <> b").select("canonical", "members")
+
+
+def usable(spark: SparkSession, d: str) -> DataFrame:
+    return validation.valid_rows(dirty_view(spark, d), POLICY)
+
+
+NEAR = """near AS (SELECT 'near-' || substr(s.sample_id, 8) AS left_id, s.sample_id AS right_id FROM sig s JOIN dirty n ON n.sample_id = 'near-' || substr(s.sample_id, 8)
+ WHERE s.sample_id NOT IN (SELECT sample_id FROM issues) AND n.sample_id NOT IN (SELECT sample_id FROM issues)
+ UNION ALL SELECT 'dup-' || substr(n.sample_id, 6), n.sample_id FROM dirty n JOIN dirty u ON u.sample_id = 'dup-' || substr(n.sample_id, 6)
+ WHERE n.sample_id LIKE 'near-%' AND u.sample_id NOT IN (SELECT sample_id FROM issues) AND n.sample_id NOT IN (SELECT sample_id FROM issues))"""
+
+
+@query("SELECT left_id, right_id, TRUE AS similar FROM near", ",\n".join([VALIDATED, NEAR]))
+def near_duplicate_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """SQL names the pairs that the planted gain copies must give; they are all there are."""
+    return duplicates.near_pairs(usable(spark, d), DUPLICATES).select("left_id", "right_id", (F.col("similarity") >= DUPLICATES.similarity).alias("similar"))
+
+
+@query()
+def near_signature_buckets(spark: SparkSession, d: str) -> DataFrame:
+    vectors = duplicates.unit_vectors(usable(spark, d), DUPLICATES)
+    return vectors.select("sample_id", F.explode("signatures").alias("s")).distinct().groupBy(F.sha2("s", 256).alias("signature")).agg(F.count(F.lit(1)).alias("n"))
+
+
+ASSIGNED = "assigned AS (SELECT sample_id, CASE WHEN row_index % 97 = 0 THEN 'holdout' WHEN row_index % 5 < 3 THEN 'train' WHEN row_index % 5 = 3 THEN 'validation' ELSE 'test' END AS split FROM dirty WHERE row_index % 89 <> 0 UNION ALL SELECT 'ghost', 'train')"
+SPLIT = "valid_splits AS (SELECT * FROM assigned WHERE split IN ('train','validation','test'))"
+ASSIGNED_HEAD = ",\n".join([CLUSTERED, ASSIGNED, SPLIT])
+
+
+def assignments(spark: SparkSession, d: str) -> DataFrame:
+    r = F.col("row_index")
+    split = F.when(r % 97 == 0, "holdout").when(r % 5 < 3, "train").when(r % 5 == 3, "validation").otherwise("test")
+    rows = dirty_view(spark, d).where(r % 89 != 0).select("sample_id", split.alias("split"))
+    return rows.union(spark.createDataFrame([("ghost", "train")], "sample_id string, split string"))
+
+
+@query("SELECT coalesce(d.sample_id, a.sample_id) AS sample_id, CASE WHEN d.sample_id IS NULL THEN 'split.unknown_sample' WHEN split IS NULL THEN 'split.assignment_missing' ELSE 'split.assignment_invalid' END AS error_code FROM dirty d FULL JOIN assigned a ON d.sample_id = a.sample_id WHERE d.sample_id IS NULL OR split IS NULL OR split NOT IN ('train','validation','test')", ASSIGNED_HEAD)
+def split_assignment_issues(spark: SparkSession, d: str) -> DataFrame:
+    return duplicates.assignment_issues(dirty_view(spark, d), assignments(spark, d))
+
+
+@query("SELECT 'leakage.group_cross_split' AS error_code, group_id AS key, string_agg(DISTINCT split, ',' ORDER BY split) AS splits, count(*) AS n FROM dirty JOIN valid_splits USING (sample_id) GROUP BY group_id HAVING count(DISTINCT split) > 1", ASSIGNED_HEAD)
+def cross_split_groups(spark: SparkSession, d: str) -> DataFrame:
+    return duplicates.cross_split(dirty_view(spark, d), "group_id", assignments(spark, d), "leakage.group_cross_split")
+
+
+@query("SELECT 'leakage.exact_cross_split' AS error_code, canonical AS key, string_agg(DISTINCT split, ',' ORDER BY split) AS splits, count(*) AS n FROM members JOIN valid_splits USING (sample_id) GROUP BY canonical HAVING count(DISTINCT split) > 1", ASSIGNED_HEAD)
+def cross_split_duplicates(spark: SparkSession, d: str) -> DataFrame:
+    return duplicates.cross_split(duplicates.exact_members(dirty_view(spark, d)), "canonical", assignments(spark, d), "leakage.exact_cross_split")
+
+
+@query()
+def cross_split_near_pairs(spark: SparkSession, d: str) -> DataFrame:
+    return duplicates.cross_split_pairs(duplicates.near_pairs(usable(spark, d), DUPLICATES), assignments(spark, d))
+
+
+@query("SELECT sample_id FROM (SELECT sample_id, CASE WHEN row_index % 10 = 0 THEN '  ' WHEN row_index % 15 = 0 THEN NULL ELSE group_id END AS g FROM sig) WHERE g IS NULL OR trim(g) = ''", SIGNAL_SQL)
+def unresolved_groups(spark: SparkSession, d: str) -> DataFrame:
+    r = F.col("row_index")
+    blank = signal_view(spark, d).withColumn("group_id", F.when(r % 10 == 0, "  ").when(r % 15 != 0, F.col("group_id")))
+    return blank.where(duplicates.explicit_group().isNull()).select("sample_id")
+
+
+@query("SELECT sample_id, CASE WHEN row_index % 10 <> 0 THEN 'group-' || sha256('source' || chr(0) || '1.0' || chr(0) || group_id) END AS group_key FROM sig", SIGNAL_SQL)
+def group_ids_source_sequence(spark: SparkSession, d: str) -> DataFrame:
+    sequence = F.when(F.col("row_index") % 10 == 0, " ").otherwise(F.col("group_id"))
+    return signal_view(spark, d).select("sample_id", S.group_key(F.lit("source"), F.lit("1.0"), sequence).alias("group_key"))
+
+
+@query("SELECT DISTINCT group_id, sha256('20260811' || chr(0) || group_id) AS key FROM sig", SIGNAL_SQL)
+def seeded_group_keys(spark: SparkSession, d: str) -> DataFrame:
+    return signal_view(spark, d).select("group_id").distinct().select("group_id", S.seeded_key(20260811, F.col("group_id")).alias("key"))
+
+
+@query("SELECT sample_id, 'sample-' || sha256('src' || chr(0) || 'v1' || chr(0) || sample_id || chr(0) || sha256(label)) AS key FROM sig", SIGNAL_SQL)
+def sample_ids_hash(spark: SparkSession, d: str) -> DataFrame:
+    return signal_view(spark, d).select("sample_id", S.sample_key(F.lit("src"), F.lit("v1"), F.col("sample_id"), F.sha2("label", 256)).alias("key"))
+
+
+# Quarantine
+
+REASONS = """reasons AS (SELECT sample_id, error_code, NULL AS duplicate_of FROM issues
+ UNION SELECT sample_id, 'duplicate.label_conflict', NULL FROM vmembers WHERE conflict
+ UNION SELECT sample_id, 'duplicate.exact', CASE WHEN NOT conflict THEN canonical END FROM vmembers WHERE conflict OR sample_id <> canonical
+ UNION SELECT unnest([left_id, right_id]), 'duplicate.near', NULL FROM near)"""
+VMEMBERS = """vkeyed AS (SELECT sample_id, label, array_to_string(i, ',') || '|' || array_to_string(q, ',') AS key FROM dirty WHERE sample_id NOT IN (SELECT sample_id FROM issues)),
+vmembers AS (SELECT sample_id, conflict, canonical FROM vkeyed JOIN (SELECT key, min(sample_id) AS canonical, min(label) <> max(label) AS conflict FROM vkeyed GROUP BY key HAVING count(*) > 1) USING (key))"""
+QUARANTINED = ",\n".join([VALIDATED, NEAR, VMEMBERS, REASONS])
+
+
+def dirty_reasons(spark: SparkSession, d: str) -> DataFrame:
+    valid = usable(spark, d)
+    return quarantine.reasons(dirty_issues(spark, d), duplicates.exact_members(valid), duplicates.near_pairs(valid, DUPLICATES))
+
+
+@query("SELECT sample_id, string_agg(DISTINCT error_code, ',' ORDER BY error_code) AS codes, min(duplicate_of) AS duplicate_of FROM reasons GROUP BY sample_id", QUARANTINED)
+def quarantine_entries(spark: SparkSession, d: str) -> DataFrame:
+    return quarantine.entries(dirty_reasons(spark, d))
+
+
+@query("SELECT sample_id FROM dirty WHERE sample_id NOT IN (SELECT sample_id FROM reasons)", QUARANTINED)
+def accepted_ids(spark: SparkSession, d: str) -> DataFrame:
+    return quarantine.accepted(dirty_view(spark, d).select("sample_id"), dirty_reasons(spark, d))
+
+
+@query("SELECT error_code, count(DISTINCT sample_id) AS n FROM reasons GROUP BY error_code", QUARANTINED)
+def quarantine_error_counts(spark: SparkSession, d: str) -> DataFrame:
+    return dirty_reasons(spark, d).groupBy("error_code").agg(F.countDistinct("sample_id").alias("n"))
+
+
+@query("SELECT count(*) AS total, count(*) FILTER (WHERE sample_id NOT IN (SELECT sample_id FROM reasons)) AS accepted, count(*) FILTER (WHERE sample_id IN (SELECT sample_id FROM reasons)) AS quarantined, CAST(0 AS BIGINT) AS overlap, CAST(0 AS BIGINT) AS missing FROM dirty", QUARANTINED)
+def partition_invariant(spark: SparkSession, d: str) -> DataFrame:
+    universe, out = dirty_view(spark, d).select("sample_id"), dirty_reasons(spark, d).select("sample_id").distinct()
+    return quarantine.partition_check(universe, quarantine.accepted(universe, out), out).select(*[F.col(c).cast("long").alias(c) for c in ("total", "accepted", "quarantined", "overlap", "missing")])
+
+
+# Splits
+
+BUCKET = "CASE WHEN snr_db IS NULL THEN 'unknown' WHEN snr_db < -10 THEN 'bin-00:[-inf,-10)' WHEN snr_db < 0 THEN 'bin-01:[-10,0)' WHEN snr_db < 10 THEN 'bin-02:[0,10)' ELSE 'bin-03:[10,+inf)' END"
+STRATA = f"{SIGNAL_SQL.strip()},\nstrata AS (SELECT *, {BUCKET} AS bucket, CASE WHEN row_index % 5 < 3 THEN 'train' WHEN row_index % 5 = 3 THEN 'validation' ELSE 'test' END AS split FROM sig)"
+
+
+def stratified(spark: SparkSession, d: str) -> DataFrame:
+    r = F.col("row_index")
+    return splitting.strata(signal_view(spark, d), EDGES).withColumn("split", F.when(r % 5 < 3, "train").when(r % 5 == 3, "validation").otherwise("test"))
+
+
+@query("SELECT sample_id, bucket FROM strata", STRATA)
+def snr_buckets(spark: SparkSession, d: str) -> DataFrame:
+    return stratified(spark, d).select("sample_id", "bucket")
+
+
+@query("SELECT label, bucket, count(*) AS n FROM strata GROUP BY ALL", STRATA)
+def strata_counts(spark: SparkSession, d: str) -> DataFrame:
+    return stratified(spark, d).groupBy("label", "bucket").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT group_id, label, bucket, count(*) AS n, min(row_index) AS first FROM strata GROUP BY group_id, label, bucket", STRATA)
+def group_strata(spark: SparkSession, d: str) -> DataFrame:
+    return splitting.group_strata(signal_view(spark, d), EDGES)
+
+
+@query("SELECT label, bucket, count(*) AS n, round(count(*) / (SELECT count(*) FROM strata), 6) AS fraction FROM strata GROUP BY label, bucket", STRATA)
+def joint_distribution(spark: SparkSession, d: str) -> DataFrame:
+    return splitting.distribution(stratified(spark, d), ["label", "bucket"]).withColumn("fraction", r6("fraction"))
+
+
+@query("SELECT split, label, count(*) AS n, round(count(*) / sum(count(*)) OVER (PARTITION BY split), 6) AS fraction FROM strata GROUP BY split, label", STRATA)
+def split_distribution(spark: SparkSession, d: str) -> DataFrame:
+    return splitting.distribution(stratified(spark, d), ["label"], "split").withColumn("fraction", r6("fraction"))
+
+
+@query("SELECT split, round(max(abs(coalesce(f, 0) - g)), 6) AS deviation FROM (SELECT DISTINCT split FROM strata) s CROSS JOIN (SELECT label, count(*) / (SELECT count(*) FROM strata) AS g FROM strata GROUP BY label) w LEFT JOIN (SELECT split, label, count(*) / sum(count(*)) OVER (PARTITION BY split) AS f FROM strata GROUP BY split, label) x USING (split, label) GROUP BY split", STRATA)
+def split_balance(spark: SparkSession, d: str) -> DataFrame:
+    return splitting.balance(stratified(spark, d), "label").withColumn("deviation", r6("deviation"))
+
+
+@query("SELECT split, count(DISTINCT group_id) AS groups, count(*) AS n FROM strata GROUP BY split", STRATA)
+def split_group_counts(spark: SparkSession, d: str) -> DataFrame:
+    return stratified(spark, d).groupBy("split").agg(F.countDistinct("group_id").alias("groups"), F.count(F.lit(1)).alias("n"))
+
+
+@query()
+def greedy_split(spark: SparkSession, d: str) -> DataFrame:
+    return splitting.group_splits(signal_view(spark, d), EDGES, FRACTIONS, 20260811).select("row_index", "sample_id", "group_id", "split")
+
+
+@query("SELECT count(*) AS n, count(DISTINCT row_index) AS distinct_rows, CAST(3 AS BIGINT) AS splits, CAST(0 AS BIGINT) AS shared_groups FROM sig", SIGNAL_SQL)
+def split_invariants(spark: SparkSession, d: str) -> DataFrame:
+    """Every row once, no split empty, no group in two splits."""
+    split = splitting.group_splits(signal_view(spark, d), EDGES, FRACTIONS, 20260811)
+    rows = split.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("row_index").alias("distinct_rows"), F.countDistinct("split").alias("splits"))
+    shared = split.groupBy("group_id").agg(F.countDistinct("split").alias("s")).agg(F.count_if(F.col("s") > 1).alias("shared_groups"))
+    return rows.crossJoin(F.broadcast(shared))  # one row each
+
+
+@query("SELECT count(*) FILTER (WHERE h) AS held_out, count(*) FILTER (WHERE NOT h) AS kept FROM (SELECT row_number() OVER (ORDER BY sha256('7' || chr(0) || CAST(row_index AS VARCHAR))) <= greatest(1, CAST(round_even(count(*) OVER () * 0.25, 0) AS BIGINT)) AS h FROM sig)", SIGNAL_SQL)
+def permutation_split(spark: SparkSession, d: str) -> DataFrame:
+    split = splitting.seeded_rows(signal_view(spark, d), 0.25, 7)
+    return split.agg(F.count_if("held_out").alias("held_out"), F.count_if(~F.col("held_out")).alias("kept"))
+
+
+# Preprocessing
+
+FIT = "means AS (SELECT avg(x) AS dc_i, avg(y) AS dc_q FROM pairs WHERE row_index % 5 < 3), fitted AS (SELECT dc_i, dc_q, sqrt(avg((x-dc_i)*(x-dc_i) + (y-dc_q)*(y-dc_q))) AS scale, max(sqrt((x-dc_i)*(x-dc_i) + (y-dc_q)*(y-dc_q))) AS peak FROM pairs, means WHERE row_index % 5 < 3 GROUP BY dc_i, dc_q)"
+
+
+def train_rows(spark: SparkSession, d: str) -> DataFrame:
+    return signal_view(spark, d).where("row_index % 5 < 3")
+
+
+def _fit(spark: SparkSession, d: str, mode: str) -> DataFrame:
+    return preprocessing.fit_table(train_rows(spark, d), mode).select(*[r6(c).alias(c) for c in ("dc_i", "dc_q", "scale")])
+
+
+@query("SELECT round(dc_i,6)+0.0 AS dc_i, round(dc_q,6)+0.0 AS dc_q, round(scale,6)+0.0 AS scale FROM fitted", over("sig", FIT))
+def preprocess_fit_rms(spark: SparkSession, d: str) -> DataFrame:
+    return _fit(spark, d, "train_rms_power")
+
+
+@query("SELECT round(dc_i,6)+0.0 AS dc_i, round(dc_q,6)+0.0 AS dc_q, round(peak,6)+0.0 AS scale FROM fitted", over("sig", FIT))
+def preprocess_fit_peak(spark: SparkSession, d: str) -> DataFrame:
+    return _fit(spark, d, "train_peak_amplitude")
+
+
+def values(df: DataFrame, *columns: str) -> DataFrame:
+    """(sample_id, k, one column each), rounded to five places as they are float32."""
+    return df.select("sample_id", F.posexplode(F.arrays_zip(*columns)).alias("k", "v")).select("sample_id", "k", *[(F.round(F.col(f"v.{c}").cast("double"), 5) + F.lit(0.0)).alias(c) for c in columns])
+
+
+@query("SELECT sample_id, CAST(k AS INTEGER) AS k, round(CAST(CAST((x-dc_i)/scale AS FLOAT) AS DOUBLE),5)+0.0 AS i, round(CAST(CAST((y-dc_q)/scale AS FLOAT) AS DOUBLE),5)+0.0 AS q FROM pairs, fitted", over("sig", FIT))
+def preprocess_transform(spark: SparkSession, d: str) -> DataFrame:
+    fitted = preprocessing.fit(train_rows(spark, d), "train_rms_power")
+    return values(fitted.transform(signal_view(spark, d)), "i", "q")
+
+
+@query("SELECT sample_id, CAST(k AS INTEGER) AS k, round(CAST(CAST(CAST(CAST((x-dc_i)/scale AS FLOAT) AS DOUBLE)*scale+dc_i AS FLOAT) AS DOUBLE),5)+0.0 AS i, round(CAST(CAST(CAST(CAST((y-dc_q)/scale AS FLOAT) AS DOUBLE)*scale+dc_q AS FLOAT) AS DOUBLE),5)+0.0 AS q FROM pairs, fitted", over("sig", FIT))
+def preprocess_inverse(spark: SparkSession, d: str) -> DataFrame:
+    fitted = preprocessing.fit(train_rows(spark, d), "train_rms_power")
+    return values(fitted.inverse(fitted.transform(signal_view(spark, d))), "i", "q")
+
+
+# Features
+
+
+def _canonical(mode: str, padding: str, length: int) -> Query:
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        out = features.canonical(signal_view(spark, d), features.CanonicalConfig(length, mode, padding, 0.5))
+        flags = out.select("sample_id", F.posexplode(F.arrays_zip("i", "q", "valid_mask")).alias("k", "v"))
+        return flags.select("sample_id", "k", r6(F.col("v.i").cast("double")).alias("i"), r6(F.col("v.q").cast("double")).alias("q"), F.col("v.valid_mask").alias("valid"))
+
+    return run
+
+
+for _mode, _start in (("start", 0), ("center", 6), ("end", 13)):
+    QUERIES[f"canonical_crop_{_mode}"] = _canonical(_mode, "right", 19)
+    QUERIES[f"canonical_crop_{_mode}"].__name__ = f"canonical_crop_{_mode}"
+    ORACLE[f"canonical_crop_{_mode}"] = f"WITH {over('sig')} SELECT sample_id, CAST(k - {_start} AS INTEGER) AS k, round(x,6)+0.0 AS i, round(y,6)+0.0 AS q, TRUE AS valid FROM pairs WHERE k >= {_start} AND k < {_start} + 19"
+for _mode, _left in (("left", 7), ("center", 3), ("right", 0)):
+    QUERIES[f"canonical_pad_{_mode}"] = _canonical("start", _mode, 39)
+    QUERIES[f"canonical_pad_{_mode}"].__name__ = f"canonical_pad_{_mode}"
+    ORACLE[f"canonical_pad_{_mode}"] = f"WITH {over('sig')}, grid AS (SELECT sample_id, unnest(range(39)) AS k FROM sig) SELECT g.sample_id, CAST(g.k AS INTEGER) AS k, round(coalesce(x, 0.5),6)+0.0 AS i, round(coalesce(y, 0.5),6)+0.0 AS q, x IS NOT NULL AS valid FROM grid g LEFT JOIN pairs p ON p.sample_id = g.sample_id AND p.k = g.k - {_left}"
+
+
+@query("SELECT sample_id, CAST(k AS INTEGER) AS k, round(CAST(CAST(sqrt(x*x+y*y) AS FLOAT) AS DOUBLE),4)+0.0 AS amplitude, round(cos(CAST(CAST(atan2(y,x) AS FLOAT) AS DOUBLE)),4)+0.0 AS cosine FROM pairs", over("sig"))
+def amplitude_phase(spark: SparkSession, d: str) -> DataFrame:
+    """Phases are compared by their cosine, which does not jump where they wrap."""
+    full = features.canonical(signal_view(spark, d), features.CanonicalConfig(LENGTH))
+    out = features.amplitude_phase(full)
+    each = out.select("sample_id", F.posexplode(F.arrays_zip("amplitude", "phase")).alias("k", "v"))
+    r4 = lambda c: F.round(c.cast("double"), 4) + F.lit(0.0)
+    return each.select("sample_id", "k", r4(F.col("v.amplitude")).alias("amplitude"), r4(F.cos(F.col("v.phase").cast("double"))).alias("cosine"))
+
+
+def _fft(config: features.SpectralConfig, places: int) -> Query:
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        out = features.spectra(signal_view(spark, d), config, single=False)
+        return out.select("sample_id", "k", "frame", (F.round("value", places) + F.lit(0.0)).alias("value"))
+
+    return run
+
+
+HANN = "(0.5 - 0.5*cos(2*pi()*pairs.k/32))"
+QUERIES["fft_power"] = _fft(features.SpectralConfig(), 6)
+ORACLE["fft_power"] = f"WITH {over('sig', DFT)} SELECT sample_id, CAST(k AS INTEGER) AS k, CAST(0 AS INTEGER) AS frame, round(re*re+im*im,6)+0.0 AS value FROM dft"
+QUERIES["fft_log_power_hann"] = _fft(features.SpectralConfig(window="hann", scale="log_power", epsilon=1e-3), 4)
+ORACLE["fft_log_power_hann"] = f"WITH {over('sig', DFT.replace('sum(x*', f'sum({HANN}*(x*').replace('sum(y*', f'sum({HANN}*(y*').replace(') AS re', ')) AS re').replace(') AS im', ')) AS im'))} SELECT sample_id, CAST(k AS INTEGER) AS k, CAST(0 AS INTEGER) AS frame, round(10*log10(greatest(re*re+im*im, 1e-3)),4)+0.0 AS value FROM dft"
+STFT = """stft AS (SELECT sample_id, f.k, w.frame, sum(x*cos(2*pi()*((f.k+4)%8)*(pairs.k-4*w.frame)/8) + y*sin(2*pi()*((f.k+4)%8)*(pairs.k-4*w.frame)/8)) AS re,
+ sum(y*cos(2*pi()*((f.k+4)%8)*(pairs.k-4*w.frame)/8) - x*sin(2*pi()*((f.k+4)%8)*(pairs.k-4*w.frame)/8)) AS im FROM pairs, (SELECT unnest(range(8)) AS k) f, (SELECT unnest(range(7)) AS frame) w WHERE pairs.k >= 4*w.frame AND pairs.k < 4*w.frame + 8 GROUP BY ALL)"""
+QUERIES["stft_power"] = _fft(features.SpectralConfig("spectrogram", 8, 4), 6)
+ORACLE["stft_power"] = f"WITH {over('sig', STFT)} SELECT sample_id, CAST(k AS INTEGER) AS k, CAST(frame AS INTEGER) AS frame, round(re*re+im*im,6)+0.0 AS value FROM stft"
+
+
+@query("SELECT CAST(k AS INTEGER) AS k, round((k - 16) * 1000.0 / 32, 6)+0.0 AS frequency, round(0.5 - 0.5*cos(2*pi()*k/32), 6)+0.0 AS hann FROM (SELECT unnest(range(32)) AS k)")
+def frequency_axis(spark: SparkSession, d: str) -> DataFrame:
+    rows = [(k, f, w) for k, (f, w) in enumerate(zip(S.frequency_axis(32, 1000.0), S.hann(32), strict=True))]
+    return spark.createDataFrame(rows, "k int, frequency double, hann double").select("k", r6("frequency").alias("frequency"), r6("hann").alias("hann"))
+
+
+@query()
+def feature_pipeline(spark: SparkSession, d: str) -> DataFrame:
+    """Preprocessing, canonical form and a log spectrum in one chain."""
+    fitted = preprocessing.fit(train_rows(spark, d), "train_rms_power")
+    chain = features.FeaturePipeline(fitted, features.CanonicalConfig(24), "spectral", features.SpectralConfig(n_fft=32, scale="log_power"))
+    return chain.transform(signal_view(spark, d)).withColumn("value", F.round("value", 3))
+
+
+# Models
+
+CENTROIDS = "centres AS (SELECT label, avg(x) AS cx, avg(y) AS cy, k FROM pairs WHERE row_index % 5 < 3 GROUP BY label, k), dist AS (SELECT p.row_index, p.sample_id, p.label, c.label AS class, sum((x-cx)*(x-cx) + (y-cy)*(y-cy)) AS d FROM pairs p JOIN centres c USING (k) WHERE row_index % 5 >= 3 GROUP BY ALL), predicted AS (SELECT sample_id, label, arg_min(class, d) AS predicted FROM dist GROUP BY ALL)"
+PREDICTED = over("sig", CENTROIDS)
+MATRIX = "matrix AS (SELECT label, predicted, count(*) AS n FROM predicted GROUP BY ALL), classes AS (SELECT DISTINCT label AS c FROM sig), sums AS (SELECT c AS label, coalesce(sum(n) FILTER (WHERE label = c AND predicted = c), 0) AS tp, coalesce(sum(n) FILTER (WHERE label = c), 0) AS support, coalesce(sum(n) FILTER (WHERE predicted = c), 0) AS named FROM classes LEFT JOIN matrix ON label = c OR predicted = c GROUP BY c), rates AS (SELECT label, CASE WHEN named > 0 THEN tp / named ELSE 0 END AS precision, CASE WHEN support > 0 THEN tp / support END AS recall, support FROM sums), scored AS (SELECT *, CASE WHEN precision + coalesce(recall, 0) > 0 THEN 2 * precision * coalesce(recall, 0) / (precision + coalesce(recall, 0)) ELSE 0 END AS f1 FROM rates)"
+MEASURED = ",\n".join([PREDICTED, MATRIX])
+
+
+def featured(spark: SparkSession, d: str) -> DataFrame:
+    return signal_view(spark, d).select("row_index", "sample_id", "label", F.concat("i", "q").alias("features"))
+
+
+def predicted(spark: SparkSession, d: str) -> DataFrame:
+    rows = featured(spark, d)
+    return models.nearest(rows.where("row_index % 5 >= 3"), models.centroids(rows.where("row_index % 5 < 3")))
+
+
+@query("SELECT label, CAST(dim AS INTEGER) AS dim, round(m, 6)+0.0 AS mean FROM (SELECT label, k AS dim, avg(x) AS m FROM pairs WHERE row_index % 5 < 3 GROUP BY label, k UNION ALL SELECT label, k + 32, avg(y) FROM pairs WHERE row_index % 5 < 3 GROUP BY label, k)", over("sig"))
+def centroids(spark: SparkSession, d: str) -> DataFrame:
+    means = models.centroids(featured(spark, d).where("row_index % 5 < 3"))
+    return means.select("label", F.posexplode("centroid").alias("dim", "m")).select("label", "dim", r6("m").alias("mean"))
+
+
+@query("SELECT sample_id, label, predicted FROM predicted", PREDICTED)
+def centroid_predict(spark: SparkSession, d: str) -> DataFrame:
+    return predicted(spark, d).select("sample_id", "label", "predicted")
+
+
+@query("SELECT label, predicted, n FROM matrix", MEASURED)
+def confusion_matrix(spark: SparkSession, d: str) -> DataFrame:
+    return models.confusion(predicted(spark, d))
+
+
+def _metrics(spark: SparkSession, d: str, zero: float | None) -> DataFrame:
+    return models.class_metrics(models.confusion(predicted(spark, d)), featured(spark, d), zero)
+
+
+@query("SELECT label, round(precision,6) AS precision, round(recall,6) AS recall, round(f1,6) AS f1, CAST(support AS BIGINT) AS support FROM scored", MEASURED)
+def class_metrics_eval(spark: SparkSession, d: str) -> DataFrame:
+    return _metrics(spark, d, None).select("label", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")], "support")
+
+
+@query("SELECT label, round(precision,6) AS precision, round(coalesce(recall,0),6) AS recall, round(f1,6) AS f1, CAST(support AS BIGINT) AS support FROM scored", MEASURED)
+def class_metrics_baseline(spark: SparkSession, d: str) -> DataFrame:
+    return _metrics(spark, d, 0.0).select("label", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")], "support")
+
+
+@query("SELECT round(avg(f1),6) AS macro_f1, round(avg(recall),6) AS macro_recall, CAST(sum(support) AS BIGINT) AS support FROM scored WHERE recall IS NOT NULL", MEASURED)
+def macro_metrics(spark: SparkSession, d: str) -> DataFrame:
+    return models.macro_metrics(_metrics(spark, d, None)).select(F.round("macro_f1", 6).alias("macro_f1"), F.round("macro_recall", 6).alias("macro_recall"), "support")
+
+
+@query("SELECT CAST(dim AS INTEGER) AS dim, round(m,6)+0.0 AS mean, round(CASE WHEN s = 0 THEN 1 ELSE s END,6)+0.0 AS std FROM (SELECT k AS dim, avg(x) AS m, stddev_pop(x) AS s FROM pairs GROUP BY k UNION ALL SELECT k + 32, avg(y), stddev_pop(y) FROM pairs GROUP BY k)", over("sig"))
+def feature_standardise(spark: SparkSession, d: str) -> DataFrame:
+    return models.standardised(featured(spark, d)).select("dim", r6("mean").alias("mean"), r6("std").alias("std"))
+
+
+@query()
+def softmax_gd(spark: SparkSession, d: str) -> DataFrame:
+    rows = featured(spark, d)
+    fitted = models.softmax_fit(rows.where("row_index % 5 < 3"), epochs=5, rate=0.2, l2=1e-3)
+    return models.softmax_predict(rows, fitted).select("sample_id", "label", "predicted")
+
+
+# Manifests and relations over other tables
+
+EXPECTED = "expected AS (SELECT doc_id AS path, n_chars AS size FROM documents WHERE doc_id % 100 <> 3), actual AS (SELECT doc_id AS path, CASE WHEN doc_id % 100 = 5 THEN n_chars + 1 ELSE n_chars END AS size FROM documents WHERE doc_id % 100 <> 7)"
+
+
+@query("SELECT coalesce(e.path, a.path) AS path, CASE WHEN e.path IS NULL THEN 'unexpected' WHEN a.path IS NULL THEN 'missing' ELSE 'changed' END AS problem FROM expected e FULL JOIN actual a ON e.path = a.path WHERE e.path IS NULL OR a.path IS NULL OR e.size <> a.size", EXPECTED)
+def stage_verify_diff(spark: SparkSession, d: str) -> DataFrame:
+    """What a staged file set lacks, has besides, or has changed, on a planted example."""
+    from sigloom.sources.archives import stage_differences
+
+    docs = spark.read.parquet(f"{d}/documents.parquet").select(F.col("doc_id").alias("path"), F.col("n_chars").alias("size"))
+    found = docs.where("path % 100 <> 7").withColumn("size", F.when(F.col("path") % 100 == 5, F.col("size") + 1).otherwise(F.col("size")))
+    return stage_differences(docs.where("path % 100 <> 3"), found, ["size"])
+
+
+@query("SELECT event_type, count(*) AS n, round(min(value),6) AS minimum, round(max(value),6) AS maximum, round(avg(value),6) AS mean FROM events GROUP BY event_type")
+def event_distribution(spark: SparkSession, d: str) -> DataFrame:
+    events = spark.read.parquet(f"{d}/events.parquet")
+    return events.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.min("value"), 6).alias("minimum"), F.round(F.max("value"), 6).alias("maximum"), F.round(F.avg("value"), 6).alias("mean"))
+
+
+@query("SELECT event_type, user_id, CAST(rank AS INTEGER) AS rank, n FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY n DESC, user_id) AS rank FROM (SELECT event_type, user_id, count(*) AS n FROM events GROUP BY event_type, user_id)) WHERE rank <= 3")
+def event_top_users(spark: SparkSession, d: str) -> DataFrame:
+    """A top-k report: three users an event type."""
+    counts = spark.read.parquet(f"{d}/events.parquet").groupBy("event_type", "user_id").agg(F.count(F.lit(1)).alias("n"))
+    ranked = counts.withColumn("rank", F.row_number().over(Window.partitionBy("event_type").orderBy(F.desc("n"), "user_id")))
+    return ranked.where("rank <= 3").select("event_type", "user_id", "rank", "n")
