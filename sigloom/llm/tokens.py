@@ -8,9 +8,12 @@ bit and one rank per level, and nothing else is decoded.
 A file is a Parquet table of segments in the shared folder, each with its documents' ids,
 lengths and one code blob; partitions are ranges of ascending doc_id.
 
-Tokenising: a text falls into units of white space and what follows it up to the next white
-space. No token of the byte-level vocabulary crosses such a border, so each distinct unit is
-encoded once by the tokenizers library and kept in a bounded memo of the worker.
+Tokenising: a text falls into units: white space and the Latin letters that follow it up to an
+ASCII character of another kind, or else white space and what follows it up to the next white
+space. A piece of the byte-level pattern ends at each such border, so no token crosses it, and
+each distinct unit is encoded once by the tokenizers library and kept in a bounded memo of the
+worker: units that are one piece (letters, a space before them at most) directly by the
+tokenizer's model, others by the whole tokenizer.
 
 Defined results: a null or empty text holds the end id alone; documents with a null id come
 first; documents that share an id stand together, ordered by text; an empty table gives an empty file.
@@ -20,9 +23,10 @@ from __future__ import annotations
 
 import re
 import struct
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +39,9 @@ from sigloom.llm.common import stored
 VOCABULARY = "byte_bpe_50k.json"
 #: The Unicode white space characters.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
-UNIT = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
+LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
+UNIT = re.compile(f"[{WHITE}]*[{LATIN}]++(?=[\\x00-\\x7f]|\\Z)|[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
+PIECE = re.compile(f" ?[{LATIN}]+")
 MEMO_UNITS = 300_000
 BLOCK_BITS = 512
 MAGIC = b"DAC1"
@@ -47,6 +53,33 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+def byte_letters() -> dict[int, int]:
+    """The byte-level alphabet by its rule: printable Latin-1 bytes stand for themselves, the
+    others, in order, for the characters from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: 256 + i for i, b in enumerate(others)}
+
+
+BYTE_LETTERS = byte_letters()
+
+
+class Memo(dict):
+    """Ids of units, as bytes; a unit asked for the first time is encoded."""
+
+    def __init__(self, tokenizer: object) -> None:
+        super().__init__()
+        self.encode, self.pieces, self.single = tokenizer.encode, tokenizer.model.tokenize, PIECE.fullmatch
+
+    def __missing__(self, unit: str) -> bytes:
+        if self.single(unit):
+            ids = [t.id for t in self.pieces(unit.encode().decode("latin-1").translate(BYTE_LETTERS))]
+        else:
+            ids = self.encode(unit, add_special_tokens=False).ids
+        own = self[unit] = array("I", ids).tobytes()
+        return own
+
+
 class UnitEncoder:
     """Texts to little-endian uint32 ids, by one tokenizer file."""
 
@@ -60,7 +93,9 @@ class UnitEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.memo: dict[str, bytes] = {}
+        if sys.byteorder != "little":
+            raise RuntimeError("ids are kept in the machine's order, which must be little-endian")
+        self.memo = Memo(self.tokenizer)
 
     @classmethod
     def of(cls, path: str) -> UnitEncoder:
@@ -70,18 +105,10 @@ class UnitEncoder:
         return cls._of[path]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        for a in range(0, len(texts), 256):
-            units = [UNIT.findall(t) for t in texts[a : a + 256]]
-            memo = self.memo
-            new = list(set(chain.from_iterable(units)).difference(memo))
-            if new:
-                got = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-                memo.update(zip(new, [np.array(e.ids, "<u4").tobytes() for e in got], strict=True))
-            out += [b"".join(map(memo.__getitem__, u)) for u in units]
-            if len(memo) > MEMO_UNITS:
-                self.memo = {}
-        return out
+        if len(self.memo) > MEMO_UNITS:
+            self.memo = Memo(self.tokenizer)
+        ids_of = self.memo.__getitem__
+        return [b"".join(map(ids_of, UNIT.findall(t))) for t in texts]
 
 
 class Dac:
