@@ -12,7 +12,7 @@ group, far less than independent draws would. No group outgrows one task, howeve
 
 Defined results: a null text has size 0; a null source is a source of its own, weighed last;
 documents of size 0 are emitted like others; rows repeated with the same id draw apart; an empty
-table gives an empty table; an input column named as an output is not carried.
+table gives an empty table; the mix keeps all input columns, whatever their names.
 """
 
 from __future__ import annotations
@@ -47,10 +47,8 @@ def source_targets(sizes: DataFrame, cap: float = CAP, cycle: int = 3) -> DataFr
     return per.withColumn("target", F.least(most, F.lit(level) * F.col("weight")))
 
 
-def mix_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source", cap: float = CAP, seed: int = 17, group_rows: int = 256, size: Column | None = None, carry: list[str] | None = None) -> DataFrame:
-    """One row per document: ``carry`` columns (default id and source), then size, source_size,
-    target, rate, copies (how often the mix takes the document) and taken = copies * size."""
-    carry = [doc_id, source] if carry is None else carry
+def draws(docs: DataFrame, carry: list[str], text: str = "text", doc_id: str = "doc_id", source: str = "source", cap: float = CAP, seed: int = 17, group_rows: int = 256, size: Column | None = None) -> DataFrame:
+    """(row, size, source_size, target, rate, copies), one row per document; ``row`` holds the columns to carry."""
     measured = docs.select(F.struct(*carry).alias("row"), F.col(doc_id).alias("id"), F.col(source).alias("source"), (word_count(F.col(text)) if size is None else size).alias("size"))
     targets = source_targets(measured.select("source", "size"), cap)
     targets = targets.select(F.col("source").alias("of"), "source_size", "n_docs", "target", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("rate"))
@@ -62,12 +60,18 @@ def mix_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", s
     part, u = F.col("rate") - F.floor("rate"), unit_hash(F.lit(seed), F.col("source"), F.col("part"))
     extra = F.floor(F.col("j") * part + u) - F.floor((F.col("j") - 1) * part + u)
     mixed = mixed.withColumn("copies", (F.floor("rate") + extra).cast("long"))
+    return mixed.select("row", "size", "source_size", "target", "rate", "copies")
+
+
+def mix_documents(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", **options: object) -> DataFrame:
+    """One row per document: id and source, then size, source_size, target, rate, copies (how
+    often the mix takes the document) and taken = copies * size."""
+    mixed = draws(docs, [doc_id, source], doc_id=doc_id, source=source, **options)
     return mixed.select("row.*", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def emit_mix(docs: DataFrame, **options: object) -> DataFrame:
-    """The mix itself: each document's row, as often as the mix takes it."""
-    columns = docs.columns
-    mixed = mix_documents(docs, carry=columns, **options)
-    copies = mixed.select(*[F.col(c) for c in columns], F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("_copy"))
-    return copies.select(*columns)
+    """The mix itself: each document's row, with all its columns, as often as the mix takes it."""
+    mixed = draws(docs, docs.columns, **options)
+    copies = mixed.select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
+    return copies.select("row.*")
