@@ -8,12 +8,12 @@
    falls short of once in 10^9. Two signatures with that many common postings share one among
    the first COORDINATES - least_matches + 1 of either, in the order of rareness: only this
    prefix is joined, and a document whose prefix nobody else has is skipped.
-3. A posting list is merged in rounds. First each list's most central document (whose postings
-   are the most frequent) meets the others; then only documents of lists that still hold
-   several components meet, in bounded blocks: first each document's best partners, at last all
-   pairs of different components. Pairs inside a component need no merging.
-   In a block agreements are counted, and pairs below ``least_matches`` fall away.
-4. Each pair left is confirmed on the full shingle sets, from the texts; confirmed pairs are links.
+3. Merging skips what is joined already. First each prefix list's most central document (whose
+   postings are the most frequent) meets the others. Then candidates of different components meet, in
+   bounded blocks, under so many coordinates that a pair at the threshold misses all of them
+   once in 10^9; agreements over all coordinates are counted there, pairs below ``least_matches``
+   fall away, and the others are compared on their full sets, skipping pairs joined meanwhile.
+4. Each link is confirmed on the full shingle sets, from the texts.
 
 The result is that of all links, though not all pairs are made: members of a component differ
 from no other in what they are linked with.
@@ -121,15 +121,14 @@ def signatures(docs: DataFrame, text: str, doc_id: str, words: int) -> DataFrame
 
 
 def prefixes(reps: DataFrame, least: int) -> DataFrame:
-    """(doc, key, at, mask, central): the prefix postings that others have too; mask has the bits
-    of the document's prefix coordinates, central sums the frequencies of its postings."""
+    """(doc, key, central): the prefix postings that others have too; central sums the
+    frequencies of the document's postings."""
     postings = reps.select("doc", F.posexplode("sig").alias("at", "value")).select("doc", "at", F.xxhash64("at", "value").alias("key"))
     counts = postings.groupBy("key").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
     common = postings.join(counts, "key").groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("often", "key", "at"))).alias("p"))
     take = F.greatest(F.lit(0), F.size("p") - F.lit(least - 1))  # the postings that nobody shares come first
     lists = common.select("doc", F.slice("p", F.lit(1), take).alias("q"), F.aggregate("p", F.lit(0).cast("long"), lambda s, x: s + x["often"]).alias("central")).where(F.size("q") > 0)
-    lists = lists.withColumn("mask", F.aggregate("q", F.lit(0).cast("long"), lambda s, x: s.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), x["at"]))))
-    return lists.select("doc", "mask", "central", F.explode("q").alias("x")).select("doc", "x.key", "x.at", "mask", "central")
+    return lists.select("doc", "central", F.explode("q").alias("x")).select("doc", "x.key", "central")
 
 
 def confirmed(pairs: DataFrame, candidates: DataFrame, words: int, percent: int) -> DataFrame:
@@ -173,50 +172,93 @@ def agreeing(pairs: DataFrame, candidates: DataFrame, least: int, percent: int)
     return both.where(equal >= least).select("a", "b").distinct()
 
 
-def block_candidates(lists: DataFrame, components: DataFrame, candidates: DataFrame, least: int, percent: int, best: int | None) -> DataFrame:
-    """(a, b) pairs of different components that share a prefix posting and agree often enough;
-    with ``best``, only that many partners of each document in each block."""
-    own = lists.join(components.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-    mixed = own.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key", "n")
-    rows = block_pairs(own.select("key", "doc", "at", "mask", "component"), ["key"], "doc", mixed)
-    rows = rows.join(candidates.select("doc", "n", "sig"), "doc")
-
-    def block(group: pa.Table) -> Iterator[pa.RecordBatch]:
-        doc, component, mask, n, own, at, lo, hi = (group.column(c).to_numpy() for c in ("doc", "component", "mask", "n", "own", "at", "lo", "hi"))
-        sig = group.column("sig").combine_chunks()
-        sig = sig.flatten().to_numpy().reshape(-1, COORDINATES)
-        left = np.flatnonzero(own == lo[0])
-        right = left if lo[0] == hi[0] else np.flatnonzero(own == hi[0])
-        fits = component[left][:, None] != component[right]
-        fits &= 100 * np.minimum(n[left][:, None], n[right]) >= percent * np.maximum(n[left][:, None], n[right])
+def enough_coordinates(percent: int, miss: float = 1e-9) -> int:
+    """So many coordinates that a pair at the threshold agrees in none of them at most so often."""
+    return min(COORDINATES, math.ceil(math.log(miss) / math.log(1 - percent / 100))) if percent < 100 else 1
+
+
+def fitting(group: pa.Table, first: int, least: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs (i, j) of a block's rows that lie in different components, fit in size, agree in ``least``
+    coordinates and have this list's coordinate as the first they agree in; and their agreements."""
+    doc, component, n, own, at, lo, hi = (group.column(c).to_numpy() for c in ("doc", "component", "n", "own", "at", "lo", "hi"))
+    sig = group.column("sig").combine_chunks().flatten().to_numpy().reshape(-1, COORDINATES)
+    left = np.flatnonzero(own == lo[0])
+    right = left if lo[0] == hi[0] else np.flatnonzero(own == hi[0])
+    out = [np.zeros((3, 0), np.int64)]
+    for a in range(0, len(left), 256):
+        rows = left[a : a + 256]
+        fits = component[rows][:, None] != component[right]
+        fits &= 100 * np.minimum(n[rows][:, None], n[right]) >= percent * np.maximum(n[rows][:, None], n[right])
         if lo[0] == hi[0]:
-            fits &= doc[left][:, None] < doc[right]
-        i, j = np.nonzero(fits)
-        out = []
-        for a in range(0, len(i), 1 << 16):
-            x, y = left[i[a : a + (1 << 16)]], right[j[a : a + (1 << 16)]]
-            equal = sig[x] == sig[y]
-            often = equal.sum(1)
-            bits = (mask[x] & mask[y]).view(np.uint64)
-            shared = (bits[:, None] >> np.arange(COORDINATES, dtype=np.uint64)) & np.uint64(1)
-            first = (equal & (shared > 0)).argmax(1) == at[0]  # a pair counts in the first list that holds it
-            good = (often >= least) & first
-            out.append(np.stack([x[good], y[good], often[good]]))
-        if not out:
-            return
-        x, y, often = np.concatenate(out, 1)
-        if best is not None and len(x):
-            order = np.argsort(-often, kind="stable")
-            x, y = x[order], y[order]
-            chosen = np.zeros(len(x), bool)
-            for side in (x, y):
-                by = np.argsort(side, kind="stable")
-                rank = np.arange(len(side)) - np.searchsorted(side[by], side[by])
-                chosen[by[rank < best]] = True
-            x, y = x[chosen], y[chosen]
-        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(doc[x], doc[y])), pa.array(np.maximum(doc[x], doc[y]))], names=["a", "b"])
-
-    return map_blocks(rows, ["key", "lo", "hi"], block, "a long, b long").distinct()
+            fits &= doc[rows][:, None] < doc[right]
+        for k in range(int(at[0])):
+            fits &= sig[rows, k][:, None] != sig[right, k]
+        x, y = np.nonzero(fits)
+        x, y = rows[x], right[y]
+        for b in range(0, len(x), 1 << 15):
+            often = (sig[x[b : b + (1 << 15)]] == sig[y[b : b + (1 << 15)]]).sum(1)
+            good = often >= least
+            out.append(np.stack([x[b : b + (1 << 15)][good], y[b : b + (1 << 15)][good], often[good]]))
+    return tuple(np.concatenate(out, 1))
+
+
+def residual_links(reps: DataFrame, components: DataFrame, candidates: DataFrame, words: int, percent: int, least: int) -> DataFrame:
+    """(a, b) links between different components, enough of them to join all that are linked.
+
+    Candidates meet under their first ``enough_coordinates`` coordinates, in lists that hold several
+    components. Blocks of signatures first name the documents with a partner; only these come again
+    with their texts, and there pairs are compared on their full sets, those that agree most first,
+    and a pair whose documents are joined meanwhile is skipped. No pairs leave a block but links
+    that join something."""
+    first = enough_coordinates(percent)
+    postings = reps.select("doc", F.posexplode(F.slice("sig", 1, first)).alias("at", "value")).select("doc", "at", F.xxhash64("at", "value").alias("key"))
+    own = postings.join(components.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+    mixed = own.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key", "n")
+    rows = block_pairs(own, ["key"], "doc", mixed, 1024)
+    names = ["key", "lo", "hi", "own", "at", "doc", "component"]
+
+    def named(group: pa.Table) -> Iterator[pa.RecordBatch]:
+        x, y, _ = fitting(group, first, least, percent)
+        if len(x):
+            at = np.union1d(x, y)
+            yield from group.select(names).take(pa.array(at)).combine_chunks().to_batches()
+
+    def linked(group: pa.Table) -> Iterator[pa.RecordBatch]:
+        x, y, often = fitting(group, first, least, percent)
+        doc, component = group.column("doc").to_numpy(), group.column("component").to_numpy()
+        sets: dict[int, np.ndarray] = {}
+        used = np.union1d(x, y).tolist()
+        texts = byte_list(group.column("text"))
+        for a, b in slices([len(texts[u]) for u in used], CHUNK_BYTES):
+            sets.update(zip(used[a:b], shingle_sets([texts[u] for u in used[a:b]], words), strict=True))
+        number = {c: k for k, c in enumerate(np.unique(component).tolist())}
+        label = np.array([number[c] for c in component.tolist()])
+        found: list[tuple[int, int]] = []
+        both, other = np.concatenate([x, y]), np.concatenate([y, x])
+        order = np.lexsort((-np.concatenate([often, often]), both))
+        both, other = both[order], other[order]
+        for a, b in zip(*(np.flatnonzero(np.diff(np.concatenate([[-1], both, [-1]])) != 0)[k:][: len(used)] for k in (0, 1)), strict=True):
+            u, rest = int(both[a]), other[a:b]
+            mine = sets[u]
+            while len(rest):
+                now, rest = rest[:16], rest[16:]
+                theirs = [sets[v] for v in now.tolist()]
+                sizes = np.array([len(t) for t in theirs])
+                flat = np.concatenate(theirs)
+                place = np.minimum(np.searchsorted(mine, flat), len(mine) - 1)
+                common = np.add.reduceat((mine[place] == flat).astype(np.int64), np.concatenate([[0], np.cumsum(sizes)[:-1]]))
+                for v in now[100 * common >= percent * (len(mine) + sizes - common)].tolist():
+                    if label[u] != label[v]:
+                        found.append((u, v))
+                        label[label == label[v]] = label[u]
+                rest = rest[label[rest] != label[u]]
+        if found:
+            u, v = (doc[np.array(z)] for z in zip(*found, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["a", "b"])
+
+    with_sig = rows.select("key", "lo", "hi", "own", "at", "doc", "component").join(candidates.select("doc", "n", "sig"), "doc")
+    few = stored(map_blocks(with_sig, ["key", "lo", "hi"], named, "key long, lo int, hi int, own int, at int, doc long, component long"), "residual")
+    return map_blocks(few.join(candidates.select("doc", "n", "sig", "text"), "doc"), ["key", "lo", "hi"], linked, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 5, percent: int = 80) -> DataFrame:
@@ -236,11 +278,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     pairs = lists.join(centres, "key").where("doc <> hub").select(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b")).distinct()
     links = stored(confirmed(agreeing(pairs, candidates, least, percent), candidates, words, percent), "links")
     components = connected_components(links)
-    for best in (2, None):
-        more = stored(confirmed(block_candidates(lists, components, candidates, least, percent, best), candidates, words, percent), "links")
-        links = links.union(more)
-        if not more.isEmpty():
-            components = connected_components(links)
+    more = stored(confirmed(residual_links(candidates.select("doc", "sig"), components, candidates, words, percent, least), candidates, words, percent), "links")
+    if not more.isEmpty():
+        components = connected_components(links.union(more))
 
     groups = copies.distinct().withColumnRenamed("doc", "copy")
     out = sigs.select("doc", "n").join(groups, F.col("doc") == F.col("copy"), "left").withColumn("node", F.coalesce("rep", "doc"))
