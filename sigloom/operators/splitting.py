@@ -39,9 +39,8 @@ def balance(df: DataFrame, by: str, split: str = "split") -> DataFrame:
     """(split, deviation): the greatest difference of a value's share in a split from its share
     in all; a value that a split lacks has share 0 there."""
     whole = distribution(df, [by]).select(by, F.col("fraction").alias("expected"))
-    splits = df.select(split).distinct()
     shares = distribution(df, [by], split).select(split, by, "fraction")
-    grid = whole.crossJoin(F.broadcast(splits))  # three splits
+    grid = whole.withColumn(split, F.explode(F.array(*[F.lit(x) for x in SPLITS])))
     return grid.join(shares, [split, by], "left").groupBy(split).agg(F.max(F.abs(F.coalesce("fraction", F.lit(0.0)) - F.col("expected"))).alias("deviation"))
 
 
