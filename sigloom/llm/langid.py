@@ -108,6 +108,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], ke
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, prior, logs = shared.value
+        step = max(1, (8 * CHUNK_CHARS) // max(8, len(names)))
         for batch in batches:
             texts = batch.column(1).to_pylist()
             pred, score = ["und"] * len(texts), np.zeros(len(texts))
@@ -116,7 +117,10 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], ke
                 own = at[a:b]
                 total = np.tile(prior, (len(own), 1))
                 for bucket, starts in hashed_ngrams([texts[i] for i in own], buckets):
-                    total += np.add.reduceat(logs[bucket], starts, axis=0, dtype=np.float64)
+                    for x in range(0, len(bucket), step):  # gathered rows stay few, however long a text or many the languages
+                        y = min(x + step, len(bucket))
+                        first, last = np.searchsorted(starts, x, "right") - 1, np.searchsorted(starts, y, "left")
+                        total[first:last] += np.add.reduceat(logs[bucket[x:y]], np.maximum(starts[first:last] - x, 0), axis=0, dtype=np.float64)
                 best = total.argmax(1)
                 likely = 1.0 / np.exp(total - total.max(1, keepdims=True)).sum(1)
                 for i, k, p in zip(own, best, likely, strict=True):
