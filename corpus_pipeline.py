@@ -34,8 +34,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group of near-duplicates (five-word shingles, similarity 0.8)."""
     ship(spark)
     groups = neardup.near_duplicates(docs)
-    dropped = groups.where(~F.col("kept")).select(F.col("doc_id").alias("dropped")).distinct()
-    return docs.join(dropped, F.col("doc_id") == F.col("dropped"), "left_anti").select(*docs.columns)
+    dropped = groups.where(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(dropped, docs["doc_id"] == dropped["doc_id"], "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
