@@ -3,8 +3,9 @@
 Trusted positives and unlabelled web text are described by features of form (shares of
 character kinds, word and line lengths, repeated words). A small network minimises the
 non-negative unbiased risk: prior * R_p(+) + max(0, R_u(-) - prior * R_p(-)), with the
-logistic loss. The class prior is estimated from the labelled training rows. Where the
-difference turns negative, the step ascends its gradient instead, as the method asks.
+logistic loss. Where the difference turns negative, the step ascends its gradient instead, as the
+method asks. The class prior is first the share of positive labels among the training rows, then,
+as the unlabelled text may have another, estimated from the scores of a first fit.
 
 The fit uses bounded samples, chosen by hash: at most MAX_POSITIVE positives and MAX_UNLABELLED
 unlabelled documents, whose feature rows (not texts) reach the driver.
@@ -107,7 +108,7 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(self.logit(x), -30, 30)))
 
 
-def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, hidden: int = 24, epochs: int = 60, batch: int = 1024, rate: float = 3e-3, decay: float = 1e-4, seed: int = 5) -> Network:
+def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, hidden: int = 24, epochs: int = 60, batch: int = 4096, rate: float = 1e-2, decay: float = 1e-4, seed: int = 5) -> Network:
     """Adam on mini-batches of the non-negative risk."""
     random = np.random.default_rng(seed)
     x_all = np.vstack([positive, unlabelled]).astype(np.float64)
@@ -144,6 +145,19 @@ def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, hidden:
     return net
 
 
+def estimated_prior(positive: np.ndarray, unlabelled: np.ndarray, confidence: float = 0.1) -> float:
+    """The share of positives among the unlabelled, from the scores of both (best bin): above a
+    threshold that only positives pass, the unlabelled share divided by the positive share. The threshold
+    is the one whose upper confidence bound of this ratio is least."""
+    p, u = np.sort(positive), np.sort(unlabelled)
+    cuts = np.unique(p)
+    above_p = 1 - np.searchsorted(p, cuts) / len(p)
+    above_u = 1 - np.searchsorted(u, cuts) / len(u)
+    slack = np.sqrt(np.log(4 / confidence) / 2 / len(p)) + np.sqrt(np.log(4 / confidence) / 2 / len(u))
+    best = int(np.argmin((above_u + slack) / above_p))
+    return float(np.clip(above_u[best] / above_p[best], 0.01, 0.99))
+
+
 def bounded(ids: DataFrame, most: int, seed: int) -> DataFrame:
     """At most ``most`` ids, by hash. A threshold first leaves about twice as many, so that no
     task sorts more."""
@@ -178,7 +192,8 @@ def train(docs: DataFrame, labels: DataFrame, train_fold: Column | None = None,
     p, u = feature_rows(docs, positive, doc_id, text), feature_rows(docs, unlabelled, doc_id, text)
     if not len(p) or not len(u):
         return None
-    return fit_nnpu(p, u, (ones + 1) / (ones + zeros + 2))
+    first = fit_nnpu(p, u, (ones + 1) / (ones + zeros + 2))
+    return fit_nnpu(p, u, estimated_prior(first.score(p), first.score(u)))
 
 
 def score(docs: DataFrame, net: Network | None, keep: list[Column], text: str = "text") -> DataFrame:
