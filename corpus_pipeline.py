@@ -24,7 +24,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages that occur before; n_chars follows the text."""
     ship(spark)
-    out = linededup.dedup_lines(docs)
+    out = linededup.dedup_passages(docs)
     if "n_chars" in out.columns:
         out = out.withColumn("n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), "n_chars"))
     return out

@@ -43,7 +43,7 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linededup.dedup_lines(table(spark, sf_dir, "documents"))
+    return linededup.dedup_passages(table(spark, sf_dir, "documents"))
 
 
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
