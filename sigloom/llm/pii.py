@@ -125,31 +125,42 @@ def features(kind: int, c: Column) -> list[Column]:
 N_FEATURES = 19
 
 
-def examples(seed: int = 7, each: int = 40) -> list[tuple[str, str | None]]:
-    """Made-up texts, each with the span that is personal, or None: fixed templates filled by a
-    seeded generator. The set is bounded by its templates times ``each``."""
+def examples(seed: int = 7, each: int = 40) -> list[tuple[str, str | None, str | None]]:
+    """Made-up texts, each with the span that is personal and its kind, or None: fixed templates
+    filled by a seeded generator. The set is bounded by its templates times ``each``."""
     random = np.random.default_rng(seed)
     d = lambda k: "".join(str(x) for x in random.integers(0, 10, k))
     w = lambda: "".join(random.choice(list("abcdefghilmnoprstu"), int(random.integers(3, 9))))
+
+    def card(valid: bool) -> str:
+        """Four groups of four digits that pass the Luhn check, or fail it."""
+        figures = str(random.integers(3, 7)) + d(14)
+        check = -sum(int(c) if k % 2 else int(c) * 2 - 9 * (int(c) > 4) for k, c in enumerate(figures)) % 10
+        figures += str(check if valid else (check + int(random.integers(1, 10))) % 10)
+        mark = str(random.choice([" ", "-", ".", "·", "/", "_", "  ", "--", " - ", " / ", " · "]))
+        return mark.join(figures[k : k + 4] for k in range(0, 16, 4))
+
     good = [
         lambda: f"({d(3)}) {d(3)}-{d(4)}", lambda: f"{d(3)}-{d(3)}-{d(4)}", lambda: f"{d(3)}.{d(3)}.{d(4)}", lambda: f"{d(3)} {d(3)} {d(4)}", lambda: f"1-{d(3)}-{d(3)}-{d(4)}", lambda: f"0049 {d(3)} {d(4)} {d(3)}", lambda: f"0{d(3)} {d(3)} {d(4)}", lambda: f"0{d(2)} {d(4)} {d(4)}",
         lambda: f"{w()}.{w()} (at) {w()} (dot) com", lambda: f"{w()}[at]{w()}.org", lambda: f"{w()} [at] {w()} [dot] net", lambda: f"{w()}(at){w()}.example.com", lambda: f"{w()} @ {w()}.com",
         lambda: ":".join(f"{x:x}" for x in random.integers(256, 65536, 8)),
+        lambda: card(True), lambda: card(True), lambda: card(True),
     ]
+    kinds = ["phone"] * 8 + ["email"] * 5 + ["ip"] + ["card"] * 3
     bad = [
-        lambda: f"20{d(2)}-0{random.integers(1, 10)}-1{d(1)}", lambda: f"1{d(1)}/0{random.integers(1, 10)}/20{d(2)}", lambda: f"{d(2)}-{d(2)}", lambda: f"{d(3)}-{d(2)}", lambda: f"{d(5)}-{d(5)}", lambda: f"{d(2)} {d(3)}", lambda: f"{d(2)}.{d(2)}", lambda: f"978-{d(1)}-{d(3)}-{d(5)}-{d(1)}", lambda: f"{d(4)} {d(4)} {d(4)} {d(4)}",
+        lambda: f"20{d(2)}-0{random.integers(1, 10)}-1{d(1)}", lambda: f"1{d(1)}/0{random.integers(1, 10)}/20{d(2)}", lambda: f"{d(2)}-{d(2)}", lambda: f"{d(3)}-{d(2)}", lambda: f"{d(5)}-{d(5)}", lambda: f"{d(2)} {d(3)}", lambda: f"{d(2)}.{d(2)}", lambda: f"978-{d(1)}-{d(3)}-{d(5)}-{d(1)}", lambda: card(False), lambda: card(False), lambda: card(False),
         lambda: f"19{d(2)}-20{d(2)}", lambda: f"{d(2)}/{d(2)}", lambda: f"{d(3)}.{d(3)}", lambda: f"{d(4)}-{d(4)}", lambda: f"{d(2)} {d(2)} {d(2)}", lambda: f"{d(2)}-{d(2)}-{d(2)}-{d(2)}",
         lambda: f"{w()} @ {w()}", lambda: f"{w()} (at) {w()}", lambda: ":".join(d(2) for _ in range(4)),
     ]
-    about = ["call", "phone:", "my number is", "tel", "reach me at", "contact", "fax", "text", "mobile", "e-mail", "write to", ""]
+    about = ["call", "phone:", "my number is", "tel", "reach me at", "contact", "fax", "text", "mobile", "e-mail", "write to", "card", "pay by visa", ""]
     other = ["order", "invoice", "version", "dated", "ref", "ticket", "on", "about", "from", "page", "between", "model", "isbn", ""]
     out = []
     for k in range(each):
-        for make in good:
+        for kind, make in zip(kinds, good, strict=True):
             span, lead = make(), str(random.choice(about))
-            out.append((f"{w()} {w()} {lead} {span}{random.choice([' ', ', ', '. ', ''])}{w() if k % 2 else ''}", span))
+            out.append((f"{w()} {w()} {lead} {span}{random.choice([' ', ', ', '. ', ''])}{w() if k % 2 else ''}", span, kind))
         for make in bad:
-            out.append((f"{w()} {w()} {random.choice(other)} {make()} {w()} {w()}", None))
+            out.append((f"{w()} {w()} {random.choice(other)} {make()} {w()} {w()}", None, None))
     return out
 
 
@@ -221,11 +232,14 @@ def model(spark: SparkSession, precision: float = 0.99) -> tuple[list, dict[str,
     app = spark.sparkContext.applicationId
     if app not in _models:
         made = examples()
-        texts = spark.createDataFrame([(i, t, t.find(s) if s else -1, len(s or "")) for i, (t, s) in enumerate(made)], "i int, text string, at int, n int")
+        texts = spark.createDataFrame([(i, t, t.find(s) if s else -1, len(s or ""), KINDS.index(kind) if kind else -1) for i, (t, s, kind) in enumerate(made)], "i int, text string, at int, n int, kind int")
         every = F.concat(*[candidates(F.col("text"), k) for k in KINDS])
-        rows = texts.select("i", "at", "n", F.explode(every).alias("c")).select("i", F.col("c.f").alias("f"), ((F.col("at") >= 0) & (F.col("c.start") >= F.col("at") - 1) & (F.col("c.end") <= F.col("at") + F.col("n") + 1)).alias("y")).collect()
+        rows = texts.select("i", "at", "n", "kind", F.explode(every).alias("c")).select("i", F.col("c.f").alias("f"), ((F.col("at") >= 0) & (F.col("c.start") >= F.col("at") - 1) & (F.col("c.end") <= F.col("at") + F.col("n") + 1) & (F.get("c.f", F.lit(0)) == F.col("kind"))).alias("y")).collect()
         x, y, i = np.array([r.f for r in rows]), np.array([float(r.y) for r in rows]), np.array([r.i for r in rows])
         held = i % 3 == 0
+        for k, kind in enumerate(KINDS):
+            if not (y[held & (x[:, 0] == k)].any() and y[~held & (x[:, 0] == k)].any()):
+                raise ValueError(f"no positive example of kind {kind}")
         trees = fit_trees(x[~held], y[~held])
         scores, limits = predict_trees(trees, x[held]), {}
         for k, kind in enumerate(KINDS):
@@ -234,7 +248,9 @@ def model(spark: SparkSession, precision: float = 0.99) -> tuple[list, dict[str,
             order = np.argsort(-s, kind="stable")
             right = np.cumsum(t[order]) / np.arange(1, len(s) + 1)
             fine = np.flatnonzero(right >= precision)
-            limits[kind] = max(float(s[order][fine[-1]]), 1.0) if len(fine) else float("inf")
+            if not len(fine):
+                raise ValueError(f"no threshold gives kind {kind} the precision {precision}")
+            limits[kind] = max(float(s[order][fine[-1]]), 1.0)
         _models[app] = (trees, limits)
     return _models[app]
 
@@ -254,7 +270,7 @@ def find_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
         return F.filter(each, lambda c: c["score"] >= limits[kind])
 
     base = F.concat(*[base_of(k, kind) for k, kind in enumerate(KINDS)])
-    scored = F.concat(*[scored_of(k, kind) for k, kind in enumerate(KINDS) if limits[kind] < float("inf")] or [F.array().cast("array<struct<kind:int,start:int,end:int,score:double>>")])
+    scored = F.concat(*[scored_of(k, kind) for k, kind in enumerate(KINDS)])
     overlap = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
 
     def select(x: Column) -> Column:
