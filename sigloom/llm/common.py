@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -17,11 +17,17 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Used only where the session names no checkpoint folder, as in tests on one machine.
 LOCAL_CHECKPOINTS = "/tmp/checkpoints/sigloom"
 
+#: Keys that may be broadcast for being hot, at most.
+HOT_KEYS = 4096
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from ``spark.checkpoint.dir``."""
+    """The folder that driver and executors share, from ``spark.checkpoint.dir``; on one machine,
+    where it is unset, a folder of our own."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = LOCAL_CHECKPOINTS
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(root)
@@ -43,6 +49,21 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def join_skewed(rows: DataFrame, table: DataFrame, on: Sequence[str], weight: str, total: int) -> DataFrame:
+    """rows joined with a stored table of one row a key, whose column ``weight`` says how many of
+    the ``total`` rows have the key. Keys of more than total / HOT_KEYS rows are broadcast, which are
+    fewer than HOT_KEYS narrow rows at any size; the others are shuffled, and none fills a task."""
+    names = list(on)
+    if total <= HOT_KEYS:
+        return rows.join(F.broadcast(table), names)
+    is_hot = F.col(weight) * HOT_KEYS > total
+    hot = table.where(is_hot)
+    if hot.isEmpty():
+        return rows.join(table, names)
+    cold = rows.join(F.broadcast(hot.select(*names)), names, "left_anti").join(table.where(~is_hot), names)
+    return rows.join(F.broadcast(hot), names).unionByName(cold)
+
+
 def id_text(key: Column) -> Column:
     """A document's id as text, for crc32 folds; a null id counts as the empty text."""
     return F.coalesce(key.cast("string"), F.lit(""))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sigloom.llm.common import cut
 
 
-def connected_components(links: DataFrame, max_rounds: int = 50) -> DataFrame:
+def connected_components(links: DataFrame) -> DataFrame:
     """(a, b) long links -> (node, component): the smallest node reachable. Nodes without links
     have no row; null ends and loops are dropped.
 
@@ -20,7 +20,7 @@ def connected_components(links: DataFrame, max_rounds: int = 50) -> DataFrame:
     edges = links.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     edges = cut(edges)
     before = None
-    for _ in range(max_rounds):
+    while True:  # every round but the last moves a node to a smaller one, so there is a last
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -32,4 +32,3 @@ def connected_components(links: DataFrame, max_rounds: int = 50) -> DataFrame:
         if now == before:
             return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
         before = now
-    raise RuntimeError(f"no fixed point after {max_rounds} rounds")

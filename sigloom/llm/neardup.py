@@ -1,26 +1,30 @@
 """Operator 4: near-duplicate documents by an inverted join of MinHash coordinates.
 
 1. A document's word shingles are hashed, and each of COORDINATES hash functions keeps its
-   least value: its signature. Documents with equal shingle sets form a class at once, and one
-   of each goes on.
-2. Every (coordinate, value) is a posting. Documents of similarity s agree in a coordinate with
+   least value: its signature. Rows whose words are the same, by a 256-bit digest of all of them,
+   form a class; one row of each class is its node and goes on.
+2. Every (coordinate, value) is a posting. Nodes of similarity s agree in a coordinate with
    probability s; ``least_matches`` is the number of agreements that a pair at the threshold
    falls short of once in 10^9. Two signatures with that many common postings share one among
    the first COORDINATES - least_matches + 1 of either, in the order of rareness: only this
-   prefix is joined, and a document whose prefix nobody else has is skipped.
-3. Merging skips what is joined already. First each prefix list's most central document (whose
-   postings are the most frequent) meets the others. Then candidates of different components meet, in
-   bounded blocks, under so many coordinates that a pair at the threshold misses all of them
-   once in 10^9; agreements over all coordinates are counted there, pairs below ``least_matches``
-   fall away, and the others are compared on their full sets, skipping pairs joined meanwhile.
-4. Each link is confirmed on the full shingle sets, from the texts.
+   prefix is listed, and a node with fewer shared postings than the threshold is skipped.
+3. Collisions are counted in the lists, first between each list's most central node (whose
+   postings are the most frequent) and the others: the lists that a pair shares give its first
+   hits, and the coordinates beyond the prefix are looked up only for pairs that have any.
+4. Nodes that these links join are skipped from then on: lists that still hold several
+   components are dealt out in bounded blocks, in which only pairs of different components
+   are counted, each in the first list that both have in their prefix. Blocks of a large
+   component meet those of others, never each other.
+5. Each link is confirmed on the full shingle sets, from the texts.
 
 The result is that of all links, though not all pairs are made: members of a component differ
-from no other in what they are linked with.
+from no other in what they are linked with. Hot classes, lists and hubs are broadcast by their
+number, or split into blocks.
 
 Defined results: a null text, or one without words, is an empty set, linked with nothing; with
 fewer words than a shingle takes, the whole sequence is one shingle; a null id is kept and linked
-with nothing; rows that repeat an id share its component; an empty table gives an empty table.
+with nothing; rows that repeat an id are linked with each other, whatever their texts, and each
+keeps its row; an empty table gives an empty table; other columns are not read.
 """
 
 from __future__ import annotations
@@ -32,15 +36,18 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sigloom.llm.blocks import block_pairs, map_blocks
-from sigloom.llm.common import arrow_map, byte_list, mixed64, slices, stored
+from sigloom.llm.blocks import map_blocks
+from sigloom.llm.common import byte_list, join_skewed, mixed64, slices, stored
 from sigloom.llm.graph import connected_components
 
 COORDINATES = 64
 CHUNK_BYTES = 1 << 20
+#: Rows of a list in one chunk; a block holds two chunks.
+CHUNK = 512
 _random = np.random.default_rng(20240229)
 BYTE_CODES = _random.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SEEDS = _random.integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
@@ -85,6 +92,21 @@ def shingle_sets(texts: list[bytes], words: int) -> Iterator[np.ndarray]:
             yield np.zeros(0, np.uint64)
 
 
+def set_size(sequence: list[bytes], words: int) -> int:
+    """Number of distinct shingles of a text's words, by numbering words and then shingles."""
+    if len(sequence) < words:
+        return min(len(sequence), 1)
+    number: dict[bytes, int] = {}
+    ids = np.fromiter((number.setdefault(w, len(number)) for w in sequence), np.int64, len(sequence))
+    codes, top = ids[: len(ids) - words + 1], len(number)
+    for j in range(1, words):
+        if top * len(number) >= 1 << 62:
+            values, codes = np.unique(codes, return_inverse=True)
+            top = len(values)
+        codes, top = codes * len(number) + ids[j : j + len(codes)], top * len(number)
+    return len(np.unique(codes))
+
+
 def signature(codes: np.ndarray) -> np.ndarray:
     least = np.full(COORDINATES, np.iinfo(np.uint64).max, np.uint64)
     for a in range(0, len(codes), 4096):
@@ -104,135 +126,193 @@ def least_matches(percent: int, miss: float = 1e-9) -> int:
 
 
 def signatures(docs: DataFrame, text: str, doc_id: str, words: int) -> DataFrame:
-    """(doc, n, print, sig): set size, digest of the set, least values; null where the set is empty."""
+    """(row, doc, code, n, print, sig): a number for the row, its id, a hash of its text, size of its set,
+    digest of its words, least values; the last two are null where the set is empty. To be
+    stored, as the numbers are those of partitions."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            texts = byte_list(batch.column(2))
+            for a, b in slices([len(t) for t in texts], CHUNK_BYTES):
+                sizes, prints, sigs = [], [], []
+                for raw, codes in zip(texts[a:b], shingle_sets(texts[a:b], words), strict=True):
+                    sequence = raw.lower().split()
+                    sizes.append(set_size(sequence, words))
+                    prints.append(hashlib.blake2b(b" ".join(sequence), digest_size=32).digest() if sequence else None)
+                    sigs.append(signature(codes).view(np.int64) if sequence else None)
+                number = pa.array(np.arange(at, at + b - a))
+                at += b - a
+                yield pa.RecordBatch.from_arrays([number, batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(sigs, pa.list_(pa.int64()))], names=["row", "doc", "code", "n", "print", "sig"])
 
-    def rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        texts = byte_list(batch.column(1))
-        for a, b in slices([len(t) for t in texts], CHUNK_BYTES):
-            sizes, prints, sigs = [], [], []
-            for codes in shingle_sets(texts[a:b], words):
-                sizes.append(len(codes))
-                prints.append(hashlib.blake2b(codes.tobytes(), digest_size=16).digest() if len(codes) else None)
-                sigs.append(signature(codes).view(np.int64) if len(codes) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(sigs, pa.list_(pa.int64()))], names=["doc", "n", "print", "sig"])
+    return keyed(docs, text, doc_id).mapInArrow(rows, "row long, doc long, code long, n long, print binary, sig array<bigint>")
 
-    table = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
-    return arrow_map(table, rows, "doc long, n long, print binary, sig array<bigint>")
+
+def keyed(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """(doc, code, text); code tells the texts of one id apart."""
+    whole = F.col(text).cast("string")
+    return docs.select(F.col(doc_id).cast("long").alias("doc"), F.xxhash64(whole).alias("code"), whole.alias("text"))
 
 
 def prefixes(reps: DataFrame, least: int) -> DataFrame:
-    """(doc, key, central): the prefix postings that others have too; central sums the
-    frequencies of the document's postings."""
-    postings = reps.select("doc", F.posexplode("sig").alias("at", "value")).select("doc", "at", F.xxhash64("at", "value").alias("key"))
-    counts = postings.groupBy("key").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
-    common = postings.join(counts, "key").groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("often", "key", "at"))).alias("p"))
+    """(node, key, central, mask): the prefix postings that others have too; central sums the
+    frequencies of the node's postings, mask has a bit for each coordinate of its prefix."""
+    postings = reps.select("node", F.posexplode("sig").alias("at", "value")).select("node", "at", F.xxhash64("at", "value").alias("key"))
+    counts = stored(postings.groupBy("key").agg(F.count(F.lit(1)).alias("often")).where("often > 1"), "posting-counts")
+    known = join_skewed(postings, counts, ["key"], "often", reps.count() * COORDINATES)
+    common = known.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("often", "key", "at"))).alias("p"))
     take = F.greatest(F.lit(0), F.size("p") - F.lit(least - 1))  # the postings that nobody shares come first
-    lists = common.select("doc", F.slice("p", F.lit(1), take).alias("q"), F.aggregate("p", F.lit(0).cast("long"), lambda s, x: s + x["often"]).alias("central")).where(F.size("q") > 0)
-    return lists.select("doc", "central", F.explode("q").alias("x")).select("doc", "x.key", "central")
+    central = F.aggregate("p", F.lit(0).cast("long"), lambda s, x: s + x["often"])
+    mask = F.aggregate("q", F.lit(0).cast("long"), lambda s, x: s.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), x["at"])))
+    lists = common.select("node", F.slice("p", F.lit(1), take).alias("q"), central.alias("central")).where(F.size("q") > 0)
+    return lists.select("node", "central", mask.alias("mask"), F.explode("q").alias("x")).select("node", "x.key", "x.at", "central", "mask")
 
 
-def confirmed(pairs: DataFrame, candidates: DataFrame, words: int, percent: int) -> DataFrame:
-    """Of the pairs (a, b), those whose full shingle sets are similar enough."""
-
-    def shingles(text: bytes) -> frozenset:
-        w = text.lower().split()
-        return frozenset(zip(*(w[j:] for j in range(words)), strict=False)) if len(w) >= words else frozenset([tuple(w)] if w else [])
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: dict[int, frozenset] = {}
-        for batch in batches:
-            a, b = (batch.column(k).to_pylist() for k in (0, 1))
-            good = []
-            for i in range(batch.num_rows):
-                both = []
-                for key, k in ((a[i], 2), (b[i], 3)):
-                    if key not in kept:
-                        if len(kept) > 512:
-                            kept.clear()
-                        kept[key] = shingles(batch.column(k)[i].as_buffer().to_pybytes())
-                    both.append(kept[key])
-                x, y = both
-                if 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)):
-                    common = len(x & y)
-                    if 100 * common >= percent * (len(x) + len(y) - common) and common:
-                        good.append(i)
-            chosen = pa.array(good, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(chosen), batch.column(1).take(chosen)], names=["a", "b"])
-
-    texts = candidates.select("doc", "text")
-    paired = pairs.join(texts.select(F.col("doc").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("doc").alias("b"), F.col("text").alias("tb")), "b")
-    return paired.select("a", "b", "ta", "tb").mapInArrow(rows, "a long, b long")
+def split_hubs(pairs: DataFrame) -> DataFrame:
+    """(node, hub, n) -> with ``part``: pairs of one hub in parts of about CHUNK."""
+    parts = F.ceil(F.col("n") / CHUNK)
+    return pairs.withColumn("part", F.pmod(F.xxhash64("node"), parts))
 
 
 def agreeing(pairs: DataFrame, candidates: DataFrame, least: int, percent: int) -> DataFrame:
-    """Of the pairs (a, b), those of fitting sizes whose signatures agree in ``least`` coordinates."""
-    sides = [candidates.select(F.col("doc").alias(s), F.col("n").alias(f"n{s}"), F.col("sig").alias(f"s{s}")) for s in "ab"]
-    both = pairs.join(sides[0], "a").join(sides[1], "b").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-    equal = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    return both.where(equal >= least).select("a", "b").distinct()
+    """Of the pairs (node, hub, n, part, hits), those of fitting sizes whose signatures agree in
+    ``least`` coordinates: hits are in the lists, the rest is looked up."""
+    heads = pairs.select("hub", "n", "part").distinct().join(candidates.select(F.col("node").alias("hub"), F.col("size").alias("hub_size"), F.col("sig").alias("hub_sig")), "hub")
+    both = pairs.join(candidates.select("node", "size", "sig"), "node").join(heads, ["hub", "n", "part"])
+    both = both.where(100 * F.least("size", "hub_size") >= percent * F.greatest("size", "hub_size"))
+    equal = F.aggregate(F.zip_with("sig", "hub_sig", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
+    return both.where((F.col("hits") >= least) | (equal >= least)).select("node", "hub", "n", "part")
 
 
-def enough_coordinates(percent: int, miss: float = 1e-9) -> int:
-    """So many coordinates that a pair at the threshold agrees in none of them at most so often."""
-    return min(COORDINATES, math.ceil(math.log(miss) / math.log(1 - percent / 100))) if percent < 100 else 1
+def confirmed(pairs: DataFrame, candidates: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b): of the pairs (node, hub, n, part), those whose full shingle sets are similar enough. A
+    hub's text goes once to each of its parts."""
 
+    def shingles(text: bytes) -> set:
+        w = text.lower().split()
+        return set(zip(*(w[j:] for j in range(words)), strict=False)) if len(w) >= words else {tuple(w)} if w else set()
 
-def fitting(group: pa.Table, first: int, least: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub, own = None, set()
+        for batch in batches:
+            a, b = [], []
+            heads, nodes = batch.column(0).to_pylist(), batch.column(3).to_pylist()
+            for i, (h, node) in enumerate(zip(heads, nodes, strict=True)):
+                raw = batch.column(4)[i].as_buffer().to_pybytes()
+                if node is None:  # the first row of a part
+                    if h != hub:
+                        hub, own = h, shingles(raw)
+                    continue
+                other = shingles(raw)
+                if 100 * min(len(own), len(other)) >= percent * max(len(own), len(other)):
+                    common = len(own & other)
+                    if common and 100 * common >= percent * (len(own) + len(other) - common):
+                        a.append(min(h, node))
+                        b.append(max(h, node))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    texts = candidates.select("node", "text")
+    heads = pairs.select("hub", "n", "part").distinct().join(texts.withColumnRenamed("node", "hub"), "hub")
+    heads = heads.select("hub", "n", "part", F.lit(None).cast("long").alias("node"), "text")
+    members = pairs.join(texts, "node").select("hub", "n", "part", "node", "text")
+    dealt = heads.union(members).repartition("hub", "n", "part").sortWithinPartitions("hub", "n", "part", F.col("node").asc_nulls_first())
+    return dealt.mapInArrow(rows, "a long, b long").distinct()
+
+
+def hub_pairs(lists: DataFrame) -> DataFrame:
+    """(node, hub, n, part, hits): each list's most central node with the others; hits counts the
+    lists in which the pair collides, n is the size of the largest."""
+    best = F.max(F.struct("central", (-F.col("node")).alias("minus")))
+    centres = lists.groupBy("key").agg(best.alias("c"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    centres = stored(centres.select("key", (-F.col("c.minus")).alias("hub"), "n"), "centres")
+    met = join_skewed(lists.select("node", "key"), centres, ["key"], "n", lists.count()).where("node <> hub")
+    return split_hubs(met.groupBy("node", "hub").agg(F.count(F.lit(1)).alias("hits"), F.max("n").alias("n")))
+
+
+def component_blocks(lists: DataFrame, components: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """(key, at, node, component, mask, own, lo, hi): rows of lists that hold several components, in
+    the blocks in which chunks of different components meet. Chunks hold one large component's
+    rows or those of small ones; chunks of one large component do not meet."""
+    own = lists.select("node", "key", "at", "mask").join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    own = stored(own, "lists")
+    total = own.count()
+    per = own.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m"))
+    large = F.col("m") > chunk // 2
+    sizes = per.groupBy("key").agg(F.count(F.lit(1)).alias("k"), F.sum("m").alias("n"), F.coalesce(F.sum(F.when(~large, F.col("m"))), F.lit(0)).alias("small")).where("k > 1")
+    sizes = stored(sizes.select("key", "n", "small"), "list-sizes")
+    mixed = join_skewed(own, sizes, ["key"], "n", total)
+    one = F.lit("0")
+    low = mixed.where(F.col("n") <= 2 * chunk).select("key", "at", "node", "component", "mask", one.alias("own"), one.alias("lo"), one.alias("hi"))
+
+    wide = stored(per.join(sizes.where(F.col("n") > 2 * chunk), "key").withColumn("lead", F.when(large, F.col("component")).otherwise(F.lit(-1))).withColumn("parts", F.ceil(F.when(large, F.col("m")).otherwise(F.col("small")) / chunk)), "wide-lists")
+    leads = wide.groupBy("key", "lead").agg(F.max("parts").alias("parts"))
+    every = leads.groupBy("key").agg(F.collect_list(F.struct("lead", "parts")).alias("leads"))
+    placed = stored(wide.select("key", "component", "m", "lead", "parts").join(every, "key"), "placed-lists")
+    rows = join_skewed(mixed.where(F.col("n") > 2 * chunk).drop("n", "small"), placed, ["key", "component"], "m", total)
+    name = lambda lead, part: F.concat_ws(":", lead.cast("string"), part.cast("string"))
+    rows = rows.withColumn("own", name(F.col("lead"), F.pmod(F.when(F.col("lead") == -1, F.xxhash64("component")).otherwise(F.xxhash64("node")), F.col("parts"))))
+    others = F.filter("leads", lambda x: (x["lead"] != F.col("lead")) | (x["lead"] == -1))
+    rows = rows.withColumn("other", F.explode(F.flatten(F.transform(others, lambda x: F.transform(F.sequence(F.lit(0).cast("long"), x["parts"].cast("long") - 1), lambda p: name(x["lead"], p))))))
+    return low.union(rows.select("key", "at", "node", "component", "mask", "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")))
+
+
+def fitting(group: pa.Table, least: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pairs (i, j) of a block's rows that lie in different components, fit in size, agree in ``least``
-    coordinates and have this list's coordinate as the first they agree in; and their agreements."""
-    doc, component, n, own, at, lo, hi = (group.column(c).to_numpy() for c in ("doc", "component", "n", "own", "at", "lo", "hi"))
+    coordinates and have this list as the first that is in both prefixes; and their agreements."""
+    node, component, n, mask, at = (group.column(c).to_numpy() for c in ("node", "component", "size", "mask", "at"))
+    own, lo, hi = group.column("own").to_pylist(), group.column("lo")[0].as_py(), group.column("hi")[0].as_py()
+    mine = np.array([x == lo for x in own])
     sig = group.column("sig").combine_chunks().flatten().to_numpy().reshape(-1, COORDINATES)
-    left = np.flatnonzero(own == lo[0])
-    right = left if lo[0] == hi[0] else np.flatnonzero(own == hi[0])
+    left = np.flatnonzero(mine)
+    right = left if lo == hi else np.flatnonzero(~mine)
+    bit = np.uint64(1) << np.uint64(at[0])
     out = [np.zeros((3, 0), np.int64)]
     for a in range(0, len(left), 256):
         rows = left[a : a + 256]
         fits = component[rows][:, None] != component[right]
         fits &= 100 * np.minimum(n[rows][:, None], n[right]) >= percent * np.maximum(n[rows][:, None], n[right])
-        if lo[0] == hi[0]:
-            fits &= doc[rows][:, None] < doc[right]
-        for k in range(int(at[0])):
-            fits &= sig[rows, k][:, None] != sig[right, k]
+        if lo == hi:
+            fits &= node[rows][:, None] < node[right]
         x, y = np.nonzero(fits)
         x, y = rows[x], right[y]
         for b in range(0, len(x), 1 << 15):
-            often = (sig[x[b : b + (1 << 15)]] == sig[y[b : b + (1 << 15)]]).sum(1)
-            good = often >= least
-            out.append(np.stack([x[b : b + (1 << 15)][good], y[b : b + (1 << 15)][good], often[good]]))
+            i, j = x[b : b + (1 << 15)], y[b : b + (1 << 15)]
+            equal = sig[i] == sig[j]
+            often = equal.sum(1)
+            good = np.flatnonzero(often >= least)
+            listed = np.packbits(equal[good], axis=1, bitorder="little").view(np.uint64).ravel() & mask[i[good]].view(np.uint64) & mask[j[good]].view(np.uint64)
+            good = good[(listed & (~listed + np.uint64(1))) == bit]
+            out.append(np.stack([i[good], j[good], often[good]]))
     return tuple(np.concatenate(out, 1))
 
 
-def residual_links(reps: DataFrame, components: DataFrame, candidates: DataFrame, words: int, percent: int, least: int) -> DataFrame:
-    """(a, b) links between different components, enough of them to join all that are linked.
+def residual_links(lists: DataFrame, components: DataFrame, candidates: DataFrame, words: int, percent: int, least: int, chunk: int = CHUNK) -> DataFrame:
+    """(node, hub) links between different components, enough of them to join all that are linked.
 
-    Candidates meet under their first ``enough_coordinates`` coordinates, in lists that hold several
-    components. Blocks of signatures first name the documents with a partner; only these come again
-    with their texts, and there pairs are compared on their full sets, those that agree most first,
-    and a pair whose documents are joined meanwhile is skipped. No pairs leave a block but links
-    that join something."""
-    first = enough_coordinates(percent)
-    postings = reps.select("doc", F.posexplode(F.slice("sig", 1, first)).alias("at", "value")).select("doc", "at", F.xxhash64("at", "value").alias("key"))
-    own = postings.join(components.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-    mixed = own.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key", "n")
-    rows = block_pairs(own, ["key"], "doc", mixed, 1024)
-    names = ["key", "lo", "hi", "own", "at", "doc", "component"]
+    Blocks of signatures first name the nodes with a partner; only these come again with their
+    texts, and there pairs are compared on their full sets, those that agree most first, and a
+    pair whose nodes are joined meanwhile is skipped. No pairs leave a block but links that join
+    something."""
+    rows = component_blocks(lists, components, chunk)
+    names = ["key", "lo", "hi", "own", "at", "node", "component", "mask"]
+    kinds = "key long, lo string, hi string, own string, at int, node long, component long, mask long"
 
     def named(group: pa.Table) -> Iterator[pa.RecordBatch]:
-        x, y, _ = fitting(group, first, least, percent)
+        x, y, _ = fitting(group, least, percent)
         if len(x):
-            at = np.union1d(x, y)
-            yield from group.select(names).take(pa.array(at)).combine_chunks().to_batches()
+            yield from group.select(names).take(pa.array(np.union1d(x, y))).combine_chunks().to_batches()
 
     def linked(group: pa.Table) -> Iterator[pa.RecordBatch]:
-        x, y, often = fitting(group, first, least, percent)
-        doc, component = group.column("doc").to_numpy(), group.column("component").to_numpy()
+        x, y, often = fitting(group, least, percent)
+        if not len(x):
+            return
+        node, component = group.column("node").to_numpy(), group.column("component").to_numpy()
         sets: dict[int, np.ndarray] = {}
         used = np.union1d(x, y).tolist()
         texts = byte_list(group.column("text"))
         for a, b in slices([len(texts[u]) for u in used], CHUNK_BYTES):
             sets.update(zip(used[a:b], shingle_sets([texts[u] for u in used[a:b]], words), strict=True))
-        number = {c: k for k, c in enumerate(np.unique(component).tolist())}
-        label = np.array([number[c] for c in component.tolist()])
+        label = np.unique(component, return_inverse=True)[1]
         found: list[tuple[int, int]] = []
         both, other = np.concatenate([x, y]), np.concatenate([y, x])
         order = np.lexsort((-np.concatenate([often, often]), both))
@@ -253,36 +333,51 @@ def residual_links(reps: DataFrame, components: DataFrame, candidates: DataFrame
                         label[label == label[v]] = label[u]
                 rest = rest[label[rest] != label[u]]
         if found:
-            u, v = (doc[np.array(z)] for z in zip(*found, strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["a", "b"])
+            u, v = (node[np.array(z)] for z in zip(*found, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["node", "hub"])
 
-    with_sig = rows.select("key", "lo", "hi", "own", "at", "doc", "component").join(candidates.select("doc", "n", "sig"), "doc")
-    few = stored(map_blocks(with_sig, ["key", "lo", "hi"], named, "key long, lo int, hi int, own int, at int, doc long, component long"), "residual")
-    return map_blocks(few.join(candidates.select("doc", "n", "sig", "text"), "doc"), ["key", "lo", "hi"], linked, "a long, b long").distinct()
+    few = stored(map_blocks(rows.join(candidates.select("node", "size", "sig"), "node"), ["key", "lo", "hi"], named, kinds), "residual")
+    return map_blocks(few.join(candidates.select("node", "size", "sig", "text"), "node"), ["key", "lo", "hi"], linked, "node long, hub long").distinct()
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 5, percent: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 5, percent: int = 80, chunk: int = CHUNK) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row a document."""
     least = least_matches(percent)
     sigs = stored(signatures(docs, text, doc_id, words), "signatures")
     full = sigs.where("doc is not null and print is not null")
-    classes = full.groupBy("print").agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("copies")).where("copies > 1").select("print", "rep")
-    copies = stored(full.select("doc", "print").join(classes, "print").where("doc <> rep").select("doc", "rep"), "copies")
-    reps = full.select("doc", "sig").join(copies.select("doc").distinct(), "doc", "left_anti").dropDuplicates(["doc"])
-    lists = stored(prefixes(reps, least), "prefixes")
-    named = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
-    wanted = lists.select("doc").distinct()
-    candidates = stored(named.join(wanted, "doc", "left_semi").dropDuplicates(["doc"]).join(full.select("doc", "n", "sig").dropDuplicates(["doc"]), "doc"), "candidates", compression="zstd")
-
-    centres = lists.groupBy("key").agg(F.max(F.struct("central", (-F.col("doc")).alias("minus"))).alias("c")).select("key", (-F.col("c.minus")).alias("hub"))
-    pairs = lists.join(centres, "key").where("doc <> hub").select(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b")).distinct()
-    links = stored(confirmed(agreeing(pairs, candidates, least, percent), candidates, words, percent), "links")
+    total = full.count()
+
+    # Rows of the same words are one node: the least of their numbers.
+    classes = full.groupBy("print").agg(F.min("row").alias("node"), F.min("doc").alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    classes = stored(classes, "classes")
+    copies = stored(join_skewed(full.select("row", "doc", "print"), classes, ["print"], "copies", total).select("row", "doc", "node"), "copies")
+    reps = full.select(F.col("row").alias("node"), "doc", "code", F.col("n").alias("size"), "sig").join(copies.where("row <> node").select(F.col("row").alias("node")), "node", "left_anti")
+    again = stored(sigs.where("doc is not null").groupBy("doc").agg(F.count(F.lit(1)).alias("times")).where("times > 1"), "repeated-ids")
+    repeated = stored(join_skewed(full.select("row", "doc"), again, ["doc"], "times", sigs.count()).join(copies.select("row", "node"), "row", "left").select("doc", F.coalesce("node", "row").alias("b")).distinct(), "repeated-nodes")
+    of_id = stored(repeated.groupBy("doc").agg(F.min("b").alias("a"), F.count(F.lit(1)).alias("nodes")).where("nodes > 1"), "nodes-of-ids")
+    same_id = join_skewed(repeated, of_id, ["doc"], "nodes", repeated.count()).where("a <> b").select("a", "b")
+
+    lists = stored(prefixes(reps.select("node", "sig"), least), "prefixes")
+    wanted = stored(reps.select("node", "doc", "code").join(lists.select("node").distinct(), "node", "left_semi"), "wanted")
+    texts = keyed(docs, text, doc_id).join(wanted, ["doc", "code"]).select("node", "text").dropDuplicates(["node"])
+    candidates = stored(texts.join(reps.select("node", "size", "sig"), "node"), "candidates", compression="zstd")
+
+    pairs = stored(agreeing(stored(hub_pairs(lists), "hub-pairs"), candidates, least, percent), "agreeing")
+    links = stored(confirmed(pairs, candidates, words, percent).union(same_id), "links")
     components = connected_components(links)
-    more = stored(confirmed(residual_links(candidates.select("doc", "sig"), components, candidates, words, percent, least), candidates, words, percent), "links")
+    more = stored(residual_links(lists, components, candidates, words, percent, least, chunk), "residual-links")
     if not more.isEmpty():
-        components = connected_components(links.union(more))
-
-    groups = copies.distinct().withColumnRenamed("doc", "copy")
-    out = sigs.select("doc", "n").join(groups, F.col("doc") == F.col("copy"), "left").withColumn("node", F.coalesce("rep", "doc"))
-    out = out.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        hubs = stored(more.groupBy("hub").agg(F.count(F.lit(1)).alias("n")), "hubs")
+        more = confirmed(split_hubs(join_skewed(more, hubs, ["hub"], "n", more.count())), candidates, words, percent)
+        components = connected_components(links.union(stored(more, "links")))
+
+    # A component's id is its least document id.
+    members = components.join(full.select(F.col("row").alias("node"), "doc"), "node").join(classes.select("node", "first"), "node", "left")
+    members = stored(members.select("node", "component", F.coalesce("first", "doc").alias("first")), "members")
+    leasts = stored(members.groupBy("component").agg(F.min("first").alias("least"), F.count(F.lit(1)).alias("nodes")), "components")
+    named = stored(join_skewed(members, leasts, ["component"], "nodes", members.count()).select("node", "least"), "component-ids")
+    groups = stored(classes.join(named, "node", "left").select("node", F.coalesce("least", "first").alias("of_class"), "copies"), "groups")
+    copied = join_skewed(copies.select("row", "node"), groups, ["node"], "copies", total).select("row", "of_class")
+    out = sigs.select("row", "doc", "n").join(copied, "row", "left").join(named.withColumnRenamed("node", "row"), "row", "left")
+    out = out.withColumn("component", F.coalesce("of_class", "least", "doc"))
     return out.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.coalesce(F.col("doc") == F.col("component"), F.lit(True)).alias("kept"))
