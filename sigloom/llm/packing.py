@@ -8,12 +8,13 @@ ceil((k + 1) * grain / share): the schedule has a closed form, so partitions nee
 each other but prefix sums of grain counts, and deficits carry across them exactly.
 
 Grains are filled inside a partition, so a document is cut only where a grain ends. A partition's
-last, short grain of each source goes to the tail of the stream, cut only by windows.
+last, short grain of each source goes to the tail of the stream: a second deficit round-robin over
+these, in which a short grain leaves in the round whose credit covers its end, cut only by windows.
 
 Sequences are consecutive windows; only the last can be short, and is padded to a power of two.
 
 Defined results: a null or empty text is the end id alone; a null source is a queue of its own;
-repeated rows are packed each; an empty table gives no pieces; a source that runs dry leaves its
+repeated rows, and rows with a null id, are packed each; other columns are not read; an empty table gives no pieces; a source that runs dry leaves its
 windows to the others, in proportion.
 """
 
@@ -36,14 +37,14 @@ PIECES = "part int, source string, grain long, piece int, whole boolean, doc_id
 ROUNDS = 64
 
 
-def cut_grains(docs: DataFrame, text: str, doc_id: str, source: str, vocabulary: str | None, end_id: int, grain: int) -> DataFrame:
+def cut_grains(docs: DataFrame, text: str, doc_id: str, source: str, vocabulary: str | None, end_id: int, grain: int, special_as_text: bool = False) -> DataFrame:
     """Pieces of documents by grain, with their ids as little-endian uint32."""
     path, end = vocabulary or vocabulary_path(), np.array([end_id], "<u4").tobytes()
     names = [f.strip().split()[0] for f in PIECES.split(",")]
     kinds = [pa.int32(), pa.string(), pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = UnitEncoder.of(path), TaskContext.get().partitionId()
+        encoder, part = UnitEncoder.of(path, special_as_text), TaskContext.get().partitionId()
         open_: dict[str | None, list] = {}  # of a source: number of its open grain, free tokens, its pieces so far
         done: list[tuple] = []
 
@@ -77,7 +78,31 @@ def cut_grains(docs: DataFrame, text: str, doc_id: str, source: str, vocabulary:
     return table.mapInArrow(rows, PIECES)
 
 
-def pack_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source", targets: Mapping[str | None, float] | None = None, window: int = WINDOW, grain: int = GRAIN, vocabulary: str | None = None, end_id: int = 1, payload: Callable[[Column], Column] = lambda ids: ids) -> DataFrame:
+def shares(totals: DataFrame, amount: str, window: float, targets: Mapping[str | None, float] | None) -> DataFrame:
+    """(queue, share): what a queue's credit grows by in a round of ``window``. The totals have one row a
+    source; by default queues share in proportion to their amounts."""
+    if targets:
+        weight = F.lit(None).cast("double")
+        for name, value in targets.items():
+            weight = F.when(F.col("source").eqNullSafe(F.lit(name)), float(value)).otherwise(weight)
+        totals = totals.withColumn("weight", F.coalesce(weight, F.lit(float(min(targets.values())))))
+    else:
+        totals = totals.withColumn("weight", F.col(amount).cast("double"))
+    every = totals.groupBy().agg(F.sum("weight").alias("every"))
+    return totals.crossJoin(F.broadcast(every)).select(F.col("source").alias("queue"), (F.col("weight") / F.col("every") * window).alias("share"))  # every is one row
+
+
+def placed(pieces: DataFrame, rounds: DataFrame, order: list[Column | str]) -> DataFrame:
+    """Pieces with ``at``, their place when they leave by round, then by the order given;
+    ``rounds`` has the (round, length) of all of them."""
+    block = F.expr(f"round div {ROUNDS}")
+    blocks = running_total(rounds.select(block.alias("block"), "length"), "block", "length")
+    by = Window.partitionBy("block").orderBy("round", *order).rowsBetween(Window.unboundedPreceding, -1)
+    inside = pieces.withColumn("block", block).withColumn("inside", F.coalesce(F.sum("length").over(by), F.lit(0)))
+    return inside.join(blocks, "block").withColumn("at", F.col("before") + F.col("inside"))
+
+
+def pack_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source", targets: Mapping[str | None, float] | None = None, window: int = WINDOW, grain: int = GRAIN, vocabulary: str | None = None, end_id: int = 1, payload: Callable[[Column], Column] = lambda ids: ids, special_as_text: bool = False) -> DataFrame:
     """(doc_id, source, start, length, doc_tokens, sequence_id, offset, payload): one row a piece.
 
     ``targets`` gives sources' token proportions (others share what is left over evenly with the
@@ -87,41 +112,32 @@ def pack_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     """
     if window % grain:
         raise ValueError("window must be a multiple of grain")
-    pieces = stored(cut_grains(docs, text, doc_id, source, vocabulary, end_id, grain), "pieces", compression="zstd")
+    pieces = stored(cut_grains(docs, text, doc_id, source, vocabulary, end_id, grain, special_as_text), "pieces", compression="zstd")
     meta = ["doc_id", "source", "start", "length", "doc_tokens"]
-
-    per = pieces.where("whole").groupBy("part", "source").agg((F.max("grain") + 1).alias("n"))
-    order = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = per.withColumn("base", F.coalesce(F.sum("n").over(order), F.lit(0)))
-    totals = per.groupBy("source").agg(F.sum("n").alias("grains"))
-    if targets:
-        least = float(min(targets.values()))
-        weight = F.lit(None).cast("double")
-        for name, value in targets.items():
-            weight = F.when(F.col("source").eqNullSafe(F.lit(name)), float(value)).otherwise(weight)
-        totals = totals.withColumn("weight", F.coalesce(weight, F.lit(least)))
-    else:
-        totals = totals.withColumn("weight", F.col("grains").cast("double"))
-    total = totals.groupBy().agg(F.sum("weight").alias("all_weight"), F.sum("grains").alias("all_grains"))
-    share = totals.crossJoin(F.broadcast(total)).select(F.col("source").alias("queue"), (F.col("weight") / F.col("all_weight") * (window // grain)).alias("share"))  # total is one row
-    bases = bases.join(share, F.col("source").eqNullSafe(F.col("queue"))).select(F.col("part").alias("in_part"), "queue", "base", "share")
-
+    mine = (F.col("part") == F.col("in_part")) & F.col("source").eqNullSafe(F.col("queue"))
+    earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
+
+    # Full grains: a round is a window, counted in grains.
+    per = stored(pieces.where("whole").groupBy("part", "source").agg((F.max("grain") + 1).alias("n")), "grain-counts")
+    bases = per.withColumn("base", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    share = shares(per.groupBy("source").agg(F.sum("n").alias("n")), "n", window // grain, targets)
+    bases = stored(bases.join(share, F.col("source").eqNullSafe(F.col("queue"))).select(F.col("part").alias("in_part"), "queue", "base", "share", "n"), "grain-bases")
+    leaves = F.ceil((F.col("k") + 1) / F.col("share")).cast("long")
     sent = pieces.where("whole").select("part", "piece", "grain", *meta, payload(F.col("ids")).alias("payload"))
-    sent = sent.join(bases, (F.col("part") == F.col("in_part")) & F.col("source").eqNullSafe(F.col("queue")))
-    sent = sent.withColumn("k", F.col("base") + F.col("grain"))
-    sent = sent.withColumn("round", F.ceil((F.col("k") + 1) / F.col("share")).cast("long"))
-    sent = sent.withColumn("block", F.expr(f"round div {ROUNDS}"))
-    blocks = running_total(pieces.where("whole and piece = 0").select("part", "grain", "source").join(bases, (F.col("part") == F.col("in_part")) & F.col("source").eqNullSafe(F.col("queue"))).select(F.expr(f"cast(ceil((base + grain + 1) / share) as long) div {ROUNDS}").alias("block"), F.lit(grain).alias("n")), "block", "n")
-    order = Window.partitionBy("block").orderBy("round", F.col("queue").asc_nulls_last(), "k", "piece").rowsBetween(Window.unboundedPreceding, -1)
-    sent = sent.withColumn("inside", F.coalesce(F.sum("length").over(order), F.lit(0)))
-    sent = sent.join(blocks, "block").withColumn("at", F.col("before") + F.col("inside"))
+    sent = sent.join(bases, mine).withColumn("k", F.col("base") + F.col("grain")).withColumn("round", leaves)
+    rounds = bases.withColumn("k", F.explode(F.sequence("base", F.col("base") + F.col("n") - 1))).select(leaves.alias("round"), F.lit(grain).alias("length"))
+    sent = placed(sent, rounds, [F.col("queue").asc_nulls_last(), "k", "piece"])
 
+    # Short grains follow, by a second schedule counted in tokens.
     late = pieces.where("not whole")
-    parts = running_total(late.select("part", "length"), "part", "length")
-    order = Window.partitionBy("part").orderBy(F.col("source").asc_nulls_last(), "piece").rowsBetween(Window.unboundedPreceding, -1)
-    late = late.withColumn("inside", F.coalesce(F.sum("length").over(order), F.lit(0))).join(parts, "part")
-    full = F.coalesce(F.col("all_grains"), F.lit(0)) * grain
-    late = late.crossJoin(F.broadcast(total)).withColumn("at", full + F.col("before") + F.col("inside"))  # total is one row
+    short = stored(late.groupBy("part", "source").agg(F.sum("length").alias("n")), "short-grains")
+    share = shares(short.groupBy("source").agg(F.sum("n").alias("n")), "n", window, targets)
+    ends = short.withColumn("end", F.coalesce(F.sum("n").over(earlier), F.lit(0)) + F.col("n"))
+    ends = ends.join(share, F.col("source").eqNullSafe(F.col("queue"))).select(F.col("part").alias("in_part"), "queue", "n", F.ceil(F.col("end") / F.col("share")).cast("long").alias("round"))
+    ends = stored(ends, "short-rounds")
+    full = per.groupBy().agg((F.coalesce(F.sum("n"), F.lit(0)) * grain).alias("full"))
+    late = placed(late.join(ends, mine), ends.select("round", F.col("n").alias("length")), [F.col("queue").asc_nulls_last(), "part", "piece"])
+    late = late.crossJoin(F.broadcast(full)).withColumn("at", F.col("full") + F.col("at"))  # full is one row
     first = F.lit(window) - F.col("at") % window
     cuts = F.when(F.col("length") > first, F.array(F.struct(F.lit(0).cast("long").alias("skip"), first.alias("n")), F.struct(first.alias("skip"), (F.col("length") - first).alias("n")))).otherwise(F.array(F.struct(F.lit(0).cast("long").alias("skip"), F.col("length").alias("n"))))
     late = late.withColumn("cut", F.explode(cuts)).withColumn("ids", F.substring("ids", (F.col("cut.skip") * 4 + 1).cast("int"), (F.col("cut.n") * 4).cast("int")))

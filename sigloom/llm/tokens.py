@@ -13,10 +13,14 @@ ASCII character of another kind, or else white space and what follows it up to t
 space. A piece of the byte-level pattern ends at each such border, so no token crosses it, and
 each distinct unit is encoded once by the tokenizers library and kept in a bounded memo of the
 worker: units that are one piece (letters, a space before them at most) directly by the
-tokenizer's model, others by the whole tokenizer.
+tokenizer's model, others by the whole tokenizer. The strings of special tokens stand in a text for
+their ids, as the library has it by default; such a text is cut at them first.
+``special_as_text`` takes them as ordinary text.
 
 Defined results: a null or empty text holds the end id alone; documents with a null id come
-first; documents that share an id stand together, ordered by text; an empty table gives an empty file.
+first; documents that share an id stand together, ordered by a hash of the text, and repeated rows
+are encoded each, in as many partitions as they need; other columns are not read; an empty table
+gives an empty file.
 """
 
 from __future__ import annotations
@@ -84,32 +88,43 @@ class Memo(dict):
 class UnitEncoder:
     """Texts to little-endian uint32 ids, by one tokenizer file."""
 
-    _of: dict[str, UnitEncoder] = {}
+    _of: dict[tuple[str, bool], UnitEncoder] = {}
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, special_as_text: bool = False) -> None:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        added = {} if special_as_text else {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.special = {x: array("I", [i]).tobytes() for x, i in added.items()}
+        self.parts = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
         if sys.byteorder != "little":
             raise RuntimeError("ids are kept in the machine's order, which must be little-endian")
         self.memo = Memo(self.tokenizer)
 
     @classmethod
-    def of(cls, path: str) -> UnitEncoder:
+    def of(cls, path: str, special_as_text: bool = False) -> UnitEncoder:
         """One a worker process; the memo stays between tasks."""
-        if path not in cls._of:
-            cls._of[path] = cls(path)
-        return cls._of[path]
+        key = (path, special_as_text)
+        if key not in cls._of:
+            cls._of[key] = cls(*key)
+        return cls._of[key]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.memo) > MEMO_UNITS:
             self.memo = Memo(self.tokenizer)
         ids_of = self.memo.__getitem__
-        return [b"".join(map(ids_of, UNIT.findall(t))) for t in texts]
+
+        def plain(t: str) -> bytes:
+            return b"".join(map(ids_of, UNIT.findall(t)))
+
+        def cut(t: str) -> bytes:  # every second part is a special token
+            return b"".join(self.special[x] if k % 2 else plain(x) for k, x in enumerate(self.parts.split(t)))
+
+        return [cut(t) if self.parts and self.parts.search(t) else plain(t) for t in texts]
 
 
 class Dac:
@@ -180,7 +195,7 @@ class Dac:
 SEGMENTS = "part int, seq int, n_tokens long, doc_ids array<bigint>, doc_tokens array<bigint>, codes binary"
 
 
-def encode_tokens(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", vocabulary: str | None = None, end_id: int = 0, segment_tokens: int = 1 << 18) -> DataFrame:
+def encode_tokens(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", vocabulary: str | None = None, end_id: int = 0, segment_tokens: int = 1 << 18, special_as_text: bool = False) -> DataFrame:
     """Segments of every whole text in ascending doc_id order; the end id closes each document."""
     path, end = vocabulary or vocabulary_path(), np.array([end_id], "<u4").tobytes()
 
@@ -193,7 +208,7 @@ def encode_tokens(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", v
         )
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = UnitEncoder.of(path), TaskContext.get().partitionId()
+        encoder, part = UnitEncoder.of(path, special_as_text), TaskContext.get().partitionId()
         seq, ids, texts, held = 0, [], [], 0
         for batch in batches:
             keys = batch.column(0).to_pylist()
@@ -210,7 +225,9 @@ def encode_tokens(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", v
             yield segment(part, seq, ids, texts)
 
     table = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return table.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text").mapInArrow(rows, SEGMENTS)
+    order = [F.col("doc_id").asc_nulls_first(), "code"]
+    table = table.withColumn("code", F.xxhash64("text")).withColumn("nth", F.monotonically_increasing_id())  # so that repeated rows can be parted
+    return table.repartitionByRange(*order, "nth").sortWithinPartitions(*order).select("doc_id", "text").mapInArrow(rows, SEGMENTS)
 
 
 def segment_starts(segments: DataFrame) -> DataFrame:
