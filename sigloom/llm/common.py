@@ -54,7 +54,7 @@ def join_skewed(rows: DataFrame, table: DataFrame, on: Sequence[str], weight: st
     the ``total`` rows have the key. Keys of more than total / HOT_KEYS rows are broadcast, which are
     fewer than HOT_KEYS narrow rows at any size; the others are shuffled, and none fills a task."""
     names = list(on)
-    if total <= HOT_KEYS:
+    if total <= HOT_KEYS or table.count() <= HOT_KEYS:
         return rows.join(F.broadcast(table), names)
     is_hot = F.col(weight) * HOT_KEYS > total
     hot = table.where(is_hot)

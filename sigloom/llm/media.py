@@ -2,11 +2,15 @@
 
 Payload bytes are kept verbatim as 8-bit mu-law or A-law samples, or as the nibbles of IMA
 ADPCM blocks, in a WAV container. Decoding expands mu-law and A-law by 256-entry tables and
-ADPCM by stepping through a block's nibbles for all blocks of a batch at once, in numpy; the
-16-bit PCM is then resampled from 8 to 16 kHz.
+ADPCM by stepping through a block's nibbles for all blocks of a batch at once, in numpy. The
+16-bit PCM is resampled by half-band filters from the clip's rate (8 kHz, of ADPCM 16 kHz) to one
+common rate and stored; features are computed from the PCM read back. The common rate is a
+parameter; the 8 kHz of telephony need half the room of 16 kHz.
 
 Defined results: a null or empty text is a payload of 576 bytes 255; a long text is one long
-clip; equal payloads give equal media, as the codec follows from the payload's checksum.
+clip; equal payloads give equal media, as the codec follows from the payload's checksum; a null
+id keeps its row, and repeated rows give repeated results; other columns are not read; an empty
+table gives an empty table.
 """
 
 from __future__ import annotations
@@ -24,7 +28,11 @@ from pyspark.sql import functions as F
 from sigloom.llm.common import arrow_map, byte_list, slices, stored
 
 UNIT = 576
-RATE_IN, RATE_OUT = 8000, 16000
+RATE_OUT = 8000
+#: Sampling rates of clips by codec.
+RATES = {"mulaw": 8000, "alaw": 8000, "adpcm": 16000}
+#: Both tables are kept; a higher level costs little beside decoding.
+STORE = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9"}
 CODECS = ("mulaw", "alaw", "adpcm")
 #: Format tags of the WAV container.
 WAV_TAG = {"alaw": 6, "mulaw": 7, "adpcm": 0x11}
@@ -85,10 +93,10 @@ def wav(payload: bytes, codec: str) -> bytes:
         units = np.frombuffer(payload, np.uint8).reshape(-1, UNIT)
         data = np.hstack([np.zeros((len(units), 4), np.uint8), units]).tobytes()
         align, samples = UNIT + 4, 1 + 2 * UNIT
-        fmt = struct.pack("<HHIIHHHH", WAV_TAG[codec], 1, RATE_IN, RATE_IN * align // samples, align, 4, 2, samples)
+        fmt = struct.pack("<HHIIHHHH", WAV_TAG[codec], 1, RATES[codec], RATES[codec] * align // samples, align, 4, 2, samples)
     else:
         data = payload
-        fmt = struct.pack("<HHIIHHH", WAV_TAG[codec], 1, RATE_IN, RATE_IN, 1, 8, 0)
+        fmt = struct.pack("<HHIIHHH", WAV_TAG[codec], 1, RATES[codec], RATES[codec], 1, 8, 0)
     body = b"WAVEfmt " + struct.pack("<I", len(fmt)) + fmt + b"data" + struct.pack("<I", len(data)) + data
     return b"RIFF" + struct.pack("<I", len(body)) + body
 
@@ -110,7 +118,7 @@ def payload_of(codec: str, data: bytes) -> bytes:
     return np.frombuffer(data, np.uint8).reshape(-1, UNIT + 4)[:, 4:].tobytes() if codec == "adpcm" else data
 
 
-def resampled(pcm: np.ndarray) -> np.ndarray:
+def doubled(pcm: np.ndarray) -> np.ndarray:
     """Twice the rate: samples stay, and between them a 4-tap half-band filter (-1 9 9 -1)/16."""
     x = pcm.astype(np.int32)
     p = np.concatenate([x[:1], x, x[-1:], x[-1:]])
@@ -120,8 +128,27 @@ def resampled(pcm: np.ndarray) -> np.ndarray:
     return out
 
 
-def decode(media: list[bytes]) -> list[np.ndarray]:
-    """16 kHz PCM of each WAV file; ADPCM blocks of all files are decoded together."""
+def halved(pcm: np.ndarray) -> np.ndarray:
+    """Half the rate: every second sample of the half-band filter (-1 0 9 16 9 0 -1)/32."""
+    p = np.pad(pcm.astype(np.int32), 3, mode="edge")
+    n = (len(pcm) + 1) // 2
+    tap = lambda k: p[k : k + 2 * n - 1 : 2]
+    return np.clip((16 * tap(3) + 9 * (tap(2) + tap(4)) - tap(0) - tap(6) + 16) >> 5, -32768, 32767).astype(np.int16)
+
+
+def resampled(pcm: np.ndarray, rate: int, to: int) -> np.ndarray:
+    """PCM at another rate, a power of two away."""
+    while rate < to:
+        pcm, rate = doubled(pcm), rate * 2
+    while rate > to:
+        pcm, rate = halved(pcm), rate // 2
+    if rate != to:
+        raise ValueError(f"no half-band way to {to} Hz")
+    return pcm
+
+
+def decode(media: list[bytes], rate: int = RATE_OUT) -> list[np.ndarray]:
+    """PCM of each WAV file at one rate; ADPCM blocks of all files are decoded together."""
     parts = [unwav(m) for m in media]
     blocks = [np.frombuffer(d, np.uint8).reshape(-1, UNIT + 4) for c, d in parts if c == "adpcm"]
     pcm = adpcm_decode(np.vstack(blocks)) if blocks else None
@@ -129,18 +156,18 @@ def decode(media: list[bytes]) -> list[np.ndarray]:
     for codec, data in parts:
         if codec == "adpcm":
             n = len(data) // (UNIT + 4)
-            out.append(resampled(pcm[at : at + n].reshape(-1)))
-            at += n
+            sound, at = pcm[at : at + n].reshape(-1), at + n
         else:
-            out.append(resampled((MULAW if codec == "mulaw" else ALAW)[np.frombuffer(data, np.uint8)]))
+            sound = (MULAW if codec == "mulaw" else ALAW)[np.frombuffer(data, np.uint8)]
+        out.append(resampled(sound, RATES[codec], rate))
     return out
 
 
-def feature(codec: str, pcm: np.ndarray) -> str:
+def feature(codec: str, rate: int, pcm: np.ndarray) -> str:
     x = pcm.astype(np.float32)
     rms, peak = float(np.sqrt(np.mean(x * x, dtype=np.float64))), int(np.abs(pcm.astype(np.int32)).max())
     crossings = int(np.count_nonzero(np.signbit(x[1:]) != np.signbit(x[:-1])))
-    return f"{codec};rate={RATE_OUT};samples={len(pcm)};rms={rms:.3f};peak={peak};crossings={crossings};pcm_crc32={zlib.crc32(pcm.tobytes())}"
+    return f"{codec};rate={rate};samples={len(pcm)};rms={rms:.3f};peak={peak};crossings={crossings};pcm_crc32={zlib.crc32(pcm.tobytes())}"
 
 
 def encode_media(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -158,40 +185,48 @@ def encode_media(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     return arrow_map(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")), rows, "doc_id long, n_bytes long, media binary")
 
 
-def decode_media(clips: DataFrame) -> DataFrame:
-    """(doc_id, n_bytes, media) -> (doc_id, rate, pcm): resampled little-endian 16-bit PCM."""
-
-    def rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        media = batch.column(1).to_pylist()
-        for a, b in slices([len(x) for x in media], 6 << 20):
-            pcm = [x.astype("<i2").tobytes() for x in decode(media[a:b])]
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([RATE_OUT] * (b - a), pa.int32()), pa.array(pcm, pa.binary())], names=["doc_id", "rate", "pcm"])
-
-    return arrow_map(clips.select("doc_id", "media"), rows, "doc_id long, rate int, pcm binary")
+DIGESTS = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, codec string, rate int, pcm binary"
 
 
-def describe_media(clips: DataFrame) -> DataFrame:
-    """Digests of stored clips: payload and media bytes, checksums, and features of the
-    resampled PCM."""
-    names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
+def decode_media(clips: DataFrame, rate: int = RATE_OUT) -> DataFrame:
+    """Stored clips (doc_id, n_bytes, media) -> DIGESTS: digests of payload and clip as read back, and
+    the resampled little-endian 16-bit PCM."""
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.binary()]
+    names = [f.split()[0] for f in DIGESTS.split(", ")]
 
     def rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         media = batch.column(2).to_pylist()
         for a, b in slices([len(x) for x in media], 6 << 20):
             part = media[a:b]
-            sound = decode(part)
-            out: list[list] = [[] for _ in range(6)]
-            for m, pcm in zip(part, sound, strict=True):
+            out: list[list] = [[] for _ in kinds]
+            for m, pcm in zip(part, decode(part, rate), strict=True):
                 codec, data = unwav(m)
                 payload = payload_of(codec, data)
-                for column, value in zip(out, (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(m), hashlib.sha256(m).hexdigest(), feature(codec, pcm)), strict=True):
+                values = (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(m), hashlib.sha256(m).hexdigest(), codec, rate, pcm.astype("<i2").tobytes())
+                for column, value in zip(out, values, strict=True):
                     column.append(value)
-            kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), *(pa.array(v, k) for v, k in zip(out, kinds, strict=True))], names=names)
 
-    return arrow_map(clips.select("doc_id", "n_bytes", "media"), rows, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return arrow_map(clips.select("doc_id", "n_bytes", "media"), rows, DIGESTS)
+
+
+def describe_media(sounds: DataFrame) -> DataFrame:
+    """Stored DIGESTS with features of the PCM read back in its place."""
+    kept = [f.split()[0] for f in DIGESTS.split(", ")][:7]
+
+    def rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        codecs, rates, pcm = (batch.column(k) for k in (7, 8, 9))
+        found = [feature(codecs[i].as_py(), rates[i].as_py(), np.frombuffer(pcm[i].as_buffer(), "<i2")) for i in range(batch.num_rows)]
+        yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(7)), pa.array(found, pa.string())], names=[*kept, "feature"])
+
+    return arrow_map(sounds, rows, ", ".join([*DIGESTS.split(", ")[:7], "feature string"]))
 
 
 def media_table(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Clips written to the shared folder and read back."""
-    return stored(encode_media(docs, text, doc_id), "media", compression="zstd")
+    return stored(encode_media(docs, text, doc_id), "media", **STORE)
+
+
+def sound_table(clips: DataFrame, rate: int = RATE_OUT) -> DataFrame:
+    """Digests and resampled PCM written to the shared folder and read back."""
+    return stored(decode_media(clips, rate), "sounds", **STORE)

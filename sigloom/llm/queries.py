@@ -55,11 +55,11 @@ def op8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.describe_media(media.media_table(table(spark, sf_dir, "documents")))
+    return media.describe_media(media.sound_table(media.media_table(table(spark, sf_dir, "documents"))))
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_documents(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+    return mixing.mix_documents(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies", "seed")
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
