@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from sigloom.llm.common import join_skewed, stored, unit_hash, word_count
 
-CAP, SEED, SEEDS = 3.0, 17, 32
+CAP, SEED, SEEDS = 3.0, 17, 64
 
 
 def source_key(source: Column) -> Column:
