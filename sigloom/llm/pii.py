@@ -12,10 +12,13 @@ the driver fits the trees, and the trees become one SQL expression.
 
 Where a match begins and ends follows from splitting the text by the pattern: the lengths of
 what lies between matches and of the matches add up to code point offsets. Patterns use
-possessive loops and look-behinds, so that long runs cost linear time and no recursion.
+possessive loops and look-behinds, so that long runs cost linear time and no recursion. Sums and
+the search for overlaps run over blocks of matches (``scanned``), so that a text of very many
+matches costs little more than in proportion.
 
 Defined results: a null text is an empty text without spans; a text of any length is searched
-whole; extra columns are not read; repeated rows give repeated results.
+whole; extra columns are not read; a null id keeps its row; repeated rows give repeated results; an
+empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -59,23 +62,51 @@ def bound(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
+def scanned(items: Column, zero: Column, kind: str, join: Callable[[Column, Column], Column], block: int = 128) -> Column:
+    """array<kind>: for each item what those before it come to, by an associative ``join`` with
+    ``zero`` as its neutral value. Blocks are summed up first, so that no state is copied for each item."""
+    none = F.array().cast(f"array<{kind}>")
+
+    def run(values: Column, start: Column) -> Column:
+        step = lambda s, x: F.struct(join(s["at"], x).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out"))
+        return F.aggregate(values, F.struct(start.alias("at"), none.alias("out")), step, lambda s: s["out"])
+
+    def long(values: Column) -> Column:
+        places = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / block).cast("int"))
+        blocks = F.transform(places, lambda k: F.slice(values, k * block + 1, F.lit(block)))
+
+        def starts(of: Column) -> Column:
+            return F.flatten(F.zip_with(of, run(F.transform(of, lambda b: F.aggregate(b, zero, join)), zero), run))
+
+        return bound(blocks, starts)
+
+    return bound(items, lambda x: F.when(F.size(x) <= block, run(x, zero)).otherwise(long(x)))
+
+
+SPAN = "struct<start:int,end:int,found:string,left:string,right:string>"
+
+
 def located(text: Column, pattern: str, needs: str) -> Column:
     """array<struct<start, end, found, left, right>> of the pattern's matches, in code points;
     left and right are some characters around."""
-    empty = F.array().cast("array<struct<start:int,end:int,found:string,left:string,right:string>>")
 
     def spans(x: Column) -> Column:
-        def step(state: Column, m: Column) -> Column:
-            start = (state["at"] + F.length(m["before"])).cast("int")
-            end = (start + F.length(m["found"])).cast("int")
-            own = F.struct(start.alias("start"), end.alias("end"), m["found"].alias("found"), F.substring(m["before"], -CONTEXT, CONTEXT).alias("left"), F.substring(m["after"], 1, CONTEXT).alias("right"))
-            return F.struct(end.alias("at"), F.concat(state["spans"], F.array(own)).alias("spans"))
-
         matches = F.transform(x["found"], lambda f, i: F.struct(F.get(x["between"], i).alias("before"), f.alias("found"), F.get(x["between"], i + 1).alias("after")))
-        return F.aggregate(matches, F.struct(F.lit(0).alias("at"), empty.alias("spans")), step, lambda s: s["spans"])
+
+        def placed(ms: Column) -> Column:
+            ends = scanned(F.transform(ms, lambda m: (F.length(m["before"]) + F.length(m["found"])).cast("int")), F.lit(0), "int", lambda s, n: (s + n).cast("int"))
+
+            def span(m: Column, at: Column) -> Column:
+                start = (at + F.length(m["before"])).cast("int")
+                end = (start + F.length(m["found"])).cast("int")
+                return F.struct(start.alias("start"), end.alias("end"), m["found"].alias("found"), F.substring(m["before"], -CONTEXT, CONTEXT).alias("left"), F.substring(m["after"], 1, CONTEXT).alias("right"))
+
+            return F.zip_with(ms, ends, span)
+
+        return bound(matches, placed)
 
     both = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"), F.split(text, pattern, -1).alias("between"))
-    return F.when(text.rlike(needs), bound(both, spans)).otherwise(empty)
+    return F.when(text.rlike(needs), bound(both, spans)).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
 def digits_of(text: Column) -> Column:
@@ -219,8 +250,56 @@ def trees_sql(trees: list, f: Column) -> Column:
     return total
 
 
+def described(spans: Column, kind: str) -> Column:
+    """Candidates of a kind with their features."""
+    return F.transform(spans, lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), F.array(*features(KINDS.index(kind), c)).alias("f")))
+
+
 def candidates(text: Column, kind: str) -> Column:
-    return F.transform(located(text, GENERATORS[kind], GENERATOR_NEEDS[kind]), lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), F.array(*features(KINDS.index(kind), c)).alias("f")))
+    return described(located(text, GENERATORS[kind], GENERATOR_NEEDS[kind]), kind)
+
+
+def outside(spans: Column, base: Column) -> Column:
+    """The spans that overlap none of base. Both are sorted by place together: a span stands at its
+    end, a base span at its start, and the farthest end of the base spans before tells."""
+    none = F.lit(None).cast(SPAN)
+    event = lambda at, kind, end, own: F.struct(at.alias("at"), F.lit(kind).alias("kind"), end.alias("end"), own.alias("own"))
+    events = F.concat(F.transform(spans, lambda c: event(c["end"], 0, F.lit(0), c)), F.transform(base, lambda b: event(b["start"], 1, b["end"], none)))
+
+    def free(es: Column) -> Column:
+        far = scanned(F.transform(es, lambda e: e["end"]), F.lit(0), "int", lambda s, e: F.greatest(s, e))
+        kept = F.zip_with(es, far, lambda e, f: F.when((e["kind"] == 0) & (f <= e["own"]["start"]), e["own"]))
+        return F.filter(kept, lambda c: c.isNotNull())
+
+    return F.when((F.size(spans) == 0) | (F.size(base) == 0), spans).otherwise(bound(F.sort_array(events), free))
+
+
+SCORED = "struct<start:int,kind:int,end:int,score:double>"
+
+
+def best_of(scored: Column) -> Column:
+    """Of SCORED candidates, those that no better one overlaps: by score, then start, then kind.
+    Candidates of one kind never overlap, so an earlier one that overlaps is the last of its kind."""
+    last = F.lit(None).cast("struct<end:int,score:double,at:int>")
+    names = [f"k{k}" for k in range(len(KINDS))]
+    kinds = "struct<" + ",".join(f"{n}:struct<end:int,score:double,at:int>" for n in names) + ">"
+
+    def select(cs: Column) -> Column:
+        own = F.transform(cs, lambda c, i: F.struct(*[F.when(c["kind"] == k, F.struct(c["end"].alias("end"), c["score"].alias("score"), i.cast("int").alias("at"))).otherwise(last).alias(n) for k, n in enumerate(names)]))
+        before = scanned(own, F.struct(*[last.alias(n) for n in names]), kinds, lambda s, x: F.struct(*[F.coalesce(x[n], s[n]).alias(n) for n in names]))
+
+        def beaten(ps: Column) -> Column:
+            def losers(c: Column, i: Column) -> Column:
+                p = F.get(ps, i)
+                loser = lambda b: F.when(b.isNotNull() & (c["start"] < b["end"]), F.when(b["score"] >= c["score"], i.cast("int")).otherwise(b["at"]))
+                return F.array(*[loser(p[n]) for n in names])
+
+            lost = F.filter(F.flatten(F.transform(cs, losers)), lambda x: x.isNotNull())
+            return F.transform(F.array_except(F.sequence(F.lit(0), F.size(cs) - 1), lost), lambda i: F.get(cs, i))
+
+        return bound(before, beaten)
+
+    return F.when(F.size(scored) <= 1, scored).otherwise(bound(F.sort_array(scored), select))
 
 
 _models: dict[str, tuple[list, dict[str, float]]] = {}
@@ -265,44 +344,58 @@ def find_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
         valid = F.filter(located(F.col("text"), BASE[kind], NEEDS[kind]), lambda c: passes(kind, c["found"]))
         return F.transform(valid, lambda c: F.struct(F.lit(k).alias("kind"), c["start"].alias("start"), c["end"].alias("end")))
 
-    def scored_of(k: int, kind: str) -> Column:
-        each = F.transform(candidates(F.col("text"), kind), lambda c: F.struct(F.lit(k).alias("kind"), c["start"].alias("start"), c["end"].alias("end"), trees_sql(trees, c["f"]).alias("score")))
+    def scored_of(k: int, kind: str, base: Column) -> Column:
+        free = outside(located(F.col("text"), GENERATORS[kind], GENERATOR_NEEDS[kind]), base)
+        each = F.transform(described(free, kind), lambda c: F.struct(c["start"].alias("start"), F.lit(k).alias("kind"), c["end"].alias("end"), trees_sql(trees, c["f"]).alias("score")))
         return F.filter(each, lambda c: c["score"] >= limits[kind])
 
-    base = F.concat(*[base_of(k, kind) for k, kind in enumerate(KINDS)])
-    scored = F.concat(*[scored_of(k, kind) for k, kind in enumerate(KINDS)])
-    overlap = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
-
-    def select(x: Column) -> Column:
-        better = lambda b, c: (b["score"] > c["score"]) | ((b["score"] == c["score"]) & ((b["start"] < c["start"]) | ((b["start"] == c["start"]) & (b["kind"] < c["kind"]))))
-        free = F.filter(x["scored"], lambda c: ~F.exists(x["base"], lambda b: overlap(b, c)))
-        best = bound(free, lambda f: F.filter(f, lambda c: ~F.exists(f, lambda b: overlap(b, c) & better(b, c))))
-        return F.struct(x["base"].alias("base"), F.transform(best, lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"))).alias("added"))
+    def select(base: Column) -> Column:
+        scored = F.concat(*[scored_of(k, kind, base) for k, kind in enumerate(KINDS)])
+        added = F.transform(bound(scored, best_of), lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end")))
+        return F.struct(base.alias("base"), added.alias("added"))
 
+    base = F.concat(*[base_of(k, kind) for k, kind in enumerate(KINDS)])
     some = F.col("text").rlike(r"[0-9@]|[\(\[\{<]at[\)\]\}>]")
     none = F.array().cast("array<struct<kind:int,start:int,end:int>>")
-    spans = F.when(some, bound(F.struct(base.alias("base"), scored.alias("scored")), select)).otherwise(F.struct(none.alias("base"), none.alias("added")))
+    spans = F.when(some, bound(base, select)).otherwise(F.struct(none.alias("base"), none.alias("added")))
     return kept.withColumn("spans", spans).select("doc_id", "text", "spans.base", "spans.added")
 
 
 def joined(spans: Column) -> Column:
     """kind:start:end by kind, then start, joined by commas."""
     name = F.array(*[F.lit(k) for k in KINDS])
-    return F.array_join(F.transform(F.array_sort(spans), lambda s: F.concat_ws(":", F.get(name, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return F.array_join(F.transform(F.sort_array(spans), lambda s: F.concat_ws(":", F.get(name, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+PIECE = 4096
 
 
 def redact(found: DataFrame, mask: str = "▇") -> DataFrame:
-    """(doc_id, redacted): every span overwritten, with its length kept. Works through the spans by start."""
-    ordered = F.array_sort(F.transform(F.concat("base", "added"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    """(doc_id, redacted): every span overwritten, with its length kept. The text is cut into pieces of
+    PIECE code points, and each is overwritten by the parts of spans that lie in it."""
+    spans = F.concat("base", "added")
+    cuts = F.flatten(F.transform(spans, lambda s: F.transform(F.sequence((s["start"] / PIECE).cast("int"), ((s["end"] - 1) / PIECE).cast("int")), lambda k: F.struct(k.alias("k"), F.greatest(s["start"] - k * PIECE, F.lit(0)).alias("start"), F.least(s["end"] - k * PIECE, F.lit(PIECE)).alias("end")))))
+
+    def masked(piece: Column, own: Column) -> Column:
+        def step(state: Column, s: Column) -> Column:
+            start, end = F.greatest(s["start"], state["at"]), F.greatest(s["end"], state["at"])
+            return F.struct(end.alias("at"), F.concat(state["out"], F.substring(piece, state["at"] + 1, start - state["at"]), F.repeat(F.lit(mask), end - start)).alias("out"))
+
+        return F.aggregate(own, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda s: F.concat(s["out"], F.substring(piece, s["at"] + 1, F.lit(PIECE))))
+
+    def whole(x: Column) -> Column:
+        def piece_of(piece: Column, k: Column) -> Column:
+            first = F.array_position(x["ks"], k).cast("int")
+            after = F.size(x["cuts"]) - F.array_position(x["back"], k).cast("int") + 2
+            return F.when(first == 0, piece).otherwise(masked(piece, F.slice(x["cuts"], F.greatest(first, F.lit(1)), after - first)))
+
+        return F.array_join(F.transform(x["pieces"], piece_of), "")
 
-    def step(state: Column, s: Column) -> Column:
-        start = F.greatest(s["start"], state["at"])
-        end = F.greatest(s["end"], state["at"])
-        kept = F.substring(F.col("text"), state["at"] + 1, start - state["at"])
-        return F.struct(end.alias("at"), F.concat(state["out"], kept, F.repeat(F.lit(mask), end - start)).alias("out"))
+    def keyed(c: Column) -> Column:
+        ks = F.transform(c, lambda s: s["k"])
+        return bound(F.struct(F.regexp_extract_all("text", F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)).alias("pieces"), c.alias("cuts"), ks.alias("ks"), F.reverse(ks).alias("back")), whole)
 
-    whole = F.aggregate(ordered, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda s: F.concat(s["out"], F.substring(F.col("text"), s["at"] + 1, F.length("text"))))
-    return found.select("doc_id", whole.alias("redacted"))
+    return found.select("doc_id", F.when(F.size(spans) == 0, F.col("text")).otherwise(bound(F.sort_array(cuts), keyed)).alias("redacted"))
 
 
 def digests(found: DataFrame) -> DataFrame:
