@@ -9,14 +9,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sigloom.llm.common import join_skewed
+
 CHUNK = 512
 
 
 def block_pairs(rows: DataFrame, keys: Sequence[str], by: str, sizes: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """Every row of a group goes to the blocks (lo, hi) of chunk pairs that hold its chunk: all
     pairs of a group meet in one block each, and no block holds more than about 2 * chunk rows.
-    ``sizes`` gives ``n`` for each group; rows of groups it lacks are left out. Adds lo, hi, own."""
-    sized = rows.join(sizes, list(keys))
+    ``sizes``, stored, gives ``n`` for each group; rows of groups it lacks are left out. Adds lo, hi, own."""
+    sized = join_skewed(rows, sizes, keys, "n", rows.count())
     parts = F.ceil(F.col("n") / chunk)
     sized = sized.withColumn("own", F.pmod(F.xxhash64(F.lit(3), F.col(by)), parts).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), (parts - 1).cast("int"))))
     return sized.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).drop("n", "other")

@@ -2,15 +2,18 @@
 
 A rotation is learned on a bounded sample (at most SAMPLE vectors) so that the signs of rotated,
 centred vectors lose least: principal directions, then alternating sign codes and orthogonal
-Procrustes steps. A code has TABLES substrings of SUBSTRING bits. Vectors whose codes differ in
-at most one bit of some substring meet: each substring is posted once for each of its bits,
-with that bit masked. This finds every pair of up to 2 * TABLES - 1 differing bits, and most beyond.
-Postings of one vector only are dropped, lists are dealt out in bounded blocks, and in a block
-candidates are reranked by their cosine in double precision. A pair is counted in one list
-only: that of the first substring (and bit) that finds it. Blocks give link counts and a
-spanning forest of their links, whose components are joined afterwards.
-
-Vectors equal in label and components are collapsed before, and counted by their number.
+Procrustes steps. A code has several substrings; their width follows from the number of vectors
+(``shape_of``), so that a list of equal substrings keeps its length as the table grows. Vectors
+whose codes differ in at most one bit of some substring meet: each substring is posted once for
+each of its bits, with that bit masked. With t substrings this finds every pair of up to
+2 * t - 1 differing bits, and most beyond. Postings of one vector only are dropped, lists are dealt
+out in bounded blocks, and in a block candidates are reranked by their cosine in double
+precision. A pair is counted in one list only: that of the first substring (and bit) that finds
+it. Blocks give link counts and a spanning forest of their links, whose components are joined
+afterwards.
+
+Vectors equal in label and components are collapsed before, and counted by their number. For
+codes alone, vectors of more than FOLD components are folded to that many.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components, or
 have a null label, link with nothing, and so do vectors of different lengths; a null id is
@@ -20,6 +23,7 @@ a component; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,16 +32,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sigloom.llm.blocks import block_pairs, map_blocks
-from sigloom.llm.common import stored
+from sigloom.llm.common import join_skewed, mixed64, stored
 from sigloom.llm.graph import connected_components
 
-SUBSTRING, TABLES = 16, 4
-BITS = SUBSTRING * TABLES
-SAMPLE = 8192
+SAMPLE, FOLD = 8192, 256
+
+
+def shape_of(n: int) -> tuple[int, int]:
+    """(substrings, bits of each) for n vectors: about log2(n) bits, and more substrings where these
+    are wide, as a wide one differs in more than one bit more often."""
+    width = min(max(math.ceil(math.log2(max(n, 2))), 12), 30)
+    return (4 if width <= 22 else 6), width
 
 
-def learn_rotation(x: np.ndarray, rounds: int = 30, seed: int = 8) -> tuple[np.ndarray, np.ndarray]:
-    """(projection [d, BITS], thresholds [BITS]) from unit vectors [n, d]. With fewer dimensions than bits,
+def learn_rotation(x: np.ndarray, bits: int, rounds: int = 30, seed: int = 8) -> tuple[np.ndarray, np.ndarray]:
+    """(projection [d, bits], thresholds [bits]) from unit vectors [n, d]. With fewer dimensions than bits,
     further random rotations of the same directions fill the code; thresholds are medians,
     so each bit splits the sample in halves."""
     random = np.random.default_rng(seed)
@@ -45,23 +54,41 @@ def learn_rotation(x: np.ndarray, rounds: int = 30, seed: int = 8) -> tuple[np.n
     mean = x.mean(0)
     columns: list[np.ndarray] = []
     _, vectors = np.linalg.eigh(np.cov(x - mean, rowvar=False).reshape(d, d) + 1e-9 * np.eye(d))
-    main = vectors[:, ::-1][:, : min(d, BITS)]
+    main = vectors[:, ::-1][:, : min(d, bits)]
     v = (x - mean) @ main
-    while sum(c.shape[1] for c in columns) < BITS:
+    while sum(c.shape[1] for c in columns) < bits:
         rotation = np.linalg.qr(random.normal(size=(v.shape[1], v.shape[1])))[0]
         for _ in range(rounds):
             codes = np.where(v @ rotation >= 0, 1.0, -1.0)
             left, _, right = np.linalg.svd(codes.T @ v)
             rotation = (left @ right).T
         columns.append(main @ rotation)
-    projection = np.hstack(columns)[:, :BITS]
+    projection = np.hstack(columns)[:, :bits]
     return projection, np.median(x @ projection, axis=0)
 
 
-def codes_of(x: np.ndarray, model: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+def codes_of(x: np.ndarray, model: tuple[np.ndarray, np.ndarray], tables: int, width: int) -> np.ndarray:
+    """int64 [n, tables]: the substrings of each vector's code."""
     projection, thresholds = model
-    bits = (x @ projection) >= thresholds
-    return (bits.astype(np.uint64) << np.arange(BITS, dtype=np.uint64)).sum(1, dtype=np.uint64)
+    bits = ((x @ projection) >= thresholds).reshape(len(x), tables, width)
+    return (bits.astype(np.int64) << np.arange(width, dtype=np.int64)).sum(2)
+
+
+def folded(column: pa.Array, width: int) -> np.ndarray:
+    """float64 [n, width] unit vectors; components beyond the width are added to earlier ones, with
+    signs that change from fold to fold."""
+    out = np.zeros((len(column), width))
+    for i, v in enumerate(column):
+        v = np.asarray(v.values.to_numpy(zero_copy_only=False), np.float64)
+        v = v / np.abs(v).max()
+        if len(v) > width:
+            v = np.pad(v, (0, -len(v) % width)).reshape(-1, width)
+            signs = 1 - 2 * (mixed64(np.arange(v.size, dtype=np.uint64).reshape(v.shape)) >> np.uint64(63)).astype(np.float64)
+            signs[0] = 1
+            v = (v * signs).sum(0)
+        out[i, : len(v)] = v
+    norm = np.sqrt((out * out).sum(1, keepdims=True))
+    return out / np.where(norm > 0, norm, 1)
 
 
 def unit_rows(column: pa.Array, width: int) -> np.ndarray:
@@ -103,46 +130,44 @@ def vector_links(table: DataFrame, vec_id: str = "vec_id", embedding: str = "emb
     usable = raw.where(sound).withColumn("x", F.transform("x", lambda v: v + F.lit(0.0)))
     grouped = usable.where("vec is not null").groupBy("label", "x").agg(F.min("vec").alias("rep"), F.count(F.lit(1)).alias("weight"))
     classes = stored(grouped.withColumn("width", F.size("x")), "vectors")
-    width = classes.agg(F.max("width")).first()[0]
-    if width is None:
+    widest, n = classes.agg(F.max("width"), F.count(F.lit(1))).first()
+    if widest is None:
         return raw.select(F.col("vec").alias("vec_id"), F.lit(0).cast("long").alias("n_links"), F.col("vec").alias("component_id"), F.lit(True).alias("kept"))
 
-    n = classes.count()
+    wide, (tables, bits) = min(widest, FOLD), shape_of(n)
     share = min(1.0, 2.0 * SAMPLE / n)
     order = F.xxhash64(F.lit(8), F.col("rep"))
     sample = classes.where(F.pmod(order, F.lit(1 << 20)) < int(share * (1 << 20)) + 1).orderBy(order, "rep").limit(SAMPLE).select("rep", "x").toArrow().sort_by("rep")
-    model = spark.sparkContext.broadcast(learn_rotation(unit_rows(sample.column("x").combine_chunks(), width)))
+    model = spark.sparkContext.broadcast(learn_rotation(folded(sample.column("x").combine_chunks(), wide), tables * bits))
 
     def code_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, batch.num_rows, 4096):
                 part = batch.slice(a, 4096)
-                codes = codes_of(unit_rows(part.column(3), width), model.value)
-                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in range(3)), pa.array(codes.view(np.int64))], names=["rep", "label", "width", "code"])
+                codes = codes_of(folded(part.column(3), wide), model.value, tables, bits)
+                flat = pa.ListArray.from_arrays(pa.array(np.arange(len(codes) + 1) * tables, pa.int32()), pa.array(codes.ravel()))
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in range(3)), flat], names=["rep", "label", "width", "code"])
 
-    coded = classes.select("rep", "label", "width", "x").mapInArrow(code_rows, "rep long, label string, width int, code long")
-    part = F.expr(f"shiftrightunsigned(code, int((p div {SUBSTRING}) * {SUBSTRING}))").bitwiseAND((1 << SUBSTRING) - 1)
-    masked = part.bitwiseAND(F.expr(f"~shiftleft(1L, int(p % {SUBSTRING}))"))
-    postings = coded.withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(BITS - 1)))).select("rep", "code", "p", F.xxhash64("label", "width", "p", masked).alias("key"))
+    coded = classes.select("rep", "label", "width", "x").mapInArrow(code_rows, "rep long, label string, width int, code array<bigint>")
+    masked = F.expr(f"get(code, int(p div {bits}))").bitwiseAND(F.expr(f"~shiftleft(1L, int(p % {bits}))"))
+    postings = coded.withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(tables * bits - 1)))).select("rep", "code", "p", F.xxhash64("label", "width", "p", masked).alias("key"))
     postings = stored(postings, "postings")
-    sizes = postings.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    sizes = stored(postings.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "posting-sizes")
     rows = block_pairs(postings, ["key"], "rep", sizes)
     rows = rows.join(classes.select("rep", "label", "width", "x", "weight"), "rep")
 
     def block(group: pa.Table) -> Iterator[pa.RecordBatch]:
-        rep, code, p, own, lo, hi, weight = (group.column(c).to_numpy() for c in ("rep", "code", "p", "own", "lo", "hi", "weight"))
+        rep, p, own, lo, hi, weight = (group.column(c).to_numpy() for c in ("rep", "p", "own", "lo", "hi", "weight"))
         left = np.flatnonzero(own == lo[0])
         right = left if lo[0] == hi[0] else np.flatnonzero(own == hi[0])
         if not len(left) or not len(right):
             return
-        code = code.view(np.uint64)
-        differ = code[left][:, None] ^ code[right]
-        first = np.full(differ.shape, -1, np.int64)  # the posting in which the pair counts
-        for t in range(TABLES - 1, -1, -1):
-            d = (differ >> np.uint64(t * SUBSTRING)) & np.uint64((1 << SUBSTRING) - 1)
-            near = (d & (d - np.uint64(1) * (d > 0))) == 0
-            at = np.where(d > 0, np.bitwise_count(np.where(d > 0, d - np.uint64(1), 0).astype(np.uint64)), 0)
-            first = np.where(near, t * SUBSTRING + at, first)
+        code = group.column("code").combine_chunks().flatten().to_numpy().reshape(-1, tables)
+        first = np.full((len(left), len(right)), -1, np.int64)  # the posting in which the pair counts
+        for t in range(tables - 1, -1, -1):
+            d = code[left, t][:, None] ^ code[right, t]
+            near = (d & (d - (d > 0))) == 0
+            first = np.where(near, t * bits + np.where(d > 0, np.bitwise_count(np.where(d > 0, d - 1, 0)), 0), first)
         fits = first == p[0]
         names, widths = np.array(group.column("label").to_pylist()), group.column("width").to_numpy()
         if len(set(names)) > 1 or widths.min() != widths.max():  # keys are hashes
@@ -168,7 +193,7 @@ def vector_links(table: DataFrame, vec_id: str = "vec_id", embedding: str = "emb
     counts = found.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("others"))
     components = connected_components(found.where("b is not null").select("a", "b"))
 
-    classed = usable.where("vec is not null").join(classes.select(F.col("label").alias("l"), F.col("x").alias("y"), "rep", "weight"), (F.col("label") == F.col("l")) & (F.col("x") == F.col("y"))).select("vec", "rep", "weight")
+    classed = join_skewed(usable.where("vec is not null").select("vec", "label", "x"), classes.select("label", "x", "rep", "weight"), ["label", "x"], "weight", usable.count()).select("vec", "rep", "weight")
     result = classed.join(counts, "rep", "left").join(components, F.col("rep") == F.col("node"), "left")
     linked = result.select("vec", (F.col("weight") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
     lone = raw.where(~sound | F.col("vec").isNull()).select("vec", F.lit(0).cast("long").alias("n_links"), F.col("vec").alias("component_id"))
