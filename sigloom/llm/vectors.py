@@ -17,8 +17,8 @@ codes alone, vectors of more than FOLD components are folded to that many.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components, or
 have a null label, link with nothing, and so do vectors of different lengths; a null id is
-allowed and keeps its row unlinked; rows that repeat an id are told apart in counting, but share
-a component; an empty table gives an empty table.
+allowed and keeps its row unlinked; rows that repeat an id are told apart in counting, each by its
+own vector, but share a component; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -47,8 +47,8 @@ def shape_of(n: int) -> tuple[int, int]:
 
 def learn_rotation(x: np.ndarray, bits: int, rounds: int = 30, seed: int = 8) -> tuple[np.ndarray, np.ndarray]:
     """(projection [d, bits], thresholds [bits]) from unit vectors [n, d]. With fewer dimensions than bits,
-    further random rotations of the same directions fill the code; thresholds are medians,
-    so each bit splits the sample in halves."""
+    further random rotations of the same directions fill the code; thresholds lie in the widest
+    gap of the middle fifth, so each bit splits the sample in about halves, but no close group."""
     random = np.random.default_rng(seed)
     d = x.shape[1]
     mean = x.mean(0)
@@ -64,7 +64,13 @@ def learn_rotation(x: np.ndarray, bits: int, rounds: int = 30, seed: int = 8) ->
             rotation = (left @ right).T
         columns.append(main @ rotation)
     projection = np.hstack(columns)[:, :bits]
-    return projection, np.median(x @ projection, axis=0)
+    values = np.sort(x @ projection, axis=0)
+    low, high = math.floor(0.4 * (len(x) - 1)), math.ceil(0.6 * (len(x) - 1))
+    middle = values[low : high + 1]
+    if len(middle) < 2:
+        return projection, middle[0]
+    at = np.diff(middle, axis=0).argmax(0)
+    return projection, (np.take_along_axis(middle, at[None], 0) + np.take_along_axis(middle, at[None] + 1, 0))[0] / 2
 
 
 def codes_of(x: np.ndarray, model: tuple[np.ndarray, np.ndarray], tables: int, width: int) -> np.ndarray:
@@ -128,16 +134,17 @@ def vector_links(table: DataFrame, vec_id: str = "vec_id", embedding: str = "emb
     raw = table.select(F.col(vec_id).cast("long").alias("vec"), F.col(embedding).cast("array<double>").alias("x"), F.col(label).cast("string").alias("label"))
     sound = F.coalesce((F.size("x") > 0) & F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists("x", lambda v: v != 0), F.lit(False)) & F.col("label").isNotNull()
     usable = raw.where(sound).withColumn("x", F.transform("x", lambda v: v + F.lit(0.0)))
-    grouped = usable.where("vec is not null").groupBy("label", "x").agg(F.min("vec").alias("rep"), F.count(F.lit(1)).alias("weight"))
-    classes = stored(grouped.withColumn("width", F.size("x")), "vectors")
+    usable = usable.where("vec is not null")
+    grouped = usable.groupBy("label", "x").agg(F.min("vec").alias("first"), F.count(F.lit(1)).alias("weight"))
+    classes = stored(grouped.withColumn("width", F.size("x")).withColumn("rep", F.monotonically_increasing_id()), "vectors")
     widest, n = classes.agg(F.max("width"), F.count(F.lit(1))).first()
     if widest is None:
         return raw.select(F.col("vec").alias("vec_id"), F.lit(0).cast("long").alias("n_links"), F.col("vec").alias("component_id"), F.lit(True).alias("kept"))
 
     wide, (tables, bits) = min(widest, FOLD), shape_of(n)
     share = min(1.0, 2.0 * SAMPLE / n)
-    order = F.xxhash64(F.lit(8), F.col("rep"))
-    sample = classes.where(F.pmod(order, F.lit(1 << 20)) < int(share * (1 << 20)) + 1).orderBy(order, "rep").limit(SAMPLE).select("rep", "x").toArrow().sort_by("rep")
+    order = F.xxhash64(F.lit(8), F.col("first"), F.col("label"))
+    sample = classes.where(F.pmod(order, F.lit(1 << 20)) < int(share * (1 << 20)) + 1).orderBy(order, "first", "x").limit(SAMPLE).select("x").toArrow()
     model = spark.sparkContext.broadcast(learn_rotation(folded(sample.column("x").combine_chunks(), wide), tables * bits))
 
     def code_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,10 +198,19 @@ def vector_links(table: DataFrame, vec_id: str = "vec_id", embedding: str = "emb
 
     found = stored(map_blocks(rows, ["key", "lo", "hi"], block, "a long, b long, n long"), "vector-links")
     counts = found.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("others"))
-    components = connected_components(found.where("b is not null").select("a", "b"))
-
-    classed = join_skewed(usable.where("vec is not null").select("vec", "label", "x"), classes.select("label", "x", "rep", "weight"), ["label", "x"], "weight", usable.count()).select("vec", "rep", "weight")
-    result = classed.join(counts, "rep", "left").join(components, F.col("rep") == F.col("node"), "left")
-    linked = result.select("vec", (F.col("weight") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+    total = usable.count()
+    of = classes.select("label", "x", "rep", "weight")
+    times = stored(usable.groupBy("vec").agg(F.count(F.lit(1)).alias("times")).where("times > 1"), "repeated-ids")
+    repeated = stored(join_skewed(join_skewed(usable.select("vec", "label", "x"), times, ["vec"], "times", total), of, ["label", "x"], "weight", total).select("vec", F.col("rep").alias("b")).distinct(), "repeated-vectors")
+    of_id = stored(repeated.groupBy("vec").agg(F.min("b").alias("a"), F.count(F.lit(1)).alias("nodes")).where("nodes > 1"), "vectors-of-ids")
+    same_id = join_skewed(repeated, of_id, ["vec"], "nodes", repeated.count()).where("a <> b").select("a", "b")
+    components = connected_components(found.where("b is not null").select("a", "b").union(same_id))
+
+    placed = classes.select("label", "x", "rep", "weight", "first").join(components.withColumnRenamed("node", "rep"), "rep", "left").join(counts, "rep", "left")
+    placed = stored(placed.withColumn("component", F.coalesce("component", "rep")), "placed")
+    least = stored(placed.groupBy("component").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("members")), "component-ids")
+    summary = join_skewed(placed, least, ["component"], "members", placed.count())
+    summary = stored(summary.select("label", "x", "weight", (F.col("weight") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), "component_id"), "summary")
+    linked = join_skewed(usable.select("vec", "label", "x"), summary, ["label", "x"], "weight", total).select("vec", "n_links", "component_id")
     lone = raw.where(~sound | F.col("vec").isNull()).select("vec", F.lit(0).cast("long").alias("n_links"), F.col("vec").alias("component_id"))
     return linked.union(lone).select(F.col("vec").alias("vec_id"), "n_links", "component_id", F.coalesce(F.col("vec") == F.col("component_id"), F.lit(True)).alias("kept"))
