@@ -31,8 +31,8 @@ UNIT = 576
 RATE_OUT = 8000
 #: Sampling rates of clips by codec.
 RATES = {"mulaw": 8000, "alaw": 8000, "adpcm": 16000}
-#: Both tables are kept; a higher level costs little beside decoding.
-STORE = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9"}
+#: Both tables are kept; a high level and wide pages cost little beside decoding.
+STORE = {"compression": "zstd", "parquet.compression.codec.zstd.level": "12", "parquet.page.size": str(8 << 20)}
 CODECS = ("mulaw", "alaw", "adpcm")
 #: Format tags of the WAV container.
 WAV_TAG = {"alaw": 6, "mulaw": 7, "adpcm": 0x11}
