@@ -59,8 +59,8 @@ def join_skewed(rows: DataFrame, table: DataFrame, on: Sequence[str], weight: st
     is_hot = F.col(weight) * HOT_KEYS > total
     hot = table.where(is_hot)
     if hot.isEmpty():
-        return rows.join(table, names)
-    cold = rows.join(F.broadcast(hot.select(*names)), names, "left_anti").join(table.where(~is_hot), names)
+        return rows.join(table.hint("merge"), names)
+    cold = rows.join(F.broadcast(hot.select(*names)), names, "left_anti").join(table.where(~is_hot).hint("merge"), names)
     return rows.join(F.broadcast(hot), names).unionByName(cold)
 
 

@@ -48,6 +48,8 @@ COORDINATES = 64
 CHUNK_BYTES = 1 << 20
 #: Rows of a list in one chunk; a block holds two chunks.
 CHUNK = 512
+#: Pairs of a hub that its text is sent to at once.
+HUB_PART = 128
 _random = np.random.default_rng(20240229)
 BYTE_CODES = _random.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SEEDS = _random.integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
@@ -169,8 +171,8 @@ def prefixes(reps: DataFrame, least: int) -> DataFrame:
 
 
 def split_hubs(pairs: DataFrame) -> DataFrame:
-    """(node, hub, n) -> with ``part``: pairs of one hub in parts of about CHUNK."""
-    parts = F.ceil(F.col("n") / CHUNK)
+    """(node, hub, n) -> with ``part``: pairs of one hub in parts of about HUB_PART."""
+    parts = F.ceil(F.col("n") / HUB_PART)
     return pairs.withColumn("part", F.pmod(F.xxhash64("node"), parts))
 
 
