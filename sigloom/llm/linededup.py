@@ -13,7 +13,9 @@ of SOLO_WORDS words or more: beside the chunks it hashes, from each line on and
 the shortest run of that many words. Any repeated passage is covered by such runs that lie inside
 it, wherever chunk boundaries fall. Runs that repeat are laid side by side, joined where they
 continue in the same source, and compared byte by byte with it; a run that overlaps its own first
-occurrence (a text that repeats itself line by line) is no repeat.
+occurrence (a text that repeats itself line by line) is no repeat. Hashes and places find the
+repeats; texts travel only of documents that have or hold a repeat. A passage that many
+documents share goes to parts of them, of about the root of their number.
 
 Defined results: a null text stays null; an empty text stays empty; a document all of whose
 chunks occur before keeps its row with an empty text; rows equal in id and text count as one
@@ -28,14 +30,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sigloom.llm.common import stored, word_count
+from sigloom.llm.common import join_skewed, stored, word_count
 
 WINDOW, DIVISOR, SOLO_WORDS = 3, 4, 50
+#: So many keys of documents are broadcast at most (about 64 bytes each); beyond, documents are shuffled.
+MAX_KEYS = 1 << 20
 
 
 def is_wide(text: Column, solo_words: int) -> Column:
-    spaces = F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
-    return F.when(F.length(text) < 2 * solo_words - 1, False).otherwise(spaces + 1 >= solo_words)
+    return F.when(F.length(text) < 2 * solo_words - 1, False).otherwise(word_count(text) >= solo_words)
 
 
 def bound(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -90,14 +93,17 @@ def line_runs(text: Column, words: int = SOLO_WORDS, window: int = WINDOW, divis
     """array<struct<from, to, h>>: the runs of lines that are looked up, with their hashes: from
     and up to each line that has words the shortest run of ``words`` words, chunks of two lines or
     more, and a whole text with blank lines at its ends."""
-    described = F.transform(F.split(text, "\n", -1), lambda x: F.struct(F.xxhash64(x).alias("h"), is_wide(x, words).alias("solo"), word_count(x).cast("int").alias("n")))
+    described = F.transform(F.split(text, "\n", -1), lambda x: F.struct(F.xxhash64(x).alias("h"), word_count(x).cast("int").alias("n")))
 
     def reach(part: Column) -> Column:
         """The place at which the lines of part have come to the words, or null."""
         step = lambda s, x: F.when(s["n"] >= words, s).otherwise(F.struct((s["n"] + x["n"]).alias("n"), x["place"].alias("place")))
         return F.aggregate(part, F.struct(F.lit(0).alias("n"), F.lit(-1).alias("place")), step, lambda s: F.when(s["n"] >= words, s["place"]))
 
-    def runs(lines: Column) -> Column:
+    def runs(counted: Column) -> Column:
+        return bound(F.transform(counted, lambda x: F.struct(x["h"].alias("h"), x["n"].alias("n"), (x["n"] >= words).alias("solo"))), runs_of)
+
+    def runs_of(lines: Column) -> Column:
         last = (F.size(lines) - 1).cast("int")
         placed = F.transform(lines, lambda x, i: F.struct(x["n"].alias("n"), i.alias("place")))
 
@@ -118,33 +124,66 @@ def line_runs(text: Column, words: int = SOLO_WORDS, window: int = WINDOW, divis
     return bound(described, runs)
 
 
-def dedup_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = SOLO_WORDS) -> DataFrame:
-    """The documents, each text without the runs of lines that occur before; columns as they were."""
-    names = docs.columns
-    key = [F.col(doc_id).alias("id"), F.xxhash64(F.col(text)).alias("code")]
-    runs = docs.where(F.col(text).isNotNull()).select(*key, F.explode(line_runs(F.col(text), words)).alias("run"))
+def key_of(doc_id: Column) -> Column:
+    """A document id as a text that is never null."""
+    return F.when(doc_id.isNull(), "").otherwise(F.concat(F.lit("="), doc_id.cast("string")))
+
+
+def with_keys(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The documents whose (doc, code) is in keys, a stored table without repeats."""
+    few = keys.count() <= MAX_KEYS
+    return docs.join(F.broadcast(keys) if few else keys.hint("merge"), ["doc", "code"], "left_semi")
+
+
+def repeats(docs: DataFrame, text: str, doc_id: str, words: int) -> DataFrame:
+    """(doc, code, from, to, of_doc, of_code, of_from, of_to), stored: spans of lines and the span before
+    whose hash they have, in the document that has it first."""
+    runs = docs.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("id"), F.xxhash64(F.col(text)).alias("code"), F.explode(line_runs(F.col(text), words)).alias("run"))
     runs = stored(runs.select(F.col("run.h").alias("h"), F.struct("id", "code", "run.from", "run.to").alias("at")), "runs", compression="zstd")
-    repeated = runs.groupBy("h").agg(F.min("at").alias("first"), F.max("at").alias("last")).where("first <> last").select("h", "first")
+    repeated = runs.groupBy("h").agg(F.min("at").alias("first"), F.max("at").alias("last"), F.count(F.lit(1)).alias("n")).where("first <> last").select("h", "first", "n")
+    repeated = stored(repeated, "repeated-runs", compression="zstd")
     own = F.col("at.id").eqNullSafe(F.col("first.id")) & (F.col("at.code") == F.col("first.code")) & (F.col("at.from") <= F.col("first.to"))
-    again = runs.join(repeated, "h").where(~own).select("at.id", "at.code", "at.from", "at.to", F.struct("first.id", "first.code").alias("source"), (F.col("first.from") - F.col("at.from")).alias("shift"))
+    again = join_skewed(runs, repeated, ["h"], "n", runs.count()).where(~own)
+    again = again.select(key_of(F.col("at.id")).alias("doc"), "at.code", "at.from", "at.to", key_of(F.col("first.id")).alias("of_doc"), F.col("first.code").alias("of_code"), (F.col("first.from") - F.col("at.from")).alias("shift")).distinct()
 
     # Each line to the first run that has it; neighbours of one source and shift become one span.
-    of = Window.partitionBy("id", "code").orderBy("from", F.desc("to"), "source", "shift")
+    source = F.struct("of_doc", "of_code", "shift")
+    of = Window.partitionBy("doc", "code").orderBy("from", F.desc("to"), source)
     parts = again.withColumn("before", F.max("to").over(of.rowsBetween(Window.unboundedPreceding, -1)))
     parts = parts.withColumn("from", F.greatest("from", F.coalesce(F.col("before") + 1, F.lit(0)))).where("from <= to")
-    by = Window.partitionBy("id", "code").orderBy("from")
-    goes_on = (F.lag("to").over(by) + 1 == F.col("from")) & (F.lag("source").over(by) == F.col("source")) & (F.lag("shift").over(by) == F.col("shift"))
+    by = Window.partitionBy("doc", "code").orderBy("from")
+    goes_on = (F.lag("to").over(by) + 1 == F.col("from")) & (F.lag(source).over(by) == source)
     parts = parts.withColumn("new", F.when(goes_on, 0).otherwise(1)).withColumn("span", F.sum("new").over(by))
-    spans = parts.groupBy("id", "code", "span", "source", "shift").agg(F.min("from").alias("from"), F.max("to").alias("to"))
+    spans = parts.groupBy("doc", "code", "span", "of_doc", "of_code", "shift").agg(F.min("from").alias("from"), F.max("to").alias("to"))
+    return stored(spans.select("doc", "code", "from", "to", "of_doc", "of_code", (F.col("from") + F.col("shift")).alias("of_from"), (F.col("to") + F.col("shift")).alias("of_to")), "spans", compression="zstd")
 
-    lines_of = lambda t, a, b: F.array_join(F.slice(F.split(t, "\n", -1), a + 1, b - a + 1), "\n")
-    sources = docs.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("of_id"), F.xxhash64(F.col(text)).alias("of_code"), F.col(text).alias("whole"))
-    texts = spans.join(sources, F.col("source.id").eqNullSafe(F.col("of_id")) & (F.col("source.code") == F.col("of_code")))
-    texts = texts.select(F.col("id").alias("at_id"), F.col("code").alias("at_code"), F.struct("from", "to", lines_of(F.col("whole"), F.col("from") + F.col("shift"), F.col("to") + F.col("shift")).alias("kept")).alias("span"))
-    removed = texts.groupBy("at_id", "at_code").agg(F.collect_set("span").alias("spans"))
 
-    held = docs.select(F.struct(*names).alias("row"), *key, F.col(text).alias("text"))
-    joined = held.join(removed, F.col("id").eqNullSafe(F.col("at_id")) & (F.col("code") == F.col("at_code")), "left")
+def lines_of(text: Column, first: Column, last: Column) -> Column:
+    return F.array_join(F.slice(F.split(text, "\n", -1), first + 1, last - first + 1), "\n")
+
+
+def dedup_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = SOLO_WORDS) -> DataFrame:
+    """The documents, each text without the runs of lines that occur before; columns as they were."""
+    names, passage = docs.columns, ["of_doc", "of_code", "of_from", "of_to"]
+    spans = repeats(docs, text, doc_id, words)
+    held = docs.select(F.struct(*names).alias("row"), key_of(F.col(doc_id)).alias("doc"), F.xxhash64(F.col(text)).alias("code"), F.col(text).alias("text"))
+
+    # What the spans repeat, from the texts of their sources, to each part of those that repeat it.
+    counts = stored(spans.groupBy(*passage).agg(F.count(F.lit(1)).alias("n")), "passages")
+    parts = F.ceil(F.sqrt("n"))
+    dealt = join_skewed(spans, counts, passage, "n", spans.count()).withColumn("part", F.pmod(F.xxhash64("doc", "code", "from"), parts)).drop("n")
+    sources = stored(spans.select(F.col("of_doc").alias("doc"), F.col("of_code").alias("code")).distinct(), "sources")
+    whole = with_keys(held.where("text is not null").select("doc", "code", "text"), sources).dropDuplicates(["doc", "code"])
+    whole = whole.select(F.col("doc").alias("of_doc"), F.col("code").alias("of_code"), F.col("text").alias("whole"))
+    heads = dealt.select(*passage, "part").distinct().join(whole, ["of_doc", "of_code"]).select(*passage, "part", lines_of(F.col("whole"), F.col("of_from"), F.col("of_to")).alias("kept"))
+    removed = dealt.join(heads, [*passage, "part"]).groupBy("doc", "code").agg(F.collect_set(F.struct("from", "to", "kept")).alias("spans"))
+
+    affected = stored(spans.select("doc", "code").distinct(), "affected")
+    if affected.count() <= MAX_KEYS:
+        rest = held.join(F.broadcast(affected), ["doc", "code"], "left_anti").select("row.*")
+        joined = with_keys(held, affected).join(removed, ["doc", "code"])
+    else:  # one shuffle of all documents
+        rest, joined = None, held.join(removed.hint("merge"), ["doc", "code"], "left")
 
     def left(lines: Column) -> Column:
         same = F.filter(F.col("spans"), lambda s: F.array_join(F.slice(lines, s["from"] + 1, s["to"] - s["from"] + 1), "\n") == s["kept"])
@@ -162,4 +201,5 @@ def dedup_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         return F.array_join(bound(ends, between), "\n")
 
     cleaned = F.when(F.col("spans").isNull(), F.col("text")).otherwise(bound(F.split(F.col("text"), "\n", -1), left))
-    return joined.select(*[cleaned.alias(n) if n == text else F.col("row")[n].alias(n) for n in names])
+    done = joined.select(*[cleaned.alias(n) if n == text else F.col("row")[n].alias(n) for n in names])
+    return done if rest is None else rest.union(done)
