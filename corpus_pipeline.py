@@ -18,7 +18,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Documents that the classifier accepts; learned from all labels and the documents given."""
     ship(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return quality.accept(docs, quality.train(docs, labels))
+    return quality.accept(docs, quality.train(quality.feature_table(docs, []), labels))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -37,8 +37,9 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    net = quality.train(docs, labels, fold(F.col("key"), 3) != 1)
-    scored = quality.score(docs, net, [F.col("doc_id"), (fold(F.col("doc_id"), 3) == 1).alias("held_out")])
+    features = quality.feature_table(docs, [F.col("doc_id"), (fold(F.col("doc_id"), 3) == 1).alias("held_out")])
+    net = quality.train(features, labels, fold(F.col("key"), 3) != 1)
+    scored = quality.score(features, net, ["doc_id", "held_out"])
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
