@@ -1,6 +1,9 @@
 """A corpus pipeline of five stages over ``documents``: quality, line dedup, near-duplicates,
 mixing, packing. Every stage works on all that its predecessor kept; all but the last return the columns
-of documents."""
+of documents, whatever further ones there are. Null texts are empty ones to the classifier, stay null in
+line dedup and near-duplicates, have no words to the mix, and are packed as an end id. Rows with a
+null id are kept by all stages but the classifier, which judges them by their text. An
+empty table gives empty tables. How ties and repeated rows count is said at each operator."""
 
 from __future__ import annotations
 
@@ -31,11 +34,17 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five-word shingles, similarity 0.8)."""
+    """One document of each group of near-duplicates (five-word shingles, similarity 0.8): of rows that
+    repeat the id that stays, the one with the least text. Rows with a null id stay."""
     ship(spark)
-    groups = neardup.near_duplicates(docs)
-    dropped = groups.where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(dropped, docs["doc_id"] == dropped["doc_id"], "left_anti").select(*docs.columns)
+    groups = neardup.near_duplicates(docs).where("doc_id is not null")
+    groups = stored(groups.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("times")), "groups")
+    dropped = groups.where("not kept or times > 1").select("doc_id")
+    single = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    again = docs.join(groups.where("kept and times > 1").select("doc_id"), "doc_id", "left_semi")
+    rest = [F.col(c) for c in docs.columns if c not in ("doc_id", "text")]
+    firsts = again.groupBy("doc_id").agg(F.min(F.struct(F.col("text"), *rest)).alias("row"))
+    return single.union(firsts.select(*[F.col("doc_id") if c == "doc_id" else F.col("row")[c].alias(c) for c in docs.columns]))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,13 +2,15 @@
 
 Training counts the 1- to 3-grams of all training texts per language: every task adds into one
 dense matrix and emits its non-zero cells, which Spark sums. The matrix of log probabilities
-(languages x buckets, float32) is broadcast; its size is bounded by MAX_LANGUAGES x BUCKETS.
-Scoring hashes the n-grams of a batch of whole texts at once, gathers their matrix rows and sums
-them per document.
+(languages x buckets, float32) is broadcast, in groups of GROUP languages: a matrix holds 64 MB at
+most, and texts pass once for each group. Scoring hashes the n-grams of a batch of whole texts at
+once, gathers their matrix rows and sums them per document; the best language and the
+sum of likelihoods go on from group to group.
 
 Defined results: a null text, or one without letters, is ``und`` with score 0; rows with a null
 language are not learned from; without any training text every prediction is ``und`` with score
-0; equal scores go to the first language by code point.
+0; equal scores go to the first language by code point; a null id keeps its row, repeated rows
+give repeated results, and other columns are not read; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -20,11 +22,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sigloom.llm.common import slices
+from sigloom.llm.common import slices, stored
 
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
-MAX_LANGUAGES = 512
+GROUP = 512
 CHUNK_CHARS = 1 << 20
 
 
@@ -75,44 +77,58 @@ def count_ngrams(docs: DataFrame, text: str = "text", lang: str = "lang", bucket
     return known.mapInArrow(rows, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
-def train(docs: DataFrame, text: str = "text", lang: str = "lang", buckets: int = BUCKETS, smoothing: float = 0.1) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """(languages by code point, log priors, log probabilities [buckets + 1, languages]); the last
-    row, for n-grams that count for nothing, is 0. At most MAX_LANGUAGES x (BUCKETS + 1) sums
-    reach the driver."""
+Model = list[tuple[list[str], np.ndarray, np.ndarray]]
+
+
+def train(docs: DataFrame, text: str = "text", lang: str = "lang", buckets: int = BUCKETS, smoothing: float = 0.1, group: int = GROUP) -> Model:
+    """For each group: (languages by code point, log priors, log probabilities [buckets + 1, languages]);
+    the last row, for n-grams that count for nothing, is 0. The sums of one group at a time reach
+    the driver, and the names of all languages."""
     counts = count_ngrams(docs, text, lang, buckets)
-    if (n := docs.select(F.col(lang)).where(F.col(lang).isNotNull()).distinct().limit(MAX_LANGUAGES + 1).count()) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages ({n})")
-    got = counts.toArrow()
-    names = sorted(set(got.column("lang").to_pylist()))
-    index = {x: i for i, x in enumerate(names)}
-    which = np.array([index[x] for x in got.column("lang").to_pylist()], np.int64)
-    bucket, n = got.column("bucket").to_numpy(), got.column("n").to_numpy()
-    dense, prior = np.zeros((buckets, len(names))), np.zeros(len(names))
-    cells = bucket >= 0
-    dense[bucket[cells], which[cells]] = n[cells]
-    prior[which[~cells]] = n[~cells]
-    if names:
+    spoken = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).where("lang is not null and text is not null")
+    known = sorted(r.lang for r in spoken.select("lang").distinct().collect())  # names of languages
+    if len(known) > group:
+        counts = stored(counts, "ngram-counts", compression="zstd")
+    model, documents = [], 0.0
+    for a in range(0, len(known), group):
+        names = known[a : a + group]
+        got = (counts if len(known) <= group else counts.where(F.col("lang").between(names[0], names[-1]))).toArrow()
+        index = {x: i for i, x in enumerate(names)}
+        which = np.array([index[x] for x in got.column("lang").to_pylist()], np.int64)
+        bucket, n = got.column("bucket").to_numpy(), got.column("n").to_numpy()
+        dense, prior = np.zeros((buckets, len(names))), np.zeros(len(names))
+        cells = bucket >= 0
+        dense[bucket[cells], which[cells]] = n[cells]
+        prior[which[~cells]] = n[~cells]
         dense = np.log(dense + smoothing) - np.log(dense.sum(0) + smoothing * buckets)
-        prior = np.log(prior) - np.log(prior.sum())
-    return names, prior, np.vstack([dense, np.zeros((1, len(names)))]).astype(np.float32)
+        documents += prior.sum()
+        model.append((names, np.log(prior), np.vstack([dense, np.zeros((1, len(names)))]).astype(np.float32)))
+    return [(names, prior - np.log(documents), logs) for names, prior, logs in model]
 
 
-def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], keep: list[Column], text: str = "text") -> DataFrame:
+def predict(docs: DataFrame, model: Model, keep: list[Column], text: str = "text") -> DataFrame:
     """The ``keep`` columns, then lang_pred and score (the posterior of the prediction)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = docs.select(*keep).schema
-    columns = schema.names
     letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
-    source = docs.select(F.struct(*keep).alias("row"), F.when(letters, F.col(text)).alias("text"))
-    buckets = model[2].shape[0] - 1
+    rows = docs.select(F.struct(*keep).alias("row"), F.when(letters, F.col(text)).alias("text"), F.lit("und").alias("best"), F.lit(float("-inf")).alias("top"), F.lit(0.0).alias("mass"))
+    for k, part in enumerate(model):
+        rows = scored_by(rows if k == 0 else stored(rows, "languages", compression="zstd"), part, k + 1 < len(model))
+    score = F.when(F.col("mass") > 0, 1 / F.col("mass")).otherwise(0.0)
+    return rows.select("row.*", F.col("best").alias("lang_pred"), score.alias("score"))
+
+
+def scored_by(table: DataFrame, part: tuple[list[str], np.ndarray, np.ndarray], more: bool) -> DataFrame:
+    """(row, text, best, top, mass) after one more group of languages: the best so far, its log likelihood, and
+    the likelihoods of all so far as multiples of it. Texts are kept if there are more groups."""
+    shared = table.sparkSession.sparkContext.broadcast(part)
+    buckets = part[2].shape[0] - 1
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, prior, logs = shared.value
         step = max(1, (8 * CHUNK_CHARS) // max(8, len(names)))
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            pred, score = ["und"] * len(texts), np.zeros(len(texts))
-            at = [i for i, t in enumerate(texts) if t is not None] if names else []
+            texts, pred = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            top, mass = (batch.column(c).to_numpy().copy() for c in (3, 4))
+            at = [i for i, t in enumerate(texts) if t is not None]
             for a, b in slices([len(texts[i]) for i in at], CHUNK_CHARS):
                 own = at[a:b]
                 total = np.tile(prior, (len(own), 1))
@@ -121,11 +137,14 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], ke
                         y = min(x + step, len(bucket))
                         first, last = np.searchsorted(starts, x, "right") - 1, np.searchsorted(starts, y, "left")
                         total[first:last] += np.add.reduceat(logs[bucket[x:y]], np.maximum(starts[first:last] - x, 0), axis=0, dtype=np.float64)
-                best = total.argmax(1)
-                likely = 1.0 / np.exp(total - total.max(1, keepdims=True)).sum(1)
-                for i, k, p in zip(own, best, likely, strict=True):
-                    pred[i], score[i] = names[k], p
-            yield pa.RecordBatch.from_arrays([*batch.column(0).flatten(), pa.array(pred, pa.string()), pa.array(score, pa.float64())], names=[*columns, "lang_pred", "score"])
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    return source.mapInArrow(rows, f"{fields}, lang_pred string, score double")
+                best, high = total.argmax(1), total.max(1)
+                peak = np.maximum(high, top[own])
+                mass[own] = mass[own] * np.exp(top[own] - peak) + np.exp(total - peak[:, None]).sum(1)
+                for i, k, h in zip(own, best.tolist(), high.tolist(), strict=True):
+                    if h > top[i]:
+                        pred[i] = names[k]
+                top[own] = peak
+            kept = batch.column(1) if more else pa.nulls(batch.num_rows, pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), kept, pa.array(pred, pa.string()), pa.array(top), pa.array(mass)], names=["row", "text", "best", "top", "mass"])
+
+    return table.mapInArrow(rows, table.schema)
