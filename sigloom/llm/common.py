@@ -19,6 +19,8 @@ LOCAL_CHECKPOINTS = "/tmp/checkpoints/sigloom"
 
 #: Keys that may be broadcast for being hot, at most.
 HOT_KEYS = 4096
+#: Rows of keys (a few numbers each) that may be broadcast, at most: about 64 MB.
+MAX_KEYS = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -64,6 +66,11 @@ def join_skewed(rows: DataFrame, table: DataFrame, on: Sequence[str], weight: st
     return rows.join(F.broadcast(hot), names).unionByName(cold)
 
 
+def keys(table: DataFrame) -> DataFrame:
+    """A stored table of keys, to be joined with: broadcast up to MAX_KEYS rows, else sorted and merged."""
+    return F.broadcast(table) if table.count() <= MAX_KEYS else table.hint("merge")
+
+
 def id_text(key: Column) -> Column:
     """A document's id as text, for crc32 folds; a null id counts as the empty text."""
     return F.coalesce(key.cast("string"), F.lit(""))

@@ -30,11 +30,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sigloom.llm.common import join_skewed, stored, word_count
+from sigloom.llm import common
+from sigloom.llm.common import join_skewed, keys, stored, word_count
 
 WINDOW, DIVISOR, SOLO_WORDS = 3, 4, 50
-#: So many keys of documents are broadcast at most (about 64 bytes each); beyond, documents are shuffled.
-MAX_KEYS = 1 << 20
 
 
 def is_wide(text: Column, solo_words: int) -> Column:
@@ -129,12 +128,6 @@ def key_of(doc_id: Column) -> Column:
     return F.when(doc_id.isNull(), "").otherwise(F.concat(F.lit("="), doc_id.cast("string")))
 
 
-def with_keys(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """The documents whose (doc, code) is in keys, a stored table without repeats."""
-    few = keys.count() <= MAX_KEYS
-    return docs.join(F.broadcast(keys) if few else keys.hint("merge"), ["doc", "code"], "left_semi")
-
-
 def repeats(docs: DataFrame, text: str, doc_id: str, words: int) -> DataFrame:
     """(doc, code, from, to, of_doc, of_code, of_from, of_to), stored: spans of lines and the span before
     whose hash they have, in the document that has it first."""
@@ -173,15 +166,15 @@ def dedup_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     parts = F.ceil(F.sqrt("n"))
     dealt = join_skewed(spans, counts, passage, "n", spans.count()).withColumn("part", F.pmod(F.xxhash64("doc", "code", "from"), parts)).drop("n")
     sources = stored(spans.select(F.col("of_doc").alias("doc"), F.col("of_code").alias("code")).distinct(), "sources")
-    whole = with_keys(held.where("text is not null").select("doc", "code", "text"), sources).dropDuplicates(["doc", "code"])
+    whole = held.where("text is not null").select("doc", "code", "text").join(keys(sources), ["doc", "code"], "left_semi").dropDuplicates(["doc", "code"])
     whole = whole.select(F.col("doc").alias("of_doc"), F.col("code").alias("of_code"), F.col("text").alias("whole"))
     heads = dealt.select(*passage, "part").distinct().join(whole, ["of_doc", "of_code"]).select(*passage, "part", lines_of(F.col("whole"), F.col("of_from"), F.col("of_to")).alias("kept"))
     removed = dealt.join(heads, [*passage, "part"]).groupBy("doc", "code").agg(F.collect_set(F.struct("from", "to", "kept")).alias("spans"))
 
     affected = stored(spans.select("doc", "code").distinct(), "affected")
-    if affected.count() <= MAX_KEYS:
+    if affected.count() <= common.MAX_KEYS:
         rest = held.join(F.broadcast(affected), ["doc", "code"], "left_anti").select("row.*")
-        joined = with_keys(held, affected).join(removed, ["doc", "code"])
+        joined = held.join(F.broadcast(affected), ["doc", "code"], "left_semi").join(removed, ["doc", "code"])
     else:  # one shuffle of all documents
         rest, joined = None, held.join(removed.hint("merge"), ["doc", "code"], "left")
 

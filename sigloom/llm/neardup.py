@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sigloom.llm.blocks import map_blocks
-from sigloom.llm.common import byte_list, join_skewed, mixed64, slices, stored
+from sigloom.llm.common import byte_list, join_skewed, keys, mixed64, slices, stored
 from sigloom.llm.graph import connected_components
 
 COORDINATES = 64
@@ -176,17 +176,17 @@ def split_hubs(pairs: DataFrame) -> DataFrame:
     return pairs.withColumn("part", F.pmod(F.xxhash64("node"), parts))
 
 
-def agreeing(pairs: DataFrame, candidates: DataFrame, least: int, percent: int) -> DataFrame:
+def agreeing(pairs: DataFrame, signed: DataFrame, least: int, percent: int) -> DataFrame:
     """Of the pairs (node, hub, n, part, hits), those of fitting sizes whose signatures agree in
     ``least`` coordinates: hits are in the lists, the rest is looked up."""
-    heads = pairs.select("hub", "n", "part").distinct().join(candidates.select(F.col("node").alias("hub"), F.col("size").alias("hub_size"), F.col("sig").alias("hub_sig")), "hub")
-    both = pairs.join(candidates.select("node", "size", "sig"), "node").join(heads, ["hub", "n", "part"])
+    heads = pairs.select("hub", "n", "part").distinct().join(signed.select(F.col("node").alias("hub"), F.col("size").alias("hub_size"), F.col("sig").alias("hub_sig")), "hub")
+    both = pairs.join(signed, "node").join(heads, ["hub", "n", "part"])
     both = both.where(100 * F.least("size", "hub_size") >= percent * F.greatest("size", "hub_size"))
     equal = F.aggregate(F.zip_with("sig", "hub_sig", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
     return both.where((F.col("hits") >= least) | (equal >= least)).select("node", "hub", "n", "part")
 
 
-def confirmed(pairs: DataFrame, candidates: DataFrame, words: int, percent: int) -> DataFrame:
+def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """(a, b): of the pairs (node, hub, n, part), those whose full shingle sets are similar enough. A
     hub's text goes once to each of its parts."""
 
@@ -213,7 +213,6 @@ def confirmed(pairs: DataFrame, candidates: DataFrame, words: int, percent: int)
                         b.append(max(h, node))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    texts = candidates.select("node", "text")
     heads = pairs.select("hub", "n", "part").distinct().join(texts.withColumnRenamed("node", "hub"), "hub")
     heads = heads.select("hub", "n", "part", F.lit(None).cast("long").alias("node"), "text")
     members = pairs.join(texts, "node").select("hub", "n", "part", "node", "text")
@@ -288,7 +287,7 @@ def fitting(group: pa.Table, least: int, percent: int) -> tuple[np.ndarray, np.n
     return tuple(np.concatenate(out, 1))
 
 
-def residual_links(lists: DataFrame, components: DataFrame, candidates: DataFrame, words: int, percent: int, least: int, chunk: int = CHUNK) -> DataFrame:
+def residual_links(lists: DataFrame, components: DataFrame, signed: DataFrame, texts: DataFrame, words: int, percent: int, least: int, chunk: int = CHUNK) -> DataFrame:
     """(node, hub) links between different components, enough of them to join all that are linked.
 
     Blocks of signatures first name the nodes with a partner; only these come again with their
@@ -338,8 +337,8 @@ def residual_links(lists: DataFrame, components: DataFrame, candidates: DataFram
             u, v = (node[np.array(z)] for z in zip(*found, strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["node", "hub"])
 
-    few = stored(map_blocks(rows.join(candidates.select("node", "size", "sig"), "node"), ["key", "lo", "hi"], named, kinds), "residual")
-    return map_blocks(few.join(candidates.select("node", "size", "sig", "text"), "node"), ["key", "lo", "hi"], linked, "node long, hub long").distinct()
+    few = stored(map_blocks(rows.join(signed, "node"), ["key", "lo", "hi"], named, kinds), "residual")
+    return map_blocks(few.join(signed, "node").join(texts, "node"), ["key", "lo", "hi"], linked, "node long, hub long").distinct()
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = 5, percent: int = 80, chunk: int = CHUNK) -> DataFrame:
@@ -353,24 +352,27 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     classes = full.groupBy("print").agg(F.min("row").alias("node"), F.min("doc").alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
     classes = stored(classes, "classes")
     copies = stored(join_skewed(full.select("row", "doc", "print"), classes, ["print"], "copies", total).select("row", "doc", "node"), "copies")
-    reps = full.select(F.col("row").alias("node"), "doc", "code", F.col("n").alias("size"), "sig").join(copies.where("row <> node").select(F.col("row").alias("node")), "node", "left_anti")
+    others = stored(copies.where("row <> node").select(F.col("row").alias("node")), "other-rows")
+    reps = full.select(F.col("row").alias("node"), "doc", "code", F.col("n").alias("size"), "sig").join(keys(others), "node", "left_anti")
     again = stored(sigs.where("doc is not null").groupBy("doc").agg(F.count(F.lit(1)).alias("times")).where("times > 1"), "repeated-ids")
     repeated = stored(join_skewed(full.select("row", "doc"), again, ["doc"], "times", sigs.count()).join(copies.select("row", "node"), "row", "left").select("doc", F.coalesce("node", "row").alias("b")).distinct(), "repeated-nodes")
     of_id = stored(repeated.groupBy("doc").agg(F.min("b").alias("a"), F.count(F.lit(1)).alias("nodes")).where("nodes > 1"), "nodes-of-ids")
     same_id = join_skewed(repeated, of_id, ["doc"], "nodes", repeated.count()).where("a <> b").select("a", "b")
 
     lists = stored(prefixes(reps.select("node", "sig"), least), "prefixes")
-    wanted = stored(reps.select("node", "doc", "code").join(lists.select("node").distinct(), "node", "left_semi"), "wanted")
-    texts = keyed(docs, text, doc_id).join(wanted, ["doc", "code"]).select("node", "text").dropDuplicates(["node"])
-    candidates = stored(texts.join(reps.select("node", "size", "sig"), "node"), "candidates", compression="zstd")
-
-    pairs = stored(agreeing(stored(hub_pairs(lists), "hub-pairs"), candidates, least, percent), "agreeing")
-    links = stored(confirmed(pairs, candidates, words, percent).union(same_id), "links")
+    listed = stored(lists.select("node").distinct(), "listed")
+    wanted = stored(reps.select("node", "doc", "code").join(keys(listed), "node", "left_semi"), "wanted")
+    signed = stored(reps.select("node", "size", "sig").join(keys(listed), "node", "left_semi"), "candidate-signatures")
+    texts = keyed(docs, text, doc_id).join(keys(wanted), ["doc", "code"]).select("node", "text")
+    texts = stored(texts if again.isEmpty() else texts.dropDuplicates(["node"]), "candidate-texts", compression="zstd")
+
+    pairs = stored(agreeing(stored(hub_pairs(lists), "hub-pairs"), signed, least, percent), "agreeing")
+    links = stored(confirmed(pairs, texts, words, percent).union(same_id), "links")
     components = connected_components(links)
-    more = stored(residual_links(lists, components, candidates, words, percent, least, chunk), "residual-links")
+    more = stored(residual_links(lists, components, signed, texts, words, percent, least, chunk), "residual-links")
     if not more.isEmpty():
         hubs = stored(more.groupBy("hub").agg(F.count(F.lit(1)).alias("n")), "hubs")
-        more = confirmed(split_hubs(join_skewed(more, hubs, ["hub"], "n", more.count())), candidates, words, percent)
+        more = confirmed(split_hubs(join_skewed(more, hubs, ["hub"], "n", more.count())), texts, words, percent)
         components = connected_components(links.union(stored(more, "links")))
 
     # A component's id is its least document id.
