@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sigloom.llm import linededup, mixing, neardup, packing, quality
-from sigloom.llm.common import stored
+from sigloom.llm.common import keys, stored
 from sigloom.session import ship
 
 
@@ -40,8 +40,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     groups = neardup.near_duplicates(docs).where("doc_id is not null")
     groups = stored(groups.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("times")), "groups")
     dropped = groups.where("not kept or times > 1").select("doc_id")
-    single = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
-    again = docs.join(groups.where("kept and times > 1").select("doc_id"), "doc_id", "left_semi")
+    single = docs.join(keys(dropped), "doc_id", "left_anti").select(*docs.columns)
+    again = docs.join(keys(groups.where("kept and times > 1").select("doc_id")), "doc_id", "left_semi")
     rest = [F.col(c) for c in docs.columns if c not in ("doc_id", "text")]
     firsts = again.groupBy("doc_id").agg(F.min(F.struct(F.col("text"), *rest)).alias("row"))
     return single.union(firsts.select(*[F.col("doc_id") if c == "doc_id" else F.col("row")[c].alias(c) for c in docs.columns]))
