@@ -19,6 +19,8 @@ LOCAL_CHECKPOINTS = "/tmp/checkpoints/sigloom"
 
 #: Keys that may be broadcast for being hot, at most.
 HOT_KEYS = 4096
+#: Rows that a task holds as Python objects at once.
+BATCH = 1024
 #: Rows of keys (a few numbers each) that may be broadcast, at most: about 64 MB.
 MAX_KEYS = 1 << 20
 
@@ -132,11 +134,12 @@ def slices(weights: list[int], limit: int) -> Iterator[tuple[int, int]]:
 
 
 def arrow_map(df: DataFrame, rows: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
-    """mapInArrow for a function of one batch."""
+    """mapInArrow for a function of one batch, of at most BATCH rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield from rows(batch)
+            for a in range(0, batch.num_rows, BATCH):
+                yield from rows(batch.slice(a, BATCH))
 
     return df.mapInArrow(run, schema)
 

@@ -41,11 +41,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sigloom.llm.blocks import map_blocks
-from sigloom.llm.common import byte_list, join_skewed, keys, mixed64, slices, stored
+from sigloom.llm.common import BATCH, byte_list, join_skewed, keys, mixed64, slices, stored
 from sigloom.llm.graph import connected_components
 
 COORDINATES = 64
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 #: Rows of a list in one chunk; a block holds two chunks.
 CHUNK = 512
 #: Pairs of a hub that its text is sent to at once.
@@ -134,7 +134,7 @@ def signatures(docs: DataFrame, text: str, doc_id: str, words: int) -> DataFrame
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = TaskContext.get().partitionId() << 33
-        for batch in batches:
+        for batch in (b.slice(k, BATCH) for b in batches for k in range(0, b.num_rows, BATCH)):
             texts = byte_list(batch.column(2))
             for a, b in slices([len(t) for t in texts], CHUNK_BYTES):
                 sizes, prints, sigs = [], [], []

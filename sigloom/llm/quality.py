@@ -32,7 +32,7 @@ from sigloom.llm.common import arrow_map, byte_list, mixed64, slices, stored
 
 MAX_POSITIVE = 8_000
 SEGMENT = 1 << 14
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 #: Bytes that get a share of their own.
 MARKS = b".,!?;:|#$%&*@=+-_/\\\"'()[]{}<>~^`"
 

@@ -46,8 +46,8 @@ WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
 UNIT = re.compile(f"[{WHITE}]*[{LATIN}]++(?=[\\x00-\\x7f]|\\Z)|[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 PIECE = re.compile(f" ?[{LATIN}]+")
-#: About 220 MB a worker process at most.
-MEMO_UNITS = 1_000_000
+#: About 110 MB a worker process at most, which other stages' tasks in it leave there.
+MEMO_UNITS = 500_000
 BLOCK_BITS = 512
 MAGIC = b"DAC1"
 
