@@ -10,6 +10,7 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 _shipped: set[str] = set()
+BATCH_ROWS = 1024
 
 
 def local_session(cores: str = "8", app: str = "sigloom", **conf: str) -> SparkSession:
@@ -32,8 +33,11 @@ def local_session(cores: str = "8", app: str = "sigloom", **conf: str) -> SparkS
 
 def ship(spark: SparkSession) -> SparkSession:
     """Gives the executors this package, once an application, so that functions pickled by
-    reference are found there whether or not it is installed on the machines."""
+    reference are found there whether or not it is installed on the machines. Batches between Spark
+    and Python are kept to BATCH_ROWS, as rows with whole texts are wide."""
     context = spark.sparkContext
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     if context.applicationId not in _shipped:
         root = Path(__file__).resolve().parent
         target = os.path.join(tempfile.mkdtemp(prefix="sigloom-"), "sigloom_package.zip")
