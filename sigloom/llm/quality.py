@@ -25,6 +25,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -174,16 +175,30 @@ def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         yield np.vstack(held)
 
 
-def summed(rows: DataFrame, vectors: Callable[[Iterator[np.ndarray]], np.ndarray | None]) -> np.ndarray | None:
-    """The sum over tasks of a vector that a task makes of its segments."""
+def summed(rows: DataFrame, vectors: Callable[[Iterator[np.ndarray]], np.ndarray | None], partial: int = 8) -> np.ndarray | None:
+    """The sum over tasks of a vector that a task makes of its segments, by ``partial`` sums."""
+    schema = "task int, v binary"
+
+    def row(task: int, v: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([task], pa.int32()), pa.array([v.tobytes()], pa.binary())], names=["task", "v"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vectors(segments(batches))
         if v is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(v)), pa.int32()), pa.array(v, pa.float64())], names=["i", "v"])
-
-    got = rows.select("x").mapInArrow(run, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).toArrow().sort_by("i")
-    return got.column("v").to_numpy() if got.num_rows else None
+            yield row(TaskContext.get().partitionId(), v)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            for v in batch.column(1).to_pylist():
+                own = np.frombuffer(v)
+                total = own if total is None else total + own
+        if total is not None:
+            yield row(TaskContext.get().partitionId(), total)
+
+    by_task = rows.select("x").mapInArrow(run, schema).repartition(partial, "task").sortWithinPartitions("task")
+    got = by_task.mapInArrow(add, schema).toArrow().sort_by("task").column("v").to_pylist()
+    return np.sum([np.frombuffer(v) for v in got], axis=0) if got else None
 
 
 def fit_rounds(rows: DataFrame, net: Network, positive: np.ndarray, prior: float, rounds: int) -> Network:
