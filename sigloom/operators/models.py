@@ -57,6 +57,12 @@ def macro_metrics(per_class: DataFrame) -> DataFrame:
     return present.agg(F.avg("f1").alias("macro_f1"), F.avg("recall").alias("macro_recall"), F.sum("support").alias("support"))
 
 
+def accuracy(matrix: DataFrame) -> DataFrame:
+    """(accuracy, support) of a confusion table: one row; null where nothing was predicted."""
+    right = F.sum(F.when(F.col("label") == F.col("predicted"), F.col("n")).otherwise(0))
+    return matrix.agg(F.try_divide(right, F.sum("n")).alias("accuracy"), F.coalesce(F.sum("n"), F.lit(0)).alias("support"))
+
+
 def standardised(df: DataFrame, features: str = "features") -> DataFrame:
     """(dim, mean, std): population std, 1 where it is 0."""
     stats = df.select(F.posexplode(features).alias("dim", "v")).groupBy("dim").agg(F.avg(F.col("v").cast("double")).alias("mean"), F.stddev_pop(F.col("v").cast("double")).alias("std"))

@@ -536,6 +536,11 @@ def macro_metrics(spark: SparkSession, d: str) -> DataFrame:
     return models.macro_metrics(_metrics(spark, d, None)).select(F.round("macro_f1", 6).alias("macro_f1"), F.round("macro_recall", 6).alias("macro_recall"), "support")
 
 
+@query("SELECT round(sum(CASE WHEN label = predicted THEN n ELSE 0 END) / sum(n), 6) AS accuracy, CAST(sum(n) AS BIGINT) AS support FROM matrix", MEASURED)
+def accuracy(spark: SparkSession, d: str) -> DataFrame:
+    return models.accuracy(models.confusion(predicted(spark, d))).select(F.round("accuracy", 6).alias("accuracy"), "support")
+
+
 @query("SELECT CAST(dim AS INTEGER) AS dim, round(m,6)+0.0 AS mean, round(CASE WHEN s = 0 THEN 1 ELSE s END,6)+0.0 AS std FROM (SELECT k AS dim, avg(x) AS m, stddev_pop(x) AS s FROM pairs GROUP BY k UNION ALL SELECT k + 32, avg(y), stddev_pop(y) FROM pairs GROUP BY k)", over("sig"))
 def feature_standardise(spark: SparkSession, d: str) -> DataFrame:
     return models.standardised(featured(spark, d)).select("dim", r6("mean").alias("mean"), r6("std").alias("std"))
