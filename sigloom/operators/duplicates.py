@@ -113,3 +113,66 @@ def cross_split_pairs(pairs: DataFrame, assignments: DataFrame) -> DataFrame:
 def first_members(df: DataFrame, by: Column) -> DataFrame:
     """Each row with the least id of its key."""
     return df.withColumn("canonical", F.min("sample_id").over(Window.partitionBy(by)))
+
+
+class LeakageError(ValueError):
+    """A table cannot be analysed for leakage."""
+
+
+#: Beginnings of the codes that keep a table from being split.
+BLOCKING = ("duplicate.", "group.", "split.", "leakage.")
+
+
+def leakage_issues(df: DataFrame, policy: DuplicatePolicy, assignments: DataFrame | None = None, group: GroupAdapter = explicit_group) -> DataFrame:
+    """(error_code, key, sample_id, splits, similarity): all that is wrong with the samples as a whole.
+
+    One row a member of an issue, so that no issue grows into one row; members of one issue share
+    ``key``: the least id of a cluster, a group, both ids of a pair, or the sample itself. Null or
+    repeated ids raise. Assigned ids that are not in the table are issues.
+    """
+    ids = df.groupBy("sample_id").agg(F.count(F.lit(1)).alias("n")).agg(F.count_if(F.col("n") > 1).alias("repeated"), F.count_if(F.col("sample_id").isNull()).alias("blank")).first()
+    if ids["repeated"] or ids["blank"]:
+        raise LeakageError(f"{ids['repeated']} sample ids repeat, {ids['blank']} are null")
+    none = F.lit(None).cast("string")
+
+    def issue(rows: DataFrame, code: str | Column, key: str, splits: Column = none, similarity: Column | None = None) -> DataFrame:
+        score = F.lit(None).cast("double") if similarity is None else similarity
+        return rows.select((F.lit(code) if isinstance(code, str) else code).alias("error_code"), F.col(key).alias("key"), "sample_id", splits.alias("splits"), score.alias("similarity"))
+
+    def both(pairs: DataFrame) -> DataFrame:
+        keyed = pairs.withColumn("key", F.concat_ws("|", "left_id", "right_id"))
+        return keyed.withColumn("sample_id", F.explode(F.array("left_id", "right_id")))
+
+    grouped = df.select("sample_id", group().alias("of"))
+    exact, near = exact_members(df), near_pairs(df, policy)
+    parts = [
+        issue(grouped.where("of is null"), "group.unresolved", "sample_id"),
+        issue(exact, "duplicate.exact", "canonical"),
+        issue(exact.where("conflict"), "duplicate.label_conflict", "canonical"),
+        issue(both(near), "duplicate.near", "key", similarity=F.col("similarity")),
+    ]
+    if assignments is not None:
+        valid = assignments.where(F.col("split").isin(*SPLITS))
+        parts.append(issue(assignment_issues(df, assignments), F.col("error_code"), "sample_id"))
+        for members, by, code in ((grouped, "of", "leakage.group_cross_split"), (exact, "canonical", "leakage.exact_cross_split")):
+            crossing = cross_split(members, by, assignments, code).select(F.col("key").alias(by), "splits")
+            parts.append(issue(members.select("sample_id", by).join(valid.select("sample_id"), "sample_id").join(crossing, by), code, by, F.col("splits")))
+        pairs = both(cross_split_pairs(near, assignments))
+        parts.append(issue(pairs, "leakage.near_cross_split", "key", F.array_join(F.array_sort(F.array("left_split", "right_split")), ","), F.col("similarity")))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def ordered_issues(issues: DataFrame) -> DataFrame:
+    """Issues in their stable order: code, key, member, splits, similarity, by a range sort."""
+    return issues.orderBy("error_code", F.asc_nulls_first("key"), "sample_id", F.asc_nulls_first("splits"), F.asc_nulls_first("similarity"))
+
+
+def leakage_summary(issues: DataFrame) -> DataFrame:
+    """One row: issues, the samples they name, and ``split_ready``, whether none blocks a split."""
+    blocks = F.lit(False)
+    for start in BLOCKING:
+        blocks = blocks | F.startswith("error_code", F.lit(start))
+    return issues.agg(F.countDistinct("error_code", "key").alias("issues"), F.countDistinct("sample_id").alias("samples"), (F.count_if(blocks) == 0).alias("split_ready"))

@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sigloom.functions.signal import squared_distance
@@ -122,3 +122,30 @@ def calibration(df: DataFrame, confidence: str, correct: str, slices: Sequence[s
     binned = df.withColumn("bin", F.least(F.floor(F.col(confidence) * bins), F.lit(bins - 1)))
     each = binned.groupBy(*slices, "bin").agg(F.count(F.lit(1)).alias("n"), F.avg(confidence).alias("c"), F.avg(F.col(correct).cast("double")).alias("a"), F.sum(F.pow(F.col(confidence) - F.col(correct).cast("double"), 2)).alias("b"))
     return each.groupBy(*slices).agg((F.sum(F.abs(F.col("c") - F.col("a")) * F.col("n")) / F.sum("n")).alias("ece"), (F.sum("b") / F.sum("n")).alias("brier"), F.sum("n").alias("n"))
+
+
+def model_table(spark: SparkSession, model: dict[str, object]) -> DataFrame:
+    """A softmax model as (k, label, weights, bias, mean, scale), one row a class."""
+    w, bias, mean, scale = (np.asarray(model[x]).tolist() for x in ("weights", "bias", "mean", "scale"))
+    rows = [(k, str(c), [row[k] for row in w], bias[k], mean, scale) for k, c in enumerate(model["classes"])]
+    return spark.createDataFrame(rows, "k int, label string, weights array<float>, bias float, mean array<float>, scale array<float>")
+
+
+def model_from_table(table: DataFrame) -> dict[str, object]:
+    rows = table.orderBy("k").collect()  # one row a class
+    if not rows:
+        raise ValueError("a model needs classes")
+    single = lambda v: np.asarray(v, np.float32)
+    return {"classes": [r["label"] for r in rows], "weights": single([r["weights"] for r in rows]).T, "bias": single([r["bias"] for r in rows]), "mean": single(rows[0]["mean"]), "scale": single(rows[0]["scale"])}
+
+
+def evaluation(scored: DataFrame, classes: DataFrame, zero_recall: float | None = None) -> dict[str, object]:
+    """Accuracy, macro figures, and figures and counts by class, from one confusion table of at most
+    classes x classes rows."""
+    spark = scored.sparkSession
+    counts = [tuple(r) for r in confusion(scored).collect()]
+    matrix = spark.createDataFrame(counts, "label string, predicted string, n long")
+    per_class = class_metrics(matrix, classes.select("label").distinct(), zero_recall)
+    by_class = {r["label"]: {c: r[c] for c in ("precision", "recall", "f1", "support")} for r in per_class.collect()}
+    whole = macro_metrics(per_class).first()
+    return {"accuracy": accuracy(matrix).first()["accuracy"], "macro_f1": whole["macro_f1"], "macro_recall": whole["macro_recall"], "class_metrics": by_class, "confusion": sorted(counts)}

@@ -106,9 +106,27 @@ def group_splits(df: DataFrame, edges: Sequence[float], fractions: Mapping[str,
 
 def seeded_rows(df: DataFrame, fraction: float, seed: int) -> DataFrame:
     """The rows with ``held_out``: a permutation by seeded hash, its first max(1, round(n * fraction))
-    rows held out. The cut is a hash value found by a top-k of keys."""
+    rows held out. Rows that repeat a row_index share its side."""
     n = df.count()
     k = max(1, round(n * fraction))
-    keyed = df.withColumn("_key", F.sha2(F.concat(F.lit(str(seed)), F.char(F.lit(0)), F.col("row_index").cast("string")), 256))
-    last = keyed.select("_key").orderBy("_key").limit(k).agg(F.max("_key")).first()[0]
-    return keyed.withColumn("held_out", F.col("_key") <= F.lit(last)).drop("_key")
+    keyed = df.withColumn("_key", F.sha2(F.concat(F.lit(str(seed)), F.char(F.lit(0)), F.coalesce(F.col("row_index").cast("string"), F.lit(""))), 256))
+    return keyed.withColumn("held_out", F.col("_key") <= F.lit(_kth_key(keyed.select("_key"), k))).drop("_key")
+
+
+def _kth_key(keys: DataFrame, k: int) -> str:
+    """The k-th least of hexadecimal keys. Counts by leading digits, at most 4096 a pass, narrow the
+    range until the keys in it are few, or one."""
+    prefix = ""
+    while len(prefix) < 63:
+        within = keys.where(F.startswith("_key", F.lit(prefix)))
+        counts = within.groupBy(F.substring("_key", 1, len(prefix) + 3).alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
+        for p, n in sorted(tuple(r) for r in counts):
+            if k <= n:
+                prefix = p
+                break
+            k -= n
+        else:
+            return "g"  # fewer keys than k: all lie below
+        if n <= 4096:
+            return keys.where(F.startswith("_key", F.lit(prefix))).orderBy("_key").limit(k).agg(F.max("_key")).first()[0]
+    return prefix + "g"

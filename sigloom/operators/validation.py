@@ -44,6 +44,9 @@ class ValidationPolicy:
             raise PolicyError(str(error)) from error
 
 
+#: Positions of an index list that are compared in one window.
+BLOCK_POSITIONS = 65536
+
 #: Order of a row's issues.
 CODES: tuple[str, ...] = (
     "signal.not_ndarray", "signal.invalid_shape", "signal.invalid_length", "signal.empty", "signal.invalid_dtype", "signal.non_finite", "signal.constant", "signal.amplitude_out_of_range", "signal.power_out_of_range",
@@ -103,10 +106,15 @@ def error_summary(found: DataFrame, k: int = 5) -> DataFrame:
 
 
 def index_problems(indices: DataFrame, n: int) -> DataFrame:
-    """(pos, idx, problem) for a list of training indices that must ascend within 0..n-1."""
-    order = Window.orderBy("pos")
-    bad = F.when((F.col("idx") < 0) | (F.col("idx") >= n), "out_of_range").when(F.lag("idx").over(order) >= F.col("idx"), "not_ascending")
-    return indices.withColumn("problem", bad).where("problem is not null")
+    """(pos, idx, problem) for a list of training indices that must ascend within 0..n-1. Neighbours
+    are compared within blocks of positions; only the last index of each block is ordered globally."""
+    blocked = indices.withColumn("_block", F.floor(F.col("pos") / BLOCK_POSITIONS))
+    ends = blocked.groupBy("_block").agg(F.max_by("idx", "pos").alias("_last"))
+    carried = ends.select("_block", F.lag("_last").over(Window.orderBy("_block")).alias("_carried"))  # one row a block
+    before = F.lag("idx").over(Window.partitionBy("_block").orderBy("pos"))
+    rows = blocked.withColumn("_before", before).join(carried, "_block")
+    bad = F.when((F.col("idx") < 0) | (F.col("idx") >= n), "out_of_range").when(F.coalesce("_before", "_carried") >= F.col("idx"), "not_ascending")
+    return rows.withColumn("problem", bad).where("problem is not null").drop("_block", "_before", "_carried")
 
 
 def safety_problems(df: DataFrame, max_amplitude: float, epsilon: float, reject_zero_power: bool = True) -> dict[str, int]:

@@ -253,6 +253,39 @@ def cross_split_near_pairs(spark: SparkSession, d: str) -> DataFrame:
     return duplicates.cross_split_pairs(duplicates.near_pairs(usable(spark, d), DUPLICATES), assignments(spark, d))
 
 
+LEAKAGE = """pop AS (SELECT sample_id, label, CASE WHEN row_index % 15 <> 0 THEN group_id END AS g FROM dirty WHERE sample_id NOT IN (SELECT sample_id FROM issues)),
+passigned AS (SELECT sample_id, split FROM assigned JOIN pop USING (sample_id)), pvalid AS (SELECT * FROM passigned WHERE split IN ('train','validation','test')),
+pgroups AS (SELECT g, string_agg(DISTINCT split, ',' ORDER BY split) AS splits FROM pop JOIN pvalid USING (sample_id) WHERE g IS NOT NULL GROUP BY g HAVING count(DISTINCT split) > 1),
+pexact AS (SELECT canonical, string_agg(DISTINCT split, ',' ORDER BY split) AS splits FROM vmembers JOIN pvalid USING (sample_id) GROUP BY canonical HAVING count(DISTINCT split) > 1),
+pnear AS (SELECT left_id, right_id, least(a.split, b.split) || ',' || greatest(a.split, b.split) AS splits FROM near JOIN pvalid a ON a.sample_id = left_id JOIN pvalid b ON b.sample_id = right_id WHERE a.split <> b.split),
+found AS (
+ SELECT 'group.unresolved' AS error_code, sample_id AS key, sample_id, NULL AS splits, CAST(NULL AS DOUBLE) AS similarity FROM pop WHERE g IS NULL
+ UNION ALL SELECT 'duplicate.exact', canonical, sample_id, NULL, NULL FROM vmembers
+ UNION ALL SELECT 'duplicate.label_conflict', canonical, sample_id, NULL, NULL FROM vmembers WHERE conflict
+ UNION ALL SELECT 'duplicate.near', left_id || '|' || right_id, unnest([left_id, right_id]), NULL, 1.0 FROM near
+ UNION ALL SELECT CASE WHEN split IS NULL THEN 'split.assignment_missing' ELSE 'split.assignment_invalid' END, sample_id, sample_id, NULL, NULL FROM pop LEFT JOIN passigned USING (sample_id) WHERE split IS NULL OR split NOT IN ('train','validation','test')
+ UNION ALL SELECT 'leakage.group_cross_split', g, sample_id, splits, NULL FROM pop JOIN pvalid USING (sample_id) JOIN pgroups USING (g)
+ UNION ALL SELECT 'leakage.exact_cross_split', canonical, sample_id, splits, NULL FROM vmembers JOIN pvalid USING (sample_id) JOIN pexact USING (canonical)
+ UNION ALL SELECT 'leakage.near_cross_split', left_id || '|' || right_id, unnest([left_id, right_id]), splits, 1.0 FROM pnear)"""
+
+
+def _leakage(spark: SparkSession, d: str) -> DataFrame:
+    valid = usable(spark, d).withColumn("group_id", F.when(F.col("row_index") % 15 != 0, F.col("group_id")))
+    assigned = assignments(spark, d).join(valid.select("sample_id"), "sample_id", "left_semi")
+    return duplicates.leakage_issues(valid, DUPLICATES, assigned)
+
+
+@query()
+def leakage_result(spark: SparkSession, d: str) -> DataFrame:
+    """Duplicates, groups and splits in one result, a row a member of an issue."""
+    return _leakage(spark, d).withColumn("similarity", r6("similarity"))
+
+
+@query()
+def leakage_split_ready(spark: SparkSession, d: str) -> DataFrame:
+    return duplicates.leakage_summary(_leakage(spark, d))
+
+
 @query("SELECT sample_id FROM (SELECT sample_id, CASE WHEN row_index % 10 = 0 THEN '  ' WHEN row_index % 15 = 0 THEN NULL ELSE group_id END AS g FROM sig) WHERE g IS NULL OR trim(g) = ''", SIGNAL_SQL)
 def unresolved_groups(spark: SparkSession, d: str) -> DataFrame:
     r = F.col("row_index")
@@ -287,6 +320,11 @@ vmembers AS (SELECT sample_id, conflict, canonical FROM vkeyed JOIN (SELECT key,
 QUARANTINED = ",\n".join([VALIDATED, NEAR, VMEMBERS, REASONS])
 
 
+LEAKED = ",\n".join([QUARANTINED, ASSIGNED, LEAKAGE])
+ORACLE["leakage_result"] = f"WITH {LEAKED} SELECT error_code, key, sample_id, splits, similarity FROM found"
+ORACLE["leakage_split_ready"] = f"WITH {LEAKED} SELECT count(DISTINCT error_code || ' ' || key) AS issues, count(DISTINCT sample_id) AS samples, NOT bool_or(regexp_matches(error_code, '^(duplicate|group|split|leakage)[.]')) AS split_ready FROM found"
+
+
 def dirty_reasons(spark: SparkSession, d: str) -> DataFrame:
     valid = usable(spark, d)
     return quarantine.reasons(dirty_issues(spark, d), duplicates.exact_members(valid), duplicates.near_pairs(valid, DUPLICATES))
@@ -441,14 +479,21 @@ for _mode, _left in (("left", 7), ("center", 3), ("right", 0)):
     ORACLE[f"canonical_pad_{_mode}"] = f"WITH {over('sig')}, grid AS (SELECT sample_id, unnest(range(39)) AS k FROM sig) SELECT g.sample_id, CAST(g.k AS INTEGER) AS k, round(coalesce(x, 0.5),6)+0.0 AS i, round(coalesce(y, 0.5),6)+0.0 AS q, x IS NOT NULL AS valid FROM grid g LEFT JOIN pairs p ON p.sample_id = g.sample_id AND p.k = g.k - {_left}"
 
 
-@query("SELECT sample_id, CAST(k AS INTEGER) AS k, round(CAST(CAST(sqrt(x*x+y*y) AS FLOAT) AS DOUBLE),4)+0.0 AS amplitude, round(cos(CAST(CAST(atan2(y,x) AS FLOAT) AS DOUBLE)),4)+0.0 AS cosine FROM pairs", over("sig"))
+@query("SELECT valid, count(*) AS n FROM (SELECT least(len(i), 39) AS valid FROM sig) GROUP BY valid", SIGNAL_SQL)
+def valid_mask_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Signals by the number of places of the canonical form that hold values."""
+    out = features.canonical(signal_view(spark, d), features.CanonicalConfig(39))
+    return out.groupBy(F.size(F.filter("valid_mask", lambda m: m)).cast("long").alias("valid")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT sample_id, CAST(k AS INTEGER) AS k, round(CAST(CAST(sqrt(x*x+y*y) AS FLOAT) AS DOUBLE),4)+0.0 AS amplitude, round(cos(CAST(CAST(atan2(y,x) AS FLOAT) AS DOUBLE)),4)+0.0 AS cosine, round(sin(CAST(CAST(atan2(y,x) AS FLOAT) AS DOUBLE)),4)+0.0 AS sine FROM pairs", over("sig"))
 def amplitude_phase(spark: SparkSession, d: str) -> DataFrame:
-    """Phases are compared by their cosine, which does not jump where they wrap."""
+    """Phases are compared by cosine and sine, which do not jump where they wrap."""
     full = features.canonical(signal_view(spark, d), features.CanonicalConfig(LENGTH))
     out = features.amplitude_phase(full)
     each = out.select("sample_id", F.posexplode(F.arrays_zip("amplitude", "phase")).alias("k", "v"))
     r4 = lambda c: F.round(c.cast("double"), 4) + F.lit(0.0)
-    return each.select("sample_id", "k", r4(F.col("v.amplitude")).alias("amplitude"), r4(F.cos(F.col("v.phase").cast("double"))).alias("cosine"))
+    return each.select("sample_id", "k", r4(F.col("v.amplitude")).alias("amplitude"), r4(F.cos(F.col("v.phase").cast("double"))).alias("cosine"), r4(F.sin(F.col("v.phase").cast("double"))).alias("sine"))
 
 
 def _fft(config: features.SpectralConfig, places: int) -> Query:

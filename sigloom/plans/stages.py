@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sigloom.operators import duplicates, preprocessing, quarantine, splitting, validation
+from sigloom.operators import duplicates, eda, models, preprocessing, quarantine, splitting, validation
 from sigloom.schema import canonical_sha256
 from sigloom.sources.publish import content_hash, publish
 
@@ -86,3 +86,41 @@ def manifest_errors(manifest: Mapping[str, Any]) -> list[str]:
     if not found and (stages["split"]["input_hash"] != stages["validate"]["accepted_hash"] or stages["preprocess"]["input_hash"] != stages["split"]["development_hash"]):
         found.append("hash chain")
     return found
+
+
+def eda_stage(signals: DataFrame, out: str, source_id: str, revision: str) -> dict[str, Any]:
+    """Publishes the exploratory tables; the run's id follows from the input's content and source."""
+    tables = {"numeric_summary": eda.numeric_summary(signals), "class_distribution": eda.class_distribution(signals), "snr_distribution": eda.snr_distribution(signals), "length_distribution": eda.length_distribution(signals)}
+    origin = {"source_id": source_id, "source_revision": revision, "input": content_hash(signals)}
+    run_id = canonical_sha256(origin)[:16]
+    hashes = {}
+    for name, table in tables.items():
+        rounded = [(F.round(c, 9) + F.lit(0.0)).alias(c) if t == "double" else F.col(c) for c, t in table.dtypes]  # sums of floats follow the order of rows
+        publish(table.select(*rounded), f"{out}/{run_id}/{name}")
+        hashes[name] = content_hash(signals.sparkSession.read.parquet(f"{out}/{run_id}/{name}"))
+    return {"schema_version": "1.0", "run_id": run_id, "source": origin, "tables": hashes}
+
+
+def train_stage(rows: DataFrame, out: str, fraction: float, seed: int, epochs: int, rate: float, l2: float = 0.0) -> dict[str, Any]:
+    """Fits the softmax baseline to the rows not held out, publishes model and split, and evaluates on
+    the rest. Rows have row_index, label and features."""
+    if not 0 < fraction < 1:
+        raise StageError("fraction must lie between 0 and 1")
+    split = splitting.seeded_rows(rows, fraction, seed)
+    sizes = split.agg(F.count_if("held_out").alias("test"), F.count_if(~F.col("held_out")).alias("train")).first()
+    if not sizes["train"]:
+        raise StageError("no row is left to train on")
+    model = models.softmax_fit(split.where(~F.col("held_out")), epochs, rate, l2)
+    spark = rows.sparkSession
+    publish(models.model_table(spark, model), f"{out}/model")
+    publish(split.select("row_index", "held_out"), f"{out}/split")
+    metrics = evaluate_stage(split.where("held_out"), f"{out}/model", 0.0)
+    return {"schema_version": "1.0", "model_type": "softmax", "seed": seed, "train_samples": sizes["train"], "test_samples": sizes["test"], "metrics": metrics, "model_hash": content_hash(spark.read.parquet(f"{out}/model"))}
+
+
+def evaluate_stage(rows: DataFrame, model: str, zero_recall: float | None = None) -> dict[str, Any]:
+    """Figures of a published softmax model on labelled rows."""
+    fitted = models.model_from_table(rows.sparkSession.read.parquet(model))
+    scored = models.softmax_predict(rows, fitted)
+    known = rows.sparkSession.createDataFrame([(c,) for c in fitted["classes"]], "label string")
+    return models.evaluation(scored, known.union(rows.select("label")), zero_recall)

@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROWS = "path string, pos long, sample_id string, i array<float>, q array<float>, dtype string, representation string, label string, snr_db double, group_id string"
@@ -85,8 +85,9 @@ def _npy(path: str, content: bytes) -> pa.RecordBatch:
 READERS: dict[str, Callable[[str, bytes], pa.RecordBatch]] = {"npz": _npz, "json": _json, "hdf5": _hdf5, "pickle": _pickle, "npy": _npy}
 
 
-def read_signals(spark: SparkSession, path: str, form: str, allow_unsafe_pickle: bool = False) -> DataFrame:
-    """The signal rows of all files under a path, with their file and place in it."""
+def read_signals(spark: SparkSession, path: str, form: str, allow_unsafe_pickle: bool = False, glob: str | None = None) -> DataFrame:
+    """The signal rows of all files under a path, with their file and place in it. With ``glob``, of
+    the files in all folders below whose names match."""
     if form not in READERS:
         raise SourceError(f"unknown form {form!r}")
     if form == "pickle" and not allow_unsafe_pickle:
@@ -100,7 +101,10 @@ def read_signals(spark: SparkSession, path: str, form: str, allow_unsafe_pickle:
                 for a in range(0, whole.num_rows, 1024):
                     yield whole.slice(a, 1024)
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(rows, ROWS)
+    source = spark.read.format("binaryFile")
+    if glob is not None:
+        source = source.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+    return source.load(path).select("path", "content").mapInArrow(rows, ROWS)
 
 
 def with_row_index(df: DataFrame) -> DataFrame:
@@ -110,3 +114,44 @@ def with_row_index(df: DataFrame) -> DataFrame:
     counts = df.groupBy("path").agg(F.count(F.lit(1)).alias("n"))
     first = block_offsets(counts, order="path").select("path", "first")
     return df.join(first, "path").withColumn("row_index", F.col("first") + F.col("pos")).drop("first", "pos", "path")
+
+
+def npy_signals(spark: SparkSession, path: str) -> DataFrame:
+    """Signals of the .npy files under a path, each with the label, SNR and group of the .json file
+    of the same name beside it, where there is one. A sidecar that is no JSON object raises."""
+    folder = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    arrays = read_signals(spark, path, "npy", glob="*.npy")
+    texts = folder.option("pathGlobFilter", "*.json").load(path).select("path", F.col("content").cast("string").alias("text"))
+    meta = F.from_json("text", "label string, snr_db double, group_id string")
+    checked = F.when(F.startswith(F.ltrim("text"), F.lit("{")), meta).otherwise(F.raise_error(F.concat(F.lit("no JSON object: "), F.col("path"))))
+    sidecars = texts.select(_stem("path").alias("stem"), checked.alias("m"))
+    snr = F.col("m.snr_db")
+    finite = F.when(~F.isnan(snr) & (F.abs(snr) < float("inf")), snr)
+    joined = arrays.withColumn("stem", _stem("path")).join(sidecars, "stem", "left")
+    return joined.withColumns({"label": F.coalesce("m.label", "label"), "snr_db": finite, "group_id": F.col("m.group_id")}).select(*NAMES)
+
+
+def _stem(path: str) -> Column:
+    return F.regexp_replace(path, r"\.[^./]*$", "")
+
+
+def first_file(spark: SparkSession, path: str, patterns: Sequence[str]) -> str:
+    """The least path of the first pattern that any file under ``path`` has."""
+    for pattern in patterns:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
+        if (found := files.agg(F.min("path")).first()[0]) is not None:
+            return found
+    raise SourceError(f"no file under {path} is named {' or '.join(patterns)}")
+
+
+#: Names of detection labels 0 to 11.
+DETECTION_LABELS = ("car", "large_vehicle", "truck", "bus", "train", "bicycle", "motorized_two_wheeler", "pedestrian", "pedestrian_group", "animal", "other", "static")
+
+
+def detections(df: DataFrame) -> DataFrame:
+    """Detection rows with ``label`` by ``label_id`` (null outside the map) and ``group_id``, the track
+    (null where blank). Columns that the table lacks count as null."""
+    held = lambda c: F.col(c) if c in df.columns else F.lit(None)
+    names = F.array(*[F.lit(x) for x in DETECTION_LABELS])
+    track = F.trim(held("track_id").cast("string"))
+    return df.withColumns({"label": F.get(names, held("label_id").cast("int")), "group_id": F.nullif(track, F.lit(""))})
