@@ -1,4 +1,4 @@
-"""Command line: runs a query, or fetches, registers and lists sources. Errors are JSON on stderr, exit 2."""
+"""Command line: runs a query or a stage, or fetches, registers and lists sources. Errors are JSON on stderr, exit 2."""
 
 from __future__ import annotations
 
@@ -6,6 +6,13 @@ import argparse
 import json
 import sys
 from pathlib import Path
+from typing import TYPE_CHECKING
+
+if TYPE_CHECKING:
+    from pyspark.sql import SparkSession
+
+
+STAGES = ("ingest", "eda", "preprocess", "split", "train", "evaluate")
 
 
 def load_config(path: str) -> dict:
@@ -23,7 +30,7 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("name")
     run.add_argument("tables")
     run.add_argument("--out", help="Parquet folder; without it rows are shown")
-    for name in ("acquire", "register"):
+    for name in ("acquire", "register", *STAGES):
         commands.add_parser(name).add_argument("config")
     inspect = commands.add_parser("inspect", help="one sample of signal files")
     inspect.add_argument("path")
@@ -53,6 +60,9 @@ def _run(args: argparse.Namespace) -> int:
     from sigloom.session import ship
 
     spark = ship(SparkSession.builder.getOrCreate())
+    if args.command in STAGES:
+        print(json.dumps(run_stage(spark, args.command, load_config(args.config))))
+        return 0
     if args.command == "inspect":
         from sigloom.sources.files import read_signals, with_row_index
 
@@ -64,5 +74,32 @@ def _run(args: argparse.Namespace) -> int:
     return 0
 
 
+def run_stage(spark: SparkSession, name: str, config: dict) -> dict:
+    """Runs one stage by its settings; tables are Parquet, or files of ``form``.
+
+    ingest: archives, source_id, version, out. eda: input, out, source_id, revision. split: input, out, policy, duplicates, edges, fractions,
+    seed (validates first). preprocess: as split, and mode. train: input, out, fraction, seed, epochs, rate, l2. evaluate: input, model."""
+    from sigloom.operators.duplicates import DuplicatePolicy
+    from sigloom.operators.validation import ValidationPolicy
+    from sigloom.plans import stages
+    from sigloom.sources import archives, files
+
+    if name == "ingest":
+        return archives.ingest(spark, config["archives"], config["source_id"], config["version"], config["out"])
+    table = files.with_row_index(files.read_signals(spark, config["input"], config["form"])) if "form" in config else spark.read.parquet(config["input"])
+    if name == "eda":
+        return stages.eda_stage(table, config["out"], config["source_id"], config["revision"])
+    if name == "train":
+        return stages.train_stage(table, config["out"], config["fraction"], config["seed"], config["epochs"], config["rate"], config.get("l2", 0.0))
+    if name == "evaluate":
+        return stages.evaluate_stage(table, config["model"])
+    out = config["out"]
+    chain = [stages.validate_stage(table, out, ValidationPolicy.from_mapping(config["policy"]), DuplicatePolicy(**config.get("duplicates", {})))]
+    chain.append(stages.split_stage(out, spark, config["edges"], config["fractions"], config["seed"], chain[-1]))
+    if name == "preprocess":
+        chain.append(stages.preprocess_stage(out, spark, config["mode"], chain[-1]))
+    return stages.report(chain)
+
+
 if __name__ == "__main__":
     sys.exit(main())

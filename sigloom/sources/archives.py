@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sigloom.functions.signal import sample_key
+from sigloom.sources.publish import content_hash, publish
 
 RESERVED = "manifest.json"
 
@@ -86,3 +87,23 @@ def stage_differences(expected: DataFrame, found: DataFrame, compare: Sequence[s
     f = found.select(F.col(key).alias("f"), F.struct(*compare).alias("f_row"))
     problem = F.when(F.col("e").isNull(), "unexpected").when(F.col("f").isNull(), "missing").when(~F.col("e_row").eqNullSafe(F.col("f_row")), "changed")
     return e.join(f, F.col("e") == F.col("f"), "full_outer").select(F.coalesce("e", "f").alias(key), problem.alias("problem")).where("problem is not null")
+
+
+def ingest(spark: SparkSession, path: str, source_id: str, version: str, out: str) -> dict[str, object]:
+    """Publishes the members of archives as an immutable table, and says what it holds. No member at
+    all, and paths of one archive that differ at most in case, raise."""
+    members = read_archives(spark, path, source_id, version)
+    if (clash := colliding_paths(members).first()) is not None:
+        raise IngestionError(f"members of {clash['archive']} collide at {clash['folded']!r}")
+    if members.first() is None:
+        raise IngestionError(f"{path} holds no file")
+    status = publish(members, out)
+    return {"schema_version": "1.0", "source_id": source_id, "source_version": version, "status": status, "members": content_hash(spark.read.parquet(out).drop("archive"))}
+
+
+def verify_ingested(spark: SparkSession, path: str, source_id: str, version: str, out: str) -> DataFrame:
+    """(path, problem) where an ingested table differs from what its archives hold now."""
+    facts = ["path", "size", "sha256", "sample_id"]
+    held = spark.read.parquet(out).select(*facts, F.sha2("content", 256).alias("content_sha256"))
+    fresh = read_archives(spark, path, source_id, version).select(*facts, F.col("sha256").alias("content_sha256"))
+    return stage_differences(fresh, held, ["size", "sha256", "sample_id", "content_sha256"])
