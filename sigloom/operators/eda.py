@@ -26,6 +26,21 @@ def class_distribution(df: DataFrame) -> DataFrame:
     return df.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
 
 
+#: Kinds of labels by the type of their column.
+KINDS = {"string": "str", "tinyint": "int", "smallint": "int", "int": "int", "bigint": "int", "float": "float", "double": "float", "boolean": "bool"}
+
+
+def typed_distribution(df: DataFrame, label: str = "label", kind: Column | None = None) -> DataFrame:
+    """(kind, label, n), sorted by kind, then by the label as text, so that int 10 comes before 2.
+
+    A column has one type, which gives the kind; a table of labels of several types holds them as text, and
+    ``kind`` says which each one is. A null label has the kind NoneType."""
+    held = KINDS.get(df.schema[label].dataType.simpleString(), df.schema[label].dataType.simpleString())
+    named = F.when(F.col(label).isNull(), "NoneType").otherwise(F.lit(held) if kind is None else kind)
+    counts = df.groupBy(named.alias("kind"), F.col(label).cast("string").alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.orderBy("kind", "label")
+
+
 def snr_distribution(df: DataFrame) -> DataFrame:
     """Counts by SNR; all that is not finite is one row with a null SNR."""
     finite = F.when(~F.isnan("snr_db") & (F.abs("snr_db") < float("inf")), F.col("snr_db"))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 
 from sigloom.functions.signal import squared_distance
@@ -20,41 +20,70 @@ def centroids(df: DataFrame, features: str = "features", label: str = "label") -
     return means.groupBy("label").agg(F.transform(ordered, lambda x: x["m"]).alias("centroid"))
 
 
-def nearest(df: DataFrame, classes: DataFrame, features: str = "features", most: int = 10_000) -> DataFrame:
+def nearest(df: DataFrame, classes: DataFrame, features: str = "features", block: int = 4096) -> DataFrame:
     """The rows with ``predicted``, the class of the nearest centroid; of equals the first class.
 
-    The centroids are counted, and broadcast while they are at most ``most``; beyond that, rows meet
-    them by a plain join that Spark plans."""
-    n = classes.limit(most + 1).count()
-    table = classes.agg(F.array_sort(F.collect_list(F.struct(F.col("label").alias("class"), "centroid"))).alias("classes"))
-    if n <= most:
-        joined = df.crossJoin(F.broadcast(table))  # one row of at most ``most`` centroids
-        distances = F.transform("classes", lambda c: F.struct(squared_distance(F.col(features), c["centroid"]).alias("d"), c["class"].alias("class")))
-        return joined.withColumn("predicted", F.array_min(distances)["class"]).drop("classes")
-    pairs = df.crossJoin(classes.select(F.col("label").alias("class"), "centroid"))
-    best = pairs.groupBy("row_index").agg(F.min(F.struct(squared_distance(F.col(features), F.col("centroid")).alias("d"), "class")).alias("b"))
-    return df.join(best.select("row_index", F.col("b.class").alias("predicted")), "row_index")
-
-
-def confusion(df: DataFrame, label: str = "label", predicted: str = "predicted") -> DataFrame:
-    return df.groupBy(F.col(label).alias("label"), F.col(predicted).alias("predicted")).agg(F.count(F.lit(1)).alias("n"))
+    Centroids come in blocks of about ``block``, dealt by hash; each block is broadcast as one row, and
+    rows keep the best so far. So any number of classes is met without a shuffle of rows."""
+    blocks = max(1, -(-classes.count() // block))
+    dealt = classes.select(F.col("label").alias("class"), "centroid", F.pmod(F.xxhash64("label"), F.lit(blocks)).alias("block"))
+    best = None
+    for k in range(blocks):
+        table = dealt.where(F.col("block") == k).agg(F.array_sort(F.collect_list(F.struct("class", "centroid"))).alias("_classes"))
+        distances = F.transform("_classes", lambda c: F.struct(squared_distance(F.col(features), c["centroid"]).alias("d"), c["class"].alias("class")))
+        least = F.array_min(distances)
+        best = least if best is None else F.array_min(F.array(F.col("_best"), least))
+        df = df.crossJoin(F.broadcast(table)).withColumn("_best", best).drop("_classes")  # one row of one block
+    return df.withColumn("predicted", F.col("_best")["class"]).drop("_best")
+
+
+def class_probabilities(df: DataFrame, classes: DataFrame, features: str = "features") -> DataFrame:
+    """The rows with ``probabilities``: (class, p) of every class, in their order, p in proportion to
+    exp(-squared distance) from its centroid. A row of the result holds every class, so the model is broadcast whole."""
+    table = classes.agg(F.array_sort(F.collect_list(F.struct(F.col("label").alias("class"), "centroid"))).alias("_classes"))
+    joined = df.crossJoin(F.broadcast(table))  # one row
+    far = F.transform("_classes", lambda c: F.struct(c["class"].alias("class"), squared_distance(F.col(features), c["centroid"]).alias("d")))
+    joined = joined.withColumn("_far", far).withColumn("_least", F.array_min(F.transform("_far", lambda c: c["d"])))
+    joined = joined.withColumn("_w", F.transform("_far", lambda c: F.struct(c["class"].alias("class"), F.exp(F.col("_least") - c["d"]).alias("w"))))
+    joined = joined.withColumn("_sum", F.aggregate("_w", F.lit(0.0), lambda s, c: s + c["w"]))
+    shared = F.transform("_w", lambda c: F.struct(c["class"].alias("class"), (c["w"] / F.col("_sum")).alias("p")))
+    return joined.withColumn("probabilities", shared).drop("_classes", "_far", "_least", "_w", "_sum")
+
+
+def confusion(df: DataFrame, label: str = "label", predicted: str = "predicted", slices: Sequence[str] = ()) -> DataFrame:
+    return df.groupBy(*slices, F.col(label).alias("label"), F.col(predicted).alias("predicted")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def class_metrics(matrix: DataFrame, classes: DataFrame, zero_recall: float | None = None) -> DataFrame:
     """(label, precision, recall, f1, support) from a confusion table, for every class. A class without support has the
     recall ``zero_recall``: null (evaluation reports) or 0 (baseline reports)."""
-    ends = matrix.select(F.col("label").alias("c"), F.when(F.col("label") == F.col("predicted"), F.col("n")).otherwise(0).alias("tp"), F.col("n").alias("support"), F.lit(0).cast("long").alias("named"))
-    ends = ends.unionByName(matrix.select(F.col("predicted").alias("c"), F.lit(0).cast("long").alias("tp"), F.lit(0).cast("long").alias("support"), F.col("n").alias("named")))
-    sums = classes.select(F.col("label").alias("c")).distinct().join(ends, "c", "left").groupBy("c").agg(*[F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in ("tp", "support", "named")])
-    rates = sums.select(F.col("c").alias("label"), F.coalesce(F.try_divide("tp", "named"), F.lit(0.0)).alias("precision"), F.coalesce(F.try_divide("tp", "support"), F.lit(zero_recall).cast("double")).alias("recall"), "support")
+    sums = classes.select(F.col("label").alias("c")).distinct().join(_ends(matrix, ()), "c", "left").groupBy("c")
+    return _rates(sums, (), zero_recall)
+
+
+def sliced_class_metrics(matrix: DataFrame, slices: Sequence[str]) -> DataFrame:
+    """(slices..., label, precision, recall, f1, support) from a confusion table by slice, for the classes that
+    a slice has or that were predicted there; the latter have a null recall."""
+    return _rates(_ends(matrix, slices).groupBy(*slices, "c"), slices, None)
+
+
+def _ends(matrix: DataFrame, slices: Sequence[str]) -> DataFrame:
+    none = F.lit(0).cast("long")
+    ends = matrix.select(*slices, F.col("label").alias("c"), F.when(F.col("label") == F.col("predicted"), F.col("n")).otherwise(0).alias("tp"), F.col("n").alias("support"), none.alias("named"))
+    return ends.unionByName(matrix.select(*slices, F.col("predicted").alias("c"), none.alias("tp"), none.alias("support"), F.col("n").alias("named")))
+
+
+def _rates(ends: GroupedData, slices: Sequence[str], zero_recall: float | None) -> DataFrame:
+    sums = ends.agg(*[F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in ("tp", "support", "named")])
+    rates = sums.select(*slices, F.col("c").alias("label"), F.coalesce(F.try_divide("tp", "named"), F.lit(0.0)).alias("precision"), F.coalesce(F.try_divide("tp", "support"), F.lit(zero_recall).cast("double")).alias("recall"), "support")
     f1 = F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")), F.lit(0.0))
     return rates.withColumn("f1", f1)
 
 
-def macro_metrics(per_class: DataFrame) -> DataFrame:
-    """(macro_f1, macro_recall, support) over the classes whose recall is not null."""
+def macro_metrics(per_class: DataFrame, slices: Sequence[str] = ()) -> DataFrame:
+    """(slices..., macro_f1, macro_recall, support) over the classes whose recall is not null."""
     present = per_class.where("recall is not null")
-    return present.agg(F.avg("f1").alias("macro_f1"), F.avg("recall").alias("macro_recall"), F.sum("support").alias("support"))
+    return present.groupBy(*slices).agg(F.avg("f1").alias("macro_f1"), F.avg("recall").alias("macro_recall"), F.sum("support").alias("support"))
 
 
 def accuracy(matrix: DataFrame) -> DataFrame:
@@ -117,11 +146,40 @@ def softmax_predict(df: DataFrame, model: dict[str, object], features: str = "fe
     return df.withColumn("_x", x).withColumn("_l", logits).withColumn("predicted", F.get(named, (F.array_position("_l", F.array_max("_l")) - 1).cast("int"))).drop("_x", "_l")
 
 
-def calibration(df: DataFrame, confidence: str, correct: str, slices: Sequence[str] = (), bins: int = 15) -> DataFrame:
-    """An extension: (slices..., ece, brier, n), expected calibration error over equal bins."""
-    binned = df.withColumn("bin", F.least(F.floor(F.col(confidence) * bins), F.lit(bins - 1)))
-    each = binned.groupBy(*slices, "bin").agg(F.count(F.lit(1)).alias("n"), F.avg(confidence).alias("c"), F.avg(F.col(correct).cast("double")).alias("a"), F.sum(F.pow(F.col(confidence) - F.col(correct).cast("double"), 2)).alias("b"))
-    return each.groupBy(*slices).agg((F.sum(F.abs(F.col("c") - F.col("a")) * F.col("n")) / F.sum("n")).alias("ece"), (F.sum("b") / F.sum("n")).alias("brier"), F.sum("n").alias("n"))
+#: The named ranges of SNR in dB, ends included.
+SNR_SLICES = {"low": (float("-inf"), -8.0), "mid": (-6.0, 4.0), "high": (6.0, float("inf"))}
+
+
+def snr_slice(snr: Column, slices: Mapping[str, tuple[float, float]] = SNR_SLICES) -> Column:
+    """The name of the range that holds an SNR; null where it is missing, no number, or in no range."""
+    named = F.lit(None).cast("string")
+    for name, (low, high) in slices.items():
+        named = F.when(snr.between(low, high) & ~F.isnan(snr), name).otherwise(named)
+    return named
+
+
+def scored(df: DataFrame, label: str = "label") -> DataFrame:
+    """Rows with ``probabilities`` get ``predicted`` (the first class of the greatest), ``confidence`` (its
+    probability), ``correct``, ``nll`` (probabilities below 1e-15 count as that, and so do classes that the
+    model lacks) and ``brier``, the sum over classes of squared differences from the label."""
+    best = F.array_max(F.transform("probabilities", lambda c: c["p"]))
+    first = F.element_at(F.filter("probabilities", lambda c: c["p"] == F.col("confidence")), 1)["class"]
+    own = F.aggregate("probabilities", F.lit(0.0), lambda s, c: s + F.when(c["class"] == F.col(label), c["p"]).otherwise(0.0))
+    missed = F.aggregate("probabilities", F.lit(0.0), lambda s, c: s + F.pow(c["p"] - (c["class"] == F.col(label)).cast("double"), 2))
+    rows = df.withColumn("confidence", best).withColumn("predicted", first)
+    return rows.withColumns({"correct": F.col("predicted") == F.col(label), "nll": -F.log(F.greatest(own, F.lit(1e-15))), "brier": missed})
+
+
+def reliability(scores: DataFrame, slices: Sequence[str] = (), bins: int = 15) -> DataFrame:
+    """(slices..., bin, n, confidence, accuracy, nll, brier) of equal bins of confidence: the last two are sums."""
+    binned = scores.withColumn("bin", F.least(F.floor(F.col("confidence") * bins), F.lit(bins - 1)))
+    return binned.groupBy(*slices, "bin").agg(F.count(F.lit(1)).alias("n"), F.avg("confidence").alias("confidence"), F.avg(F.col("correct").cast("double")).alias("accuracy"), F.sum("nll").alias("nll"), F.sum("brier").alias("brier"))
+
+
+def calibration(scores: DataFrame, slices: Sequence[str] = (), bins: int = 15) -> DataFrame:
+    """(slices..., ece, nll, brier, n): expected calibration error over equal bins, means of the others."""
+    gaps = F.sum(F.abs(F.col("accuracy") - F.col("confidence")) * F.col("n")) / F.sum("n")
+    return reliability(scores, slices, bins).groupBy(*slices).agg(gaps.alias("ece"), (F.sum("nll") / F.sum("n")).alias("nll"), (F.sum("brier") / F.sum("n")).alias("brier"), F.sum("n").alias("n"))
 
 
 def model_table(spark: SparkSession, model: dict[str, object]) -> DataFrame:

@@ -62,6 +62,13 @@ def eda_class_distribution(spark: SparkSession, d: str) -> DataFrame:
     return eda.class_distribution(dirty_view(spark, d))
 
 
+@query("SELECT CASE WHEN row_index % 3 = 0 THEN 'int' ELSE 'str' END AS kind, CASE WHEN row_index % 3 = 0 THEN substr(label, 7) ELSE label END AS label, count(*) AS n FROM sig GROUP BY 1, 2", SIGNAL_SQL)
+def eda_typed_classes(spark: SparkSession, d: str) -> DataFrame:
+    whole = F.col("row_index") % 3 == 0
+    mixed = signal_view(spark, d).withColumn("label", F.when(whole, F.substring("label", 7, 9)).otherwise(F.col("label")))
+    return eda.typed_distribution(mixed, kind=F.when(whole, "int").otherwise("str"))
+
+
 @query("SELECT CASE WHEN isfinite(snr_db) THEN snr_db END AS snr_db, count(*) AS n FROM dirty GROUP BY 1", DIRTY_SQL)
 def eda_snr_distribution(spark: SparkSession, d: str) -> DataFrame:
     return eda.snr_distribution(dirty_view(spark, d))
@@ -586,6 +593,57 @@ def accuracy(spark: SparkSession, d: str) -> DataFrame:
     return models.accuracy(models.confusion(predicted(spark, d))).select(F.round("accuracy", 6).alias("accuracy"), "support")
 
 
+SLICED = "slices AS (SELECT p.*, snr_db, CASE WHEN snr_db <= -8 THEN 'low' WHEN snr_db BETWEEN -6 AND 4 THEN 'mid' WHEN snr_db >= 6 THEN 'high' END AS snr_slice FROM predicted p JOIN sig USING (sample_id))"
+#: Figures by class within the groups of a column of ``slices``.
+BY_SLICE = "ends AS (SELECT {0} AS s, label AS c, CAST(label = predicted AS INTEGER) AS tp, 1 AS support, 0 AS named FROM slices WHERE {0} IS NOT NULL UNION ALL SELECT {0}, predicted, 0, 0, 1 FROM slices WHERE {0} IS NOT NULL), sums AS (SELECT s, c, sum(tp) AS tp, sum(support) AS support, sum(named) AS named FROM ends GROUP BY s, c), scored AS (SELECT s, c, CASE WHEN support > 0 THEN tp / support END AS recall, 2 * tp / (support + named) AS f1, support FROM sums)"
+PROBABILITIES = "odds AS (SELECT *, exp(-d) / sum(exp(-d)) OVER (PARTITION BY row_index) AS p FROM dist), scores AS (SELECT sample_id, label, arg_max(class, p) = label AS correct, max(p) AS confidence, -ln(greatest(sum(CASE WHEN class = label THEN p ELSE 0 END), 1e-15)) AS nll, sum((p - CAST(class = label AS INTEGER)) ** 2) AS brier FROM odds GROUP BY sample_id, label), bins AS (SELECT least(CAST(floor(confidence * 15) AS BIGINT), 14) AS bin, {0} AS s, count(*) AS n, avg(confidence) AS confidence, avg(CAST(correct AS INTEGER)) AS accuracy, sum(nll) AS nll, sum(brier) AS brier FROM scores JOIN slices USING (sample_id) GROUP BY 1, 2)"
+
+
+def sliced(spark: SparkSession, d: str) -> DataFrame:
+    ranges = signal_view(spark, d).select("sample_id", "snr_db", models.snr_slice(F.col("snr_db")).alias("snr_slice"))
+    return predicted(spark, d).join(ranges, "sample_id")
+
+
+def probabilities(spark: SparkSession, d: str) -> DataFrame:
+    rows = featured(spark, d)
+    ranges = signal_view(spark, d).select("sample_id", models.snr_slice(F.col("snr_db")).alias("snr_slice"))
+    given = models.class_probabilities(rows.where("split <> 'train'"), models.centroids(rows.where("split = 'train'")))
+    return models.scored(given).join(ranges, "sample_id")
+
+
+def sliced_metrics(rows: DataFrame, by: str) -> DataFrame:
+    return models.sliced_class_metrics(models.confusion(rows.where(F.col(by).isNotNull()), slices=[by]), [by])
+
+
+@query("SELECT s AS snr_slice, round(avg(f1),6) AS macro_f1, round(avg(recall),6) AS macro_recall, CAST(sum(support) AS BIGINT) AS support, any_value(lowest) AS lowest_snr, any_value(highest) AS highest_snr FROM scored JOIN (SELECT snr_slice AS s, min(snr_db) AS lowest, max(snr_db) AS highest FROM slices GROUP BY 1) USING (s) WHERE recall IS NOT NULL GROUP BY s", ",\n".join([PREDICTED, SLICED, BY_SLICE.format("snr_slice")]))
+def snr_slice_metrics(spark: SparkSession, d: str) -> DataFrame:
+    rows = sliced(spark, d)
+    ends = rows.groupBy("snr_slice").agg(F.min("snr_db").alias("lowest_snr"), F.max("snr_db").alias("highest_snr"))
+    macro = models.macro_metrics(sliced_metrics(rows, "snr_slice"), ["snr_slice"])
+    return macro.join(ends, "snr_slice").select("snr_slice", *[F.round(c, 6).alias(c) for c in ("macro_f1", "macro_recall")], "support", "lowest_snr", "highest_snr")
+
+
+@query("SELECT s AS snr_slice, c AS label, round(recall,6) AS recall, CAST(support AS BIGINT) AS support FROM scored", ",\n".join([PREDICTED, SLICED, BY_SLICE.format("snr_slice")]))
+def snr_slice_recall(spark: SparkSession, d: str) -> DataFrame:
+    return sliced_metrics(sliced(spark, d), "snr_slice").select("snr_slice", "label", F.round("recall", 6).alias("recall"), "support")
+
+
+@query("SELECT s AS snr_db, round(avg(f1),6) AS macro_f1, CAST(sum(support) AS BIGINT) AS support FROM scored WHERE recall IS NOT NULL GROUP BY s", ",\n".join([PREDICTED, SLICED, BY_SLICE.format("snr_db")]))
+def snr_curve(spark: SparkSession, d: str) -> DataFrame:
+    return models.macro_metrics(sliced_metrics(sliced(spark, d), "snr_db"), ["snr_db"]).select("snr_db", F.round("macro_f1", 6).alias("macro_f1"), "support")
+
+
+@query("SELECT bin, n, round(confidence,6) AS confidence, round(accuracy,6) AS accuracy FROM bins", ",\n".join([PREDICTED, SLICED, PROBABILITIES.format("'all'")]))
+def reliability_bins(spark: SparkSession, d: str) -> DataFrame:
+    return models.reliability(probabilities(spark, d)).select("bin", "n", *[F.round(c, 6).alias(c) for c in ("confidence", "accuracy")])
+
+
+@query("SELECT s AS snr_slice, round(sum(abs(accuracy - confidence) * n) / sum(n),6) AS ece, round(sum(nll) / sum(n),6) AS nll, round(sum(brier) / sum(n),6) AS brier, CAST(sum(n) AS BIGINT) AS n FROM bins GROUP BY s", ",\n".join([PREDICTED, SLICED, PROBABILITIES.format("snr_slice")]))
+def calibration_by_snr(spark: SparkSession, d: str) -> DataFrame:
+    found = models.calibration(probabilities(spark, d), ["snr_slice"])
+    return found.select("snr_slice", *[F.round(c, 6).alias(c) for c in ("ece", "nll", "brier")], "n")
+
+
 @query("SELECT CAST(dim AS INTEGER) AS dim, round(m,6)+0.0 AS mean, round(CASE WHEN s = 0 THEN 1 ELSE s END,6)+0.0 AS std FROM (SELECT k AS dim, avg(x) AS m, stddev_pop(x) AS s FROM pairs GROUP BY k UNION ALL SELECT k + 32, avg(y), stddev_pop(y) FROM pairs GROUP BY k)", over("sig"))
 def feature_standardise(spark: SparkSession, d: str) -> DataFrame:
     return models.standardised(featured(spark, d)).select("dim", r6("mean").alias("mean"), r6("std").alias("std"))
