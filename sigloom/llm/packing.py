@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sigloom.llm.common import running_total, stored
-from sigloom.llm.tokens import UnitEncoder, vocabulary_path
+from sigloom.llm.tokens import MEMO_UNITS, UnitEncoder, vocabulary_path
 
 WINDOW, GRAIN = 2048, 256
 PIECES = "part int, source string, grain long, piece int, whole boolean, doc_id long, start long, length long, doc_tokens long, ids binary"
@@ -37,14 +37,14 @@ PIECES = "part int, source string, grain long, piece int, whole boolean, doc_id
 ROUNDS = 64
 
 
-def cut_grains(docs: DataFrame, text: str, doc_id: str, source: str, vocabulary: str | None, end_id: int, grain: int, special_as_text: bool = False) -> DataFrame:
+def cut_grains(docs: DataFrame, text: str, doc_id: str, source: str, vocabulary: str | None, end_id: int, grain: int, special_as_text: bool = False, memo_units: int = MEMO_UNITS) -> DataFrame:
     """Pieces of documents by grain, with their ids as little-endian uint32."""
     path, end = vocabulary or vocabulary_path(), np.array([end_id], "<u4").tobytes()
     names = [f.strip().split()[0] for f in PIECES.split(",")]
     kinds = [pa.int32(), pa.string(), pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = UnitEncoder.of(path, special_as_text), TaskContext.get().partitionId()
+        encoder, part = UnitEncoder.of(path, special_as_text, memo_units), TaskContext.get().partitionId()
         open_: dict[str | None, list] = {}  # of a source: number of its open grain, free tokens, its pieces so far
         done: list[tuple] = []
 
@@ -102,17 +102,18 @@ def placed(pieces: DataFrame, rounds: DataFrame, order: list[Column | str]) -> D
     return inside.join(blocks, "block").withColumn("at", F.col("before") + F.col("inside"))
 
 
-def pack_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source", targets: Mapping[str | None, float] | None = None, window: int = WINDOW, grain: int = GRAIN, vocabulary: str | None = None, end_id: int = 1, payload: Callable[[Column], Column] = lambda ids: ids, special_as_text: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source", targets: Mapping[str | None, float] | None = None, window: int = WINDOW, grain: int = GRAIN, vocabulary: str | None = None, end_id: int = 1, payload: Callable[[Column], Column] = lambda ids: ids, special_as_text: bool = False, memo_units: int = MEMO_UNITS) -> DataFrame:
     """(doc_id, source, start, length, doc_tokens, sequence_id, offset, payload): one row a piece.
 
     ``targets`` gives sources' token proportions (others share what is left over evenly with the
     least weight given); by default every window has the proportions of the corpus, so that
     all queues run dry together. ``payload`` is computed from a piece's ids (bytes of
-    little-endian uint32); by default it is the ids.
+    little-endian uint32); by default it is the ids. ``memo_units`` bounds what a worker process
+    remembers of encoded units: about 220 bytes each in prose; fewer units take more time.
     """
     if window % grain:
         raise ValueError("window must be a multiple of grain")
-    pieces = stored(cut_grains(docs, text, doc_id, source, vocabulary, end_id, grain, special_as_text), "pieces", compression="zstd")
+    pieces = stored(cut_grains(docs, text, doc_id, source, vocabulary, end_id, grain, special_as_text, memo_units), "pieces", compression="zstd")
     meta = ["doc_id", "source", "start", "length", "doc_tokens"]
     mine = (F.col("part") == F.col("in_part")) & F.col("source").eqNullSafe(F.col("queue"))
     earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition

@@ -46,8 +46,9 @@ WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
 UNIT = re.compile(f"[{WHITE}]*[{LATIN}]++(?=[\\x00-\\x7f]|\\Z)|[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 PIECE = re.compile(f" ?[{LATIN}]+")
-#: About 220 MB a worker process at most.
-MEMO_UNITS = 1_000_000
+#: Units a worker process remembers, and their greatest length (longer ones are encoded each time): about
+#: 220 MB in prose, and 1.2 GB were every unit of the greatest length and of characters outside the vocabulary.
+MEMO_UNITS, MEMO_LETTERS = 1_000_000, 48
 BLOCK_BITS = 512
 MAGIC = b"DAC1"
 
@@ -70,7 +71,7 @@ BYTE_LETTERS = byte_letters()
 
 
 class Memo(dict):
-    """Ids of units, as bytes; a unit asked for the first time is encoded."""
+    """Ids of units, as bytes; a unit asked for the first time, or a long one, is encoded."""
 
     def __init__(self, tokenizer: object) -> None:
         super().__init__()
@@ -81,16 +82,18 @@ class Memo(dict):
             ids = [t.id for t in self.pieces(unit.encode().decode("latin-1").translate(BYTE_LETTERS))]
         else:
             ids = self.encode(unit, add_special_tokens=False).ids
-        own = self[unit] = array("I", ids).tobytes()
+        own = array("I", ids).tobytes()
+        if len(unit) <= MEMO_LETTERS:
+            self[unit] = own
         return own
 
 
 class UnitEncoder:
     """Texts to little-endian uint32 ids, by one tokenizer file."""
 
-    _of: dict[tuple[str, bool], UnitEncoder] = {}
+    _of: dict[tuple[str, bool, int], UnitEncoder] = {}
 
-    def __init__(self, path: str, special_as_text: bool = False) -> None:
+    def __init__(self, path: str, special_as_text: bool = False, memo_units: int = MEMO_UNITS) -> None:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -103,18 +106,18 @@ class UnitEncoder:
         self.parts = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
         if sys.byteorder != "little":
             raise RuntimeError("ids are kept in the machine's order, which must be little-endian")
-        self.memo = Memo(self.tokenizer)
+        self.memo, self.memo_units = Memo(self.tokenizer), memo_units
 
     @classmethod
-    def of(cls, path: str, special_as_text: bool = False) -> UnitEncoder:
+    def of(cls, path: str, special_as_text: bool = False, memo_units: int = MEMO_UNITS) -> UnitEncoder:
         """One a worker process; the memo stays between tasks."""
-        key = (path, special_as_text)
+        key = (path, special_as_text, memo_units)
         if key not in cls._of:
             cls._of[key] = cls(*key)
         return cls._of[key]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.memo) > MEMO_UNITS:
+        if len(self.memo) > self.memo_units:
             self.memo = Memo(self.tokenizer)
         ids_of = self.memo.__getitem__
 
