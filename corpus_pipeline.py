@@ -54,9 +54,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences, with their ids."""
+    """Pieces of sequences, with their ids; executors hold other stages' workers, so that the memo is half as large."""
     ship(spark)
-    return packing.pack_documents(docs).withColumnRenamed("payload", "ids")
+    return packing.pack_documents(docs, memo_units=500_000).withColumnRenamed("payload", "ids")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
