@@ -91,7 +91,8 @@ class Memo(dict):
 class UnitEncoder:
     """Texts to little-endian uint32 ids, by one tokenizer file."""
 
-    _of: dict[tuple[str, bool, int], UnitEncoder] = {}
+    _of: dict[tuple[type, str, bool, int], UnitEncoder] = {}
+    unit, memo_type = UNIT, Memo
 
     def __init__(self, path: str, special_as_text: bool = False, memo_units: int = MEMO_UNITS) -> None:
         import os
@@ -106,23 +107,23 @@ class UnitEncoder:
         self.parts = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
         if sys.byteorder != "little":
             raise RuntimeError("ids are kept in the machine's order, which must be little-endian")
-        self.memo, self.memo_units = Memo(self.tokenizer), memo_units
+        self.memo, self.memo_units = self.memo_type(self.tokenizer), memo_units
 
     @classmethod
     def of(cls, path: str, special_as_text: bool = False, memo_units: int = MEMO_UNITS) -> UnitEncoder:
         """One a worker process; the memo stays between tasks."""
-        key = (path, special_as_text, memo_units)
+        key = (cls, path, special_as_text, memo_units)
         if key not in cls._of:
-            cls._of[key] = cls(*key)
+            cls._of[key] = cls(*key[1:])
         return cls._of[key]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.memo) > self.memo_units:
-            self.memo = Memo(self.tokenizer)
-        ids_of = self.memo.__getitem__
+        units = self.unit.findall
 
         def plain(t: str) -> bytes:
-            return b"".join(map(ids_of, UNIT.findall(t)))
+            if len(self.memo) > self.memo_units:
+                self.memo = self.memo_type(self.tokenizer)
+            return b"".join(map(self.memo.__getitem__, units(t)))
 
         def cut(t: str) -> bytes:  # every second part is a special token
             return b"".join(self.special[x] if k % 2 else plain(x) for k, x in enumerate(self.parts.split(t)))
