@@ -42,6 +42,8 @@ WINDOW = 4096
 #: (parts, groups): pieces longer than a window's part are large, and fall into so many groups. All are tried, and
 #: the plan of fewest sequences is taken.
 SCHEMES = ((3, 16), (3, 64), (3, 256), (4, 64), (6, 64), (8, 16))
+#: How far from the optimum the program may end.
+GAP = 5e-4
 PIECES = "part int, nth long, doc_id long, piece int, start long, length long, ids binary"
 
 
@@ -101,7 +103,7 @@ class Configurations:
         """(pieces of each size, times): whole parts of a basic solution. Stopping early is only less good."""
         k = len(self.sizes)
         columns, costs = np.diag((self.window // self.sizes).astype(float)), np.ones(k)
-        for turn in range(50 * k):
+        for turn in range(20 * k):
             if turn % 64 == 0:
                 inverse = np.linalg.inv(columns)
             amounts, prices = inverse @ self.demands, costs @ inverse
@@ -109,7 +111,7 @@ class Configurations:
                 enter, cost = -np.eye(k)[int(prices.argmin())], 0.0
             else:
                 enter, cost = self.best(prices), 1.0
-                if prices @ enter <= 1 + 1e-7:
+                if prices @ enter <= 1 + GAP:  # no solution is better by more than this part
                     break
             moved = inverse @ enter
             rows = np.flatnonzero(moved > 1e-9)
