@@ -35,13 +35,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sigloom.llm.common import join_skewed, slices, stored
-from sigloom.llm.tokens import BYTE_LETTERS, LATIN, MEMO_LETTERS, MEMO_UNITS, WHITE, Memo, UnitEncoder, vocabulary_path
+from sigloom.llm.tokens import BYTE_LETTERS, MEMO_LETTERS, MEMO_UNITS, WHITE, Memo, UnitEncoder, vocabulary_path
 
 VOCABULARY = "word_bpe_49k.json"
 WINDOW = 4096
 #: (parts, groups): pieces longer than a window's part are large, and fall into so many groups. All are tried, and
 #: the plan of fewest sequences is taken.
 SCHEMES = ((3, 16), (3, 64), (3, 256), (4, 64), (6, 64), (8, 16))
+#: Letters whose lower case is one letter.
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: How far from the optimum the program may end.
 GAP = 5e-4
 PIECES = "part int, nth long, doc_id long, piece int, start long, length long, ids binary"
@@ -52,7 +54,7 @@ class WordMemo(Memo):
 
     def __init__(self, tokenizer: object) -> None:
         super().__init__(tokenizer)
-        self.single = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
+        self.single = re.compile(f"[{LETTERS}]+").fullmatch
 
     def __missing__(self, unit: str) -> bytes:
         if self.single(unit):
@@ -69,7 +71,7 @@ class WordEncoder(UnitEncoder):
     """As UnitEncoder, for tokenizers that drop white space and lower-case: units have none, so that there are fewer.
     Words of a text are letters only, or begin after letters at an ASCII character that is none."""
 
-    unit, memo_type = re.compile(f"[{LATIN}]++(?=[\\x00-\\x7f]|\\Z)|[^{WHITE}]+"), WordMemo
+    unit, memo_type = re.compile(f"[{LETTERS}]++(?=[\\x00-\\x7f]|\\Z)|[^{WHITE}]+"), WordMemo
 
 
 class Configurations:
