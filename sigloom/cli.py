@@ -32,10 +32,15 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--out", help="Parquet folder; without it rows are shown")
     for name in ("acquire", "register", *STAGES):
         commands.add_parser(name).add_argument("config")
-    inspect = commands.add_parser("inspect", help="one sample of signal files")
+    index = commands.add_parser("index", help="publish where the rows of array files lie")
+    index.add_argument("path")
+    index.add_argument("out")
+    inspect = commands.add_parser("inspect", help="one sample of signal files, or of those that an index knows (form: index), of which one is read")
     inspect.add_argument("path")
     inspect.add_argument("form")
     inspect.add_argument("--index", type=int, default=0)
+    for parser_ in (index, inspect):
+        parser_.add_argument("--member", help="the array in NPZ files")
     args = parser.parse_args(argv)
     try:
         return _run(args)
@@ -63,9 +68,18 @@ def _run(args: argparse.Namespace) -> int:
     if args.command in STAGES:
         print(json.dumps(run_stage(spark, args.command, load_config(args.config))))
         return 0
+    if args.command == "index":
+        from sigloom.sources.ranges import write_index
+
+        print(json.dumps({"files": write_index(spark, args.path, args.out, args.member).count()}))
+        return 0
     if args.command == "inspect":
         from sigloom.sources.files import read_signals, with_row_index
+        from sigloom.sources.ranges import read_sample
 
+        if args.form == "index":
+            print(json.dumps(read_sample(spark, args.path, args.index, args.member)))
+            return 0
         row = with_row_index(read_signals(spark, args.path, args.form)).where(f"row_index = {args.index}").first()
         print(json.dumps(row.asDict() if row else None))
         return 0

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -10,8 +11,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sigloom.functions.ragged import by_length, lists_of
 from sigloom.functions.signal import content_key, group_key
-from sigloom.schema import SPLITS
+from sigloom.schema import SPLITS, canonical_json
+from sigloom.storage import stored
+
+#: Contents of one signature that meet in a task, at most twice as many.
+CHUNK = 256
 
 
 @dataclass(frozen=True)
@@ -41,52 +47,126 @@ def exact_members(df: DataFrame, key: Column | None = None) -> DataFrame:
     return joined.select("sample_id", "label", "key", "members", (F.col("least") != F.col("most")).alias("conflict"), "canonical")
 
 
+def fingerprints(df: DataFrame) -> DataFrame:
+    """(sample_id, fingerprint): SHA-256 of a header (dtype, representation, shape) as canonical JSON, a NUL,
+    and the signal's bytes in C order, so that another dtype, shape or sign of zero is another content. Integer
+    and wider types than the columns' are hashed as the bytes of the ``dtype`` column's type."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            kinds, forms, out = batch.column(3).to_pylist(), batch.column(4).to_pylist(), [""] * batch.num_rows
+            for at, (i, q) in by_length(batch.column(1), batch.column(2)):
+                for k, r in enumerate(at.tolist()):
+                    kind = np.dtype(kinds[r])
+                    x = (i[k] + 1j * q[k]).astype(kind) if forms[r] == "complex" else np.stack([i[k], q[k]]).astype(kind)
+                    if forms[r] == "complex":  # the sum may lose the sign of a zero
+                        x.real, x.imag = i[k], q[k]
+                    header = canonical_json({"representation": forms[r], "shape": list(x.shape), "dtype": x.dtype.str})
+                    out[r] = hashlib.sha256(header.encode() + b"\0" + x.tobytes()).hexdigest()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out)], names=["sample_id", "fingerprint"])
+
+    return df.select("sample_id", "i", "q", "dtype", "representation").mapInArrow(rows, "sample_id string, fingerprint string")
+
+
 def unit_vectors(df: DataFrame, policy: DuplicatePolicy) -> DataFrame:
-    """(sample_id, key, re, im, signatures): unit complex vectors with the phase of their largest
-    sample removed, and their quantised signatures. Zero or non-finite signals raise."""
+    """(key, re, im, signatures): unit complex vectors with the phase of their largest sample removed,
+    one a content, and hashes of the vectors quantised in three ways. Zero or non-finite signals raise."""
     decimals, remove_dc = policy.decimals, policy.remove_dc
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            re, im, signed = [], [], []
-            for i, q in zip(batch.column(2), batch.column(3), strict=True):
-                v = np.asarray(i.values.to_numpy(zero_copy_only=False), np.float64) + 1j * np.asarray(q.values.to_numpy(zero_copy_only=False), np.float64)
+            if not batch.num_rows:
+                continue
+            places, real, imag = [], [], []
+            signed: list[list[int]] = [[]] * batch.num_rows
+            for at, (i, q) in by_length(batch.column(1), batch.column(2)):
+                v = i.astype(np.float64) + 1j * q.astype(np.float64)
                 if remove_dc:
-                    v = v - v.mean()
-                norm = float(np.linalg.norm(v))
-                if not np.isfinite(norm) or norm == 0:
+                    v = v - v.mean(axis=1, keepdims=True)
+                norm = np.linalg.norm(v, axis=1, keepdims=True)
+                if not v.shape[1] or not np.isfinite(norm).all() or (norm == 0).any():
                     raise ValueError("near-duplicate analysis needs finite signals with power")
                 v = v / norm
-                top = v[int(np.abs(v).argmax())]
-                v = v * np.exp(-1j * np.angle(top))
-                values = np.concatenate([v.real, v.imag]) * 10.0**decimals
-                signed.append([np.floor(values + o).astype("<i8").tobytes() for o in (-0.5, 0.0, 0.5)])
-                re.append(v.real)
-                im.append(v.imag)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(re, pa.list_(pa.float64())), pa.array(im, pa.list_(pa.float64())), pa.array(signed, pa.list_(pa.binary()))], names=["sample_id", "key", "re", "im", "signatures"])
-
-    source = df.select("sample_id", content_key(F.col("i"), F.col("q")).alias("key"), "i", "q")
-    return source.mapInArrow(rows, "sample_id string, key string, re array<double>, im array<double>, signatures array<binary>")
-
-
-def correlation(re_a: Column, im_a: Column, re_b: Column, im_b: Column) -> Column:
-    """|<a, b>| of complex vectors."""
-    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
-    real, imag = dot(re_a, re_b) + dot(im_a, im_b), dot(re_a, im_b) - dot(im_a, re_b)
-    return F.least(F.lit(1.0), F.bround(F.sqrt(real * real + imag * imag), 12))
-
-
-def near_pairs(df: DataFrame, policy: DuplicatePolicy) -> DataFrame:
-    """(left_id, right_id, similarity): rows that share a signature, correlate enough and differ in content.
-
-    The bucket join carries ids and hashed signatures only; vectors join afterwards."""
-    vectors = unit_vectors(df, policy)
-    buckets = vectors.select("sample_id", "key", F.explode("signatures").alias("s")).select("sample_id", "key", F.sha2("s", 256).alias("s")).distinct()
-    right = buckets.select(F.col("sample_id").alias("right_id"), F.col("key").alias("right_key"), "s")
-    pairs = buckets.join(right, "s").where("sample_id < right_id and key <> right_key").select(F.col("sample_id").alias("left_id"), "right_id").distinct()
-    a, b = (vectors.select(F.col("sample_id").alias(f"{side}_id"), F.col("re").alias(f"re_{side}"), F.col("im").alias(f"im_{side}")) for side in ("left", "right"))
-    scored = pairs.join(a, "left_id").join(b, "right_id")
-    return scored.select("left_id", "right_id", correlation(F.col("re_left"), F.col("im_left"), F.col("re_right"), F.col("im_right")).alias("similarity")).where(F.col("similarity") >= policy.similarity)
+                line, top = np.arange(len(v)), np.abs(v).argmax(axis=1)
+                v = v * np.exp(-1j * np.angle(v[line, top]))[:, None]
+                v[line, top] = np.abs(v[line, top])
+                values = np.concatenate([v.real, v.imag], axis=1) * 10.0**decimals
+                codes = [np.floor(values + o).astype("<i8") for o in (-0.5, 0.0, 0.5)]
+                for k, r in enumerate(at.tolist()):
+                    signed[r] = [int.from_bytes(hashlib.blake2b(c[k].tobytes(), digest_size=8).digest(), "little", signed=True) for c in codes]
+                places.append(at)
+                real.append(v.real)
+                imag.append(v.imag)
+            kind = pa.float64()
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists_of(places, real, kind), lists_of(places, imag, kind), pa.array(signed, pa.list_(pa.int64()))], names=["key", "re", "im", "signatures"])
+
+    contents = df.select(content_key(F.col("i"), F.col("q")).alias("key"), "i", "q").dropDuplicates(["key"])
+    return contents.mapInArrow(rows, "key string, re array<double>, im array<double>, signatures array<bigint>")
+
+
+def signature_sizes(vectors: DataFrame) -> DataFrame:
+    """(s, n): signatures that several contents have."""
+    return vectors.select("key", F.explode(F.array_distinct("signatures")).alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+def _block(policy: DuplicatePolicy) -> Callable[[pa.Table], pa.Table]:
+    """The pairs of one block: what its two chunks, or one chunk with itself, have in common by this
+    signature and none before it."""
+    schema = pa.schema([("left_key", pa.string()), ("right_key", pa.string()), ("similarity", pa.float64())])
+
+    def pairs(block: pa.Table) -> pa.Table:
+        own, lo, hi, s = (block.column(c).to_numpy() for c in ("own", "lo", "hi", "s"))
+        keys = np.array(block.column("key").to_pylist(), object)
+        left = np.flatnonzero(own == lo[0])
+        right = left if lo[0] == hi[0] else np.flatnonzero(own == hi[0])
+        out: list[tuple[str, str, float]] = []
+        signs = block.column("signatures").combine_chunks().flatten().to_numpy().reshape(len(keys), -1)
+        x: list[np.ndarray | None] = [None] * len(keys)
+        size = np.zeros(len(keys), np.int64)
+        for at, (re, im) in by_length(block.column("re").combine_chunks(), block.column("im").combine_chunks()):
+            size[at] = re.shape[1]
+            for k, r in enumerate(at.tolist()):
+                x[r] = re[k] + 1j * im[k]
+        for length in np.unique(size):  # signatures are hashes, so that lengths may differ
+            a, b = left[size[left] == length], right[size[right] == length]
+            if not len(a) or not len(b):
+                continue
+            near = np.minimum(1.0, np.round(np.abs(np.stack([x[k] for k in a]).conj() @ np.stack([x[k] for k in b]).T), 12))
+            fits = near >= policy.similarity
+            i, j = np.nonzero(fits & (keys[a][:, None] < keys[b][None, :] if lo[0] == hi[0] else keys[a][:, None] != keys[b][None, :]))
+            for u, v in zip(i.tolist(), j.tolist(), strict=True):
+                if min(set(signs[a[u]].tolist()) & set(signs[b[v]].tolist())) == s[0]:
+                    p, r = sorted((keys[a[u]], keys[b[v]]))
+                    out.append((p, r, float(near[u, v])))
+        return pa.table(dict(zip(schema.names, ([list(c) for c in zip(*out, strict=True)] or [[], [], []]), strict=True)), schema=schema)
+
+    return pairs
+
+
+def near_contents(df: DataFrame, policy: DuplicatePolicy, chunk: int = CHUNK) -> DataFrame:
+    """(left_key, right_key, similarity): contents that share a signature and correlate enough, each pair once.
+
+    A signature's contents are dealt to chunks of about ``chunk``, and every pair of chunks is a block, so that
+    no task holds more than two chunks whatever a signature's size; vectors are computed once, and stored."""
+    vectors = stored(unit_vectors(df, policy), "unit-vectors")
+    sizes = stored(signature_sizes(vectors), "signature-sizes")
+    parts = F.ceil(F.col("n") / chunk).cast("int")
+    postings = vectors.select("key", F.explode(F.array_distinct("signatures")).alias("s")).join(sizes.hint("merge"), "s")
+    own = postings.select("key", "s", F.pmod(F.xxhash64("key"), parts).cast("int").alias("own"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("other"))
+    dealt = own.select("key", "s", "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")).join(vectors.hint("merge"), "key")
+    return dealt.groupBy("s", "lo", "hi").applyInArrow(_block(policy), "left_key string, right_key string, similarity double")
+
+
+def near_pairs(df: DataFrame, policy: DuplicatePolicy, chunk: int = CHUNK) -> DataFrame:
+    """(left_id, right_id, similarity): the rows of near contents, left_id the lesser. Contents are compared once,
+    however many rows have them; rows of one content are no pairs."""
+    near = near_contents(df, policy, chunk)
+    ids = df.select("sample_id", content_key(F.col("i"), F.col("q")).alias("key"))
+    left, right = (ids.select(F.col("key").alias(f"{s}_key"), F.col("sample_id").alias(s)) for s in ("left", "right"))
+    rows = near.join(left, "left_key").join(right, "right_key")
+    return rows.select(F.least("left", "right").alias("left_id"), F.greatest("left", "right").alias("right_id"), "similarity")
 
 
 def assignment_issues(rows: DataFrame, assignments: DataFrame) -> DataFrame:
@@ -144,7 +224,7 @@ def leakage_issues(df: DataFrame, policy: DuplicatePolicy, assignments: DataFram
         return keyed.withColumn("sample_id", F.explode(F.array("left_id", "right_id")))
 
     grouped = df.select("sample_id", group().alias("of"))
-    exact, near = exact_members(df), near_pairs(df, policy)
+    exact, near = stored(exact_members(df), "exact-members"), stored(near_pairs(df, policy), "near-pairs")
     parts = [
         issue(grouped.where("of is null"), "group.unresolved", "sample_id"),
         issue(exact, "duplicate.exact", "canonical"),

@@ -12,11 +12,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sigloom.functions.ragged import by_length
 from sigloom.functions.signal import crop, frequency_axis, hann, pad, phase
 from sigloom.operators.preprocessing import Preprocessor
 from sigloom.schema import CROPS, FEATURE_OUTPUTS, PADDINGS, SCALES, SPECTRAL_MODES, WINDOWS, canonical_sha256
 
 
+#: Values of a batch of spectra.
+VALUES = 1 << 20
+
+
 class FeatureError(ValueError):
     """Feature settings are not valid."""
 
@@ -96,17 +101,19 @@ def spectra(df: DataFrame, config: SpectralConfig, keep: str = "sample_id", sing
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in range(batch.num_rows):
-                i, q = (np.asarray(batch.column(c)[r].values.to_numpy(zero_copy_only=False), real_type) for c in (1, 2))
-                x = (i + 1j * q).astype(complex_type)
-                size = len(x) if fft else n
-                if fft and size > n or not fft and len(x) < n:
-                    raise FeatureError(f"{len(x)} samples for n_fft {n}")
+            for at, (i, q) in by_length(batch.column(1), batch.column(2)):
+                x, length = (i.astype(real_type) + 1j * q.astype(real_type)).astype(complex_type), i.shape[1]
+                if fft and length > n or not fft and length < n:
+                    raise FeatureError(f"{length} samples for n_fft {n}")
+                size = length if fft else n
                 w = np.asarray(hann(size) if config.window == "hann" else np.ones(size), real_type)
-                frames = (x * w)[None, :] if fft else np.lib.stride_tricks.sliding_window_view(x, n)[::hop] * w
-                values = scaled(np.fft.fftshift(np.fft.fft(frames, n), axes=1), config.scale, config.epsilon).astype(real_type)
-                m = values.size
-                yield pa.RecordBatch.from_arrays([pa.array([batch.column(0)[r].as_py()] * m, pa.string()), pa.array(np.tile(np.arange(n, dtype=np.int32), len(values))), pa.array(np.repeat(np.arange(len(values), dtype=np.int32), n)), pa.array(values.reshape(-1).astype(np.float64))], names=["id", "k", "frame", "value"])
+                frames = (x * w)[:, None, :] if fft else np.lib.stride_tricks.sliding_window_view(x, n, axis=1)[:, ::hop] * w
+                step = max(1, VALUES // max(1, frames.shape[1] * n))
+                for a in range(0, len(at), step):  # all rows of one length at once, up to VALUES values
+                    values = scaled(np.fft.fftshift(np.fft.fft(frames[a : a + step], n, axis=2), axes=2), config.scale, config.epsilon).astype(real_type)
+                    rows_, per = values.shape[0], values.shape[1]
+                    ids = batch.column(0).take(pa.array(np.repeat(at[a : a + step], per * n)))
+                    yield pa.RecordBatch.from_arrays([ids, pa.array(np.tile(np.arange(n, dtype=np.int32), rows_ * per)), pa.array(np.tile(np.repeat(np.arange(per, dtype=np.int32), n), rows_)), pa.array(values.reshape(-1).astype(np.float64))], names=["id", "k", "frame", "value"])
 
     source = df.select(F.col(keep).cast("string").alias("id"), "i", "q")
     return source.mapInArrow(rows, "id string, k int, frame int, value double").withColumnRenamed("id", keep)

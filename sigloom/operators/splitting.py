@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections import defaultdict
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -11,6 +11,11 @@ from pyspark.sql import functions as F
 
 from sigloom.functions.signal import snr_bucket
 from sigloom.schema import SPLITS
+from sigloom.storage import shared_dir, stored
+
+Stratum = tuple[str, str]
+#: Groups whose splits are held before they are written.
+CHUNK = 1 << 18
 
 
 class SplitError(ValueError):
@@ -48,60 +53,90 @@ def _key(seed: int, value: str) -> str:
     return hashlib.sha256(f"{seed}\0{value}".encode()).hexdigest()
 
 
-def greedy_assignment(counts: Sequence[tuple[str, str, str, int, int]], fractions: Mapping[str, float], seed: int) -> dict[str, str]:
-    """Group -> split from (group, label, bucket, n, first row).
+class Greedy:
+    """The sequential choice, which sees a group's stratum counts and size only.
 
-    Largest groups first; each goes where the squared relative errors of sizes, plus twice those of
-    strata, end least. While as many groups are left as splits are empty, only empty splits count.
+    Each group goes where the squared relative errors of sizes, plus twice those of strata, end least.
+    While as many groups are left as splits are empty, only empty splits count. Sums follow the order of strata.
     """
-    first: dict[tuple[str, str], int] = {}
-    groups: dict[str, dict[tuple[str, str], int]] = defaultdict(dict)
-    for group, label, bucket, n, row in counts:
-        first[label, bucket] = min(row, first.get((label, bucket), row))
-        groups[group][label, bucket] = n
-    if len(groups) < len(SPLITS):
-        raise SplitError(f"{len(groups)} groups for {len(SPLITS)} splits")
-    order = sorted(first, key=first.get)  # sums follow the strata's first appearance
-    whole = {t: sum(g.get(t, 0) for g in groups.values()) for t in order}
-    total = sum(whole.values())
-    sizes = {s: 0 for s in SPLITS}
-    held = {s: dict.fromkeys(order, 0) for s in SPLITS}
-
-    def loss(target: str, strata_of: Mapping[tuple[str, str], int], size: int) -> float:
+
+    def __init__(self, whole: Mapping[Stratum, int], fractions: Mapping[str, float], seed: int, groups: int) -> None:
+        self.whole, self.fractions, self.seed, self.left = whole, fractions, seed, groups
+        self.total = sum(whole.values())
+        self.sizes = {s: 0 for s in SPLITS}
+        self.held = {s: dict.fromkeys(whole, 0) for s in SPLITS}
+
+    def loss(self, target: str, profile: Mapping[Stratum, int], size: int) -> float:
         by_size = by_strata = 0.0
         for s in SPLITS:
-            aim, extra = total * fractions[s], size if s == target else 0
-            by_size += ((sizes[s] + extra - aim) / aim) ** 2
-            for t in order:
-                aim = whole[t] * fractions[s]
-                by_strata += ((held[s][t] + (strata_of.get(t, 0) if s == target else 0) - aim) / max(aim, 1.0)) ** 2
+            aim, extra = self.total * self.fractions[s], size if s == target else 0
+            by_size += ((self.sizes[s] + extra - aim) / aim) ** 2
+            for t, n in self.whole.items():
+                aim = n * self.fractions[s]
+                by_strata += ((self.held[s][t] + (profile.get(t, 0) if s == target else 0) - aim) / max(aim, 1.0)) ** 2
         return by_size + 2.0 * by_strata
 
-    queue = sorted(groups, key=lambda g: (-sum(groups[g].values()), -max(groups[g].values()), _key(seed, g)))
-    out: dict[str, str] = {}
-    for left, group in zip(range(len(queue), 0, -1), queue, strict=True):
-        empty = [s for s in SPLITS if not sizes[s]]
-        size = sum(groups[group].values())
-        options = empty if empty and left <= len(empty) else list(SPLITS)
-        best = min(options, key=lambda s: (loss(s, groups[group], size), _key(seed, f"{group}\0{s}"), s))
-        out[group] = best
-        sizes[best] += size
-        for t, n in groups[group].items():
-            held[best][t] += n
-    return out
+    def place(self, group: str, profile: Mapping[Stratum, int]) -> str:
+        size = sum(profile.values())
+        empty = [s for s in SPLITS if not self.sizes[s]]
+        options = empty if empty and self.left <= len(empty) else list(SPLITS)
+        losses = {s: self.loss(s, profile, size) for s in options}
+        least = min(losses.values())
+        tied = [s for s in options if losses[s] == least]
+        best = tied[0] if len(tied) == 1 else min(tied, key=lambda s: (_key(self.seed, f"{group}\0{s}"), s))
+        self.left -= 1
+        self.sizes[best] += size
+        for t, n in profile.items():
+            self.held[best][t] += n
+        return best
+
+
+def group_profiles(counts: DataFrame, seed: int) -> DataFrame:
+    """(group_id, profile, size, most, key): a group's stratum counts as one sorted array, and what orders it."""
+    held = F.sort_array(F.collect_list(F.struct("label", "bucket", "n")))  # an entry a stratum at most
+    key = F.sha2(F.concat(F.lit(str(seed)), F.char(F.lit(0)), F.col("group_id")), 256)
+    return counts.groupBy("group_id").agg(held.alias("profile"), F.sum("n").alias("size"), F.max("n").alias("most")).withColumn("key", key)
+
+
+def greedy_assignments(counts: DataFrame, fractions: Mapping[str, float], seed: int, chunk: int = CHUNK) -> DataFrame:
+    """(group_id, split) from (group_id, label, bucket, n, first).
+
+    Largest groups come first, then the greatest stratum, then a seeded key: Spark sorts them. The choice depends on all
+    choices before it, so one process makes it, but holds no group: it knows the distinct profiles and the sums by
+    split, sees groups pass as (id, number of the profile), and writes where they went every ``chunk`` groups."""
+    spark = counts.sparkSession
+    profiles = stored(group_profiles(counts, seed), "group-profiles")
+    n = profiles.count()
+    if n < len(SPLITS):
+        raise SplitError(f"{n} groups for {len(SPLITS)} splits")
+    kinds = stored(profiles.select("profile").distinct().withColumn("kind", F.monotonically_increasing_id()), "profiles")
+    known = {r["kind"]: {(x["label"], x["bucket"]): x["n"] for x in r["profile"]} for r in kinds.toLocalIterator()}
+    strata_rows = counts.groupBy("label", "bucket").agg(F.sum("n").alias("n"), F.min("first").alias("first")).collect()
+    whole = {(r["label"], r["bucket"]): r["n"] for r in sorted(strata_rows, key=lambda r: r["first"])}
+    greedy = Greedy(whole, fractions, seed, n)
+    queue = profiles.join(kinds, "profile").orderBy(F.desc("size"), F.desc("most"), "key", "group_id").select("group_id", "kind")
+    path, held = f"{shared_dir(spark)}/group-splits-{uuid.uuid4().hex}", []
+
+    def write() -> None:
+        spark.createDataFrame(held, "group_id string, split string").write.mode("append").parquet(path)
+        held.clear()
+
+    for r in queue.toLocalIterator(prefetchPartitions=True):
+        held.append((r["group_id"], greedy.place(r["group_id"], known[r["kind"]])))
+        if len(held) == chunk:
+            write()
+    write()
+    return spark.read.schema("group_id string, split string").parquet(path)
 
 
 def group_splits(df: DataFrame, edges: Sequence[float], fractions: Mapping[str, float], seed: int) -> DataFrame:
-    """The rows with their split. Spark counts groups by stratum; only those counts (rows in the
-    order of groups) reach the driver, where the sequential choice is made, and come back as a join."""
+    """The rows with their split, all rows of a group in one."""
     if abs(sum(fractions.values()) - 1) > 1e-9 or any(f <= 0 for f in fractions.values()):
         raise SplitError("fractions must be positive and sum to 1")
-    counts = [tuple(r) for r in group_strata(df, edges).collect()]
-    if any(c[0] is None for c in counts):
+    counts = stored(group_strata(df, edges), "group-strata")
+    if not counts.where("group_id is null").isEmpty():
         raise SplitError("a row has no group")
-    chosen = greedy_assignment(counts, fractions, seed)
-    table = df.sparkSession.createDataFrame(sorted(chosen.items()), "group_id string, split string")
-    return df.join(table, "group_id")
+    return df.join(greedy_assignments(counts, fractions, seed), "group_id")
 
 
 def seeded_rows(df: DataFrame, fraction: float, seed: int) -> DataFrame:

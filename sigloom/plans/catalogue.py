@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sigloom.functions import signal as S
-from sigloom.operators import duplicates, eda, features, models, preprocessing, quarantine, splitting, validation
+from sigloom.operators import duplicates, eda, features, gather, models, preprocessing, quarantine, splitting, validation
 from sigloom.sources.signals import DIRTY_SQL, LENGTH, SIGNAL_SQL, dirty_view, signal_view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,6 +106,32 @@ def inspect_statistics(spark: SparkSession, d: str) -> DataFrame:
     return out.select("sample_id", "n", "finite", *[r6(c).alias(c) for c in ("minimum", "maximum", "mean", "std")])
 
 
+WALKED = "parts AS (SELECT sample_id, unnest(['both.i', 'both.q', 'points', 'facts.snr.db', 'facts.row_index']) AS field, unnest([list_transform(i, lambda v: CAST(v AS DOUBLE)), list_transform(q, lambda v: CAST(v AS DOUBLE)), list_transform(list_zip(i, q), lambda z: sqrt(z[1]::DOUBLE * z[1]::DOUBLE + z[2]::DOUBLE * z[2]::DOUBLE)), [snr_db], [CAST(row_index AS DOUBLE)]]) AS v FROM dirty), flat AS (SELECT sample_id, field, unnest(v) AS v FROM parts)"
+
+
+@query(
+    "SELECT p.sample_id, p.field, count(v) AS n, count(v) FILTER (WHERE isfinite(v)) AS finite, round(min(v) FILTER (WHERE isfinite(v)),6)+0.0 AS minimum, round(max(v) FILTER (WHERE isfinite(v)),6)+0.0 AS maximum, round(avg(v) FILTER (WHERE isfinite(v)),6)+0.0 AS mean, round(stddev_pop(v) FILTER (WHERE isfinite(v)),6)+0.0 AS std FROM (SELECT sample_id, field FROM parts) p LEFT JOIN flat USING (sample_id, field) GROUP BY ALL",
+    f"{DIRTY_SQL.strip()}, {WALKED}",
+)
+def inspect_fields(spark: SparkSession, d: str) -> DataFrame:
+    """Statistics of every number below nested columns; complex points count by magnitude."""
+    points = F.transform(F.arrays_zip("i", "q"), lambda v: F.struct(v["i"].alias("re"), v["q"].alias("im")))
+    snr = F.struct(F.col("snr_db").alias("db"), F.col("label").alias("of"))
+    nested = dirty_view(spark, d).select("sample_id", F.struct("i", F.col("q"), F.lit("x").alias("kind")).alias("both"), points.alias("points"), F.struct(snr.alias("snr"), "row_index").alias("facts"))
+    out = eda.walked_statistics(nested, ["both", "points", "facts"])
+    return out.select("sample_id", "field", "n", "finite", *[r6(c).alias(c) for c in ("minimum", "maximum", "mean", "std")])
+
+
+@query("SELECT p.k AS \"order\", row_index, sample_id FROM (SELECT row_index AS k, (row_index * 7919 + 13) % (SELECT count(*) FROM sig) AS place FROM sig UNION ALL SELECT row_index + (SELECT count(*) FROM sig), (SELECT count(*) FROM sig) - 1 - row_index // 3 FROM sig) p JOIN sig ON row_index = place", SIGNAL_SQL)
+def gather_rows(spark: SparkSession, d: str) -> DataFrame:
+    """An index list with repeats and places from the end, twice as long as the table."""
+    rows = signal_view(spark, d).select("row_index", "sample_id")
+    n = rows.count()
+    r = F.col("row_index")
+    places = rows.select(r.alias("order"), ((r * 7919 + 13) % n).alias("place")).union(rows.select((r + n).alias("order"), (-1 - F.floor(r / 3)).alias("place")))
+    return gather.gather(rows, places)
+
+
 @query("SELECT label AS block, n, CAST(coalesce(sum(n) OVER (ORDER BY label ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),0) AS BIGINT) AS first, CAST(sum(n) OVER (ORDER BY label) - 1 AS BIGINT) AS last FROM (SELECT label, count(*) AS n FROM sig GROUP BY label)", SIGNAL_SQL)
 def block_offsets(spark: SparkSession, d: str) -> DataFrame:
     blocks = signal_view(spark, d).groupBy(F.col("label").alias("block")).agg(F.count(F.lit(1)).alias("n"))
@@ -210,22 +236,31 @@ def usable(spark: SparkSession, d: str) -> DataFrame:
     return validation.valid_rows(dirty_view(spark, d), POLICY)
 
 
-NEAR = """near AS (SELECT 'near-' || substr(s.sample_id, 8) AS left_id, s.sample_id AS right_id FROM sig s JOIN dirty n ON n.sample_id = 'near-' || substr(s.sample_id, 8)
- WHERE s.sample_id NOT IN (SELECT sample_id FROM issues) AND n.sample_id NOT IN (SELECT sample_id FROM issues)
- UNION ALL SELECT 'dup-' || substr(n.sample_id, 6), n.sample_id FROM dirty n JOIN dirty u ON u.sample_id = 'dup-' || substr(n.sample_id, 6)
- WHERE n.sample_id LIKE 'near-%' AND u.sample_id NOT IN (SELECT sample_id FROM issues) AND n.sample_id NOT IN (SELECT sample_id FROM issues))"""
+#: The same by brute force: unit vectors turned so that the largest value is real, their values floored and rounded
+#: at three decimals, and the correlation of all pairs that are equal in one of the two.
+NEAR = """npairs AS (SELECT sample_id, unnest(i)::DOUBLE AS x, unnest(q)::DOUBLE AS y, unnest(range(len(i))) AS k FROM dirty WHERE sample_id NOT IN (SELECT sample_id FROM issues)),
+tops AS (SELECT sample_id, sqrt(sum(x*x + y*y)) AS norm, arg_max(x, x*x + y*y) AS tx, arg_max(y, x*x + y*y) AS ty, arg_max(k, x*x + y*y) AS tk, list(x ORDER BY k) AS raw_x, list(y ORDER BY k) AS raw_y FROM npairs GROUP BY sample_id),
+turned AS (SELECT sample_id, k, (x*tx + y*ty) / (norm * sqrt(tx*tx + ty*ty)) AS x, CASE WHEN k = tk THEN 0.0 ELSE (y*tx - x*ty) / (norm * sqrt(tx*tx + ty*ty)) END AS y FROM npairs JOIN tops USING (sample_id)),
+units AS (SELECT sample_id, list(x ORDER BY k) AS re, list(y ORDER BY k) AS im, string_agg(floor(x*1000) || ',' || floor(y*1000), ';' ORDER BY k) AS floored, string_agg(floor(x*1000 + 0.5) || ',' || floor(y*1000 + 0.5), ';' ORDER BY k) AS rounded FROM turned GROUP BY sample_id),
+near AS (
+  SELECT a.sample_id AS left_id, b.sample_id AS right_id, round(sqrt(pow(list_dot_product(a.re, b.re) + list_dot_product(a.im, b.im), 2) + pow(list_dot_product(a.re, b.im) - list_dot_product(a.im, b.re), 2)), 6) AS similarity
+  FROM units a JOIN units b ON a.sample_id < b.sample_id AND (a.floored = b.floored OR a.rounded = b.rounded) JOIN tops p ON p.sample_id = a.sample_id JOIN tops q ON q.sample_id = b.sample_id
+  WHERE (p.raw_x <> q.raw_x OR p.raw_y <> q.raw_y) AND similarity >= 0.999)"""
 
 
-@query("SELECT left_id, right_id, CAST(1 AS DOUBLE) AS similarity FROM near", ",\n".join([VALIDATED, NEAR]))
+@query("SELECT left_id, right_id, similarity FROM near", ",\n".join([VALIDATED, NEAR]))
 def near_duplicate_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """SQL names the pairs that the planted gain copies must give; they are all there are."""
     return duplicates.near_pairs(usable(spark, d), DUPLICATES).select("left_id", "right_id", r6("similarity").alias("similarity"))
 
 
-@query()
+@query(
+    "SELECT contents, count(*) AS signatures FROM (SELECT kind, sign, count(DISTINCT raw) AS contents FROM (SELECT raw_x::VARCHAR || raw_y::VARCHAR AS raw, unnest(['floored', 'rounded', 'lowered']) AS kind, unnest([floored, rounded, rounded]) AS sign FROM units JOIN tops USING (sample_id)) GROUP BY kind, sign HAVING count(DISTINCT raw) > 1) GROUP BY contents",
+    ",\n".join([VALIDATED, NEAR]),
+)
 def near_signature_buckets(spark: SparkSession, d: str) -> DataFrame:
+    """How many signatures so many contents have in common."""
     vectors = duplicates.unit_vectors(usable(spark, d), DUPLICATES)
-    return vectors.select("sample_id", F.explode("signatures").alias("s")).distinct().groupBy(F.sha2("s", 256).alias("signature")).agg(F.count(F.lit(1)).alias("n"))
+    return duplicates.signature_sizes(vectors).groupBy(F.col("n").alias("contents")).agg(F.count(F.lit(1)).alias("signatures"))
 
 
 ASSIGNED = "assigned AS (SELECT sample_id, CASE WHEN row_index % 97 = 0 THEN 'holdout' WHEN row_index % 5 < 3 THEN 'train' WHEN row_index % 5 = 3 THEN 'validation' ELSE 'test' END AS split FROM dirty WHERE row_index % 89 <> 0 UNION ALL SELECT 'ghost', 'train')"
@@ -255,25 +290,31 @@ def cross_split_duplicates(spark: SparkSession, d: str) -> DataFrame:
     return duplicates.cross_split(duplicates.exact_members(dirty_view(spark, d)), "canonical", assignments(spark, d), "leakage.exact_cross_split")
 
 
-@query()
+@query(
+    "SELECT 'leakage.near_cross_split' AS error_code, left_id, right_id, a.split AS left_split, b.split AS right_split, similarity FROM near JOIN spread a ON a.sample_id = left_id JOIN spread b ON b.sample_id = right_id WHERE a.split <> b.split",
+    ",\n".join([VALIDATED, NEAR, "spread AS (SELECT sample_id, ['train', 'validation', 'test'][1 + (row_index + row_index // 1000000) % 4] AS split FROM dirty WHERE (row_index + row_index // 1000000) % 4 < 3)"]),
+)
 def cross_split_near_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return duplicates.cross_split_pairs(duplicates.near_pairs(usable(spark, d), DUPLICATES), assignments(spark, d))
+    """Copies lie in other splits than what they are copies of."""
+    turn = (F.col("row_index") + F.expr("row_index div 1000000")) % 4
+    spread = dirty_view(spark, d).select("sample_id", F.get(F.array(*[F.lit(x) for x in ("train", "validation", "test", "holdout")]), turn.cast("int")).alias("split"))
+    return duplicates.cross_split_pairs(duplicates.near_pairs(usable(spark, d), DUPLICATES), spread).withColumn("similarity", r6("similarity"))
 
 
 LEAKAGE = """pop AS (SELECT sample_id, label, CASE WHEN row_index % 15 <> 0 THEN group_id END AS g FROM dirty WHERE sample_id NOT IN (SELECT sample_id FROM issues)),
 passigned AS (SELECT sample_id, split FROM assigned JOIN pop USING (sample_id)), pvalid AS (SELECT * FROM passigned WHERE split IN ('train','validation','test')),
 pgroups AS (SELECT g, string_agg(DISTINCT split, ',' ORDER BY split) AS splits FROM pop JOIN pvalid USING (sample_id) WHERE g IS NOT NULL GROUP BY g HAVING count(DISTINCT split) > 1),
 pexact AS (SELECT canonical, string_agg(DISTINCT split, ',' ORDER BY split) AS splits FROM vmembers JOIN pvalid USING (sample_id) GROUP BY canonical HAVING count(DISTINCT split) > 1),
-pnear AS (SELECT left_id, right_id, least(a.split, b.split) || ',' || greatest(a.split, b.split) AS splits FROM near JOIN pvalid a ON a.sample_id = left_id JOIN pvalid b ON b.sample_id = right_id WHERE a.split <> b.split),
+pnear AS (SELECT left_id, right_id, similarity, least(a.split, b.split) || ',' || greatest(a.split, b.split) AS splits FROM near JOIN pvalid a ON a.sample_id = left_id JOIN pvalid b ON b.sample_id = right_id WHERE a.split <> b.split),
 found AS (
  SELECT 'group.unresolved' AS error_code, sample_id AS key, sample_id, NULL AS splits, CAST(NULL AS DOUBLE) AS similarity FROM pop WHERE g IS NULL
  UNION ALL SELECT 'duplicate.exact', canonical, sample_id, NULL, NULL FROM vmembers
  UNION ALL SELECT 'duplicate.label_conflict', canonical, sample_id, NULL, NULL FROM vmembers WHERE conflict
- UNION ALL SELECT 'duplicate.near', left_id || '|' || right_id, unnest([left_id, right_id]), NULL, 1.0 FROM near
+ UNION ALL SELECT 'duplicate.near', left_id || '|' || right_id, unnest([left_id, right_id]), NULL, similarity FROM near
  UNION ALL SELECT CASE WHEN split IS NULL THEN 'split.assignment_missing' ELSE 'split.assignment_invalid' END, sample_id, sample_id, NULL, NULL FROM pop LEFT JOIN passigned USING (sample_id) WHERE split IS NULL OR split NOT IN ('train','validation','test')
  UNION ALL SELECT 'leakage.group_cross_split', g, sample_id, splits, NULL FROM pop JOIN pvalid USING (sample_id) JOIN pgroups USING (g)
  UNION ALL SELECT 'leakage.exact_cross_split', canonical, sample_id, splits, NULL FROM vmembers JOIN pvalid USING (sample_id) JOIN pexact USING (canonical)
- UNION ALL SELECT 'leakage.near_cross_split', left_id || '|' || right_id, unnest([left_id, right_id]), splits, 1.0 FROM pnear)"""
+ UNION ALL SELECT 'leakage.near_cross_split', left_id || '|' || right_id, unnest([left_id, right_id]), splits, similarity FROM pnear)"""
 
 
 def _leakage(spark: SparkSession, d: str) -> DataFrame:
@@ -418,10 +459,9 @@ def split_invariants(spark: SparkSession, d: str) -> DataFrame:
     return rows.crossJoin(F.broadcast(shared))  # one row each
 
 
-@query("SELECT count(*) FILTER (WHERE h) AS held_out, count(*) FILTER (WHERE NOT h) AS kept FROM (SELECT row_number() OVER (ORDER BY sha256('7' || chr(0) || CAST(row_index AS VARCHAR))) <= greatest(1, CAST(round_even(count(*) OVER () * 0.25, 0) AS BIGINT)) AS h FROM sig)", SIGNAL_SQL)
+@query("SELECT row_index, row_number() OVER (ORDER BY sha256('7' || chr(0) || CAST(row_index AS VARCHAR))) <= greatest(1, CAST(round_even(count(*) OVER () * 0.25, 0) AS BIGINT)) AS held_out FROM sig", SIGNAL_SQL)
 def permutation_split(spark: SparkSession, d: str) -> DataFrame:
-    split = splitting.seeded_rows(signal_view(spark, d), 0.25, 7)
-    return split.agg(F.count_if("held_out").alias("held_out"), F.count_if(~F.col("held_out")).alias("kept"))
+    return splitting.seeded_rows(signal_view(spark, d), 0.25, 7).select("row_index", "held_out")
 
 
 # Preprocessing

@@ -70,15 +70,48 @@ def assert_registered(schema: T.StructType, version: str, registered: Mapping[st
         raise ContractError("schema.version_bump_required", version)
 
 
+#: Element types by dtype, and the complex dtype of two such numbers.
+ELEMENTS = {"float32": T.FloatType, "float64": T.DoubleType}
+PAIRED = {"float32": "complex64", "float64": "complex128"}
+
+
+def assert_counts(samples: DataFrame, metadata: DataFrame) -> None:
+    """As many metadata records as samples, and the same ids."""
+    a, b = samples.count(), metadata.count()
+    if a != b or not samples.select("sample_id").exceptAll(metadata.select("sample_id")).isEmpty():
+        raise ContractError("metadata.count_mismatch", f"{a} samples, {b} records, or other ids")
+
+
 def assert_batch(df: DataFrame, representation: str = "channels_first", dtype: str = "float32") -> DataFrame:
-    """Checks a signal table in one aggregate: rows, equal lengths, ids, labels, finite SNR. The
-    first broken rule raises."""
+    """Checks a signal table: its columns' types, and in one aggregate rows, equal lengths, dtypes, ids, labels,
+    finite SNR. The first broken rule raises.
+
+    I and Q must be arrays of the ``dtype`` named (float32: float), and a ``dtype`` column, where there is one, must
+    say the same of every row (``complex64`` for complex). A missing id, label or SNR column, or one of a type that
+    holds no metadata, is ``metadata.invalid_item``; an SNR that is no number is ``metadata.invalid_number``."""
     if representation not in REPRESENTATIONS:
         raise ContractError("iq.invalid_representation", representation)
+    if dtype not in ELEMENTS:
+        raise ContractError("iq.invalid_dtype", dtype)
+    types = {f.name: f.dataType for f in df.schema}
+    for c in ("i", "q"):
+        if not isinstance(types.get(c), T.ArrayType):
+            raise ContractError("iq.not_ndarray", c)
+        if not isinstance(types[c].elementType, ELEMENTS[dtype]):
+            raise ContractError("iq.invalid_dtype", f"{c} holds {types[c].elementType.simpleString()}, not {dtype}")
+    for c in ("sample_id", "label", "snr_db"):
+        if not isinstance(types.get(c), T.AtomicType | T.NullType):
+            raise ContractError("metadata.invalid_item", c)
+    if isinstance(types["label"], T.BooleanType | T.FractionalType):
+        raise ContractError("metadata.invalid_label", types["label"].simpleString())
+    if not isinstance(types["snr_db"], T.NumericType | T.NullType):
+        raise ContractError("metadata.invalid_number", types["snr_db"].simpleString())
+    named = F.coalesce(F.col("dtype"), F.lit("")) if "dtype" in types else F.lit(dtype)
     row = df.agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("i").isNull() | F.col("q").isNull()).alias("none"),
         F.count_if(F.size("i") != F.size("q")).alias("uneven"),
+        F.count_if(~named.isin(dtype, PAIRED[dtype] if representation == "complex" else dtype)).alias("other_dtype"),
         F.min(F.size("i")).alias("least"),
         F.max(F.size("i")).alias("most"),
         F.countDistinct("sample_id").alias("ids"),
@@ -87,7 +120,7 @@ def assert_batch(df: DataFrame, representation: str = "channels_first", dtype: s
         F.count_if(F.isnan("snr_db") | (F.abs("snr_db") == float("inf"))).alias("odd_snr"),
     ).first()
     for code, bad in (
-        ("iq.not_ndarray", row["none"]), ("iq.empty_batch_or_signal", not row["n"] or not row["least"]), ("iq.invalid_shape", row["uneven"] or row["least"] != row["most"]), ("metadata.invalid_string", row["blank_ids"]),
+        ("iq.not_ndarray", row["none"]), ("iq.empty_batch_or_signal", not row["n"] or not row["least"]), ("iq.invalid_shape", row["uneven"] or row["least"] != row["most"]), ("iq.invalid_dtype", row["other_dtype"]), ("metadata.invalid_string", row["blank_ids"]),
         ("metadata.duplicate_sample_id", row["ids"] != row["n"]), ("metadata.invalid_label", row["blank_labels"]), ("metadata.non_finite_number", row["odd_snr"]),
     ):
         if bad:

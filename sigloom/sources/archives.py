@@ -1,15 +1,18 @@
 """Archives, staged file sets and manifests.
 
-Spark lists and reads archives as binary files, one task an archive; members become rows."""
+Spark lists archives; a first pass indexes their members, a second reads them by ranges."""
 
 from __future__ import annotations
 
 import hashlib
-import io
+import struct
 import tarfile
 import zipfile
+import zlib
 from collections.abc import Iterator, Sequence
+from itertools import islice
 from pathlib import PurePosixPath
+from typing import BinaryIO, NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +20,7 @@ from pyspark.sql import functions as F
 
 from sigloom.functions.signal import sample_key
 from sigloom.sources.publish import content_hash, publish
+from sigloom.sources.ranges import listed, opened
 
 RESERVED = "manifest.json"
 
@@ -34,44 +38,113 @@ def safe_path(name: str) -> str:
     return str(path)
 
 
-def archive_members(content: bytes) -> Iterator[tuple[str, bytes]]:
-    """(path, bytes) of each regular member; links, devices, encrypted members and unsafe names raise."""
-    stream = io.BytesIO(content)
+class Member(NamedTuple):
+    """Where a member's bytes lie: offset and length of what is stored, and how."""
+
+    name: str
+    at: int
+    stored: int
+    size: int
+    method: str  # stored, deflated, or stream for members of a compressed TAR
+    crc: int | None
+
+
+def archive_members(stream: BinaryIO) -> Iterator[Member]:
+    """The regular members, from a ZIP's central directory or a TAR's headers; contents are not read. Links,
+    devices, encrypted members, unsafe names and unknown compression raise."""
     if zipfile.is_zipfile(stream):
         with zipfile.ZipFile(stream) as archive:
-            for info in archive.infolist():
-                if info.flag_bits & 1:
-                    raise IngestionError(f"encrypted member {info.filename!r}")
-                if (info.external_attr >> 16) & 0o170000 == 0o120000:
-                    raise IngestionError(f"link {info.filename!r}")
-                if not info.is_dir():
-                    yield safe_path(info.filename), archive.read(info)
+            infos = archive.infolist()
+        for info in infos:
+            if info.flag_bits & 1:
+                raise IngestionError(f"encrypted member {info.filename!r}")
+            if (info.external_attr >> 16) & 0o170000 == 0o120000:
+                raise IngestionError(f"link {info.filename!r}")
+            if info.is_dir():
+                continue
+            if info.compress_type not in (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED):
+                raise IngestionError(f"compression {info.compress_type} of {info.filename!r}")
+            stream.seek(info.header_offset + 26)
+            names, more = struct.unpack("<HH", stream.read(4))
+            method = "stored" if info.compress_type == zipfile.ZIP_STORED else "deflated"
+            yield Member(safe_path(info.filename), info.header_offset + 30 + names + more, info.compress_size, info.file_size, method, info.CRC)
         return
     stream.seek(0)
+    plain = stream.read(2) != b"\x1f\x8b"
+    stream.seek(0)
     try:
-        archive = tarfile.open(fileobj=stream)
-    except tarfile.TarError as error:
-        raise IngestionError("neither ZIP nor TAR") from error
+        archive = tarfile.open(fileobj=stream, mode="r:" if plain else "r:*")
+    except tarfile.TarError:
+        stream.seek(0)
+        plain = False
+        try:
+            archive = tarfile.open(fileobj=stream)
+        except tarfile.TarError as error:
+            raise IngestionError("neither ZIP nor TAR") from error
     with archive:
         for member in archive:
             if member.isdir():
                 continue
-            if not member.isreg():
+            if not member.isreg() or member.sparse is not None:
                 raise IngestionError(f"no regular member {member.name!r}")
-            yield safe_path(member.name), archive.extractfile(member).read()
+            yield Member(safe_path(member.name), member.offset_data, member.size, member.size, "stored" if plain else "stream", None)
 
 
-def read_archives(spark: SparkSession, path: str, source_id: str, version: str) -> DataFrame:
-    """(archive, path, size, sha256, sample_id, content): one row a member."""
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
+def read_member(stream: BinaryIO, m: Member) -> bytes:
+    """A member's bytes, by one seek."""
+    stream.seek(m.at)
+    data = stream.read(m.stored)
+    if m.method == "deflated":
+        data = zlib.decompress(data, -15)
+    if len(data) != m.size or (m.crc is not None and zlib.crc32(data) != m.crc):
+        raise IngestionError(f"{m.name!r} is damaged")
+    return data
+
+
+INDEX = "archive string, path string, at long, stored long, size long, method string, crc long"
+
+
+def member_index(spark: SparkSession, path: str) -> DataFrame:
+    """(archive, path, at, stored, size, method, crc): the members of the archives under a path, from
+    directories and headers only."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in range(batch.num_rows):
-                for name, data in archive_members(batch.column(1)[r].as_py()):
-                    yield pa.RecordBatch.from_arrays([pa.array([batch.column(0)[r].as_py()]), pa.array([name]), pa.array([name.casefold()]), pa.array([len(data)], pa.int64()), pa.array([hashlib.sha256(data).hexdigest()]), pa.array([data], pa.binary())], names=["archive", "path", "folded", "size", "sha256", "content"])
+            for name in batch.column(0).to_pylist():
+                with opened(name) as stream:
+                    found = archive_members(stream)
+                    while part := list(islice(found, 4096)):
+                        columns = [[name] * len(part), *zip(*part, strict=True)]
+                        kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64()]
+                        yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=["archive", "path", "at", "stored", "size", "method", "crc"])
+
+    return listed(spark, path).select("path").mapInArrow(rows, INDEX)
+
 
-    members = files.mapInArrow(rows, "archive string, path string, folded string, size long, sha256 string, content binary")
+def read_archives(spark: SparkSession, path: str, source_id: str, version: str) -> DataFrame:
+    """(archive, path, folded, size, sha256, content, sample_id): one row a member. Members are dealt out to
+    tasks by their place, and read by ranges, so that an archive is never one row or one task; those of a
+    compressed TAR, which has no ranges, stay together and are read in one pass."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                with opened(r["archive"]) as stream:
+                    if r["method"] == "stream":
+                        with tarfile.open(fileobj=stream) as archive:
+                            for member in archive:
+                                if member.isreg():
+                                    yield row(r["archive"], safe_path(member.name), archive.extractfile(member).read())
+                        continue
+                    yield row(r["archive"], r["path"], read_member(stream, Member(r["path"], r["at"], r["stored"], r["size"], r["method"], r["crc"])))
+
+    def row(archive: str, name: str, data: bytes) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([archive]), pa.array([name]), pa.array([name.casefold()]), pa.array([len(data)], pa.int64()), pa.array([hashlib.sha256(data).hexdigest()]), pa.array([data], pa.binary())], names=["archive", "path", "folded", "size", "sha256", "content"])
+
+    index = member_index(spark, path)
+    streams = index.where("method = 'stream'").select("archive", "method").distinct()
+    dealt = index.where("method <> 'stream'").unionByName(streams, allowMissingColumns=True).repartition("archive", "at")
+    members = dealt.mapInArrow(rows, "archive string, path string, folded string, size long, sha256 string, content binary")
     key = sample_key(F.lit(source_id), F.lit(version), F.col("path"), F.col("sha256"))
     return members.withColumn("sample_id", key)
 

@@ -147,11 +147,14 @@ def first_file(spark: SparkSession, path: str, patterns: Sequence[str]) -> str:
 #: Names of detection labels 0 to 11.
 DETECTION_LABELS = ("car", "large_vehicle", "truck", "bus", "train", "bicycle", "motorized_two_wheeler", "pedestrian", "pedestrian_group", "animal", "other", "static")
 
+#: Fixed value: the id of what belongs to no track.
+NO_TRACK = "00000000-0000-0000-0000-000000000000"
+
 
 def detections(df: DataFrame) -> DataFrame:
     """Detection rows with ``label`` by ``label_id`` (null outside the map) and ``group_id``, the track
-    (null where blank). Columns that the table lacks count as null."""
+    (null where blank or NO_TRACK). Columns that the table lacks count as null."""
     held = lambda c: F.col(c) if c in df.columns else F.lit(None)
     names = F.array(*[F.lit(x) for x in DETECTION_LABELS])
     track = F.trim(held("track_id").cast("string"))
-    return df.withColumns({"label": F.get(names, held("label_id").cast("int")), "group_id": F.nullif(track, F.lit(""))})
+    return df.withColumns({"label": F.get(names, held("label_id").cast("int")), "group_id": F.when(~track.isin("", NO_TRACK), track)})
