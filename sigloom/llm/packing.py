@@ -7,9 +7,11 @@ a queue's credit after round r is r * share, grain k of a source leaves in round
 ceil((k + 1) * grain / share): the schedule has a closed form, so partitions need no state of
 each other but prefix sums of grain counts, and deficits carry across them exactly.
 
-Grains are filled inside a partition, so a document is cut only where a grain ends. A partition's
-last, short grain of each source goes to the tail of the stream: a second deficit round-robin over
-these, in which a short grain leaves in the round whose credit covers its end, cut only by windows.
+A source's queue goes through all partitions: a partition's documents stand after those of all partitions
+before it, by prefix sums of tokens, and grain k holds the queue's tokens k * grain to (k + 1) * grain,
+wherever they come from. So a document is cut only where a grain ends. Grains of a round leave in the order in
+which their credit falls due: at any point of the stream, each source is within its share by a grain, and by its share of a grain of
+each source. What a queue has beyond its last whole grain, less than one grain a source, follows at the end.
 
 Sequences are consecutive windows; only the last can be short, and is padded to a power of two.
 
@@ -28,54 +30,37 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sigloom.llm.common import running_total, stored
+from sigloom.llm.common import running_total, slices, stored
 from sigloom.llm.tokens import MEMO_UNITS, UnitEncoder, vocabulary_path
 
 WINDOW, GRAIN = 2048, 256
-PIECES = "part int, source string, grain long, piece int, whole boolean, doc_id long, start long, length long, doc_tokens long, ids binary"
+TOKENS = "part int, source string, local long, doc_id long, doc_tokens long, ids binary"
 #: Rounds whose grains are ordered in one window partition.
 ROUNDS = 64
 
 
-def cut_grains(docs: DataFrame, text: str, doc_id: str, source: str, vocabulary: str | None, end_id: int, grain: int, special_as_text: bool = False, memo_units: int = MEMO_UNITS) -> DataFrame:
-    """Pieces of documents by grain, with their ids as little-endian uint32."""
+def queued(docs: DataFrame, text: str, doc_id: str, source: str, vocabulary: str | None, end_id: int, special_as_text: bool = False, memo_units: int = MEMO_UNITS) -> DataFrame:
+    """Documents with their ids as little-endian uint32, and how many ids of their source the partition has before them."""
     path, end = vocabulary or vocabulary_path(), np.array([end_id], "<u4").tobytes()
-    names = [f.strip().split()[0] for f in PIECES.split(",")]
-    kinds = [pa.int32(), pa.string(), pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    names = [f.strip().split()[0] for f in TOKENS.split(",")]
+    kinds = [pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part = UnitEncoder.of(path, special_as_text, memo_units), TaskContext.get().partitionId()
-        open_: dict[str | None, list] = {}  # of a source: number of its open grain, free tokens, its pieces so far
-        done: list[tuple] = []
-
-        def flush(rows: list[tuple]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
-
+        before: dict[str | None, int] = {}
         for batch in batches:
-            keys, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a in range(0, len(keys), 256):
-                got = encoder.encode([t or "" for t in batch.column(2).slice(a, 256).to_pylist()])
-                for key, queue, ids in zip(keys[a : a + 256], sources[a : a + 256], got, strict=True):
+            keys, sources, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), [t or "" for t in batch.column(2).to_pylist()]
+            for a, b in slices([len(t) for t in texts], 1 << 22):
+                out = []
+                for key, queue, ids in zip(keys[a:b], sources[a:b], encoder.encode(texts[a:b]), strict=True):
                     ids += end
-                    n, start = len(ids) // 4, 0
-                    state = open_.setdefault(queue, [0, grain, []])
-                    while start < n:
-                        take = min(state[1], n - start)
-                        state[2].append((part, queue, state[0], len(state[2]), True, key, start, take, n, ids[4 * start : 4 * (start + take)]))
-                        start += take
-                        state[1] -= take
-                        if not state[1]:
-                            done += state[2]
-                            state[:] = [state[0] + 1, grain, []]
-                if len(done) >= 8192:
-                    yield flush(done)
-                    done = []
-        done += [(*p[:4], False, *p[5:]) for _, _, pieces in open_.values() for p in pieces]
-        if done:
-            yield flush(done)
+                    n, at = len(ids) // 4, before.get(queue, 0)
+                    before[queue] = at + n
+                    out.append((part, queue, at, key, n, ids))
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
 
     table = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"), F.col(text).cast("string").alias("text"))
-    return table.mapInArrow(rows, PIECES)
+    return table.mapInArrow(rows, TOKENS)
 
 
 def shares(totals: DataFrame, amount: str, window: float, targets: Mapping[str | None, float] | None) -> DataFrame:
@@ -113,32 +98,40 @@ def pack_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     """
     if window % grain:
         raise ValueError("window must be a multiple of grain")
-    pieces = stored(cut_grains(docs, text, doc_id, source, vocabulary, end_id, grain, special_as_text, memo_units), "pieces", compression="zstd")
+    tokens = stored(queued(docs, text, doc_id, source, vocabulary, end_id, special_as_text, memo_units), "queues", compression="zstd")
     meta = ["doc_id", "source", "start", "length", "doc_tokens"]
-    mine = (F.col("part") == F.col("in_part")) & F.col("source").eqNullSafe(F.col("queue"))
     earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
 
-    # Full grains: a round is a window, counted in grains.
-    per = stored(pieces.where("whole").groupBy("part", "source").agg((F.max("grain") + 1).alias("n")), "grain-counts")
-    bases = per.withColumn("base", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-    share = shares(per.groupBy("source").agg(F.sum("n").alias("n")), "n", window // grain, targets)
-    bases = stored(bases.join(share, F.col("source").eqNullSafe(F.col("queue"))).select(F.col("part").alias("in_part"), "queue", "base", "share", "n"), "grain-bases")
-    leaves = F.ceil((F.col("k") + 1) / F.col("share")).cast("long")
-    sent = pieces.where("whole").select("part", "piece", "grain", *meta, payload(F.col("ids")).alias("payload"))
-    sent = sent.join(bases, mine).withColumn("k", F.col("base") + F.col("grain")).withColumn("round", leaves)
-    rounds = bases.withColumn("k", F.explode(F.sequence("base", F.col("base") + F.col("n") - 1))).select(leaves.alias("round"), F.lit(grain).alias("length"))
-    sent = placed(sent, rounds, [F.col("queue").asc_nulls_last(), "k", "piece"])
-
-    # Short grains follow, by a second schedule counted in tokens.
-    late = pieces.where("not whole")
-    short = stored(late.groupBy("part", "source").agg(F.sum("length").alias("n")), "short-grains")
-    share = shares(short.groupBy("source").agg(F.sum("n").alias("n")), "n", window, targets)
-    ends = short.withColumn("end", F.coalesce(F.sum("n").over(earlier), F.lit(0)) + F.col("n"))
-    ends = ends.join(share, F.col("source").eqNullSafe(F.col("queue"))).select(F.col("part").alias("in_part"), "queue", "n", F.ceil(F.col("end") / F.col("share")).cast("long").alias("round"))
-    ends = stored(ends, "short-rounds")
-    full = per.groupBy().agg((F.coalesce(F.sum("n"), F.lit(0)) * grain).alias("full"))
-    late = placed(late.join(ends, mine), ends.select("round", F.col("n").alias("length")), [F.col("queue").asc_nulls_last(), "part", "piece"])
-    late = late.crossJoin(F.broadcast(full)).withColumn("at", F.col("full") + F.col("at"))  # full is one row
+    # Where each partition's part of a queue begins, and how many whole grains the queue has.
+    per = stored(tokens.groupBy("part", "source").agg(F.sum("doc_tokens").alias("n")), "queue-parts")
+    queues = per.groupBy("source").agg(F.expr(f"sum(n) div {grain}").alias("grains"))
+    share = shares(queues.where("grains > 0"), "grains", window // grain, targets)
+    queues = queues.join(share, F.col("source").eqNullSafe(F.col("queue")), "left").select(F.col("source").alias("of"), "grains", "share")
+    bases = per.withColumn("base", F.coalesce(F.sum("n").over(earlier), F.lit(0))).join(queues, F.col("source").eqNullSafe(F.col("of")))
+    bases = stored(bases.select(F.col("part").alias("in_part"), F.col("source").alias("queue"), "base", "n", "grains", "share"), "queue-bases")
+
+    # A document's pieces: one a grain of its queue that it has ids in.
+    placed_docs = tokens.join(bases, (F.col("part") == F.col("in_part")) & F.col("source").eqNullSafe(F.col("queue"))).withColumn("from", F.col("base") + F.col("local"))
+    upto = F.col("from") + F.col("doc_tokens")
+    pieces = placed_docs.withColumn("k", F.explode(F.sequence(F.expr(f"`from` div {grain}"), F.expr(f"(`from` + doc_tokens - 1) div {grain}"))))
+    a, b = F.greatest(F.col("k") * grain, F.col("from")), F.least((F.col("k") + 1) * grain, upto)
+    pieces = pieces.withColumns({"start": a - F.col("from"), "length": b - a}).withColumn("ids", F.substring("ids", (F.col("start") * 4 + 1).cast("int"), (F.col("length") * 4).cast("int")))
+    due = (F.col("k") + 1) / F.col("share")
+
+    # Whole grains: a round is a window, counted in grains.
+    sent = pieces.where("k < grains").select(*meta, "queue", "k", due.alias("due"), F.ceil(due).cast("long").alias("round"), (F.col("from") + F.col("start")).alias("nth"), payload(F.col("ids")).alias("payload"))
+    mine = bases.where("grains > 0").withColumn("k", F.explode(F.sequence(F.expr(f"base div {grain}"), F.expr(f"(base + n - 1) div {grain}")))).where("k < grains")
+    held = F.least((F.col("k") + 1) * grain, F.col("base") + F.col("n")) - F.greatest(F.col("k") * grain, F.col("base"))
+    sent = placed(sent, mine.select(F.ceil(due).cast("long").alias("round"), held.alias("length")), ["due", F.col("queue").asc_nulls_last(), "nth"])
+
+    # What is beyond them: less than a grain a source, cut by windows.
+    late = pieces.where("k >= grains").select(*meta, "queue", (F.col("from") + F.col("start")).alias("nth"), "ids")
+    rest = Window.orderBy(F.col("of").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)  # one row a source
+    tails = per.groupBy(F.col("source").alias("of")).agg(F.expr(f"sum(n) % {grain}").alias("tail"), F.expr(f"sum(n) div {grain} * {grain}").alias("whole"))
+    whole = tails.groupBy().agg(F.coalesce(F.sum("whole"), F.lit(0)).alias("full"))
+    tails = tails.withColumn("before", F.coalesce(F.sum("tail").over(rest), F.lit(0))).crossJoin(F.broadcast(whole))  # whole is one row
+    tails = stored(tails.select("of", (F.col("full") + F.col("before") - F.col("whole")).alias("shift")), "queue-tails")
+    late = late.join(tails, F.col("queue").eqNullSafe(F.col("of"))).withColumn("at", F.col("nth") + F.col("shift"))
     first = F.lit(window) - F.col("at") % window
     cuts = F.when(F.col("length") > first, F.array(F.struct(F.lit(0).cast("long").alias("skip"), first.alias("n")), F.struct(first.alias("skip"), (F.col("length") - first).alias("n")))).otherwise(F.array(F.struct(F.lit(0).cast("long").alias("skip"), F.col("length").alias("n"))))
     late = late.withColumn("cut", F.explode(cuts)).withColumn("ids", F.substring("ids", (F.col("cut.skip") * 4 + 1).cast("int"), (F.col("cut.n") * 4).cast("int")))

@@ -53,7 +53,8 @@ def learn_rotation(x: np.ndarray, bits: int, rounds: int = 30, seed: int = 8) ->
     d = x.shape[1]
     mean = x.mean(0)
     columns: list[np.ndarray] = []
-    _, vectors = np.linalg.eigh(np.cov(x - mean, rowvar=False).reshape(d, d) + 1e-9 * np.eye(d))
+    centred = x - mean
+    _, vectors = np.linalg.eigh(centred.T @ centred / max(1, len(x) - 1) + 1e-9 * np.eye(d))
     main = vectors[:, ::-1][:, : min(d, bits)]
     v = (x - mean) @ main
     while sum(c.shape[1] for c in columns) < bits:
