@@ -4,6 +4,7 @@ Spectra come as numpy FFTs of Arrow batches: Spark has no such function. All els
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass
 
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sigloom.functions.ragged import by_length
-from sigloom.functions.signal import crop, frequency_axis, hann, pad, phase
+from sigloom.functions.signal import crop, hann, pad, phase
 from sigloom.operators.preprocessing import Preprocessor
 from sigloom.schema import CROPS, FEATURE_OUTPUTS, PADDINGS, SCALES, SPECTRAL_MODES, WINDOWS, canonical_sha256
 
@@ -119,8 +120,25 @@ def spectra(df: DataFrame, config: SpectralConfig, keep: str = "sample_id", sing
     return source.mapInArrow(rows, "id string, k int, frame int, value double").withColumnRenamed("id", keep)
 
 
-def axis_table(df: DataFrame, config: SpectralConfig) -> DataFrame:
-    return df.sparkSession.createDataFrame(list(enumerate(frequency_axis(config.n_fft, config.sample_rate))), "k int, frequency double")
+def frequency_axes(df: DataFrame, rate: float) -> DataFrame:
+    """(signal_length, k, frequency, hann): of each length that signals have, the frequencies of a transform of that length,
+    ascending, and the periodic Hann window over it."""
+    lengths = df.select(F.size("i").alias("signal_length")).where("signal_length > 0").distinct()
+    k, n = F.col("k"), F.col("signal_length")
+    rows = lengths.withColumn("k", F.explode(F.sequence(F.lit(0), n - 1)))
+    return rows.select("signal_length", "k", ((k - F.floor(n / 2)) * rate / n).alias("frequency"), (0.5 - 0.5 * F.cos(2 * math.pi * k / n)).alias("hann"))
+
+
+def frame_starts(df: DataFrame, config: SpectralConfig) -> DataFrame:
+    """(signal_length, frame, start): where the frames of signals of each length begin, in seconds. ``fft`` has
+    one frame at 0; lengths that ``spectra`` rejects have none."""
+    lengths = df.select(F.size("i").alias("signal_length")).where("signal_length > 0").distinct()
+    n, hop = F.col("signal_length"), config.n_fft - config.overlap
+    if config.mode == "fft":
+        return lengths.where(n <= config.n_fft).select("signal_length", F.lit(0).alias("frame"), F.lit(0.0).alias("start"))
+    frames = F.sequence(F.lit(0), F.floor((n - config.n_fft) / hop).cast("int"))
+    rows = lengths.where(n >= config.n_fft).withColumn("frame", F.explode(frames))
+    return rows.select("signal_length", "frame", (F.col("frame") * hop / config.sample_rate).alias("start"))
 
 
 def eda_spectra(df: DataFrame, limit: int) -> DataFrame:

@@ -6,10 +6,13 @@ from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 
 from sigloom.functions.signal import squared_distance
+from sigloom.sources.publish import publish, verify
+from sigloom.storage import stored
 
 
 def centroids(df: DataFrame, features: str = "features", label: str = "label") -> DataFrame:
@@ -98,41 +101,98 @@ def standardised(df: DataFrame, features: str = "features") -> DataFrame:
     return stats.withColumn("std", F.when(F.col("std") == 0, 1.0).otherwise(F.col("std")))
 
 
-def softmax_fit(df: DataFrame, epochs: int, rate: float, l2: float = 0.0, features: str = "features", label: str = "label") -> dict[str, object]:
-    """Full-batch gradient descent from zero. Every epoch is one pass of partial gradients by
-    partition, summed on the driver: a (classes x dims) matrix a partition, whatever the rows."""
+class ModelError(ValueError):
+    """A model cannot be fitted to these rows, or with these settings."""
+
+
+#: Partial gradients that one task adds up.
+FAN = 32
+
+
+def checked_features(df: DataFrame, features: str = "features", label: str = "label") -> tuple[int, int]:
+    """(rows, dimensions) of a labelled table. Null labels, and features that are null, hold null or numbers that are not
+    finite, or differ in length, raise."""
+    x = F.col(features).cast("array<double>")
+    odd = x.isNull() | F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(odd).alias("odd"), F.count_if(F.col(label).isNull()).alias("blank"), F.min(F.size(x)).alias("least"), F.max(F.size(x)).alias("most")).first()
+    if row["odd"] or row["blank"] or row["least"] != row["most"]:
+        raise ModelError(f"{row['odd']} rows without finite features, {row['blank']} without a label, lengths {row['least']} to {row['most']}")
+    return row["n"], row["most"] or 0
+
+
+def added_up(parts: DataFrame, n: int, shape: tuple[int, int]) -> np.ndarray:
+    """The sum of ``n`` matrices (part, g): tasks add up FAN each, level by level, so that the driver gets FAN at most,
+    and always in the same order."""
+    schema = pa.schema([("part", pa.int64()), ("g", pa.binary())])
+
+    def add(table: pa.Table) -> pa.Table:
+        rows = sorted(zip(table.column("part").to_pylist(), table.column("g").to_pylist(), strict=True))
+        total = np.zeros(shape)
+        for _, g in rows:
+            total += np.frombuffer(g).reshape(shape)
+        return pa.table({"part": [rows[0][0] // FAN], "g": [total.tobytes()]}, schema=schema)
+
+    while n > FAN:
+        parts, n = parts.groupBy(F.expr(f"part div {FAN}")).applyInArrow(add, "part long, g binary"), -(-n // FAN)
+    rows = sorted((r["part"], r["g"]) for r in parts.collect())
+    return np.sum([np.frombuffer(g).reshape(shape) for _, g in rows], axis=0)
+
+
+def softmax_fit(df: DataFrame, epochs: int, rate: float, l2: float = 0.0, features: str = "features", label: str = "label", parts: int | None = None) -> dict[str, object]:
+    """Full-batch gradient descent from zero. Every epoch is one pass over a stored table, of partial gradients by
+    partition that the cluster adds up: the driver gets some (classes x dims) matrices, whatever rows and partitions
+    there are. ``parts`` deals the rows out anew."""
+    if rate <= 0 or epochs < 1 or l2 < 0:
+        raise ModelError(f"rate {rate}, epochs {epochs}, l2 {l2}")
+    n, d = checked_features(df, features, label)
+    classes = [r[0] for r in df.select(label).distinct().orderBy(label).collect()]
+    if n < 2 or len(classes) < 2 or not d:
+        raise ModelError(f"{n} rows of {len(classes)} classes with {d} features")
     stats = standardised(df, features).orderBy("dim").collect()
     mean, std = np.array([r["mean"] for r in stats]), np.array([r["std"] for r in stats])
-    classes = [r[0] for r in df.select(label).distinct().orderBy(label).collect()]
-    index = {c: k for k, c in enumerate(classes)}
-    source = df.select(F.col(features).cast("array<double>").alias("x"), F.col(label).alias("y")).cache()
-    n, d, k = source.count(), len(mean), len(classes)
+    index, k = {c: j for j, c in enumerate(classes)}, len(classes)
+    rows = df.select(F.col(features).cast("array<double>").alias("x"), F.col(label).alias("y"))
+    source = stored(rows if parts is None else rows.repartition(parts), "softmax-rows")
+    size = source.select(F.spark_partition_id().alias("part")).agg(F.max("part")).first()[0] + 1
     w, b = np.zeros((d, k)), np.zeros(k)
-    try:
-        for _ in range(epochs):
-
-            def gradient(batches: Iterator[pa.RecordBatch], w: np.ndarray = w, b: np.ndarray = b) -> Iterator[pa.RecordBatch]:
-                total = np.zeros((d + 1, k))
-                for batch in batches:
-                    if batch.num_rows:
-                        x = (batch.column(0).flatten().to_numpy().reshape(-1, d) - mean) / std
-                        logits = x @ w + b
-                        p = np.exp(logits - logits.max(1, keepdims=True))
-                        p /= p.sum(1, keepdims=True)
-                        p[np.arange(len(p)), [index[y] for y in batch.column(1).to_pylist()]] -= 1
-                        total[:d] += x.T @ p
-                        total[d] += p.sum(0)
-                yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["g"])
-
-            parts = [np.frombuffer(r["g"]).reshape(d + 1, k) for r in source.mapInArrow(gradient, "g binary").collect()]
-            g = np.sum(parts, axis=0) / n
-            w = w - rate * (g[:d] + l2 * w)
-            b = b - rate * g[d]
-    finally:
-        source.unpersist()
+    for _ in range(epochs):
+
+        def gradient(batches: Iterator[pa.RecordBatch], w: np.ndarray = w, b: np.ndarray = b) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((d + 1, k))
+            for batch in batches:
+                if batch.num_rows:
+                    x = (batch.column(0).flatten().to_numpy().reshape(-1, d) - mean) / std
+                    logits = x @ w + b
+                    p = np.exp(logits - logits.max(1, keepdims=True))
+                    p /= p.sum(1, keepdims=True)
+                    p[np.arange(len(p)), [index[y] for y in batch.column(1).to_pylist()]] -= 1
+                    total[:d] += x.T @ p
+                    total[d] += p.sum(0)
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["part", "g"])
+
+        g = added_up(source.mapInArrow(gradient, "part long, g binary"), size, (d + 1, k)) / n
+        w = w - rate * (g[:d] + l2 * w)
+        b = b - rate * g[d]
     return {"classes": classes, "weights": w.astype(np.float32), "bias": b.astype(np.float32), "mean": mean.astype(np.float32), "scale": std.astype(np.float32)}
 
 
+def save_centroids(centres: DataFrame, path: str) -> str:
+    """Publishes (label, centroid): one row a class, of one length, without null."""
+    checked_features(centres, "centroid")
+    if centres.count() != centres.select("label").distinct().count():
+        raise ModelError("a label has several centroids")
+    return publish(centres.select(F.col("label").cast("string").alias("label"), F.col("centroid").cast("array<double>").alias("centroid")), path)
+
+
+def load_centroids(spark: SparkSession, path: str) -> DataFrame:
+    """A published centroid model, once its content is what its manifest says."""
+    verify(spark, path)
+    table = spark.read.parquet(path)
+    if sorted(table.columns) != ["centroid", "label"] or table.isEmpty():
+        raise ModelError(f"{path} holds no centroids")
+    return table
+
+
 def softmax_predict(df: DataFrame, model: dict[str, object], features: str = "features") -> DataFrame:
     """The rows with ``predicted``: the first class of the greatest logit, as array expressions."""
     w, mean, scale = (np.asarray(model[x], np.float64) for x in ("weights", "mean", "scale"))

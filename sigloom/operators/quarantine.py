@@ -27,6 +27,19 @@ def reasons(validation: DataFrame, exact: DataFrame, near: DataFrame, leakage: D
     return out.distinct()
 
 
+class UnknownSampleError(ValueError):
+    """Issues name samples that are not in the table."""
+
+
+def assert_known(found: DataFrame, universe: DataFrame) -> DataFrame:
+    """The issues, if every id they name is one of the table's; else the least unknown id is told."""
+    unknown = found.where("sample_id is null").select("sample_id").unionByName(found.select("sample_id").join(universe.select("sample_id"), "sample_id", "left_anti"))
+    row = unknown.agg(F.count(F.lit(1)).alias("n"), F.min("sample_id").alias("least")).first()
+    if row["n"]:
+        raise UnknownSampleError(f"{row['n']} issues name unknown samples: {row['least']}")
+    return found
+
+
 def entries(found: DataFrame) -> DataFrame:
     """(sample_id, codes, duplicate_of), one row a quarantined sample."""
     return found.groupBy("sample_id").agg(F.array_join(F.sort_array(F.collect_set("error_code")), ",").alias("codes"), F.min("duplicate_of").alias("duplicate_of"))

@@ -49,6 +49,30 @@ def balance(df: DataFrame, by: str, split: str = "split") -> DataFrame:
     return grid.join(shares, [split, by], "left").groupBy(split).agg(F.max(F.abs(F.coalesce("fraction", F.lit(0.0)) - F.col("expected"))).alias("deviation"))
 
 
+def _counts(df: DataFrame, by: str) -> dict[str, dict[str, float]]:
+    """{value: {count, fraction}}, a row a value."""
+    return {str(r[by]): {"count": r["n"], "fraction": r["fraction"]} for r in distribution(df, [by]).orderBy(by).collect()}
+
+
+def split_manifest(df: DataFrame, edges: Sequence[float], fractions: Mapping[str, float], seed: int) -> dict[str, object]:
+    """What a split holds: of each split its share asked for and got, rows, groups, and its distributions of labels, SNR
+    buckets and both, the digest of its row numbers, and the greatest deviations of any from the whole."""
+    rows = strata(df, edges).withColumn("joint", F.concat_ws("|", F.col("label").cast("string"), "bucket"))
+    digest = F.sum(F.conv(F.substring(F.sha2(F.col("row_index").cast("string"), 256), 1, 15), 16, 10).cast("decimal(38,0)"))
+    facts = {r["split"]: r for r in rows.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("group_id").alias("groups"), digest.alias("digest")).collect()}
+    n = sum(r["n"] for r in facts.values())
+    splits, worst = {}, {}
+    for name in SPLITS:
+        own = rows.where(F.col("split") == name)
+        held = facts.get(name)
+        splits[name] = {"target_fraction": fractions[name], "actual_fraction": held["n"] / n if held else 0.0, "rows": held["n"] if held else 0, "groups": held["groups"] if held else 0, "rows_digest": f"{int(held['digest']):x}" if held else "0"}
+        splits[name] |= {f"{by}_distribution": _counts(own, c) for by, c in (("class", "label"), ("snr", "bucket"), ("joint", "joint"))}
+    for by, c in (("class", "label"), ("snr", "bucket")):
+        worst[f"maximum_{by}_fraction_deviation"] = balance(rows, c).agg(F.max("deviation")).first()[0]
+    whole = {"class": _counts(rows, "label"), "snr": _counts(rows, "bucket")}
+    return {"schema_version": "1.0", "seed": seed, "edges": list(edges), "rows": n, "groups": sum(r["groups"] for r in facts.values()), "global_distribution": whole, "balance": worst, "test_locked": True, "splits": splits}
+
+
 def _key(seed: int, value: str) -> str:
     return hashlib.sha256(f"{seed}\0{value}".encode()).hexdigest()
 

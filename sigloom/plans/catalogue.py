@@ -562,10 +562,23 @@ QUERIES["stft_power"] = _fft(features.SpectralConfig("spectrogram", 8, 4), 6)
 ORACLE["stft_power"] = f"WITH {over('sig', STFT)} SELECT sample_id, CAST(k AS INTEGER) AS k, CAST(frame AS INTEGER) AS frame, round(re*re+im*im,6)+0.0 AS value FROM stft"
 
 
-@query("SELECT CAST(k AS INTEGER) AS k, round((k - 16) * 1000.0 / 32, 6)+0.0 AS frequency, round(0.5 - 0.5*cos(2*pi()*k/32), 6)+0.0 AS hann FROM (SELECT unnest(range(32)) AS k)")
+LENGTHS = "lengths AS (SELECT DISTINCT len(i) - row_index % 5 AS l FROM sig)"
+
+
+def clipped(spark: SparkSession, d: str) -> DataFrame:
+    """Signals of five lengths."""
+    cut = lambda c: F.slice(c, F.lit(1), (F.size(c) - F.col("row_index") % 5).cast("int"))
+    return signal_view(spark, d).withColumns({"i": cut("i"), "q": cut("q")})
+
+
+@query("SELECT CAST(l AS INTEGER) AS signal_length, CAST(k AS INTEGER) AS k, round((k - l // 2) * 1000.0 / l, 6)+0.0 AS frequency, round(0.5 - 0.5*cos(2*pi()*k/l), 6)+0.0 AS hann FROM (SELECT l, unnest(range(l)) AS k FROM lengths)", f"{SIGNAL_SQL.strip()}, {LENGTHS}")
 def frequency_axis(spark: SparkSession, d: str) -> DataFrame:
-    rows = [(k, f, w) for k, (f, w) in enumerate(zip(S.frequency_axis(32, 1000.0), S.hann(32), strict=True))]
-    return spark.createDataFrame(rows, "k int, frequency double, hann double").select("k", r6("frequency").alias("frequency"), r6("hann").alias("hann"))
+    return features.frequency_axes(clipped(spark, d), 1000.0).select("signal_length", "k", r6("frequency").alias("frequency"), r6("hann").alias("hann"))
+
+
+@query("SELECT CAST(l AS INTEGER) AS signal_length, CAST(f AS INTEGER) AS frame, round(f * 4 / 1000.0, 6)+0.0 AS start FROM (SELECT l, unnest(range(1 + (l - 8) // 4)) AS f FROM lengths)", f"{SIGNAL_SQL.strip()}, {LENGTHS}")
+def frame_start_axis(spark: SparkSession, d: str) -> DataFrame:
+    return features.frame_starts(clipped(spark, d), features.SpectralConfig("spectrogram", 8, 4, sample_rate=1000.0)).withColumn("start", r6("start"))
 
 
 @query()
@@ -689,7 +702,27 @@ def feature_standardise(spark: SparkSession, d: str) -> DataFrame:
     return models.standardised(featured(spark, d)).select("dim", r6("mean").alias("mean"), r6("std").alias("std"))
 
 
-@query()
+def softmax_sql(epochs: int, rate: float, l2: float) -> str:
+    """Gradient descent with its epochs written out; the bias is the weight of a feature that is always 1."""
+    parts = [
+        "raw AS (SELECT row_index, sample_id, label, k AS dim, x AS v FROM pairs UNION ALL SELECT row_index, sample_id, label, k + 32, y FROM pairs)",
+        "scales AS (SELECT dim, avg(v) AS m, CASE WHEN stddev_pop(v) = 0 THEN 1 ELSE stddev_pop(v) END AS s FROM raw WHERE row_index % 5 < 3 GROUP BY dim)",
+        "xs AS MATERIALIZED (SELECT row_index, sample_id, label, dim, (v - m) / s AS v FROM raw JOIN scales USING (dim) UNION ALL SELECT DISTINCT row_index, sample_id, label, -1, 1.0 FROM raw)",
+        "names AS (SELECT DISTINCT label AS class FROM xs WHERE row_index % 5 < 3)",
+        "w0 AS MATERIALIZED (SELECT dim, class, CAST(0 AS DOUBLE) AS w FROM (SELECT DISTINCT dim FROM xs) CROSS JOIN names)",
+    ]
+    for e in range(epochs):
+        parts += [
+            f"z{e} AS (SELECT row_index, label, class, exp(sum(v * w)) AS z FROM xs JOIN w{e} USING (dim) WHERE row_index % 5 < 3 GROUP BY ALL)",
+            f"e{e} AS MATERIALIZED (SELECT row_index, class, z / sum(z) OVER (PARTITION BY row_index) - (label = class)::INT AS err FROM z{e})",
+            f"g{e} AS (SELECT dim, class, sum(v * err) / (SELECT count(DISTINCT row_index) FROM e{e}) AS g FROM xs JOIN e{e} USING (row_index) GROUP BY dim, class)",
+            f"w{e + 1} AS MATERIALIZED (SELECT dim, class, w - {rate} * (g + CASE WHEN dim >= 0 THEN {l2} * w ELSE 0 END) AS w FROM w{e} JOIN g{e} USING (dim, class))",
+        ]
+    logits = f"logits AS (SELECT sample_id, label, class, sum(v * w) AS z FROM xs JOIN w{epochs} USING (dim) GROUP BY ALL)"
+    return ",\n".join([*parts, logits])
+
+
+@query("SELECT sample_id, label, arg_max(class, z) AS predicted FROM logits GROUP BY sample_id, label", f"{over('sig')}, {softmax_sql(5, 0.2, 1e-3)}")
 def softmax_gd(spark: SparkSession, d: str) -> DataFrame:
     rows = featured(spark, d)
     fitted = models.softmax_fit(rows.where("split = 'train'"), epochs=5, rate=0.2, l2=1e-3)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from sigloom.operators import duplicates, eda, models, preprocessing, quarantine, splitting, validation
 from sigloom.schema import canonical_sha256
 from sigloom.sources.publish import content_hash, publish
+from sigloom.storage import stored
 
 
 class StageError(RuntimeError):
@@ -25,6 +26,9 @@ def validate_stage(signals: DataFrame, out: str, policy: validation.ValidationPo
     valid = validation.valid_rows(signals, policy)
     unresolved = valid.where(duplicates.explicit_group().isNull()).select("sample_id", F.lit("group.unresolved").alias("error_code"))
     found = quarantine.reasons(issues, duplicates.exact_members(valid), duplicates.near_pairs(valid, copies), unresolved)
+    found = quarantine.assert_known(stored(found, "reasons"), signals)
+    if quarantine.accepted(signals, found).isEmpty():
+        raise StageError("no row is accepted")
     status = publish(quarantine.entries(found), f"{out}/quarantine")
     entries = spark.read.parquet(f"{out}/quarantine")
     publish(quarantine.accepted(signals, entries), f"{out}/accepted")
@@ -45,7 +49,8 @@ def split_stage(out: str, spark: Any, edges: Sequence[float], fractions: Mapping
         rows = split.where((F.col("split") == "test") == F.lit(name == "test")).select("row_index", "sample_id", "group_id", "split")
         publish(rows, f"{out}/{name}")
         names[name] = content_hash(spark.read.parquet(f"{out}/{name}"))
-    return {"stage": "split", "development_hash": names["development"], "test_lock": canonical_sha256(names["test"]), "input_hash": before["accepted_hash"]}
+    held = splitting.split_manifest(split, edges, fractions, seed)
+    return {"stage": "split", "manifest": held, "development_hash": names["development"], "test_lock": canonical_sha256(names["test"]), "input_hash": before["accepted_hash"]}
 
 
 def locked_test(out: str, spark: Any, lock: str) -> DataFrame:
