@@ -16,6 +16,11 @@ from sigloom.functions.signal import content_key, group_key
 from sigloom.schema import SPLITS, canonical_json
 from sigloom.storage import stored
 
+
+class PolicyError(ValueError):
+    """A policy's settings are not valid."""
+
+
 #: Contents of one signature that meet in a task, at most twice as many.
 CHUNK = 256
 
@@ -26,6 +31,10 @@ class DuplicatePolicy:
     decimals: int = 3
     remove_dc: bool = False
 
+    def __post_init__(self) -> None:
+        if isinstance(self.decimals, bool) or not isinstance(self.decimals, int) or not 0 <= self.decimals <= 12 or not 0 < self.similarity <= 1:
+            raise PolicyError(f"similarity must lie above 0, up to 1, and decimals between 0 and 12: {self}")
+
 
 GroupAdapter = Callable[[], Column]
 

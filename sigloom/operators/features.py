@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from sigloom.functions.ragged import by_length
 from sigloom.functions.signal import crop, hann, pad, phase
 from sigloom.operators.preprocessing import Preprocessor
-from sigloom.schema import CROPS, FEATURE_OUTPUTS, PADDINGS, SCALES, SPECTRAL_MODES, WINDOWS, canonical_sha256
+from sigloom.schema import CROPS, FEATURE_OUTPUTS, PADDINGS, REPRESENTATIONS, SCALES, SPECTRAL_MODES, WINDOWS, canonical_sha256
 
 
 #: Values of a batch of spectra.
@@ -157,8 +157,12 @@ class FeaturePipeline:
     output: str = "canonical_iq"
     spectral: SpectralConfig | None = None
     epsilon: float = 1e-12
+    representation: str = "channels_first"
+    single: bool = True  # spectra in single precision, as models take them
 
     def __post_init__(self) -> None:
+        if self.representation not in REPRESENTATIONS:
+            raise FeatureError(self.representation)
         if self.output not in FEATURE_OUTPUTS or (self.output == "spectral") != (self.spectral is not None):
             raise FeatureError(self.output)
 
@@ -166,7 +170,10 @@ class FeaturePipeline:
         return canonical_sha256(asdict(self))
 
     def transform(self, df: DataFrame) -> DataFrame:
+        if "representation" in df.columns:  # a row of another one fails where it is read
+            other = F.concat(F.lit("representation "), F.coalesce("representation", F.lit("null")), F.lit(f", not {self.representation}"))
+            df = df.withColumn("i", F.when(F.col("representation").eqNullSafe(F.lit(self.representation)), F.col("i")).otherwise(F.raise_error(other)))
         out = canonical(self.preprocessor.transform(df), self.canonical)
         if self.output == "amplitude_phase":
             return amplitude_phase(out, self.epsilon)
-        return spectra(masked(out), self.spectral) if self.output == "spectral" else out
+        return spectra(masked(out), self.spectral, single=self.single) if self.output == "spectral" else out

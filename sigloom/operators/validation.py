@@ -85,10 +85,10 @@ def issues(df: DataFrame, policy: ValidationPolicy, snr_text: Column | None = No
     return df.select("row_index", "sample_id", F.explode(found).alias("x")).select("row_index", "sample_id", "x.error_code", F.substring_index("x.error_code", ".", 1).alias("field"), "x.place")
 
 
-def valid_rows(df: DataFrame, policy: ValidationPolicy) -> DataFrame:
+def valid_rows(df: DataFrame, policy: ValidationPolicy, snr_text: Column | None = None) -> DataFrame:
     """The rows without an issue, in one narrow filter."""
     bad = F.lit(False)
-    for condition in rules(policy).values():
+    for condition in rules(policy, snr_text).values():
         bad = bad | F.coalesce(condition, F.lit(False))
     return df.where(~bad)
 

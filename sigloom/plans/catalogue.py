@@ -163,6 +163,36 @@ def validate_issues(spark: SparkSession, d: str) -> DataFrame:
     return dirty_issues(spark, d).drop("place")
 
 
+#: Faults of form by id, and SNR as text.
+FORMS = """forms AS (SELECT row_index, sample_id, label,
+  CASE WHEN row_index % 17 = 0 THEN NULL WHEN row_index % 29 = 0 THEN [] WHEN row_index % 23 = 0 THEN i[1:31] ELSE i END AS i,
+  CASE WHEN row_index % 29 = 0 THEN [] WHEN row_index % 19 = 0 THEN q[1:30] WHEN row_index % 23 = 0 THEN q[1:31] ELSE q END AS q,
+  CASE WHEN row_index % 31 = 0 THEN 'float64' WHEN row_index % 37 <> 0 THEN 'float32' END AS dtype,
+  CASE WHEN row_index % 13 = 0 THEN 'high' WHEN row_index % 11 = 0 THEN 'true' WHEN row_index % 7 <> 0 THEN '3.5' END AS snr FROM sig),
+shaped AS (SELECT *, i IS NOT NULL AND q IS NOT NULL AS present FROM forms)"""
+
+
+def formed(spark: SparkSession, d: str) -> DataFrame:
+    r, short = F.col("row_index"), lambda c, n: F.slice(c, 1, n)
+    none = F.array().cast("array<float>")
+    i = F.when(r % 17 == 0, F.lit(None)).when(r % 29 == 0, none).when(r % 23 == 0, short("i", 31)).otherwise(F.col("i"))
+    q = F.when(r % 29 == 0, none).when(r % 19 == 0, short("q", 30)).when(r % 23 == 0, short("q", 31)).otherwise(F.col("q"))
+    text = F.when(r % 13 == 0, "high").when(r % 11 == 0, "true").when(r % 7 != 0, "3.5")
+    rows = signal_view(spark, d).withColumns({"i": i, "q": q, "dtype": F.when(r % 31 == 0, "float64").when(r % 37 != 0, "float32"), "snr_text": text})
+    return rows.withColumn("snr_db", F.col("snr_text").try_cast("double"))
+
+
+@query(
+    "SELECT row_index, sample_id, error_code FROM (SELECT row_index, sample_id, unnest([CASE WHEN NOT present THEN 'signal.not_ndarray' END, CASE WHEN present AND len(i) <> len(q) THEN 'signal.invalid_shape' END, CASE WHEN present AND len(i) = len(q) AND len(i) <> 32 THEN 'signal.invalid_length' END, CASE WHEN present AND (len(i) = 0 OR len(q) = 0) THEN 'signal.empty' END, CASE WHEN present AND dtype IS DISTINCT FROM 'float32' THEN 'signal.invalid_dtype' END, CASE WHEN snr IS NOT NULL AND TRY_CAST(snr AS DOUBLE) IS NULL OR snr = 'true' THEN 'snr.invalid_type' END]) AS error_code FROM shaped) WHERE error_code IS NOT NULL",
+    f"{SIGNAL_SQL.strip()}, {FORMS}",
+)
+def structural_issues(spark: SparkSession, d: str) -> DataFrame:
+    """Wrong containers, shapes, lengths and types, and SNRs that are no numbers."""
+    found = validation.issues(formed(spark, d), POLICY, F.col("snr_text"))
+    structural = ("signal.not_ndarray", "signal.invalid_shape", "signal.invalid_length", "signal.empty", "signal.invalid_dtype", "snr.invalid_type")
+    return found.where(F.col("error_code").isin(*structural)).select("row_index", "sample_id", "error_code")
+
+
 @query("SELECT error_code, count(*) AS n FROM issues GROUP BY error_code", VALIDATED)
 def validate_error_counts(spark: SparkSession, d: str) -> DataFrame:
     return validation.error_counts(dirty_issues(spark, d))
@@ -393,7 +423,7 @@ def quarantine_error_counts(spark: SparkSession, d: str) -> DataFrame:
     return dirty_reasons(spark, d).groupBy("error_code").agg(F.countDistinct("sample_id").alias("n"))
 
 
-@query("SELECT count(*) AS total, count(*) FILTER (WHERE sample_id NOT IN (SELECT sample_id FROM reasons)) AS accepted, count(*) FILTER (WHERE sample_id IN (SELECT sample_id FROM reasons)) AS quarantined, CAST(0 AS BIGINT) AS overlap, CAST(0 AS BIGINT) AS missing FROM dirty", QUARANTINED)
+@query("SELECT count(*) AS total, count(*) FILTER (WHERE sample_id NOT IN (SELECT sample_id FROM reasons)) AS accepted, count(*) FILTER (WHERE sample_id IN (SELECT sample_id FROM reasons)) AS quarantined, (SELECT count(*) FROM kept_rows JOIN (SELECT DISTINCT sample_id FROM reasons) USING (sample_id)) AS overlap, (SELECT count(*) FROM dirty WHERE sample_id NOT IN (SELECT sample_id FROM kept_rows UNION SELECT sample_id FROM reasons)) AS missing FROM dirty", f"{QUARANTINED}, kept_rows AS (SELECT sample_id FROM dirty ANTI JOIN reasons USING (sample_id))")
 def partition_invariant(spark: SparkSession, d: str) -> DataFrame:
     universe, out = dirty_view(spark, d).select("sample_id"), dirty_reasons(spark, d).select("sample_id").distinct()
     return quarantine.partition_check(universe, quarantine.accepted(universe, out), out).select(*[F.col(c).cast("long").alias(c) for c in ("total", "accepted", "quarantined", "overlap", "missing")])
@@ -581,12 +611,15 @@ def frame_start_axis(spark: SparkSession, d: str) -> DataFrame:
     return features.frame_starts(clipped(spark, d), features.SpectralConfig("spectrogram", 8, 4, sample_rate=1000.0)).withColumn("start", r6("start"))
 
 
-@query()
+CANON = "canon AS (SELECT sample_id, k - 4 AS k, CAST(CAST((x-dc_i)/scale AS FLOAT) AS DOUBLE) AS x, CAST(CAST((y-dc_q)/scale AS FLOAT) AS DOUBLE) AS y FROM pairs, fitted WHERE k BETWEEN 4 AND 27)"
+
+
+@query("SELECT sample_id, CAST(k AS INTEGER) AS k, CAST(0 AS INTEGER) AS frame, round(10*log10(greatest(re*re+im*im, 1e-12)),3)+0.0 AS value FROM dft", over("sig", FIT, CANON, DFT.replace("pairs", "canon")))
 def feature_pipeline(spark: SparkSession, d: str) -> DataFrame:
     """Preprocessing, canonical form and a log spectrum in one chain."""
     fitted = preprocessing.fit(train_rows(spark, d), "train_rms_power")
-    chain = features.FeaturePipeline(fitted, features.CanonicalConfig(24), "spectral", features.SpectralConfig(n_fft=32, scale="log_power"))
-    return chain.transform(signal_view(spark, d)).withColumn("value", F.round("value", 3))
+    chain = features.FeaturePipeline(fitted, features.CanonicalConfig(24), "spectral", features.SpectralConfig(n_fft=32, scale="log_power"), single=False)
+    return chain.transform(signal_view(spark, d)).withColumn("value", F.round("value", 3) + F.lit(0.0))
 
 
 # Models
