@@ -1,9 +1,10 @@
 """Operator 3: language identification by multinomial naive Bayes over hashed character n-grams.
 
-Training counts the 1- to 3-grams of all training texts per language: every task adds into one
-dense matrix and emits its non-zero cells, which Spark sums. The matrix of log probabilities
-(languages x buckets, float32) is broadcast, in groups of GROUP languages: a matrix holds 64 MB at
-most, and texts pass once for each group. Scoring hashes the n-grams of a batch of whole texts at
+Training counts the 1- to 3-grams of all training texts per language: a task adds into dense
+vectors of at most HELD languages, and emits their non-zero cells when there are more, and at the end; Spark sums
+them. One task a language makes its column of log probabilities (float32) of the sums, and only finished columns reach the
+driver, which broadcasts the matrix in groups of GROUP languages: a matrix holds 64 MB at most, and texts pass
+once for each group. Scoring hashes the n-grams of a batch of whole texts at
 once, gathers their matrix rows and sums them per document; the best language and the
 sum of likelihoods go on from group to group.
 
@@ -26,7 +27,7 @@ from sigloom.llm.common import slices, stored
 
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
-GROUP = 512
+GROUP, HELD = 512, 64
 CHUNK_CHARS = 1 << 20
 
 
@@ -56,22 +57,32 @@ def count_ngrams(docs: DataFrame, text: str = "text", lang: str = "lang", bucket
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
+
+        def emptied() -> Iterator[pa.RecordBatch]:
+            for name, own in counts.items():
+                own[buckets] = 0
+                at = np.flatnonzero(own)
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(np.where(at == buckets + 1, -1, at), pa.int32()), pa.array(own[at], pa.int64())], names=["lang", "bucket", "n"])
+            counts.clear()
+
         for batch in batches:
             langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in slices([len(t) for t in texts], CHUNK_CHARS):
-                names = sorted(set(langs[a:b]))
-                which = np.array([names.index(x) for x in langs[a:b]])
-                for name in names:
-                    counts.setdefault(name, np.zeros(buckets + 2, np.int64))[-1] += langs[a:b].count(name)
-                for bucket, starts in hashed_ngrams(texts[a:b], buckets):
-                    row = np.repeat(which, np.diff(np.append(starts, len(bucket))))
-                    seen = np.bincount(row * (buckets + 1) + bucket, minlength=len(names) * (buckets + 1)).reshape(len(names), -1)
-                    for name, own in zip(names, seen, strict=True):
-                        counts[name][:-1] += own
-        for name, own in counts.items():
-            own[buckets] = 0
-            at = np.flatnonzero(own)
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(np.where(at == buckets + 1, -1, at), pa.int32()), pa.array(own[at], pa.int64())], names=["lang", "bucket", "n"])
+                every = sorted(set(langs[a:b]))
+                for names in (every[x : x + HELD] for x in range(0, len(every), HELD)):
+                    index = {x: i for i, x in enumerate(names)}
+                    own = [i for i in range(a, b) if langs[i] in index]
+                    which = np.array([index[langs[i]] for i in own])
+                    if len(counts.keys() | index.keys()) > HELD:
+                        yield from emptied()
+                    for name, n in zip(names, np.bincount(which, minlength=len(names)).tolist(), strict=True):
+                        counts.setdefault(name, np.zeros(buckets + 2, np.int64))[-1] += n
+                    for bucket, starts in hashed_ngrams([texts[i] for i in own], buckets):
+                        row = np.repeat(which, np.diff(np.append(starts, len(bucket))))
+                        seen = np.bincount(row * (buckets + 1) + bucket, minlength=len(names) * (buckets + 1)).reshape(len(names), -1)
+                        for name, cells in zip(names, seen, strict=True):
+                            counts[name][:-1] += cells
+        yield from emptied()
 
     known = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text")).where("lang is not null and text is not null")
     return known.mapInArrow(rows, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
@@ -82,28 +93,29 @@ Model = list[tuple[list[str], np.ndarray, np.ndarray]]
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", buckets: int = BUCKETS, smoothing: float = 0.1, group: int = GROUP) -> Model:
     """For each group: (languages by code point, log priors, log probabilities [buckets + 1, languages]);
-    the last row, for n-grams that count for nothing, is 0. The sums of one group at a time reach
-    the driver, and the names of all languages."""
-    counts = count_ngrams(docs, text, lang, buckets)
-    spoken = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).where("lang is not null and text is not null")
-    known = sorted(r.lang for r in spoken.select("lang").distinct().collect())  # names of languages
-    if len(known) > group:
-        counts = stored(counts, "ngram-counts", compression="zstd")
-    model, documents = [], 0.0
+    the last row, for n-grams that count for nothing, is 0. Columns are finished in tasks, and those of one group at a
+    time reach the driver, and the names of all languages."""
+    schema = pa.schema([("lang", pa.string()), ("documents", pa.int64()), ("logs", pa.binary())])
+
+    def column(cells: pa.Table) -> pa.Table:  # of one language: a row a bucket at most
+        bucket, n = cells.column("bucket").to_numpy(), cells.column("n").to_numpy()
+        dense = np.zeros(buckets)
+        dense[bucket[bucket >= 0]] = n[bucket >= 0]
+        logs = np.log(dense + smoothing) - np.log(dense.sum() + smoothing * buckets)
+        return pa.table({"lang": [cells.column("lang")[0].as_py()], "documents": [int(n[bucket < 0].sum())], "logs": [logs.astype(np.float32).tobytes()]}, schema=schema)
+
+    columns = stored(count_ngrams(docs, text, lang, buckets).groupBy("lang").applyInArrow(column, "lang string, documents long, logs binary"), "languages", compression="zstd")
+    known = sorted(r["lang"] for r in columns.select("lang").collect())  # names of languages
+    documents = columns.agg(F.sum("documents")).first()[0]
+    model = []
     for a in range(0, len(known), group):
         names = known[a : a + group]
-        got = (counts if len(known) <= group else counts.where(F.col("lang").between(names[0], names[-1]))).toArrow()
-        index = {x: i for i, x in enumerate(names)}
-        which = np.array([index[x] for x in got.column("lang").to_pylist()], np.int64)
-        bucket, n = got.column("bucket").to_numpy(), got.column("n").to_numpy()
-        dense, prior = np.zeros((buckets, len(names))), np.zeros(len(names))
-        cells = bucket >= 0
-        dense[bucket[cells], which[cells]] = n[cells]
-        prior[which[~cells]] = n[~cells]
-        dense = np.log(dense + smoothing) - np.log(dense.sum(0) + smoothing * buckets)
-        documents += prior.sum()
-        model.append((names, np.log(prior), np.vstack([dense, np.zeros((1, len(names)))]).astype(np.float32)))
-    return [(names, prior - np.log(documents), logs) for names, prior, logs in model]
+        got = {r["lang"]: r for r in columns.where(F.col("lang").between(names[0], names[-1])).toLocalIterator()}
+        logs = np.zeros((buckets + 1, len(names)), np.float32)
+        for k, x in enumerate(names):
+            logs[:buckets, k] = np.frombuffer(got[x]["logs"], np.float32)
+        model.append((names, np.log([got[x]["documents"] for x in names]) - np.log(documents), logs))
+    return model
 
 
 def predict(docs: DataFrame, model: Model, keep: list[Column], text: str = "text") -> DataFrame:
