@@ -475,12 +475,34 @@ def split_group_counts(spark: SparkSession, d: str) -> DataFrame:
     return stratified(spark, d).groupBy("split").agg(F.countDistinct("group_id").alias("groups"), F.count(F.lit(1)).alias("n"))
 
 
-@query()
+def greedy_sql(fractions: tuple[float, ...], seed: int) -> str:
+    """The sequential rule as a recursion over the queue of groups, with sums in the order of splits, then strata."""
+    names = ("train", "validation", "test")
+
+    def errors(target: int) -> str:
+        sizes = [f"pow((n{s} + {'size' if s == target else '0'} - total * {fractions[s]}) / (total * {fractions[s]}), 2)" for s in range(3)]
+        lists = [f"list_transform(list_zip(h{s}, v, w), lambda z: pow((z[1] + {'z[2]' if s == target else '0'} - z[3] * {fractions[s]}) / greatest(z[3] * {fractions[s]}, 1.0), 2))" for s in range(3)]
+        return f"(({sizes[0]} + {sizes[1]}) + {sizes[2]}) + 2.0 * list_reduce(list_concat([0.0], {', '.join(lists)}), lambda a, x: a + x)"
+
+    choices = ", ".join(f"struct_pack(barred := (n0 = 0 OR n1 = 0 OR n2 = 0) AND groups - place <= (n0 = 0)::INT + (n1 = 0)::INT + (n2 = 0)::INT AND n{s} > 0, loss := {errors(s)}, key := sha256('{seed}' || chr(0) || group_id || chr(0) || '{name}'), split := {s})" for s, name in enumerate(names))
+    held = ", ".join(f"CASE WHEN best = {s} THEN list_transform(list_zip(h{s}, v), lambda z: z[1] + z[2]) ELSE h{s} END AS h{s}, n{s} + CASE WHEN best = {s} THEN size ELSE 0 END AS n{s}" for s in range(3))
+    return f"""wholes AS (SELECT label, bucket, count(*) AS n, row_number() OVER (ORDER BY min(row_index)) AS j FROM strata GROUP BY label, bucket),
+cells AS (SELECT g.group_id, w.j, CAST(coalesce(c.n, 0) AS DOUBLE) AS n FROM (SELECT DISTINCT group_id FROM strata) g CROSS JOIN wholes w LEFT JOIN (SELECT group_id, label, bucket, count(*) AS n FROM strata GROUP BY ALL) c ON c.group_id = g.group_id AND c.label = w.label AND c.bucket = w.bucket),
+queue AS (SELECT group_id, list(n ORDER BY j) AS v, sum(n) AS size, row_number() OVER (ORDER BY sum(n) DESC, max(n) DESC, sha256('{seed}' || chr(0) || group_id)) - 1 AS place FROM cells GROUP BY group_id),
+facts AS (SELECT (SELECT list(CAST(n AS DOUBLE) ORDER BY j) FROM wholes) AS w, (SELECT CAST(sum(n) AS DOUBLE) FROM wholes) AS total, (SELECT count(*) FROM queue) AS groups),
+steps AS (
+  SELECT CAST(0 AS BIGINT) AS place, CAST(NULL AS VARCHAR) AS group_id, -1 AS best, {", ".join(f"list_transform(w, lambda x: 0.0::DOUBLE) AS h{s}, 0.0::DOUBLE AS n{s}" for s in range(3))} FROM facts
+  UNION ALL
+  SELECT place + 1, group_id, best, {held}
+  FROM (SELECT *, list_sort(list_filter([{choices}], lambda c: NOT c.barred))[1].split AS best FROM (SELECT s.place, {", ".join(f"h{s}, n{s}" for s in range(3))}, q.group_id, q.v, q.size, f.w, f.total, f.groups FROM steps s JOIN queue q ON q.place = s.place CROSS JOIN facts f)))"""
+
+
+@query("SELECT row_index, sample_id, group_id, ['train', 'validation', 'test'][best + 1] AS split FROM sig JOIN steps USING (group_id)", f"RECURSIVE {STRATA},\n{greedy_sql(tuple(FRACTIONS.values()), 20260811)}")
 def greedy_split(spark: SparkSession, d: str) -> DataFrame:
     return splitting.group_splits(signal_view(spark, d), EDGES, FRACTIONS, 20260811).select("row_index", "sample_id", "group_id", "split")
 
 
-@query("SELECT count(*) AS n, count(DISTINCT row_index) AS distinct_rows, CAST(3 AS BIGINT) AS splits, CAST(0 AS BIGINT) AS shared_groups FROM sig", SIGNAL_SQL)
+@query("SELECT count(*) AS n, count(DISTINCT row_index) AS distinct_rows, count(DISTINCT best) AS splits, (SELECT count(*) FROM (SELECT group_id FROM steps WHERE group_id IS NOT NULL GROUP BY group_id HAVING count(DISTINCT best) > 1)) AS shared_groups FROM sig JOIN steps USING (group_id)", f"RECURSIVE {STRATA},\n{greedy_sql(tuple(FRACTIONS.values()), 20260811)}")
 def split_invariants(spark: SparkSession, d: str) -> DataFrame:
     """Every row once, no split empty, no group in two splits."""
     split = splitting.group_splits(signal_view(spark, d), EDGES, FRACTIONS, 20260811)
