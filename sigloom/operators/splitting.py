@@ -6,6 +6,7 @@ import hashlib
 import uuid
 from collections.abc import Mapping, Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -85,33 +86,43 @@ class Greedy:
     """
 
     def __init__(self, whole: Mapping[Stratum, int], fractions: Mapping[str, float], seed: int, groups: int) -> None:
-        self.whole, self.fractions, self.seed, self.left = whole, fractions, seed, groups
-        self.total = sum(whole.values())
+        self.index = {t: k for k, t in enumerate(whole)}
+        self.aims = {s: [n * fractions[s] for n in whole.values()] for s in SPLITS}
+        self.fractions, self.seed, self.left, self.total = fractions, seed, groups, sum(whole.values())
         self.sizes = {s: 0 for s in SPLITS}
-        self.held = {s: dict.fromkeys(whole, 0) for s in SPLITS}
-
-    def loss(self, target: str, profile: Mapping[Stratum, int], size: int) -> float:
-        by_size = by_strata = 0.0
-        for s in SPLITS:
-            aim, extra = self.total * self.fractions[s], size if s == target else 0
-            by_size += ((self.sizes[s] + extra - aim) / aim) ** 2
-            for t, n in self.whole.items():
-                aim = n * self.fractions[s]
-                by_strata += ((self.held[s][t] + (profile.get(t, 0) if s == target else 0) - aim) / max(aim, 1.0)) ** 2
-        return by_size + 2.0 * by_strata
+        self.held = {s: [0] * len(whole) for s in SPLITS}
+        self.errors = np.array([[self._error(s, k, 0) for k in range(len(whole))] for s in SPLITS])
+
+    def _error(self, split: str, k: int, extra: int) -> float:
+        aim = self.aims[split][k]
+        return ((self.held[split][k] + extra - aim) / max(aim, 1.0)) ** 2
+
+    def _with(self, split: str, cells: Sequence[tuple[int, int]]) -> np.ndarray:
+        """The errors of all splits' strata, were the counts in ``split``."""
+        errors = self.errors.copy()
+        for k, n in cells:
+            errors[SPLITS.index(split), k] = self._error(split, k, n)
+        return errors
 
     def place(self, group: str, profile: Mapping[Stratum, int]) -> str:
-        size = sum(profile.values())
+        size, cells = sum(profile.values()), [(self.index[t], n) for t, n in profile.items()]
         empty = [s for s in SPLITS if not self.sizes[s]]
         options = empty if empty and self.left <= len(empty) else list(SPLITS)
-        losses = {s: self.loss(s, profile, size) for s in options}
+        errors, losses = {s: self._with(s, cells) for s in options}, {}
+        for target in options:
+            by_size = 0.0
+            for s in SPLITS:
+                aim = self.total * self.fractions[s]
+                by_size += ((self.sizes[s] + (size if s == target else 0) - aim) / aim) ** 2
+            losses[target] = by_size + 2.0 * float(np.cumsum(errors[target])[-1])  # one by one, in order
         least = min(losses.values())
         tied = [s for s in options if losses[s] == least]
         best = tied[0] if len(tied) == 1 else min(tied, key=lambda s: (_key(self.seed, f"{group}\0{s}"), s))
         self.left -= 1
         self.sizes[best] += size
-        for t, n in profile.items():
-            self.held[best][t] += n
+        for k, n in cells:
+            self.held[best][k] += n
+        self.errors = errors[best]
         return best
 
 
