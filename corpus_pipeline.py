@@ -3,7 +3,7 @@ mixing, packing. Every stage works on all that its predecessor kept; all but the
 of documents, whatever further ones there are. Null texts are empty ones to the classifier, stay null in
 line dedup and near-duplicates, have no words to the mix, and are packed as an end id. Rows with a
 null id are kept by all stages but the classifier, which judges them by their text. An
-empty table gives empty tables. How ties and repeated rows count is said at each operator."""
+empty table gives empty tables. A document whose text line dedup removes whole goes on with an empty one, and is packed as an end id. How ties and repeated rows count is said at each operator."""
 
 from __future__ import annotations
 
