@@ -3,9 +3,11 @@
 Payload bytes are kept verbatim as 8-bit mu-law or A-law samples, or as the nibbles of IMA
 ADPCM blocks, in a WAV container. Decoding expands mu-law and A-law by 256-entry tables and
 ADPCM by stepping through a block's nibbles for all blocks of a batch at once, in numpy. The
-16-bit PCM is resampled by half-band filters from the clip's rate (8 kHz, of ADPCM 16 kHz) to one
-common rate and stored; features are computed from the PCM read back. The common rate is a
-parameter; the 8 kHz of telephony need half the room of 16 kHz.
+16-bit PCM of every clip is resampled by half-band filters from the 8 kHz of telephony to one
+common rate, 16 kHz as speech models take it, and stored without loss: samples that the half-band
+filter foretells from their neighbours exactly need no room, and samples of at most 256 different
+values take a byte each. Features are computed from the whole PCM read back. The common rate is a
+parameter; at other rates, where nothing is foretold, all samples are stored.
 
 Defined results: a null or empty text is a payload of 576 bytes 255; a long text is one long
 clip; equal payloads give equal media, as the codec follows from the payload's checksum; a null
@@ -28,9 +30,11 @@ from pyspark.sql import functions as F
 from sigloom.llm.common import arrow_map, byte_list, slices, stored
 
 UNIT = 576
-RATE_OUT = 8000
+RATE_OUT = 16000
 #: Sampling rates of clips by codec.
-RATES = {"mulaw": 8000, "alaw": 8000, "adpcm": 16000}
+RATES = {"mulaw": 8000, "alaw": 8000, "adpcm": 8000}
+#: Samples that filters and features work on at once.
+WINDOW = 1 << 20
 #: Both tables are kept; a high level and wide pages cost little beside decoding.
 STORE = {"compression": "zstd", "parquet.compression.codec.zstd.level": "12", "parquet.page.size": str(8 << 20)}
 CODECS = ("mulaw", "alaw", "adpcm")
@@ -118,13 +122,20 @@ def payload_of(codec: str, data: bytes) -> bytes:
     return np.frombuffer(data, np.uint8).reshape(-1, UNIT + 4)[:, 4:].tobytes() if codec == "adpcm" else data
 
 
+def between(pcm: np.ndarray) -> np.ndarray:
+    """What a 4-tap half-band filter (-1 9 9 -1)/16 puts after each sample; ends are repeated."""
+    out = np.empty(len(pcm), np.int16)
+    p = np.concatenate([pcm[:1], pcm, pcm[-1:], pcm[-1:]])
+    for a in range(0, len(pcm), WINDOW):
+        x = p[a : a + WINDOW + 3].astype(np.int32)
+        out[a : a + WINDOW] = np.clip((9 * (x[1:-2] + x[2:-1]) - x[:-3] - x[3:] + 8) >> 4, -32768, 32767)
+    return out
+
+
 def doubled(pcm: np.ndarray) -> np.ndarray:
-    """Twice the rate: samples stay, and between them a 4-tap half-band filter (-1 9 9 -1)/16."""
-    x = pcm.astype(np.int32)
-    p = np.concatenate([x[:1], x, x[-1:], x[-1:]])
-    out = np.empty(2 * len(x), np.int16)
-    out[0::2] = pcm
-    out[1::2] = np.clip((9 * (p[1:-2] + p[2:-1]) - p[:-3] - p[3:] + 8) >> 4, -32768, 32767)
+    """Twice the rate: samples stay, and between them come those of the filter."""
+    out = np.empty(2 * len(pcm), np.int16)
+    out[0::2], out[1::2] = pcm, between(pcm)
     return out
 
 
@@ -163,11 +174,44 @@ def decode(media: list[bytes], rate: int = RATE_OUT) -> list[np.ndarray]:
     return out
 
 
+def packed(pcm: np.ndarray) -> bytes:
+    """16-bit PCM without loss. As often as every second sample is what ``between`` foretells, it is
+    left out; then a byte for how often, the number of different values left (0: over 256), and
+    the values with a byte a sample, or else the samples as they are."""
+    levels = 0
+    while len(pcm) and len(pcm) % 2 == 0 and levels < 255 and (between(pcm[0::2]) == pcm[1::2]).all():
+        pcm, levels = pcm[0::2], levels + 1
+    used = np.zeros(1 << 16, bool)
+    used[pcm.view(np.uint16) if pcm.flags.c_contiguous else pcm.astype(np.uint16)] = True
+    values = np.flatnonzero(used)
+    if len(values) > 256:
+        return struct.pack("<BH", levels, 0) + pcm.astype("<i2").tobytes()
+    place = np.zeros(1 << 16, np.uint8)
+    place[values] = np.arange(len(values))
+    return struct.pack("<BH", levels, len(values)) + values.astype("<u2").tobytes() + place[pcm.astype(np.uint16)].tobytes()
+
+
+def unpacked(stored_pcm: bytes | memoryview) -> np.ndarray:
+    """The whole PCM of ``packed``."""
+    levels, n = struct.unpack_from("<BH", stored_pcm)
+    if n:
+        pcm = np.frombuffer(stored_pcm, "<u2", n, 3).astype(np.uint16).view(np.int16)[np.frombuffer(stored_pcm, np.uint8, -1, 3 + 2 * n)]
+    else:
+        pcm = np.frombuffer(stored_pcm, "<i2", -1, 3).astype(np.int16)
+    for _ in range(levels):
+        pcm = doubled(pcm)
+    return pcm
+
+
 def feature(codec: str, rate: int, pcm: np.ndarray) -> str:
-    x = pcm.astype(np.float32)
-    rms, peak = float(np.sqrt(np.mean(x * x, dtype=np.float64))), int(np.abs(pcm.astype(np.int32)).max())
-    crossings = int(np.count_nonzero(np.signbit(x[1:]) != np.signbit(x[:-1])))
-    return f"{codec};rate={rate};samples={len(pcm)};rms={rms:.3f};peak={peak};crossings={crossings};pcm_crc32={zlib.crc32(pcm.tobytes())}"
+    squares, peak, crossings = 0, 0, 0
+    for a in range(0, len(pcm), WINDOW):
+        x = pcm[max(a - 1, 0) : a + WINDOW].astype(np.int64)
+        squares += int(np.square(x[a > 0 :]).sum())
+        peak = max(peak, int(np.abs(x).max()))
+        crossings += int(np.count_nonzero((x[1:] < 0) != (x[:-1] < 0)))
+    rms = (squares / len(pcm)) ** 0.5
+    return f"{codec};rate={rate};samples={len(pcm)};rms={rms:.3f};peak={peak};crossings={crossings};pcm_crc32={zlib.crc32(pcm.astype("<i2", copy=False))}"
 
 
 def encode_media(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -190,7 +234,7 @@ DIGESTS = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string,
 
 def decode_media(clips: DataFrame, rate: int = RATE_OUT) -> DataFrame:
     """Stored clips (doc_id, n_bytes, media) -> DIGESTS: digests of payload and clip as read back, and
-    the resampled little-endian 16-bit PCM."""
+    the resampled 16-bit PCM as ``packed`` has it."""
     kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.binary()]
     names = [f.split()[0] for f in DIGESTS.split(", ")]
 
@@ -202,7 +246,7 @@ def decode_media(clips: DataFrame, rate: int = RATE_OUT) -> DataFrame:
             for m, pcm in zip(part, decode(part, rate), strict=True):
                 codec, data = unwav(m)
                 payload = payload_of(codec, data)
-                values = (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(m), hashlib.sha256(m).hexdigest(), codec, rate, pcm.astype("<i2").tobytes())
+                values = (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(m), hashlib.sha256(m).hexdigest(), codec, rate, packed(pcm))
                 for column, value in zip(out, values, strict=True):
                     column.append(value)
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), *(pa.array(v, k) for v, k in zip(out, kinds, strict=True))], names=names)
@@ -216,7 +260,7 @@ def describe_media(sounds: DataFrame) -> DataFrame:
 
     def rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         codecs, rates, pcm = (batch.column(k) for k in (7, 8, 9))
-        found = [feature(codecs[i].as_py(), rates[i].as_py(), np.frombuffer(pcm[i].as_buffer(), "<i2")) for i in range(batch.num_rows)]
+        found = [feature(codecs[i].as_py(), rates[i].as_py(), unpacked(memoryview(pcm[i].as_buffer()))) for i in range(batch.num_rows)]
         yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(7)), pa.array(found, pa.string())], names=[*kept, "feature"])
 
     return arrow_map(sounds, rows, ", ".join([*DIGESTS.split(", ")[:7], "feature string"]))
