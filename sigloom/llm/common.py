@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
@@ -14,6 +15,11 @@ from pyspark.sql.types import StructType
 #: The white space that parts words: space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
+BLANK_BYTES = b" \t\n\v\f\r"
+BLANK = re.compile(rb"[\x20\x09-\x0D]")
+#: Bytes of a long text that are worked on at once.
+WINDOW = 1 << 20
+
 #: Used only where the session names no checkpoint folder, as in tests on one machine.
 LOCAL_CHECKPOINTS = "/tmp/checkpoints/sigloom"
 
@@ -133,6 +139,37 @@ def slices(weights: list[int], limit: int) -> Iterator[tuple[int, int]]:
         yield start, len(weights)
 
 
+def windows(text: bytes, size: int | None = None) -> Iterator[tuple[int, int]]:
+    """Cuts a text at blanks into stretches of whole words, of at most 2 * size bytes; a stretch that is
+    longer is a single word. A text of up to 2 * size bytes is one stretch, an empty one has none."""
+    size = size or WINDOW
+    a = 0
+    while len(text) - a > 2 * size:
+        blank = BLANK.search(text, a + size)
+        end = blank.start() if blank else len(text)
+        if end - a > 2 * size:  # the word that ends there starts after the last blank before
+            start = max(text.rfind(BLANK_BYTES[k : k + 1], a, a + size) for k in range(len(BLANK_BYTES))) + 1
+            if start > a:
+                yield a, start
+                a = start
+        yield a, end
+        a = end
+    if a < len(text):
+        yield a, len(text)
+
+
+def word_sum(word: bytes, values: np.ndarray, base: int, size: int | None = None) -> int:
+    """The sum of values[byte] * base**place over a word's bytes, modulo 2^64, in windows."""
+    size = size or WINDOW
+    power = np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(min(size, len(word)) - 1, base, np.uint64)]))
+    total, shift = 0, 1
+    for a in range(0, len(word), size):
+        part = values[np.frombuffer(word, np.uint8, min(size, len(word) - a), a)]
+        total += int((part * power[: len(part)]).sum(dtype=np.uint64)) * shift
+        shift = shift * pow(base, size, 1 << 64) % (1 << 64)
+    return total % (1 << 64)
+
+
 def arrow_map(df: DataFrame, rows: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """mapInArrow for a function of one batch, of at most BATCH rows."""
 

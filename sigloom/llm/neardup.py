@@ -40,8 +40,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sigloom.llm import common
 from sigloom.llm.blocks import map_blocks
-from sigloom.llm.common import BATCH, byte_list, join_skewed, keys, mixed64, slices, stored
+from sigloom.llm.common import BATCH, byte_list, join_skewed, keys, mixed64, slices, stored, windows, word_sum
 from sigloom.llm.graph import connected_components
 
 COORDINATES = 64
@@ -78,13 +79,47 @@ def word_codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return codes, np.searchsorted(begin, starts)
 
 
+def is_long(text: bytes) -> bool:
+    return len(text) > 2 * common.WINDOW
+
+
+def long_word_codes(text: bytes) -> np.ndarray:
+    """``word_codes`` of one long text, in windows."""
+
+    def parts() -> Iterator[np.ndarray]:
+        for a, b in windows(text):
+            if b - a > 2 * common.WINDOW:
+                word = text[a:b].lower()
+                yield mixed64(np.array([(word_sum(word, BYTE_CODES, BASE) + len(word)) % (1 << 64)], np.uint64))
+            else:
+                yield word_codes([text[a:b]])[0]
+
+    return np.concatenate([np.zeros(0, np.uint64), *parts()])
+
+
+def shingle_codes(codes: np.ndarray, words: int) -> np.ndarray:
+    """The code of each stretch of ``words`` words."""
+    one = np.uint64(0x2545F4914F6CDD1D)
+    out = np.zeros(max(0, len(codes) - words + 1), np.uint64)
+    for a in range(0, len(out), common.WINDOW):
+        part = out[a : a + common.WINDOW]
+        for j in range(words):
+            part[:] = mixed64(part * one + codes[a + j : a + j + len(part)])
+    return out
+
+
 def shingle_sets(texts: list[bytes], words: int) -> Iterator[np.ndarray]:
     """The distinct shingle codes of each text, ascending."""
-    codes, first = word_codes(texts)
-    one = np.uint64(0x2545F4914F6CDD1D)
-    joined = np.zeros(max(0, len(codes) - words + 1), np.uint64)
-    for j in range(words):
-        joined = mixed64(joined * one + codes[j : j + len(joined)])
+    if any(map(is_long, texts)) and len(texts) > 1:
+        for text in texts:
+            yield from shingle_sets([text], words)
+        return
+    if texts and is_long(texts[0]):
+        codes = long_word_codes(texts[0])
+        first = np.array([0, len(codes)])
+    else:
+        codes, first = word_codes(texts)
+    joined = shingle_codes(codes, words)
     for a, b in zip(first.tolist(), first[1:].tolist(), strict=False):
         if b - a >= words:
             yield np.unique(joined[a : b - words + 1])
@@ -94,19 +129,49 @@ def shingle_sets(texts: list[bytes], words: int) -> Iterator[np.ndarray]:
             yield np.zeros(0, np.uint64)
 
 
-def set_size(sequence: list[bytes], words: int) -> int:
-    """Number of distinct shingles of a text's words, by numbering words and then shingles."""
-    if len(sequence) < words:
-        return min(len(sequence), 1)
-    number: dict[bytes, int] = {}
-    ids = np.fromiter((number.setdefault(w, len(number)) for w in sequence), np.int64, len(sequence))
-    codes, top = ids[: len(ids) - words + 1], len(number)
+def numbered(text: bytes, number: dict[bytes, int]) -> Iterator[tuple[list[bytes], np.ndarray]]:
+    """The lower-cased words of a text, window by window, and their numbers by first appearance."""
+    for a, b in windows(text):
+        sequence = text[a:b].lower().split()
+        yield sequence, np.fromiter((number.setdefault(w, len(number)) for w in sequence), np.int64, len(sequence))
+
+
+def shingle_numbers(ids: np.ndarray, top: int, words: int) -> np.ndarray:
+    """For each stretch of ``words`` numbers below ``top`` one number; equal ones for equal stretches only."""
+    codes, below = ids[: max(0, len(ids) - words + 1)], top
     for j in range(1, words):
-        if top * len(number) >= 1 << 62:
+        if below * top >= 1 << 62:
             values, codes = np.unique(codes, return_inverse=True)
-            top = len(values)
-        codes, top = codes * len(number) + ids[j : j + len(codes)], top * len(number)
-    return len(np.unique(codes))
+            below = len(values)
+        codes, below = codes * top + ids[j : j + len(codes)], below * top
+    return codes
+
+
+def described(text: bytes, words: int) -> tuple[int, bytes | None]:
+    """Number of distinct shingles of a text, and the digest of its words (null without any)."""
+    number: dict[bytes, int] = {}
+    digest, parts, total = hashlib.blake2b(digest_size=32), [], 0
+    for sequence, ids in numbered(text, number):
+        if sequence:
+            digest.update((b" " if total else b"") + b" ".join(sequence))
+            parts.append(ids)
+            total += len(sequence)
+    if total < words:
+        return min(total, 1), digest.digest() if total else None
+    return len(np.unique(shingle_numbers(np.concatenate(parts), len(number), words))), digest.digest()
+
+
+def overlap(a: bytes, b: bytes, words: int) -> tuple[int, int, int]:
+    """Numbers of distinct shingles of two texts and of both together in common, by numbering words and
+    then shingles: for long texts, of which sets of words would take too much room."""
+    number: dict[bytes, int] = {}
+    first, second = (np.concatenate([np.zeros(0, np.int64), *(ids for _, ids in numbered(t, number))]) for t in (a, b))
+    if min(len(first), len(second)) < words:
+        n, m = (min(len(x), 1) if len(x) < words else len(np.unique(shingle_numbers(x, len(number), words))) for x in (first, second))
+        return n, m, int(n == m == 1 and np.array_equal(first, second))
+    joined = shingle_numbers(np.concatenate([first, second]), len(number), words)
+    x, y = np.unique(joined[: len(first) - words + 1]), np.unique(joined[len(first) :])
+    return len(x), len(y), len(np.intersect1d(x, y, assume_unique=True))
 
 
 def signature(codes: np.ndarray) -> np.ndarray:
@@ -139,10 +204,10 @@ def signatures(docs: DataFrame, text: str, doc_id: str, words: int) -> DataFrame
             for a, b in slices([len(t) for t in texts], CHUNK_BYTES):
                 sizes, prints, sigs = [], [], []
                 for raw, codes in zip(texts[a:b], shingle_sets(texts[a:b], words), strict=True):
-                    sequence = raw.lower().split()
-                    sizes.append(set_size(sequence, words))
-                    prints.append(hashlib.blake2b(b" ".join(sequence), digest_size=32).digest() if sequence else None)
-                    sigs.append(signature(codes).view(np.int64) if sequence else None)
+                    size, print_ = described(raw, words)
+                    sizes.append(size)
+                    prints.append(print_)
+                    sigs.append(signature(codes).view(np.int64) if size else None)
                 number = pa.array(np.arange(at, at + b - a))
                 at += b - a
                 yield pa.RecordBatch.from_arrays([number, batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(sigs, pa.list_(pa.int64()))], names=["row", "doc", "code", "n", "print", "sig"])
@@ -195,7 +260,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
         return set(zip(*(w[j:] for j in range(words)), strict=False)) if len(w) >= words else {tuple(w)} if w else set()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hub, own = None, set()
+        hub, own, head = None, set(), b""
         for batch in batches:
             a, b = [], []
             heads, nodes = batch.column(0).to_pylist(), batch.column(3).to_pylist()
@@ -203,14 +268,17 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
                 raw = batch.column(4)[i].as_buffer().to_pybytes()
                 if node is None:  # the first row of a part
                     if h != hub:
-                        hub, own = h, shingles(raw)
+                        hub, own, head = h, set() if is_long(raw) else shingles(raw), raw
                     continue
-                other = shingles(raw)
-                if 100 * min(len(own), len(other)) >= percent * max(len(own), len(other)):
-                    common = len(own & other)
-                    if common and 100 * common >= percent * (len(own) + len(other) - common):
-                        a.append(min(h, node))
-                        b.append(max(h, node))
+                if is_long(head) or is_long(raw):
+                    n, m, both = overlap(head, raw, words)
+                else:
+                    other = shingles(raw)
+                    n, m = len(own), len(other)
+                    both = len(own & other) if 100 * min(n, m) >= percent * max(n, m) else 0
+                if both and 100 * both >= percent * (n + m - both):
+                    a.append(min(h, node))
+                    b.append(max(h, node))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     heads = pairs.select("hub", "n", "part").distinct().join(texts.withColumnRenamed("node", "hub"), "hub")

@@ -29,7 +29,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sigloom.llm.common import arrow_map, byte_list, mixed64, slices, stored
+from sigloom.llm import common
+from sigloom.llm.common import arrow_map, byte_list, mixed64, slices, stored, windows, word_sum
 
 MAX_POSITIVE = 8_000
 SEGMENT = 1 << 14
@@ -55,50 +56,94 @@ N_HASHED = 32
 N_FEATURES = N_KINDS + 9 + N_HASHED
 
 
+#: Sums over a text's words: their number, lengths, squares of lengths, words alike to the last, to the last
+#: two, those that begin in upper case, end in a mark of CLOSING, end as in capitals; then hashed words.
+N_WORD_SUMS = 8
+BASE = 0x9E3779B97F4A7C15
+CLOSING = np.frombuffer(b"!#$%&*|", np.uint8)
+BYTE_VALUES = np.arange(1, 257, dtype=np.uint64)
+
+
 def features(texts: list[bytes]) -> np.ndarray:
-    """float32 [n, N_FEATURES] of form and content, from whole texts."""
+    """float32 [n, N_FEATURES] of form and content, from whole texts, of which long ones are read in windows."""
+    counts = np.zeros((len(texts), N_KINDS + N_WORD_SUMS + N_HASHED))
+    short = [i for i, t in enumerate(texts) if len(t) <= 2 * common.WINDOW]
+    if short:
+        counts[short] = tallies([texts[i] for i in short])[0]
+    for i in set(range(len(texts))) - set(short):
+        counts[i] = long_tally(texts[i])
+    kinds, sums, hashed = np.split(counts, [N_KINDS, N_KINDS + N_WORD_SUMS], axis=1)
     out = np.zeros((len(texts), N_FEATURES), np.float32)
-    if not texts:
-        return out
+    out[:, :N_KINDS] = np.sqrt(np.maximum(kinds, 0) / np.maximum([len(t) for t in texts], 1)[:, None]) if texts else 0
+    words = np.maximum(sums[:, 0], 1)
+    mean = sums[:, 1] / words
+    out[:, N_KINDS] = mean / 10
+    out[:, N_KINDS + 1] = np.sqrt(np.maximum(sums[:, 2] / words - mean * mean, 0)) / 10
+    out[:, N_KINDS + 2] = np.sqrt(sums[:, 3] / words)
+    out[:, N_KINDS + 3] = np.sqrt(sums[:, 4] / words)
+    for k in (5, 6, 7):
+        out[:, N_KINDS + k - 1] = sums[:, k] / words
+    out[:, N_KINDS + 7] = np.log1p(words) / 10
+    out[:, N_KINDS + 8] = np.log1p(kinds[:, 5]) / 5
+    out[:, N_KINDS + 9 :] = np.sqrt(hashed / words[:, None])
+    return out
+
+
+def tallies(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of byte kinds, sums over words and counts of hashed words, a row a text; and the codes of all words."""
     joined = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
     sizes = np.array([len(t) for t in texts], np.int64)
-    starts = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
     owner = np.repeat(np.arange(len(texts)), sizes + 1)
     kind = KINDS[joined]
     counts = np.bincount(owner * N_KINDS + kind, minlength=len(texts) * N_KINDS).reshape(-1, N_KINDS).astype(np.float64)
     counts[:, 5] -= 1  # the joint
-    length = np.maximum(sizes, 1)
-    out[:, :N_KINDS] = np.sqrt(np.maximum(counts, 0) / length[:, None])
     blank = (kind == 4) | (kind == 5)
-    first = ~blank & np.concatenate([[True], blank[:-1]])
-    begin = np.flatnonzero(first)
-    if len(begin):
-        end = np.flatnonzero(~blank & np.concatenate([blank[1:], [True]])) + 1
-        word_of = owner[begin]
-        words = np.maximum(np.bincount(word_of, minlength=len(texts)), 1)
-        power = np.multiply.accumulate(np.full(len(joined), 0x9E3779B97F4A7C15 | 1, np.uint64))
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((joined.astype(np.uint64) + np.uint64(1)) * power, dtype=np.uint64)])
-        inverse = np.multiply.accumulate(np.full(len(joined), pow(0x9E3779B97F4A7C15 | 1, -1, 1 << 64), np.uint64))
-        code = (total[end] - total[begin]) * inverse[begin]
-        again = np.concatenate([[False], (code[1:] == code[:-1]) & (word_of[1:] == word_of[:-1])])
-        twice = np.concatenate([[False, False], (code[2:] == code[:-2]) & (word_of[2:] == word_of[:-2])]) if len(code) > 2 else np.zeros(len(code), bool)
-        wide = (end - begin).astype(np.float64)
-        mean = np.bincount(word_of, wide, len(texts)) / words
-        out[:, N_KINDS] = mean / 10
-        out[:, N_KINDS + 1] = np.sqrt(np.maximum(np.bincount(word_of, wide * wide, len(texts)) / words - mean * mean, 0)) / 10
-        out[:, N_KINDS + 2] = np.sqrt(np.bincount(word_of, again, len(texts)) / words)
-        out[:, N_KINDS + 3] = np.sqrt(np.bincount(word_of, again & twice, len(texts)) / words)  # three alike in a row
-        upper = KINDS[joined[begin]] == 2
-        out[:, N_KINDS + 4] = np.bincount(word_of, upper, len(texts)) / words
-        closed = np.isin(joined[end - 1], np.frombuffer(b"!#$%&*|", np.uint8))
-        out[:, N_KINDS + 5] = np.bincount(word_of, closed, len(texts)) / words
-        shout = (KINDS[joined[np.maximum(end - 3, begin)]] == 2) & (wide >= 3)
-        out[:, N_KINDS + 6] = np.bincount(word_of, shout, len(texts)) / words
-        out[:, N_KINDS + 7] = np.log1p(words) / 10
-        bucket = (mixed64(code) >> np.uint64(40)).astype(np.int64) % N_HASHED
-        hashed = np.bincount(word_of * N_HASHED + bucket, minlength=len(texts) * N_HASHED).reshape(-1, N_HASHED)
-        out[:, N_KINDS + 9 :] = np.sqrt(hashed / words[:, None])
-    out[:, N_KINDS + 8] = np.log1p(counts[:, 5]) / 5
+    begin = np.flatnonzero(~blank & np.concatenate([[True], blank[:-1]]))
+    end = np.flatnonzero(~blank & np.concatenate([blank[1:], [True]])) + 1
+    word_of = owner[begin]
+    power = np.multiply.accumulate(np.full(len(joined), BASE, np.uint64))
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTE_VALUES[joined] * power, dtype=np.uint64)])
+    inverse = np.multiply.accumulate(np.full(len(joined), pow(BASE, -1, 1 << 64), np.uint64))
+    code = (total[end] - total[begin]) * inverse[begin]
+    again, twice = (np.zeros(len(code), bool) for _ in range(2))
+    again[1:] = (code[1:] == code[:-1]) & (word_of[1:] == word_of[:-1])
+    twice[2:] = (code[2:] == code[:-2]) & (word_of[2:] == word_of[:-2])
+    wide = (end - begin).astype(np.float64)
+    upper = KINDS[joined[begin]] == 2
+    closed = np.isin(joined[end - 1], CLOSING)
+    shout = (KINDS[joined[np.maximum(end - 3, begin)]] == 2) & (wide >= 3)
+    columns = (np.ones(len(code)), wide, wide * wide, again, again & twice, upper, closed, shout)
+    sums = np.stack([np.bincount(word_of, c, len(texts)) for c in columns], 1)
+    hashed = np.bincount(word_of * N_HASHED + bucket_of(code), minlength=len(texts) * N_HASHED).reshape(-1, N_HASHED)
+    return np.hstack([counts, sums, hashed]), code
+
+
+def bucket_of(code: np.ndarray) -> np.ndarray:
+    return (mixed64(code) >> np.uint64(40)).astype(np.int64) % N_HASHED
+
+
+def long_tally(text: bytes) -> np.ndarray:
+    """The row of ``tallies`` for one long text, window by window."""
+    out, last = np.zeros(N_KINDS + N_WORD_SUMS + N_HASHED), []
+    for a, b in windows(text):
+        if b - a > 2 * common.WINDOW:  # one word
+            code = np.array([word_sum(text[a:b], BYTE_VALUES, BASE)], np.uint64)
+            for k in range(a, b, common.WINDOW):
+                out[:N_KINDS] += np.bincount(KINDS[np.frombuffer(text, np.uint8, min(common.WINDOW, b - k), k)], minlength=N_KINDS)
+            wide = float(b - a)
+            out[N_KINDS : N_KINDS + N_WORD_SUMS] += [1, wide, wide * wide, 0, 0, KINDS[text[a]] == 2, text[b - 1] in CLOSING, KINDS[text[b - 3]] == 2]
+            out[N_KINDS + N_WORD_SUMS + bucket_of(code)[0]] += 1
+        else:
+            rows, code = tallies([text[a:b]])
+            out += rows[0]
+        first = code[:2].tolist()  # words alike across the border
+        for k, c in enumerate(first):
+            before = [*last, *first[:k]]
+            if k == 0 and before:
+                out[N_KINDS + 3] += before[-1] == c
+            if len(before) > 1:
+                out[N_KINDS + 4] += before[-1] == before[-2] == c
+        last = [*last, *code[-2:].tolist()][-2:]
     return out
 
 
