@@ -423,25 +423,29 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     others = stored(copies.where("row <> node").select(F.col("row").alias("node")), "other-rows")
     reps = full.select(F.col("row").alias("node"), "doc", "code", F.col("n").alias("size"), "sig").join(keys(others), "node", "left_anti")
     again = stored(sigs.where("doc is not null").groupBy("doc").agg(F.count(F.lit(1)).alias("times")).where("times > 1"), "repeated-ids")
-    repeated = stored(join_skewed(full.select("row", "doc"), again, ["doc"], "times", sigs.count()).join(copies.select("row", "node"), "row", "left").select("doc", F.coalesce("node", "row").alias("b")).distinct(), "repeated-nodes")
-    of_id = stored(repeated.groupBy("doc").agg(F.min("b").alias("a"), F.count(F.lit(1)).alias("nodes")).where("nodes > 1"), "nodes-of-ids")
-    same_id = join_skewed(repeated, of_id, ["doc"], "nodes", repeated.count()).where("a <> b").select("a", "b")
+    some_again = not again.isEmpty()
 
     lists = stored(prefixes(reps.select("node", "sig"), least), "prefixes")
     listed = stored(lists.select("node").distinct(), "listed")
     wanted = stored(reps.select("node", "doc", "code").join(keys(listed), "node", "left_semi"), "wanted")
     signed = stored(reps.select("node", "size", "sig").join(keys(listed), "node", "left_semi"), "candidate-signatures")
     texts = keyed(docs, text, doc_id).join(keys(wanted), ["doc", "code"]).select("node", "text")
-    texts = stored(texts if again.isEmpty() else texts.dropDuplicates(["node"]), "candidate-texts", compression="zstd")
+    texts = stored(texts.dropDuplicates(["node"]) if some_again else texts, "candidate-texts", compression="zstd")
 
     pairs = stored(agreeing(stored(hub_pairs(lists), "hub-pairs"), signed, least, percent), "agreeing")
-    links = stored(confirmed(pairs, texts, words, percent).union(same_id), "links")
+    links = confirmed(pairs, texts, words, percent)
+    if some_again:  # nodes of one id are linked
+        repeated = stored(join_skewed(full.select("row", "doc"), again, ["doc"], "times", sigs.count()).join(copies.select("row", "node"), "row", "left").select("doc", F.coalesce("node", "row").alias("b")).distinct(), "repeated-nodes")
+        of_id = stored(repeated.groupBy("doc").agg(F.min("b").alias("a"), F.count(F.lit(1)).alias("nodes")).where("nodes > 1"), "nodes-of-ids")
+        links = links.union(join_skewed(repeated, of_id, ["doc"], "nodes", repeated.count()).where("a <> b").select("a", "b"))
+    links = stored(links, "links")
     components = connected_components(links)
     more = stored(residual_links(lists, components, signed, texts, words, percent, least, chunk), "residual-links")
     if not more.isEmpty():
         hubs = stored(more.groupBy("hub").agg(F.count(F.lit(1)).alias("n")), "hubs")
         more = confirmed(split_hubs(join_skewed(more, hubs, ["hub"], "n", more.count())), texts, words, percent)
-        components = connected_components(links.union(stored(more, "links")))
+        stars = components.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        components = connected_components(stars.union(stored(more, "links")))
 
     # A component's id is its least document id.
     members = components.join(full.select(F.col("row").alias("node"), "doc"), "node").join(classes.select("node", "first"), "node", "left")
