@@ -5,8 +5,8 @@ ADPCM blocks, in a WAV container. Decoding expands mu-law and A-law by 256-entry
 ADPCM by stepping through a block's nibbles for all blocks of a batch at once, in numpy. The
 16-bit PCM of every clip is resampled by half-band filters from the 8 kHz of telephony to one
 common rate, 16 kHz as speech models take it, and stored without loss: samples that the half-band
-filter foretells from their neighbours exactly need no room, and samples of at most 256 different
-values take a byte each. Features are computed from the whole PCM read back. The common rate is a
+filter foretells from their neighbours exactly need no room, and samples that are all levels of one
+companding table take a byte each. Features are computed from the whole PCM read back. The common rate is a
 parameter; at other rates, where nothing is foretold, all samples are stored.
 
 Defined results: a null or empty text is a payload of 576 bytes 255; a long text is one long
@@ -66,6 +66,11 @@ def alaw_table() -> np.ndarray:
 
 
 MULAW, ALAW = mulaw_table(), alaw_table()
+#: The levels of both tables, ascending, and the place of every 16-bit value among them (-1: none).
+LEVELS = (np.unique(MULAW), np.unique(ALAW))
+PLACES = tuple(np.full(1 << 16, -1, np.int16) for _ in LEVELS)
+for _place, _levels in zip(PLACES, LEVELS, strict=True):
+    _place[_levels.view(np.uint16)] = np.arange(len(_levels))
 
 
 def adpcm_decode(blocks: np.ndarray) -> np.ndarray:
@@ -176,29 +181,26 @@ def decode(media: list[bytes], rate: int = RATE_OUT) -> list[np.ndarray]:
 
 def packed(pcm: np.ndarray) -> bytes:
     """16-bit PCM without loss. As often as every second sample is what ``between`` foretells, it is
-    left out; then a byte for how often, the number of different values left (0: over 256), and
-    the values with a byte a sample, or else the samples as they are."""
-    levels = 0
-    while len(pcm) and len(pcm) % 2 == 0 and levels < 255 and (between(pcm[0::2]) == pcm[1::2]).all():
-        pcm, levels = pcm[0::2], levels + 1
-    used = np.zeros(1 << 16, bool)
-    used[pcm.view(np.uint16) if pcm.flags.c_contiguous else pcm.astype(np.uint16)] = True
-    values = np.flatnonzero(used)
-    if len(values) > 256:
-        return struct.pack("<BH", levels, 0) + pcm.astype("<i2").tobytes()
-    place = np.zeros(1 << 16, np.uint8)
-    place[values] = np.arange(len(values))
-    return struct.pack("<BH", levels, len(values)) + values.astype("<u2").tobytes() + place[pcm.astype(np.uint16)].tobytes()
+    left out. Then a byte for how often, and one for how samples follow: 0 as they are, 1 or 2
+    as a byte each, their place among the levels of mu-law or A-law."""
+    times = 0
+    while len(pcm) and len(pcm) % 2 == 0 and times < 255 and (between(pcm[0::2]) == pcm[1::2]).all():
+        pcm, times = pcm[0::2], times + 1
+    for form, place in enumerate(PLACES, 1):
+        places = place[pcm.astype(np.uint16)]
+        if (places >= 0).all():
+            return bytes((times, form)) + places.astype(np.uint8).tobytes()
+    return bytes((times, 0)) + pcm.astype("<i2").tobytes()
 
 
 def unpacked(stored_pcm: bytes | memoryview) -> np.ndarray:
     """The whole PCM of ``packed``."""
-    levels, n = struct.unpack_from("<BH", stored_pcm)
-    if n:
-        pcm = np.frombuffer(stored_pcm, "<u2", n, 3).astype(np.uint16).view(np.int16)[np.frombuffer(stored_pcm, np.uint8, -1, 3 + 2 * n)]
+    times, form = stored_pcm[0], stored_pcm[1]
+    if form:
+        pcm = LEVELS[form - 1][np.frombuffer(stored_pcm, np.uint8, -1, 2)]
     else:
-        pcm = np.frombuffer(stored_pcm, "<i2", -1, 3).astype(np.int16)
-    for _ in range(levels):
+        pcm = np.frombuffer(stored_pcm, "<i2", -1, 2).astype(np.int16)
+    for _ in range(times):
         pcm = doubled(pcm)
     return pcm
 
